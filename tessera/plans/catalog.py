@@ -310,3 +310,306 @@ def q_empty_batch_load(spark, sf_dir):
 @register("latest_per_id", f"with {F2} {latest_sql('f2')}")
 def q_latest_per_id(spark, sf_dir):
     return merge.latest_per_key(fx.call_records(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- sources / sinks
+
+@register("scan_multi_file", "select * from lineitem")
+def q_scan_multi_file(spark, sf_dir):
+    """lineitem written as two file groups — the second with its key drifted
+    to double, as a producer writing nullable integers does — then read back
+    as one table of the declared schema."""
+    from tessera.sinks.writer import write_new
+    from tessera.sources.files import read_files
+    from tessera.sources.tables import read_table
+    from tessera.util import shared_scratch
+
+    li = read_table(spark, sf_dir, "lineitem")
+    root = shared_scratch(spark, "scan_multi_file")
+    first = F.coalesce(F.col("l_linenumber") <= 3, F.lit(False))
+    write_new(li.filter(first), f"{root}/group_a")
+    write_new(li.filter(~first).withColumn("l_orderkey", F.col("l_orderkey").cast("double")), f"{root}/group_b")
+    return read_files(spark, [f"{root}/group_a", f"{root}/group_b"], li.schema)
+
+
+@register("scan_changed_files", "select * from events")
+def q_scan_changed_files(spark, sf_dir):
+    from tessera.sources.files import read_changed_files
+    from tessera.sources.tables import read_table, table_path
+
+    schema = read_table(spark, sf_dir, "events").schema
+    return read_changed_files(spark, table_path(sf_dir, "events"), "1970-01-01T00:00:00", schema)
+
+
+@register("write_read_roundtrip", "select * from orders")
+def q_write_read_roundtrip(spark, sf_dir):
+    from tessera.sinks.writer import write_new
+    from tessera.sources.tables import read_table
+    from tessera.util import shared_scratch
+
+    path = shared_scratch(spark, "roundtrip")
+    write_new(read_table(spark, sf_dir, "orders"), path)
+    return spark.read.parquet(path)
+
+
+@register("publish_roundtrip", "select * from orders")
+def q_publish_roundtrip(spark, sf_dir):
+    """Publish orders twice (the second run reads the first version and
+    writes the next); the live version is the whole table."""
+    from tessera.sinks.publish import publish, read_current
+    from tessera.sources.tables import read_table
+    from tessera.util import shared_scratch
+
+    root = shared_scratch(spark, "publish")
+    publish(read_table(spark, sf_dir, "orders"), root)
+    publish(read_current(spark, root), root)
+    return read_current(spark, root)
+
+
+@register("range_source", "select range as row_id from range((select count(*) from orders))")
+def q_range_source(spark, sf_dir):
+    from tessera.sources.synth import range_table
+    from tessera.sources.tables import read_table
+
+    return range_table(spark, read_table(spark, sf_dir, "orders").count())
+
+
+@register("partition_profile")
+def q_partition_profile(spark, sf_dir):
+    from tessera.sinks.writer import partition_profile
+    from tessera.sources.tables import read_table
+
+    return partition_profile(read_table(spark, sf_dir, "lineitem"))
+
+
+@register("preview_rows")
+def q_preview_rows(spark, sf_dir):
+    from tessera.sinks.writer import preview
+    from tessera.sources.tables import read_table
+
+    return preview(read_table(spark, sf_dir, "orders"), 5)
+
+
+@register(
+    "row_metrics",
+    f"with {TYPED} select count(*) as rows_in, count(*) filter (where {ALL_RULES_SQL}) as rows_clean from typed",
+)
+def q_row_metrics(spark, sf_dir):
+    """Counts observed while the cleaned table is produced (one pass, no
+    separate count jobs), returned as a one-row table."""
+    from tessera.sinks.writer import counted
+
+    typed, seen = counted(_typed(spark, sf_dir), "rows_in")
+    cleaned, kept = counted(rules.clean(typed), "rows_clean")
+    cleaned.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame(
+        [(int(seen.get["rows"]), int(kept.get["rows"]))], "rows_in bigint, rows_clean bigint"
+    )
+
+
+# ---------------------------------------------------------------- synthetic tables
+
+SEED = 42
+
+
+def uniform_sql(stream: str, names: list[str], name: str, key: str = "row_id", seed: int = SEED) -> str:
+    block, slot = divmod(names.index(name), 4)
+    return (
+        f"(cast(('0x' || substr(md5(concat_ws('|', '{seed}', '{stream}.{block}', cast({key} as varchar))), "
+        f"{slot * 8 + 1}, 8)) as bigint) / 4294967296.0)"
+    )
+
+
+def _sales_synth_sql() -> str:
+    from tessera.sources import synth as S
+
+    def u(name):
+        return uniform_sql("sales", S.SALES_UNIFORMS, name)
+
+    def idx(name, n):
+        return f"cast(floor({u(name)} * {n}) as integer)"
+
+    def choice(name, values):
+        lst = ", ".join(f"'{v}'" for v in values)
+        return f"[{lst}][{idx(name, len(values))} + 1]"
+
+    return f"""with r as (select range as row_id from range((select count(*) from orders))),
+d as (select row_id, date '{S.FIRST_ORDER_DATE}' + {idx('order_date', S.ORDER_DAYS)} as Order_Date from r)
+select row_id, Order_Date,
+ Order_Date + {idx('ship_date', S.SHIP_DAYS)} as Ship_Date,
+ {choice('ship_mode', S.SHIP_MODES)} as Ship_Mode,
+ cast({S.POSTAL_CODE_BASE} + {idx('postal_code', S.POSTAL_CODES)} as varchar) as Postal_Code,
+ {choice('region', S.REGIONS)} as Region,
+ concat_ws('-', 'PRD', row_id) as Product_Reference,
+ {choice('category', S.CATEGORIES)} as Category,
+ {choice('sub_category', S.SUB_CATEGORIES)} as Sub_Category,
+ round({u('sales')} * 1000, 2) as Sales,
+ {idx('quantity', 10)} + 1 as Quantity,
+ round({u('profit')} * 500 - 100, 2) as Profit,
+ {choice('state', S.STATES)} as State
+from d"""
+
+
+@register("sales_synth", _sales_synth_sql())
+def q_sales_synth(spark, sf_dir):
+    from tessera.sources.synth import sales_table
+    from tessera.sources.tables import read_table
+
+    return sales_table(spark, read_table(spark, sf_dir, "orders").count(), SEED)
+
+
+@register(
+    "sales_synth_report",
+    f"""with s as ({_sales_synth_sql()}),
+e as (select *, cast(date_diff('day', Order_Date, Ship_Date) as integer) as shipping_delay from s
+      where Order_Date is not null and Sales is not null and not isnan(Sales)
+        and Profit is not null and not isnan(Profit))
+select Region, State, cast(sum(Sales) as double) as total_sales, cast(sum(Profit) as double) as total_profit
+from e where Profit > 0 and shipping_delay <= 31 group by Region, State""",
+)
+def q_sales_synth_report(spark, sf_dir):
+    """The sales job end to end on a generated table sized by orders."""
+    from tessera.sources.synth import sales_table
+    from tessera.sources.tables import read_table
+
+    table = sales_table(spark, read_table(spark, sf_dir, "orders").count(), SEED)
+    return analytics.region_state_totals(enrich.enrich_sales(table))
+
+
+CDR_DIRTY_PERCENT = 40
+CDR_ANCHOR = "2025-01-01 00:00:00"
+
+
+def _cdr_synth_sql() -> str:
+    from tessera.sources import synth as S
+
+    def u(name):
+        return uniform_sql("cdr", S.CDR_UNIFORMS, name)
+
+    def idx(name, n):
+        return f"cast(floor({u(name)} * {n}) as integer)"
+
+    def choice(name, values):
+        lst = ", ".join(f"'{v}'" for v in values)
+        return f"[{lst}][{idx(name, len(values))} + 1]"
+
+    def digits(hi, lo, width):
+        h, l = width - width // 2, width // 2
+        return (
+            f"lpad(cast(cast(floor({u(hi)} * {10**h}) as bigint) as varchar), {h}, '0') || "
+            f"lpad(cast(cast(floor({u(lo)} * {10**l}) as bigint) as varchar), {l}, '0')"
+        )
+
+    def pool(stream, index_sql, slot):
+        return (
+            f"(cast(('0x' || substr(md5(concat_ws('|', '{SEED}', '{stream}', cast({index_sql} as varchar))), "
+            f"{slot * 8 + 1}, 8)) as bigint) / 4294967296.0)"
+        )
+
+    def err(col):
+        return uniform_sql("cdr_error", S.CDR_COLUMNS, col)
+
+    char_word = (
+        f"cast(('0x' || substr(md5(concat_ws('|', '{SEED}', 'message', cast(row_id as varchar), "
+        f"cast(i // 4 as varchar))), (i % 4) * 8 + 1, 8)) as bigint)"
+    )
+    text = (
+        f"array_to_string(list_transform(range(0, msg_len), lambda i: substr('{S.MESSAGE_ALPHABET}', "
+        f"cast(floor({char_word} / 4294967296.0 * {len(S.MESSAGE_ALPHABET)}) as integer) + 1, 1)), '')"
+    )
+    offset = (
+        f"({idx('days', S.MAX_DAYS_AGO + 1)} * 86400 + {idx('hours', 24)} * 3600 + "
+        f"{idx('minutes', 60)} * 60 + {idx('seconds', 60)})"
+    )
+    clean = {
+        "id": f"cast({idx('id', S.MAX_ID)} + 1 as double)",
+        "subscriber_id": "concat_ws('-', substr(sh, 1, 8), substr(sh, 9, 4), substr(sh, 13, 4), substr(sh, 17, 4), substr(sh, 21, 12))",
+        "sim_card_number": "'8930' || " + digits("sim_hi", "sim_lo", 15),
+        "imsi_number": digits("imsi_hi", "imsi_lo", 15),
+        "imei_number": digits("imei_hi", "imei_lo", 15),
+        "service_type": choice("service_type", S.SERVICE_TYPES),
+        "direction": choice("direction", S.DIRECTIONS),
+        "roaming_status": f"{u('roaming')} < 0.5",
+        "caller_number": "'234' || " + digits("caller_hi", "caller_lo", 10),
+        "receiver_number": "'234' || " + digits("receiver_hi", "receiver_lo", 10),
+        "country_code": "'+234'",
+        "cell_tower_id": f"'CT-' || lpad(cast(cast(floor({pool('tower', idx('tower', S.CELL_TOWER_POOL), 0)} * 10000) as bigint) as varchar), 4, '0')",
+        "location_latitude": f"{u('lat')} * 10 + 4.0",
+        "location_longitude": f"{u('lon')} * 13 + 2.0",
+        "location_area_code": (
+            f"lpad(cast(cast(floor({pool('area', idx('area', S.AREA_CODE_POOL), 0)} * 1000) as bigint) as varchar), 3, '0') || '-' || "
+            f"lpad(cast(cast(floor({pool('area', idx('area', S.AREA_CODE_POOL), 1)} * 1000) as bigint) as varchar), 3, '0')"
+        ),
+        "region": f"'Region ' || lpad(cast({idx('region', S.REGION_POOL)} + 1 as varchar), 3, '0')",
+        "city": f"'City ' || lpad(cast({idx('city', S.CITY_POOL)} + 1 as varchar), 3, '0')",
+        "network_type": choice("network_type", S.NETWORK_TYPES),
+        "network_provider": choice("provider", S.NETWORK_PROVIDERS),
+        "signal_strength_dbm": f"cast({idx('dbm', 71)} - 120 as double)",
+        "cost": f"round({u('cost')} * 9.99 + 0.01, 2)",
+        "currency": choice("currency", S.CURRENCIES),
+        "call_type": "call_type",
+        "call_start_time": "start_ts",
+        "call_end_time": "end_ts",
+        "created_at": "start_ts",
+        "updated_at": "end_ts",
+        "call_duration_seconds": "cast(case when call_type = 'voice' then duration else 0 end as double)",
+        "message_content": f"case when call_type = 'voice' then null else {text} end",
+        "message_length": "cast(case when call_type = 'voice' then 0 else msg_len end as double)",
+    }
+
+    def damaged(col, value):
+        out = f"case when {err(col)} < {S.ERROR_RATE} then null "
+        if col in S.PHONE_COLUMNS:
+            out += f"when {err(col)} < {2 * S.ERROR_RATE} then 'ERROR' || right({value}, 4) "
+        elif col == "call_duration_seconds":
+            out += f"when {err(col)} < {2 * S.ERROR_RATE} then -abs({value}) "
+        return out + f"else {value} end"
+
+    types = {f.name: f.dataType.simpleString() for f in S.CALL_RECORD_SCHEMA.fields}
+    duck = {"double": "double", "string": "varchar", "boolean": "boolean", "timestamp_ntz": "timestamp"}
+    cols = ",\n ".join(
+        f"cast(case when dirty then {damaged(c, v)} else {v} end as {duck[types[c]]}) as {c}"
+        for c, v in clean.items()
+    )
+    return f"""with n as (select count(*) as n from events),
+p as (select n,
+  (select min(range) from range(1000003, 1002003, 2) where gcd(range, n) = 1) as a,
+  {SEED} % n as b,
+  cast(floor(n * {CDR_DIRTY_PERCENT / 100}) as bigint) as n_dirty from n),
+r as (select range as row_id from range((select n from n))),
+b as (select row_id,
+  ((row_id * (select a from p) + (select b from p)) % (select n from p)) < (select n_dirty from p) as dirty,
+  {choice('call_type', S.CALL_TYPES)} as call_type,
+  {idx('duration', S.MAX_DURATION_SECONDS)} + 1 as duration,
+  {idx('message_length', S.MAX_MESSAGE_LENGTH)} + 1 as msg_len,
+  md5(concat_ws('|', '{SEED}', 'subscriber', cast(row_id as varchar))) as sh,
+  timestamp '{CDR_ANCHOR}' - to_seconds({offset}) as start_ts
+ from r),
+c as (select *, start_ts + to_seconds(duration) as end_ts from b)
+select {cols}
+from c"""
+
+
+@register("cdr_synth", _cdr_synth_sql())
+def q_cdr_synth(spark, sf_dir):
+    """The call-record table generated with as many rows as events, 40 % dirty."""
+    from tessera.sources.synth import cdr_table
+    from tessera.sources.tables import read_table
+
+    n = read_table(spark, sf_dir, "events").count()
+    return cdr_table(spark, n, CDR_DIRTY_PERCENT, SEED, CDR_ANCHOR)
+
+
+@register(
+    "cdr_synth_load",
+    f"""with s as ({_cdr_synth_sql()}),
+typed as (select * replace (
+  try_cast(trunc(call_duration_seconds) as integer) as call_duration_seconds,
+  try_cast(trunc(message_length) as integer) as message_length,
+  try_cast(trunc(signal_strength_dbm) as integer) as signal_strength_dbm)
+ from s)
+select * from typed where {ALL_RULES_SQL}""",
+)
+def q_cdr_synth_load(spark, sf_dir):
+    """First-run load (as coded) of the generated call records."""
+    return rules.clean(cast_call_records(q_cdr_synth(spark, sf_dir)))
