@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.uniform import TWO_POW_32, Uniforms, hash_hex
+from tessera.functions.uniform import SLOTS_PER_HASH, TWO_POW_32, Uniforms, hash_hex
 from tessera.schemas import CALL_RECORD_SCHEMA
 
 ROWS_PER_PARTITION = 2_000_000
@@ -114,20 +114,29 @@ def _pool_member(seed: int, pool: str, index: Column, slot_count: int) -> list[C
 
 
 def _message_text(seed: int, rid: Column, length: Column) -> Column:
-    """Random text of ``length`` characters, four characters per hash."""
-    chunks = F.transform(
-        F.sequence(F.lit(0), F.floor((length - 1) / 4).cast("int")),
+    """Random text of ``length`` characters (NULL when ``length`` is NULL),
+    four characters per hash.
+
+    The hashes are made once per chunk (inner ``transform``) and each is bound
+    to a lambda variable (outer ``transform``), so the work is linear in the
+    text length. Lambda functions run outside generated code, so the caller
+    keeps this in a projection of its own."""
+    n = len(MESSAGE_ALPHABET)
+    alphabet = F.lit(MESSAGE_ALPHABET)
+    hashes = F.transform(
+        F.sequence(F.lit(0), F.floor((length - 1) / SLOTS_PER_HASH).cast("int")),
         lambda j: F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit("message"), rid.cast("string"), j.cast("string"))),
     )
-    alphabet = F.lit(MESSAGE_ALPHABET)
-    n = len(MESSAGE_ALPHABET)
 
-    def char(i: Column) -> Column:
-        word = F.conv(F.substring(F.element_at(chunks, F.floor(i / 4).cast("int") + 1), (i % 4) * 8 + 1, 8), 16, 10)
-        pos = F.floor(word.cast("bigint") / F.lit(TWO_POW_32) * n).cast("int") + 1
-        return F.substring(alphabet, pos, 1)
+    def four_chars(h: Column) -> Column:
+        chars = []
+        for slot in range(SLOTS_PER_HASH):
+            word = F.conv(F.substring(h, slot * 8 + 1, 8), 16, 10).cast("bigint")
+            pos = F.floor(word / F.lit(TWO_POW_32) * n).cast("int") + 1
+            chars.append(F.substring(alphabet, pos, 1))
+        return F.concat(*chars)
 
-    return F.array_join(F.transform(F.sequence(F.lit(0), length - 1), char), "")
+    return F.substring(F.array_join(F.transform(hashes, four_chars), ""), 1, length)
 
 
 def cdr_table(
@@ -199,7 +208,7 @@ def cdr_table(
         "created_at": start,
         "updated_at": end,
         "call_duration_seconds": F.when(is_voice, duration).otherwise(0).cast("double"),
-        "message_content": F.when(~is_voice, _message_text(seed, rid, msg_len)),
+        "_text_length": F.when(~is_voice, msg_len),
         "message_length": F.when(is_voice, 0).otherwise(msg_len).cast("double"),
     }
 
@@ -217,8 +226,14 @@ def cdr_table(
             out = out.when(r < 2 * ERROR_RATE, -F.abs(value))
         return out.otherwise(value)
 
+    # Three projections: clean values (generated code, each hash computed
+    # once), the message text (lambda functions, interpreted), then the damage
+    # of dirty rows (generated code). Each step refers to a costly value of
+    # the step below more than once, so the optimizer keeps them apart.
+    generated = base.select(rid, "_dirty", *[clean[c].alias(c) for c in clean])
+    with_text = generated.withColumn("message_content", _message_text(seed, rid, F.col("_text_length")))
     cols = [
-        F.when(F.col("_dirty"), damaged(f.name, clean[f.name])).otherwise(clean[f.name]).cast(f.dataType).alias(f.name)
+        F.when(F.col("_dirty"), damaged(f.name, F.col(f.name))).otherwise(F.col(f.name)).cast(f.dataType).alias(f.name)
         for f in CALL_RECORD_SCHEMA.fields
     ]
-    return base.select(*cols)
+    return with_text.select(*cols)
