@@ -2,7 +2,7 @@
 
 A table root holds one directory per version, ``version=<n>``, plus a
 commit log ``_versions/`` of one-row JSON files. A run writes the next
-version create-only, and only after that write succeeds appends its log
+version, and only after that write succeeds appends its log
 entry; readers take the highest logged version. So a failed run leaves the
 last good version readable, and a run never overwrites the files it reads.
 """
@@ -79,10 +79,12 @@ def publish(
     spark = df.sparkSession
     version = (current_version(spark, root) or 0) + 1
     observed, obs = counted(df)
+    # The next version is not in the log, so no reader uses it; leftovers of
+    # an earlier failed attempt at the same number are simply replaced.
     write(
         observed,
         version_path(root, version),
-        mode="errorifexists",
+        mode="overwrite",
         single_file=single_file,
         max_records_per_file=max_records_per_file,
     )

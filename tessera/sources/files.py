@@ -40,9 +40,20 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(cols)
 
 
-def read_parquet_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+def _reader(spark: SparkSession, recursive: bool, modified_after: str | None = None):
+    """``recursive`` reads every file below a directory (a drop folder with
+    sub-folders per day), without partition discovery."""
+    reader = spark.read
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    if modified_after is not None:
+        reader = reader.option("modifiedAfter", modified_after)
+    return reader
+
+
+def read_parquet_or_none(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame | None:
     try:
-        return spark.read.parquet(path)
+        return _reader(spark, recursive).parquet(path)
     except AnalysisException as e:
         if e.getCondition() in MISSING_TABLE_CONDITIONS:
             return None
@@ -59,21 +70,20 @@ def read_files(
     paths: list[str],
     schema: T.StructType | None = None,
     modified_after: str | None = None,
+    recursive: bool = True,
 ) -> DataFrame:
     """All ``paths`` as one table conforming to ``schema`` (SRC-5, SET-2).
 
     ``schema=None`` takes the first path's schema. No paths gives an empty
     table of ``schema`` (SRC-10)."""
-    reader = spark.read
-    if modified_after is not None:
-        reader = reader.option("modifiedAfter", modified_after)
+    reader = _reader(spark, recursive, modified_after)
     if not paths:
         if schema is None:
             raise ValueError("an empty file set needs a declared schema")
         return empty_frame(spark, schema)
     groups: dict[str, tuple[T.StructType, list[str]]] = {}
     for p in paths:
-        found = read_parquet_or_none(spark, p)
+        found = read_parquet_or_none(spark, p, recursive)
         if found is None:
             continue
         groups.setdefault(found.schema.simpleString(), (found.schema, []))[1].append(p)
@@ -105,13 +115,14 @@ def read_changed_files(
     path: str,
     since: str,
     schema: T.StructType | None = None,
+    recursive: bool = True,
 ) -> DataFrame:
     """Files under ``path`` modified strictly after ``since`` (SRC-9).
 
     A declared schema keeps the result typed when nothing matches."""
-    reader = spark.read.option("modifiedAfter", since)
+    reader = _reader(spark, recursive, since)
     if schema is None:
-        base = read_parquet_or_none(spark, path)
+        base = read_parquet_or_none(spark, path, recursive)
         if base is None:
             raise ValueError(f"nothing to read at {path} and no declared schema")
         schema = base.schema
