@@ -1,43 +1,78 @@
 """Reproducible uniform numbers as column expressions (FN-12, FN-21 … FN-24).
 
 ``rand(seed)`` depends on how rows fall into partitions; a hash of the row's
-key does not. One md5 of ``"<seed>|<stream>.<block>|<key>"`` yields four
-independent 32-bit numbers (hex digits 1-8, 9-16, 17-24, 25-32), each scaled
-to [0, 1) by 2^-32. Both the scaling and ``floor(u * n)`` are exact in double
-arithmetic, so any engine with md5 reproduces the same values bit for bit.
-Spark evaluates a repeated md5 expression once per row (common
-subexpression elimination), so four uniforms cost one hash.
+key does not. Each named stream of uniforms is a 32-bit integer mix of the
+key with a per-stream constant, scaled to [0, 1) by 2^-32:
+
+    x = (key & 0xFFFFFFFF) ^ stream_constant ^ (((key >> 32) * M) & 0xFFFFFFFF)
+    x = x ^ (x >> 16);  x = (x * M) & 0xFFFFFFFF
+    x = x ^ (x >> 16);  x = (x * M) & 0xFFFFFFFF
+    x = x ^ (x >> 16)
+
+with the multiplier M below 2^31, so every product fits a signed 64-bit
+integer and nothing overflows under ANSI arithmetic. The mix is a bijection of
+32-bit words with good avalanche, it is plain integer arithmetic (so it stays
+in generated code, and Spark computes a repeated sub-expression once), and
+any SQL engine with 64-bit integers reproduces it bit for bit; ``u * n`` and
+``floor`` on the result are exact in double arithmetic.
 """
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed values of the mixing function.
+MASK32 = 0xFFFFFFFF
+MIX_MULTIPLIER = 0x45D9F3B
+SALT_MULTIPLIER = 0x2C1B3C6D
 TWO_POW_32 = 4294967296.0
-SLOTS_PER_HASH = 4
 
 
-def hash_hex(seed: int, stream: str, key: Column) -> Column:
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(stream), key.cast("string")))
+def stream_constant(seed: int, stream: str) -> int:
+    """32-bit constant of a named stream (CRC-32 of ``"<seed>|<stream>"``)."""
+    return zlib.crc32(f"{seed}|{stream}".encode())
+
+
+def mix32(x: Column) -> Column:
+    x = x.bitwiseXOR(F.shiftright(x, 16))
+    x = (x * F.lit(MIX_MULTIPLIER)).bitwiseAND(F.lit(MASK32))
+    x = x.bitwiseXOR(F.shiftright(x, 16))
+    x = (x * F.lit(MIX_MULTIPLIER)).bitwiseAND(F.lit(MASK32))
+    return x.bitwiseXOR(F.shiftright(x, 16))
+
+
+def keyed(seed: int, stream: str, key: Column) -> Column:
+    """The pre-mix word of a non-negative 64-bit key in a stream."""
+    key = key.cast("bigint")
+    lo = key.bitwiseAND(F.lit(MASK32))
+    hi = (F.shiftright(key, 32) * F.lit(MIX_MULTIPLIER)).bitwiseAND(F.lit(MASK32))
+    return lo.bitwiseXOR(F.lit(stream_constant(seed, stream))).bitwiseXOR(hi)
+
+
+def salted(word: Column, salt: Column) -> Column:
+    """A word varied by a small non-negative integer (e.g. a position)."""
+    return word.bitwiseXOR((salt.cast("bigint") * F.lit(SALT_MULTIPLIER)).bitwiseAND(F.lit(MASK32)))
+
+
+def to_unit(h: Column) -> Column:
+    return h / F.lit(TWO_POW_32)
 
 
-def hex_uniform(hex_col: Column, slot: int) -> Column:
-    """The ``slot``-th 32-bit word of a hex digest, scaled to [0, 1)."""
-    word = F.conv(F.substring(hex_col, slot * 8 + 1, 8), 16, 10).cast("bigint")
-    return word / F.lit(TWO_POW_32)
+def uniform(seed: int, stream: str, key: Column) -> Column:
+    return to_unit(mix32(keyed(seed, stream, key)))
 
 
 class Uniforms:
-    """Named uniforms of one key column, packed four to a hash."""
+    """Named uniform streams of one key column."""
 
-    def __init__(self, seed: int, stream: str, key: Column, names: list[str]):
+    def __init__(self, seed: int, stream: str, key: Column):
         self.seed, self.stream, self.key = seed, stream, key
-        self.slots = {name: divmod(i, SLOTS_PER_HASH) for i, name in enumerate(names)}
 
     def __getitem__(self, name: str) -> Column:
-        block, slot = self.slots[name]
-        return hex_uniform(hash_hex(self.seed, f"{self.stream}.{block}", self.key), slot)
+        return uniform(self.seed, f"{self.stream}.{name}", self.key)
 
     def index(self, name: str, n: int) -> Column:
         """Uniform integer in [0, n)."""
@@ -47,11 +82,10 @@ class Uniforms:
         """Uniform choice from a fixed list (1-based ``element_at``)."""
         return F.element_at(F.array(*[F.lit(v) for v in values]), self.index(name, len(values)) + 1)
 
-    def digits(self, name_hi: str, name_lo: str, width: int) -> Column:
-        """A random decimal string of ``width`` digits from two uniforms."""
-        hi = width - width // 2
-        lo = width // 2
+    def digits(self, name: str, width: int) -> Column:
+        """A random decimal string of ``width`` digits (two draws of up to 8)."""
+        hi, lo = width - width // 2, width // 2
         return F.concat(
-            F.lpad(F.floor(self[name_hi] * 10**hi).cast("string"), hi, "0"),
-            F.lpad(F.floor(self[name_lo] * 10**lo).cast("string"), lo, "0"),
+            F.lpad(F.floor(self[f"{name}.hi"] * 10**hi).cast("bigint").cast("string"), hi, "0"),
+            F.lpad(F.floor(self[f"{name}.lo"] * 10**lo).cast("bigint").cast("string"), lo, "0"),
         )

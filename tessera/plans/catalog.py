@@ -412,19 +412,35 @@ def q_row_metrics(spark, sf_dir):
 SEED = 42
 
 
-def uniform_sql(stream: str, names: list[str], name: str, key: str = "row_id", seed: int = SEED) -> str:
-    block, slot = divmod(names.index(name), 4)
+def mix32_sql(x: str) -> str:
+    """The 32-bit mix of ``tessera.functions.uniform`` in DuckDB SQL."""
+    from tessera.functions.uniform import MASK32, MIX_MULTIPLIER as M
+
+    s1 = f"xor({x}, (({x}) >> 16))"
+    s2 = f"((({s1}) * {M}) & {MASK32})"
+    s3 = f"xor({s2}, ({s2} >> 16))"
+    s4 = f"((({s3}) * {M}) & {MASK32})"
+    return f"xor({s4}, ({s4} >> 16))"
+
+
+def keyed_sql(stream: str, key: str = "row_id", seed: int = SEED) -> str:
+    from tessera.functions.uniform import MASK32, MIX_MULTIPLIER as M, stream_constant
+
     return (
-        f"(cast(('0x' || substr(md5(concat_ws('|', '{seed}', '{stream}.{block}', cast({key} as varchar))), "
-        f"{slot * 8 + 1}, 8)) as bigint) / 4294967296.0)"
+        f"xor(xor((({key}) & {MASK32}), {stream_constant(seed, stream)}), "
+        f"(((({key}) >> 32) * {M}) & {MASK32}))"
     )
 
 
+def uniform_sql(stream: str, key: str = "row_id", seed: int = SEED) -> str:
+    return f"({mix32_sql(keyed_sql(stream, key, seed))} / 4294967296.0)"
+
+
 def _sales_synth_sql() -> str:
     from tessera.sources import synth as S
 
     def u(name):
-        return uniform_sql("sales", S.SALES_UNIFORMS, name)
+        return uniform_sql(f"sales.{name}")
 
     def idx(name, n):
         return f"cast(floor({u(name)} * {n}) as integer)"
@@ -484,7 +500,7 @@ def _cdr_synth_sql() -> str:
     from tessera.sources import synth as S
 
     def u(name):
-        return uniform_sql("cdr", S.CDR_UNIFORMS, name)
+        return uniform_sql(f"cdr.{name}")
 
     def idx(name, n):
         return f"cast(floor({u(name)} * {n}) as integer)"
@@ -493,26 +509,22 @@ def _cdr_synth_sql() -> str:
         lst = ", ".join(f"'{v}'" for v in values)
         return f"[{lst}][{idx(name, len(values))} + 1]"
 
-    def digits(hi, lo, width):
+    def digits(name, width):
         h, l = width - width // 2, width // 2
         return (
-            f"lpad(cast(cast(floor({u(hi)} * {10**h}) as bigint) as varchar), {h}, '0') || "
-            f"lpad(cast(cast(floor({u(lo)} * {10**l}) as bigint) as varchar), {l}, '0')"
+            f"lpad(cast(cast(floor({u(name + '.hi')} * {10**h}) as bigint) as varchar), {h}, '0') || "
+            f"lpad(cast(cast(floor({u(name + '.lo')} * {10**l}) as bigint) as varchar), {l}, '0')"
         )
 
-    def pool(stream, index_sql, slot):
-        return (
-            f"(cast(('0x' || substr(md5(concat_ws('|', '{SEED}', '{stream}', cast({index_sql} as varchar))), "
-            f"{slot * 8 + 1}, 8)) as bigint) / 4294967296.0)"
-        )
+    def pool(stream, index_sql, part):
+        return uniform_sql(f"{stream}.{part}", f"cast({index_sql} as bigint)")
 
     def err(col):
-        return uniform_sql("cdr_error", S.CDR_COLUMNS, col)
+        return uniform_sql(f"cdr_error.{col}")
 
-    char_word = (
-        f"cast(('0x' || substr(md5(concat_ws('|', '{SEED}', 'message', cast(row_id as varchar), "
-        f"cast(i // 4 as varchar))), (i % 4) * 8 + 1, 8)) as bigint)"
-    )
+    from tessera.functions.uniform import MASK32, SALT_MULTIPLIER
+
+    char_word = mix32_sql(f"xor(text_key, ((i * {SALT_MULTIPLIER}) & {MASK32}))")
     text = (
         f"array_to_string(list_transform(range(0, msg_len), lambda i: substr('{S.MESSAGE_ALPHABET}', "
         f"cast(floor({char_word} / 4294967296.0 * {len(S.MESSAGE_ALPHABET)}) as integer) + 1, 1)), '')"
@@ -524,14 +536,14 @@ def _cdr_synth_sql() -> str:
     clean = {
         "id": f"cast({idx('id', S.MAX_ID)} + 1 as double)",
         "subscriber_id": "concat_ws('-', substr(sh, 1, 8), substr(sh, 9, 4), substr(sh, 13, 4), substr(sh, 17, 4), substr(sh, 21, 12))",
-        "sim_card_number": "'8930' || " + digits("sim_hi", "sim_lo", 15),
-        "imsi_number": digits("imsi_hi", "imsi_lo", 15),
-        "imei_number": digits("imei_hi", "imei_lo", 15),
+        "sim_card_number": "'8930' || " + digits("sim", 15),
+        "imsi_number": digits("imsi", 15),
+        "imei_number": digits("imei", 15),
         "service_type": choice("service_type", S.SERVICE_TYPES),
         "direction": choice("direction", S.DIRECTIONS),
         "roaming_status": f"{u('roaming')} < 0.5",
-        "caller_number": "'234' || " + digits("caller_hi", "caller_lo", 10),
-        "receiver_number": "'234' || " + digits("receiver_hi", "receiver_lo", 10),
+        "caller_number": "'234' || " + digits("caller", 10),
+        "receiver_number": "'234' || " + digits("receiver", 10),
         "country_code": "'+234'",
         "cell_tower_id": f"'CT-' || lpad(cast(cast(floor({pool('tower', idx('tower', S.CELL_TOWER_POOL), 0)} * 10000) as bigint) as varchar), 4, '0')",
         "location_latitude": f"{u('lat')} * 10 + 4.0",
@@ -583,6 +595,7 @@ b as (select row_id,
   {idx('duration', S.MAX_DURATION_SECONDS)} + 1 as duration,
   {idx('message_length', S.MAX_MESSAGE_LENGTH)} + 1 as msg_len,
   md5(concat_ws('|', '{SEED}', 'subscriber', cast(row_id as varchar))) as sh,
+  {keyed_sql('message')} as text_key,
   timestamp '{CDR_ANCHOR}' - to_seconds({offset}) as start_ts
  from r),
 c as (select *, start_ts + to_seconds(duration) as end_ts from b)

@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.uniform import SLOTS_PER_HASH, TWO_POW_32, Uniforms, hash_hex
+from tessera.functions.uniform import Uniforms, keyed, mix32, salted, to_unit, uniform
 from tessera.schemas import CALL_RECORD_SCHEMA
 
 ROWS_PER_PARTITION = 2_000_000
@@ -31,10 +31,6 @@ ORDER_DAYS = 1000
 SHIP_DAYS = 7
 POSTAL_CODE_BASE, POSTAL_CODES = 90000, 100  # 90000 … 90099
 
-SALES_UNIFORMS = [
-    "order_date", "ship_date", "ship_mode", "postal_code", "region", "category",
-    "sub_category", "sales", "quantity", "profit", "state",
-]
 
 
 def range_table(spark: SparkSession, n: int, name: str = "row_id") -> DataFrame:
@@ -47,7 +43,7 @@ def range_table(spark: SparkSession, n: int, name: str = "row_id") -> DataFrame:
 def sales_table(spark: SparkSession, n_records: int = 100_000_000, seed: int = 42) -> DataFrame:
     """The synthetic sales table (SRC-4)."""
     rid = F.col("row_id")
-    u = Uniforms(seed, "sales", rid, SALES_UNIFORMS)
+    u = Uniforms(seed, "sales", rid)
     base = range_table(spark, n_records)
     order_date = F.date_add(F.to_date(F.lit(FIRST_ORDER_DATE)), u.index("order_date", ORDER_DAYS))
     return base.select(
@@ -85,13 +81,6 @@ MAX_DURATION_SECONDS = 3600
 CELL_TOWER_POOL, AREA_CODE_POOL, REGION_POOL, CITY_POOL = 500, 300, 100, 200
 DEFAULT_ANCHOR = "2025-01-01 00:00:00"
 
-CDR_UNIFORMS = [
-    "id", "sim_hi", "sim_lo", "imsi_hi", "imsi_lo", "imei_hi", "imei_lo",
-    "service_type", "direction", "roaming", "caller_hi", "caller_lo",
-    "receiver_hi", "receiver_lo", "tower", "lat", "lon", "area", "region",
-    "city", "network_type", "provider", "dbm", "cost", "currency", "call_type",
-    "days", "hours", "minutes", "seconds", "duration", "message_length",
-]
 # Columns in the producer's order; each cell of a dirty row is damaged with
 # its own uniform.
 CDR_COLUMNS = [f.name for f in CALL_RECORD_SCHEMA.fields]
@@ -107,36 +96,25 @@ def scatter_multiplier(n: int) -> int:
     return a
 
 
-def _pool_member(seed: int, pool: str, index: Column, slot_count: int) -> list[Column]:
-    """``slot_count`` uniforms describing member ``index`` of a pool."""
-    hex_col = hash_hex(seed, pool, index)
-    return [F.conv(F.substring(hex_col, s * 8 + 1, 8), 16, 10).cast("bigint") / F.lit(TWO_POW_32) for s in range(slot_count)]
+def _pool_member(seed: int, pool: str, index: Column, part: int) -> Column:
+    """Uniform ``part`` describing member ``index`` of a pool."""
+    return uniform(seed, f"{pool}.{part}", index)
 
 
-def _message_text(seed: int, rid: Column, length: Column) -> Column:
-    """Random text of ``length`` characters (NULL when ``length`` is NULL),
-    four characters per hash.
+def _message_text(text_key: Column, length: Column) -> Column:
+    """Random text of ``length`` characters (NULL when ``length`` is NULL).
 
-    The hashes are made once per chunk (inner ``transform``) and each is bound
-    to a lambda variable (outer ``transform``), so the work is linear in the
-    text length. Lambda functions run outside generated code, so the caller
-    keeps this in a projection of its own."""
+    Character ``i`` is drawn from the row's ``text_key`` salted by ``i``.
+    Lambda functions run outside generated code, so the caller computes
+    ``text_key`` in the projection below and keeps this one separate."""
     n = len(MESSAGE_ALPHABET)
     alphabet = F.lit(MESSAGE_ALPHABET)
-    hashes = F.transform(
-        F.sequence(F.lit(0), F.floor((length - 1) / SLOTS_PER_HASH).cast("int")),
-        lambda j: F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit("message"), rid.cast("string"), j.cast("string"))),
-    )
 
-    def four_chars(h: Column) -> Column:
-        chars = []
-        for slot in range(SLOTS_PER_HASH):
-            word = F.conv(F.substring(h, slot * 8 + 1, 8), 16, 10).cast("bigint")
-            pos = F.floor(word / F.lit(TWO_POW_32) * n).cast("int") + 1
-            chars.append(F.substring(alphabet, pos, 1))
-        return F.concat(*chars)
+    def char(i: Column) -> Column:
+        pos = F.floor(to_unit(mix32(salted(text_key, i))) * n).cast("int") + 1
+        return F.substring(alphabet, pos, 1)
 
-    return F.substring(F.array_join(F.transform(hashes, four_chars), ""), 1, length)
+    return F.array_join(F.transform(F.sequence(F.lit(0), length - 1), char), "")
 
 
 def cdr_table(
@@ -153,7 +131,7 @@ def cdr_table(
     n = total_records
     n_dirty = int(total_records * (dirty_percentage / 100))
     rid = F.col("row_id")
-    u = Uniforms(seed, "cdr", rid, CDR_UNIFORMS)
+    u = Uniforms(seed, "cdr", rid)
     a = scatter_multiplier(max(n, 1))
     b = seed % max(n, 1)
 
@@ -169,31 +147,33 @@ def cdr_table(
     end = start + F.make_dt_interval(secs=duration)
     msg_len = u.index("message_length", MAX_MESSAGE_LENGTH) + 1
     is_voice = call_type == F.lit("voice")
-    sub_hex = hash_hex(seed, "subscriber", rid)
-    tower = _pool_member(seed, "tower", u.index("tower", CELL_TOWER_POOL), 1)[0]
-    area = _pool_member(seed, "area", u.index("area", AREA_CODE_POOL), 2)
+    sub_hex = F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit("subscriber"), rid.cast("string")))
+    tower_index, area_index = u.index("tower", CELL_TOWER_POOL), u.index("area", AREA_CODE_POOL)
+    area = [_pool_member(seed, "area", area_index, part) for part in (0, 1)]
 
     clean = {
         "id": (u.index("id", MAX_ID) + 1).cast("double"),
         "subscriber_id": F.concat_ws(
             "-", *[F.substring(sub_hex, p, w) for p, w in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
         ),
-        "sim_card_number": F.concat(F.lit("8930"), u.digits("sim_hi", "sim_lo", 15)),
-        "imsi_number": u.digits("imsi_hi", "imsi_lo", 15),
-        "imei_number": u.digits("imei_hi", "imei_lo", 15),
+        "sim_card_number": F.concat(F.lit("8930"), u.digits("sim", 15)),
+        "imsi_number": u.digits("imsi", 15),
+        "imei_number": u.digits("imei", 15),
         "service_type": u.choice("service_type", SERVICE_TYPES),
         "direction": u.choice("direction", DIRECTIONS),
         "roaming_status": u["roaming"] < 0.5,
-        "caller_number": F.concat(F.lit("234"), u.digits("caller_hi", "caller_lo", 10)),
-        "receiver_number": F.concat(F.lit("234"), u.digits("receiver_hi", "receiver_lo", 10)),
+        "caller_number": F.concat(F.lit("234"), u.digits("caller", 10)),
+        "receiver_number": F.concat(F.lit("234"), u.digits("receiver", 10)),
         "country_code": F.lit("+234"),
-        "cell_tower_id": F.concat(F.lit("CT-"), F.lpad(F.floor(tower * 10000).cast("string"), 4, "0")),
+        "cell_tower_id": F.concat(
+            F.lit("CT-"), F.lpad(F.floor(_pool_member(seed, "tower", tower_index, 0) * 10000).cast("bigint").cast("string"), 4, "0")
+        ),
         "location_latitude": u["lat"] * 10 + 4.0,
         "location_longitude": u["lon"] * 13 + 2.0,
         "location_area_code": F.concat(
-            F.lpad(F.floor(area[0] * 1000).cast("string"), 3, "0"),
+            F.lpad(F.floor(area[0] * 1000).cast("bigint").cast("string"), 3, "0"),
             F.lit("-"),
-            F.lpad(F.floor(area[1] * 1000).cast("string"), 3, "0"),
+            F.lpad(F.floor(area[1] * 1000).cast("bigint").cast("string"), 3, "0"),
         ),
         "region": F.concat(F.lit("Region "), F.lpad((u.index("region", REGION_POOL) + 1).cast("string"), 3, "0")),
         "city": F.concat(F.lit("City "), F.lpad((u.index("city", CITY_POOL) + 1).cast("string"), 3, "0")),
@@ -209,13 +189,14 @@ def cdr_table(
         "updated_at": end,
         "call_duration_seconds": F.when(is_voice, duration).otherwise(0).cast("double"),
         "_text_length": F.when(~is_voice, msg_len),
+        "_text_key": keyed(seed, "message", rid),
         "message_length": F.when(is_voice, 0).otherwise(msg_len).cast("double"),
     }
 
     base = range_table(spark, n).withColumn(
         "_dirty", F.pmod(rid * F.lit(a) + F.lit(b), F.lit(n)) < F.lit(n_dirty)
     )
-    err = Uniforms(seed, "cdr_error", rid, CDR_COLUMNS)
+    err = Uniforms(seed, "cdr_error", rid)
 
     def damaged(name: str, value: Column) -> Column:
         r = err[name]
@@ -231,7 +212,7 @@ def cdr_table(
     # of dirty rows (generated code). Each step refers to a costly value of
     # the step below more than once, so the optimizer keeps them apart.
     generated = base.select(rid, "_dirty", *[clean[c].alias(c) for c in clean])
-    with_text = generated.withColumn("message_content", _message_text(seed, rid, F.col("_text_length")))
+    with_text = generated.withColumn("message_content", _message_text(F.col("_text_key"), F.col("_text_length")))
     cols = [
         F.when(F.col("_dirty"), damaged(f.name, F.col(f.name))).otherwise(F.col(f.name)).cast(f.dataType).alias(f.name)
         for f in CALL_RECORD_SCHEMA.fields
