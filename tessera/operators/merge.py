@@ -18,8 +18,8 @@ Two policies:
 * ``merge_unique`` — clean first, keep the latest version per id, and replace
   only ids whose new version survived the gate. Output has one row per id.
 
-An empty target gives a NULL watermark, which lets every batch row through:
-the merge of an empty target is the first-run load.
+An empty target has a NULL watermark, which no row passes; the load's entry
+point ``merge_incremental`` therefore treats an empty target as a first run.
 """
 
 from __future__ import annotations
@@ -47,10 +47,10 @@ def watermark_value(target: DataFrame, ts: str = TS) -> Column:
 def changed_rows(batch: DataFrame, target: DataFrame, ts: str = TS) -> DataFrame:
     """Batch rows strictly newer than the target's watermark (FLT-3).
 
-    Rows with a NULL timestamp are dropped, as any comparison with NULL is;
-    with no watermark at all (empty target) every row is kept."""
-    wm = watermark_value(target, ts)
-    return batch.filter(wm.isNull() | (F.col(ts) > wm))
+    Rows with a NULL timestamp are dropped, as any comparison with NULL is,
+    and so is every row when the target is empty (its watermark is NULL);
+    ``merge_incremental`` treats an empty target as a first run instead."""
+    return batch.filter(F.col(ts) > watermark_value(target, ts))
 
 
 def changed_ids(changed: DataFrame, key: str = KEY) -> DataFrame:
@@ -135,10 +135,11 @@ def merge_incremental(
     ts: str = TS,
     tie_breakers: list[str] | None = None,
 ) -> DataFrame:
-    """The load's transform. ``target=None`` is a first run: every batch row is
-    cleaned (rows with a NULL timestamp are kept, as there is no watermark);
-    under the ``unique`` policy the latest version per id is kept."""
-    if target is None:
+    """The load's transform. ``target=None`` (or an empty target) is a first
+    run: every batch row is cleaned (rows with a NULL timestamp are kept, as
+    there is no watermark); under the ``unique`` policy the latest version per
+    id is kept. The emptiness probe reads at most one row."""
+    if target is None or target.isEmpty():
         gated = clean(cast_call_records(batch), rules)
         return latest_per_key(gated, key, ts, tie_breakers) if policy == "unique" else gated
     if policy == "unique":

@@ -103,8 +103,7 @@ MERGE_BASE = (
     + f""",
 t as (select * from typed where {fx.TARGET_WHERE_SQL}),
 b as (select * from f2 where {fx.BATCH_WHERE_SQL}),
-changed as (select * from b where (select max(updated_at) from t) is null
-                               or updated_at > (select max(updated_at) from t))"""
+changed as (select * from b where updated_at > (select max(updated_at) from t))"""
 )
 
 
@@ -288,8 +287,7 @@ def q_merge_as_coded(spark, sf_dir):
 t0 as (select * from typed where {fx.TARGET_WHERE_SQL}),
 t as ({latest_sql('t0')}),
 b as (select * from f2 where {fx.BATCH_WHERE_SQL}),
-changed as (select * from b where (select max(updated_at) from t) is null
-                               or updated_at > (select max(updated_at) from t)),
+changed as (select * from b where updated_at > (select max(updated_at) from t)),
 gated as (select * from ({TYPED_SELECT} from changed) where {ALL_RULES_SQL}),
 latest as ({latest_sql('gated')})
 select * from t where not exists (select 1 from latest l where l.id = t.id)

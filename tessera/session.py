@@ -20,6 +20,14 @@ TUNING = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Shuffle sizing for large inputs: start with many shuffle partitions and let
+# adaptive execution coalesce them to ~256 MiB each, so a reduce task never
+# has to hold more than a few hundred MiB whatever the input size.
+SCALE_TUNING = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+}
+
 
 def create_session(app_name: str = "tessera") -> SparkSession:
     """Named get-or-create session (SRC-1)."""
@@ -30,15 +38,23 @@ def create_tuned_session(
     app_name: str = "tessera",
     local_threads: int | None = None,
     extra_conf: dict[str, str] | None = None,
+    shuffle_partitions: int | None = None,
 ) -> SparkSession:
     """Session with the load's tuning (SRC-2).
 
     ``local_threads`` selects ``local[n]`` for development; ``None`` leaves the
-    master to ``spark-submit`` / the cluster manager.
+    master to ``spark-submit`` / the cluster manager and adds the large-input
+    shuffle sizing. ``shuffle_partitions`` sets the initial shuffle width
+    (adaptive execution coalesces it at run time).
     """
     builder = SparkSession.builder.appName(app_name)
+    conf = dict(TUNING)
     if local_threads is not None:
         builder = builder.master(f"local[{local_threads}]")
-    for key, value in {**TUNING, **(extra_conf or {})}.items():
+    else:
+        conf.update(SCALE_TUNING)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for key, value in {**conf, **(extra_conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

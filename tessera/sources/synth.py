@@ -10,6 +10,7 @@ corrupted phone numbers, negative durations).
 
 from __future__ import annotations
 
+import itertools
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +20,16 @@ from tessera.functions.uniform import Uniforms, keyed, mix32, salted, to_unit, u
 from tessera.schemas import CALL_RECORD_SCHEMA
 
 ROWS_PER_PARTITION = 2_000_000
+_observation_ids = itertools.count(1)
+
+
+def _observed(df: DataFrame, table: str) -> DataFrame:
+    """Count the generated rows as the table is produced (a named observed
+    metric, no extra pass). The observation is also a plan boundary: a filter
+    on generated columns then reads the computed values instead of inlining
+    every hash expression into the predicate, which would recompute each hash
+    several times in one oversized generated method."""
+    return df.observe(f"{table}_rows_{next(_observation_ids)}", F.count(F.lit(1)).alias("rows"))
 
 # The sales table's categorical columns.
 SHIP_MODES = ["First Class", "Second Class", "Standard Class", "Same Day"]
@@ -46,7 +57,7 @@ def sales_table(spark: SparkSession, n_records: int = 100_000_000, seed: int = 4
     u = Uniforms(seed, "sales", rid)
     base = range_table(spark, n_records)
     order_date = F.date_add(F.to_date(F.lit(FIRST_ORDER_DATE)), u.index("order_date", ORDER_DAYS))
-    return base.select(
+    table = base.select(
         rid,
         order_date.alias("Order_Date"),
         F.date_add(order_date, u.index("ship_date", SHIP_DAYS)).alias("Ship_Date"),
@@ -61,6 +72,7 @@ def sales_table(spark: SparkSession, n_records: int = 100_000_000, seed: int = 4
         F.round(u["profit"] * 500 - 100, 2).alias("Profit"),
         u.choice("state", STATES).alias("State"),
     )
+    return _observed(table, "sales_table")
 
 
 # The call-record producer's value lists and rates.
@@ -217,4 +229,4 @@ def cdr_table(
         F.when(F.col("_dirty"), damaged(f.name, F.col(f.name))).otherwise(F.col(f.name)).cast(f.dataType).alias(f.name)
         for f in CALL_RECORD_SCHEMA.fields
     ]
-    return with_text.select(*cols)
+    return _observed(with_text.select(*cols), "cdr_table")
