@@ -44,13 +44,43 @@ def watermark_value(target: DataFrame, ts: str = TS) -> Column:
     return target.select(F.max(ts)).scalar()
 
 
-def changed_rows(batch: DataFrame, target: DataFrame, ts: str = TS) -> DataFrame:
+def changed_rows(
+    batch: DataFrame,
+    target: DataFrame,
+    ts: str = TS,
+    allowed_lateness: str | None = None,
+) -> DataFrame:
     """Batch rows strictly newer than the target's watermark (FLT-3).
 
     Rows with a NULL timestamp are dropped, as any comparison with NULL is,
     and so is every row when the target is empty (its watermark is NULL);
-    ``merge_incremental`` treats an empty target as a first run instead."""
-    return batch.filter(F.col(ts) > watermark_value(target, ts))
+    ``merge_incremental`` treats an empty target as a first run instead.
+    ``allowed_lateness`` (an interval such as ``"2 days"``) moves the
+    watermark back, so rows that arrive late by up to that much still count."""
+    wm = watermark_value(target, ts)
+    if allowed_lateness:
+        wm = wm - F.expr(f"INTERVAL {allowed_lateness}")
+    return batch.filter(F.col(ts) > wm)
+
+
+def changed_rows_per_key(batch: DataFrame, target: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:
+    """Batch rows newer than the stored version of their own id; rows of ids
+    the target does not hold are all new. Unlike the global watermark this
+    never drops a late row for an id that has not moved on.
+
+    The target is reduced to (id, latest timestamp) with a partial aggregate,
+    whose exchange on the id also serves the join, so only the batch is
+    shuffled again; a hot id on the batch side is split by adaptive skew-join
+    handling."""
+    stored = target.groupBy(key).agg(F.max(ts).alias("_stored_ts"))
+    newer = F.col("_stored_ts").isNull() | (F.col(ts) > F.col("_stored_ts"))
+    return batch.join(stored, on=key, how="left").filter(newer).drop("_stored_ts")
+
+
+def _changed(batch, target, key, ts, watermark, allowed_lateness):
+    if watermark == "per_key":
+        return changed_rows_per_key(batch, target, key, ts)
+    return changed_rows(batch, target, ts, allowed_lateness)
 
 
 def changed_ids(changed: DataFrame, key: str = KEY) -> DataFrame:
@@ -62,9 +92,11 @@ def unchanged_rows(target: DataFrame, ids: DataFrame, key: str = KEY) -> DataFra
     """Target rows whose id is not in ``ids`` (left anti join, JOIN-1).
 
     NULL never equals NULL, so target rows with a NULL id always survive.
-    Duplicate ids on the right do not change an anti join, so no
-    ``distinct`` (and no extra shuffle) is needed here."""
-    return target.join(ids.select(key), on=key, how="left_anti")
+    The ids are de-duplicated first: the partial aggregate collapses a hot id
+    to one row per map task, and its exchange (hash on the id) is the one the
+    sort-merge join needs anyway, so no shuffle is added; a hot id on the
+    target side is split by adaptive skew-join handling."""
+    return target.join(ids.select(key).distinct(), on=key, how="left_anti")
 
 
 def union_by_name(first: DataFrame, second: DataFrame) -> DataFrame:
@@ -99,9 +131,11 @@ def merge_as_coded(
     rules: list[Rule] = CALL_RECORD_RULES,
     key: str = KEY,
     ts: str = TS,
+    watermark: str = "global",
+    allowed_lateness: str | None = None,
 ) -> DataFrame:
     """Watermark → change ids (before cleaning) → anti join → clean → union."""
-    changed = changed_rows(batch, target, ts)
+    changed = _changed(batch, target, key, ts, watermark, allowed_lateness)
     unchanged = unchanged_rows(target, changed, key)
     gated = clean(cast_call_records(changed), rules)
     return union_by_name(unchanged, gated)
@@ -114,11 +148,17 @@ def merge_unique(
     key: str = KEY,
     ts: str = TS,
     tie_breakers: list[str] | None = None,
+    watermark: str = "global",
+    allowed_lateness: str | None = None,
 ) -> DataFrame:
     """Clean first, keep the latest version per id, replace only ids whose
     new version passed the gate. ``target`` is expected to hold one row per
-    id already (every target this policy publishes does)."""
-    gated = clean(cast_call_records(changed_rows(batch, target, ts)), rules)
+    id already (every target this policy publishes does).
+
+    ``watermark="global"`` compares with the target's overall maximum (as
+    the original load), ``"per_key"`` with each id's own stored version."""
+    changed = _changed(batch, target, key, ts, watermark, allowed_lateness)
+    gated = clean(cast_call_records(changed), rules)
     latest = latest_per_key(gated, key, ts, tie_breakers)
     return union_by_name(unchanged_rows(target, latest, key), latest)
 
@@ -134,6 +174,8 @@ def merge_incremental(
     key: str = KEY,
     ts: str = TS,
     tie_breakers: list[str] | None = None,
+    watermark: str = "global",
+    allowed_lateness: str | None = None,
 ) -> DataFrame:
     """The load's transform. ``target=None`` (or an empty target) is a first
     run: every batch row is cleaned (rows with a NULL timestamp are kept, as
@@ -143,5 +185,5 @@ def merge_incremental(
         gated = clean(cast_call_records(batch), rules)
         return latest_per_key(gated, key, ts, tie_breakers) if policy == "unique" else gated
     if policy == "unique":
-        return merge_unique(target, batch, rules, key, ts, tie_breakers)
-    return merge_as_coded(target, batch, rules, key, ts)
+        return merge_unique(target, batch, rules, key, ts, tie_breakers, watermark, allowed_lateness)
+    return merge_as_coded(target, batch, rules, key, ts, watermark, allowed_lateness)

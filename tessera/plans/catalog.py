@@ -299,6 +299,45 @@ def q_merge_unique(spark, sf_dir):
     return merge.merge_unique(target, fx.batch_records(spark, sf_dir))
 
 
+@register(
+    "changed_rows_late",
+    f"""{MERGE_BASE}
+select * from b where updated_at > (select max(updated_at) from t) - interval 2 day""",
+)
+def q_changed_rows_late(spark, sf_dir):
+    return merge.changed_rows(fx.batch_records(spark, sf_dir), fx.target_records(spark, sf_dir), allowed_lateness="2 days")
+
+
+PER_KEY_SQL = """changed_pk as (
+  select b.* from b left join (select id, max(updated_at) as stored_ts from t group by id) s on b.id = s.id
+  where s.stored_ts is null or b.updated_at > s.stored_ts)"""
+
+
+@register("changed_rows_per_key", f"{MERGE_BASE}, {PER_KEY_SQL} select * from changed_pk")
+def q_changed_rows_per_key(spark, sf_dir):
+    return merge.changed_rows_per_key(fx.batch_records(spark, sf_dir), fx.target_records(spark, sf_dir))
+
+
+@register(
+    "merge_unique_per_key",
+    "with "
+    + TYPED
+    + f""",
+t0 as (select * from typed where {fx.TARGET_WHERE_SQL}),
+t as ({latest_sql('t0')}),
+b as (select * from f2 where {fx.BATCH_WHERE_SQL}),
+{PER_KEY_SQL},
+gated as (select * from ({TYPED_SELECT} from changed_pk) where {ALL_RULES_SQL}),
+latest as ({latest_sql('gated')})
+select * from t where not exists (select 1 from latest l where l.id = t.id)
+union all by name
+select * from latest""",
+)
+def q_merge_unique_per_key(spark, sf_dir):
+    target = merge.latest_per_key(fx.target_records(spark, sf_dir))
+    return merge.merge_unique(target, fx.batch_records(spark, sf_dir), watermark="per_key")
+
+
 @register("empty_batch_load", f"{MERGE_BASE} select * from t")
 def q_empty_batch_load(spark, sf_dir):
     empty = fx.batch_records(spark, sf_dir).filter(F.lit(False))

@@ -14,7 +14,7 @@ from tessera.operators import analytics
 from tessera.operators.enrich import enrich_sales
 from tessera.operators.merge import merge_incremental
 from tessera.schemas import CALL_RECORD_SCHEMA
-from tessera.sinks.publish import publish, read_current
+from tessera.sinks.publish import expire_versions, publish, read_current
 from tessera.sources.files import read_changed_files, read_files, since_hours_ago
 from tessera.sources.synth import sales_table
 
@@ -45,12 +45,15 @@ def run_load(
     policy: str = "unique",
     schema=CALL_RECORD_SCHEMA,
     single_file: bool = False,
+    watermark: str = "global",
+    keep_versions: int = 3,
 ) -> LoadResult:
     """Read new call-record files, merge them into the target, publish.
 
     First run (no published version): every file under ``source_path``.
     Later runs: files modified after ``since`` (default: now − 24 h).
-    No new rows: nothing is written and the live version stays as it is."""
+    No new rows: nothing is written and the live version stays as it is.
+    After a publish, versions older than the newest ``keep_versions`` go."""
     target = read_current(spark, target_root)
     if target is None:
         batch = read_files(spark, [source_path], schema)
@@ -58,6 +61,7 @@ def run_load(
         batch = read_changed_files(spark, source_path, since or since_hours_ago(window_hours), schema)
     if batch.isEmpty():
         return LoadResult(target is None, None, None)
-    merged = merge_incremental(target, batch, policy=policy)
+    merged = merge_incremental(target, batch, policy=policy, watermark=watermark)
     version, rows = publish(merged, target_root, single_file=single_file)
+    expire_versions(spark, target_root, keep_versions)
     return LoadResult(target is None, version, rows)

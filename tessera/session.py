@@ -12,8 +12,14 @@ from pyspark.sql import SparkSession
 # Settings the incremental load runs with: adaptive execution re-plans joins
 # and shuffle partition counts from runtime sizes, splits skewed join
 # partitions, and scans read 200 MiB splits.
+# Broadcast joins are chosen only from measured sizes: the static threshold
+# (which trusts compressed file sizes) is off, adaptive execution converts a
+# join to broadcast when a side's materialized shuffle output is under 10 MiB,
+# and explicit hints are given only after a bounded count (util.bounded_broadcast).
 TUNING = {
     "spark.sql.adaptive.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.files.maxPartitionBytes": str(200 * 1024 * 1024),

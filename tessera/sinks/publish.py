@@ -61,11 +61,37 @@ def read_current(spark: SparkSession, root: str, schema: T.StructType | None = N
     return reader.parquet(version_path(root, v))
 
 
-def published_epochs(spark: SparkSession, root: str) -> set[int]:
+def epoch_published(spark: SparkSession, root: str, epoch: int) -> bool:
+    """Whether a streaming micro-batch ``epoch`` has already been published."""
+    log = version_log(spark, root)
+    return log is not None and not log.filter(F.col("source_epoch") == epoch).isEmpty()
+
+
+def expire_versions(spark: SparkSession, root: str, keep: int = 3) -> list[int]:
+    """Delete committed versions older than the newest ``keep`` (the live one
+    always stays); returns the deleted version numbers. Each version is a full
+    copy of the table, so retention bounds storage at ``keep`` copies.
+
+    Deletion goes through the Hadoop file system of the path, so it works on
+    any store Spark writes to."""
+    if keep < 1:
+        raise ValueError("keep must be at least 1")
     log = version_log(spark, root)
     if log is None:
-        return set()
-    return {int(r["source_epoch"]) for r in log.filter(F.col("source_epoch").isNotNull()).select("source_epoch").distinct().collect()}
+        return []
+    current = current_version(spark, root)
+    cutoff = current - keep + 1
+    old = [int(r["version"]) for r in log.filter(F.col("version") < cutoff).select("version").distinct().collect()]
+    jvm = spark.sparkContext._jvm
+    hadoop_conf = spark.sparkContext._jsc.hadoopConfiguration()
+    deleted = []
+    for v in sorted(old):
+        path = jvm.org.apache.hadoop.fs.Path(version_path(root, v))
+        fs = path.getFileSystem(hadoop_conf)
+        if fs.exists(path):
+            fs.delete(path, True)
+            deleted.append(v)
+    return deleted
 
 
 def publish(

@@ -17,22 +17,25 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tessera.operators.merge import merge_incremental
 from tessera.schemas import CALL_RECORD_SCHEMA
-from tessera.sinks.publish import publish, published_epochs, read_current
+from tessera.sinks.publish import epoch_published, expire_versions, publish, read_current
 from tessera.sources.files import conform
 
 
-def merge_batch_into(target_root: str, policy: str = "unique", schema=CALL_RECORD_SCHEMA):
+def merge_batch_into(
+    target_root: str, policy: str = "unique", schema=CALL_RECORD_SCHEMA, keep_versions: int = 3
+):
     """The ``foreachBatch`` function: merge one micro-batch and publish."""
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        if epoch_id in published_epochs(spark, target_root):
+        if epoch_published(spark, target_root, epoch_id):
             return
         if batch.isEmpty():
             return
         target = read_current(spark, target_root)
         merged = merge_incremental(target, conform(batch, schema), policy=policy)
         publish(merged, target_root, source_epoch=epoch_id)
+        expire_versions(spark, target_root, keep_versions)
 
     return apply
 
@@ -46,6 +49,7 @@ def start_incremental_load(
     schema=CALL_RECORD_SCHEMA,
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
+    keep_versions: int = 3,
 ) -> StreamingQuery:
     """Start the stream; call ``awaitTermination()`` on the result.
 
@@ -55,7 +59,7 @@ def start_incremental_load(
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(source_path)
     writer = (
-        stream.writeStream.foreachBatch(merge_batch_into(target_root, policy, schema))
+        stream.writeStream.foreachBatch(merge_batch_into(target_root, policy, schema, keep_versions))
         .option("checkpointLocation", checkpoint_path)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

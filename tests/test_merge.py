@@ -80,3 +80,21 @@ def test_first_run_and_empty_batch(spark):
     target = fx.target_records(spark, SMALL_SF)
     same = merge.merge_incremental(target, batch.filter(F.lit(False)), policy="unique")
     assert same.exceptAll(target).count() == 0 and target.exceptAll(same).count() == 0
+
+
+def test_per_key_watermark_keeps_late_rows_of_quiet_ids(spark):
+    target = _df(spark, [(1, T0, "old1"), (2, T0 + dt.timedelta(days=5), "recent2")])
+    batch = _df(
+        spark,
+        [
+            (1, T0 + dt.timedelta(days=1), "late-but-newer-for-1"),
+            (2, T0 + dt.timedelta(days=4), "stale-for-2"),
+            (3, T0, "new-id"),
+        ],
+    )
+    glob_rows = {r["v"] for r in merge.changed_rows(batch, target).collect()}
+    assert glob_rows == set()
+    per_key = {r["v"] for r in merge.changed_rows_per_key(batch, target).collect()}
+    assert per_key == {"late-but-newer-for-1", "new-id"}
+    late = {r["v"] for r in merge.changed_rows(batch, target, allowed_lateness="2 days").collect()}
+    assert late == {"stale-for-2"}

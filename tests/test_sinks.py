@@ -50,3 +50,14 @@ def test_failed_publish_keeps_the_last_good_version(spark, tmp_path):
     # A later run reuses the uncommitted number.
     assert publish.publish(spark.range(4), root) == (2, 4)
     assert publish.read_current(spark, root).count() == 4
+
+
+def test_retention_keeps_the_newest_versions(spark, tmp_path):
+    root = str(tmp_path / "table")
+    for i in range(4):
+        publish.publish(spark.range(i + 1), root)
+    assert publish.expire_versions(spark, root, keep=2) == [1, 2]
+    assert not os.path.exists(publish.version_path(root, 1))
+    assert os.path.exists(publish.version_path(root, 3))
+    assert publish.read_current(spark, root).count() == 4
+    assert publish.expire_versions(spark, root, keep=2) == []
