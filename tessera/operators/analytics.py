@@ -3,8 +3,8 @@
 Each function returns a DataFrame; printing is the caller's business. Every
 grouping is a hash aggregation with a partial (map-side) step, so a group
 holding a third of all rows is reduced to one row per input partition before
-the shuffle. Money sums are exact when the inputs are decimals and are cast to
-double only at the end.
+the shuffle. Money sums are exact decimals (doubles are summed as cents) and
+are cast to double only at the end, so totals do not depend on partitioning.
 """
 
 from __future__ import annotations
@@ -12,11 +12,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.casts import is_float_type
 from tessera.operators.enrich import resolve
 
+# Money held as double is summed as exact cents: a double sum depends on the
+# order rows meet in (and so on partitioning); a decimal sum does not.
+MONEY_DECIMAL = "decimal(20,2)"
+
 
 def _money_sum(df: DataFrame, name: str, alias: str):
-    return F.sum(F.col(resolve(df, name))).cast("double").alias(alias)
+    col_name = resolve(df, name)
+    value = F.col(col_name)
+    if is_float_type(df.schema[col_name].dataType):
+        value = value.cast(MONEY_DECIMAL)
+    return F.sum(value).cast("double").alias(alias)
 
 
 def latest_order_date(df: DataFrame) -> DataFrame:

@@ -109,22 +109,32 @@ changed as (select * from b where updated_at > (select max(updated_at) from t))"
 
 # ---------------------------------------------------------------- sales
 
-@register("sales_fact", f"with {F1} select * from f1")
+# Row-level sales results carry money as double (computed exactly as decimals
+# until the end), so both engines hand back the same value type.
+MONEY_AS_DOUBLE_SQL = "* replace (cast(sales as double) as sales, cast(profit as double) as profit)"
+
+
+def _money_as_double(df: DataFrame) -> DataFrame:
+    return df.withColumns({"sales": F.col("sales").cast("double"), "profit": F.col("profit").cast("double")})
+
+
+@register("sales_fact", f"with {F1} select {MONEY_AS_DOUBLE_SQL} from f1")
 def q_sales_fact(spark, sf_dir):
-    return fx.sales_fact(spark, sf_dir)
+    return _money_as_double(fx.sales_fact(spark, sf_dir))
 
 
 @register(
     "sales_drop_nulls",
-    f"with {F1} select * from f1 where order_date is not null and sales is not null and profit is not null",
+    f"with {F1} select {MONEY_AS_DOUBLE_SQL} from f1 "
+    "where order_date is not null and sales is not null and profit is not null",
 )
 def q_sales_drop_nulls(spark, sf_dir):
-    return enrich.drop_incomplete(fx.sales_fact(spark, sf_dir))
+    return _money_as_double(enrich.drop_incomplete(fx.sales_fact(spark, sf_dir)))
 
 
-@register("sales_enriched", f"with {ENRICHED} select * from enriched")
+@register("sales_enriched", f"with {ENRICHED} select {MONEY_AS_DOUBLE_SQL} from enriched")
 def q_sales_enriched(spark, sf_dir):
-    return enrich.enrich_sales(fx.sales_fact(spark, sf_dir))
+    return _money_as_double(enrich.enrich_sales(fx.sales_fact(spark, sf_dir)))
 
 
 def _enriched(spark, sf_dir):
@@ -474,6 +484,9 @@ def uniform_sql(stream: str, key: str = "row_id", seed: int = SEED) -> str:
 
 
 def _sales_synth_sql() -> str:
+    """The sales generator in DuckDB SQL. Spark's ``round`` never returns
+    negative zero while DuckDB's does for tiny negative values; ``+ 0.0``
+    turns -0.0 into 0.0 so both hand back the same double."""
     from tessera.sources import synth as S
 
     def u(name):
@@ -498,7 +511,7 @@ select row_id, Order_Date,
  {choice('sub_category', S.SUB_CATEGORIES)} as Sub_Category,
  round({u('sales')} * 1000, 2) as Sales,
  {idx('quantity', 10)} + 1 as Quantity,
- round({u('profit')} * 500 - 100, 2) as Profit,
+ round({u('profit')} * 500 - 100, 2) + 0.0 as Profit,
  {choice('state', S.STATES)} as State
 from d"""
 
@@ -517,7 +530,8 @@ def q_sales_synth(spark, sf_dir):
 e as (select *, cast(date_diff('day', Order_Date, Ship_Date) as integer) as shipping_delay from s
       where Order_Date is not null and Sales is not null and not isnan(Sales)
         and Profit is not null and not isnan(Profit))
-select Region, State, cast(sum(Sales) as double) as total_sales, cast(sum(Profit) as double) as total_profit
+select Region, State, cast(sum(cast(Sales as decimal(20,2))) as double) as total_sales,
+ cast(sum(cast(Profit as decimal(20,2))) as double) as total_profit
 from e where Profit > 0 and shipping_delay <= 31 group by Region, State""",
 )
 def q_sales_synth_report(spark, sf_dir):
