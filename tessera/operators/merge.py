@@ -29,10 +29,17 @@ from pyspark.sql import functions as F
 
 from tessera.functions.casts import cast_call_records
 from tessera.operators.rules import CALL_RECORD_RULES, Rule, clean
+from tessera.util import bounded_broadcast
 
 KEY = "id"
 TS = "updated_at"
 
+# Largest change-id set the anti join broadcasts (about 80 MiB as a hashed
+# long set). Below it the target — the big side, rewritten every run — is
+# scanned and probed in place instead of being shuffled; above it the join is
+# a sort-merge join.
+ANTI_JOIN_BROADCAST_IDS = 5_000_000
+
 
 def watermark(target: DataFrame, ts: str = TS) -> DataFrame:
     """One row: the target's high-watermark (NULL when the target is empty)."""
@@ -88,15 +95,23 @@ def changed_ids(changed: DataFrame, key: str = KEY) -> DataFrame:
     return changed.select(key).distinct()
 
 
-def unchanged_rows(target: DataFrame, ids: DataFrame, key: str = KEY) -> DataFrame:
+def unchanged_rows(
+    target: DataFrame,
+    ids: DataFrame,
+    key: str = KEY,
+    broadcast_max_ids: int = ANTI_JOIN_BROADCAST_IDS,
+) -> DataFrame:
     """Target rows whose id is not in ``ids`` (left anti join, JOIN-1).
 
     NULL never equals NULL, so target rows with a NULL id always survive.
-    The ids are de-duplicated first: the partial aggregate collapses a hot id
-    to one row per map task, and its exchange (hash on the id) is the one the
-    sort-merge join needs anyway, so no shuffle is added; a hot id on the
+    The ids are de-duplicated first (a partial aggregate collapses a hot id to
+    one row per map task). When a bounded count proves at most
+    ``broadcast_max_ids`` distinct ids, they are broadcast and the target is
+    not shuffled at all; otherwise the planner runs a sort-merge anti join, in
+    which the de-duplication's exchange is the join's own and a hot id on the
     target side is split by adaptive skew-join handling."""
-    return target.join(ids.select(key).distinct(), on=key, how="left_anti")
+    distinct_ids = bounded_broadcast(ids.select(key).distinct(), broadcast_max_ids)
+    return target.join(distinct_ids, on=key, how="left_anti")
 
 
 def union_by_name(first: DataFrame, second: DataFrame) -> DataFrame:

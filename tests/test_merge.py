@@ -98,3 +98,41 @@ def test_per_key_watermark_keeps_late_rows_of_quiet_ids(spark):
     assert per_key == {"late-but-newer-for-1", "new-id"}
     late = {r["v"] for r in merge.changed_rows(batch, target, allowed_lateness="2 days").collect()}
     assert late == {"stale-for-2"}
+
+
+def _latest_brute_force(rows, key="id", ts="updated_at"):
+    """Plain-Python latest-per-key with the library's ordering."""
+    others = sorted(c for c in rows[0].asDict() if c not in (key, ts)) if rows else []
+
+    def order(r):
+        d = r.asDict()
+        # updated_at desc, nulls last; tie-breakers asc, nulls last.
+        parts = [(d[ts] is None, -(d[ts].timestamp()) if d[ts] is not None else 0)]
+        parts += [(d[c] is None, d[c] if d[c] is not None else 0) for c in others]
+        return parts
+
+    best = {}
+    for r in rows:
+        k = r[key]
+        if k is None:
+            continue
+        if k not in best or order(r) < order(best[k]):
+            best[k] = r
+    return {tuple(sorted(r.asDict().items())) for r in best.values()}
+
+
+def test_hot_key_holding_a_third_of_rows(spark):
+    records = fx.call_records(spark, SMALL_SF)
+    hot = records.withColumn(
+        "id", F.when(F.pmod(F.hash("sim_card_number"), F.lit(3)) == 0, F.lit(7)).otherwise(F.col("id"))
+    ).cache()
+    n, n_hot = hot.count(), hot.filter("id = 7").count()
+    assert n_hot > n / 4
+    got = {tuple(sorted(r.asDict().items())) for r in merge.latest_per_key(hot).collect()}
+    assert got == _latest_brute_force(hot.collect())
+    # The merge with a hot id on both sides still yields one row per id.
+    target = merge.latest_per_key(cast_call_records(hot.filter(F.col("updated_at") < F.lit(fx.TARGET_BEFORE).cast("timestamp_ntz"))))
+    batch = hot.filter(F.col("updated_at") >= F.lit(fx.BATCH_FROM).cast("timestamp_ntz"))
+    out = merge.merge_unique(target, batch)
+    assert out.groupBy("id").count().filter("count > 1").count() == 0
+    hot.unpersist()

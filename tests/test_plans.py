@@ -47,3 +47,30 @@ def test_scan_prunes_columns(spark):
 def test_top_k_is_take_ordered(spark):
     df = analytics.top_region_states(enrich_sales(fx.sales_fact(spark, SMALL_SF)))
     assert "TakeOrderedAndProject" in _plan(df)
+
+
+def test_small_change_set_is_broadcast_and_large_is_not(spark):
+    # As in the tuned session: no broadcast from static size estimates.
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        target = fx.target_records(spark, SMALL_SF)
+        changed = merge.changed_rows(fx.batch_records(spark, SMALL_SF), target)
+        assert "BroadcastHashJoin LeftAnti" in _plan(merge.unchanged_rows(target, changed))
+        plan = _plan(merge.unchanged_rows(target, changed, broadcast_max_ids=1))
+        assert "SortMergeJoin LeftAnti" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_clean_pushes_membership_and_id_checks_into_the_scan(spark, tmp_path):
+    from tessera.functions.casts import cast_call_records
+    from tessera.operators.rules import clean
+    from tessera.schemas import CALL_RECORD_SCHEMA
+    from tessera.sources.files import conform, read_files
+
+    path = str(tmp_path / "cdr")
+    conform(fx.call_records(spark, SMALL_SF), CALL_RECORD_SCHEMA).write.parquet(path)
+    plan = _plan(clean(cast_call_records(read_files(spark, [path], CALL_RECORD_SCHEMA))))
+    pushed = [l for l in plan.splitlines() if "PushedFilters" in l][0]
+    assert "In(call_type" in pushed and "GreaterThan(id" in pushed and "IsNotNull(id)" in pushed
