@@ -175,7 +175,9 @@ def merge_unique(
     changed = _changed(batch, target, key, ts, watermark, allowed_lateness)
     gated = clean(cast_call_records(changed), rules)
     latest = latest_per_key(gated, key, ts, tie_breakers)
-    return union_by_name(unchanged_rows(target, latest, key), latest)
+    # The ids to replace are the gated ids (the same set as ``latest``'s), so
+    # the anti join — and its size check — need no window computation.
+    return union_by_name(unchanged_rows(target, gated, key), latest)
 
 
 POLICIES = {"as_coded": merge_as_coded, "unique": merge_unique}

@@ -52,13 +52,15 @@ def current_version(spark: SparkSession, root: str) -> int | None:
     return None if row is None or row["v"] is None else int(row["v"])
 
 
-def read_current(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame | None:
+def read_current(
+    spark: SparkSession, root: str, schema: T.StructType | None = None, format: str = "parquet"
+) -> DataFrame | None:
     """The live version of the table, or None before the first publish."""
     v = current_version(spark, root)
     if v is None:
         return None
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(version_path(root, v))
+    return reader.format(format).load(version_path(root, v))
 
 
 def epoch_published(spark: SparkSession, root: str, epoch: int) -> bool:
@@ -100,6 +102,7 @@ def publish(
     single_file: bool = False,
     max_records_per_file: int | None = None,
     source_epoch: int | None = None,
+    format: str = "parquet",
 ) -> tuple[int, int]:
     """Write ``df`` as the next version and commit it; returns (version, rows)."""
     spark = df.sparkSession
@@ -110,6 +113,7 @@ def publish(
     write(
         observed,
         version_path(root, version),
+        format=format,
         mode="overwrite",
         single_file=single_file,
         max_records_per_file=max_records_per_file,
