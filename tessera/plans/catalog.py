@@ -90,10 +90,10 @@ TIE_BREAKERS = sorted(c for c in fx.CALL_RECORD_COLUMNS if c not in ("id", "upda
 LATEST_ORDER_SQL = "updated_at desc nulls last, " + ", ".join(f"{c} asc nulls last" for c in TIE_BREAKERS)
 
 
-def latest_sql(src: str) -> str:
+def latest_sql(src: str, order_sql: str = LATEST_ORDER_SQL) -> str:
     return (
         f"select * exclude (_rank) from (select *, row_number() over (partition by id order by "
-        f"{LATEST_ORDER_SQL}) as _rank from {src} where id is not null) where _rank = 1"
+        f"{order_sql}) as _rank from {src} where id is not null) where _rank = 1"
     )
 
 
@@ -677,3 +677,71 @@ select * from typed where {ALL_RULES_SQL}""",
 def q_cdr_synth_load(spark, sf_dir):
     """First-run load (as coded) of the generated call records."""
     return rules.clean(cast_call_records(q_cdr_synth(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- streaming load
+
+def _stored_call_records_sql() -> str:
+    """F2 as the producer stores it: the declared 30-column schema, columns
+    F2 lacks as NULL, numbers as double (what ``files.conform`` produces)."""
+    from tessera.schemas import CALL_RECORD_SCHEMA
+
+    duck = {"double": "double", "string": "varchar", "boolean": "boolean", "timestamp_ntz": "timestamp"}
+    cols = []
+    for f in CALL_RECORD_SCHEMA.fields:
+        t = duck[f.dataType.simpleString()]
+        cols.append(f"try_cast({f.name} as {t}) as {f.name}" if f.name in fx.CALL_RECORD_COLUMNS else f"cast(null as {t}) as {f.name}")
+    return "select " + ", ".join(cols) + " from f2"
+
+
+def _stored_latest_order() -> str:
+    from tessera.schemas import CALL_RECORD_SCHEMA
+
+    others = sorted(f.name for f in CALL_RECORD_SCHEMA.fields if f.name not in ("id", "updated_at"))
+    return "updated_at desc nulls last, " + ", ".join(f"{c} asc nulls last" for c in others)
+
+
+STORED_TYPED_SELECT = """select * replace (
+  try_cast(trunc(call_duration_seconds) as integer) as call_duration_seconds,
+  try_cast(trunc(message_length) as integer) as message_length,
+  try_cast(trunc(signal_strength_dbm) as integer) as signal_strength_dbm)"""
+
+
+@register(
+    "stream_incremental_load",
+    f"""with {F2},
+src as ({_stored_call_records_sql()}),
+day1 as (select * from src where {fx.TARGET_WHERE_SQL}),
+day2 as (select * from src where {fx.BATCH_WHERE_SQL}),
+gated1 as (select * from ({STORED_TYPED_SELECT} from day1) where {ALL_RULES_SQL}),
+v1 as ({latest_sql('gated1', _stored_latest_order())}),
+changed2 as (select * from day2 where updated_at > (select max(updated_at) from v1)),
+gated2 as (select * from ({STORED_TYPED_SELECT} from changed2) where {ALL_RULES_SQL}),
+latest2 as ({latest_sql('gated2', _stored_latest_order())})
+select * from v1 where not exists (select 1 from latest2 l where l.id = v1.id)
+union all by name
+select * from latest2""",
+)
+def q_stream_incremental_load(spark, sf_dir):
+    """Two scheduled runs of the streaming load. Day one's files (T's
+    records) give the first version; day two's files (B's records) are the
+    only new files on the second run and are merged into the second
+    version, which is returned."""
+    from pyspark.sql import functions as F
+
+    from tessera.schemas import CALL_RECORD_SCHEMA
+    from tessera.sinks.publish import read_current
+    from tessera.sources.files import conform
+    from tessera.streaming.incremental import start_incremental_load
+    from tessera.util import shared_scratch
+
+    root = shared_scratch(spark, "stream_load")
+    source, target, checkpoint = f"{root}/source", f"{root}/target", f"{root}/checkpoint"
+    records = fx.call_records(spark, sf_dir)
+    day1 = records.filter(F.col("updated_at") < F.lit(fx.TARGET_BEFORE).cast("timestamp_ntz"))
+    day2 = records.filter(F.col("updated_at") >= F.lit(fx.BATCH_FROM).cast("timestamp_ntz"))
+    conform(day1, CALL_RECORD_SCHEMA).write.parquet(f"{source}/day1")
+    start_incremental_load(spark, f"{source}/*", target, checkpoint).awaitTermination()
+    conform(day2, CALL_RECORD_SCHEMA).write.parquet(f"{source}/day2")
+    start_incremental_load(spark, f"{source}/*", target, checkpoint).awaitTermination()
+    return read_current(spark, target)
