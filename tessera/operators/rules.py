@@ -119,3 +119,8 @@ def rule_report(df: DataFrame, rules: list[Rule] = CALL_RECORD_RULES) -> DataFra
     aggs = [F.count(F.lit(1)).alias("rows_in"), F.count_if(F.coalesce(all_pass(rules), F.lit(False))).alias("rows_clean")]
     aggs += [F.count_if(r.passes()).alias(f"pass_{r.name}") for r in rules]
     return df.agg(*aggs)
+
+
+def reject_summary(df: DataFrame, rules: list[Rule] = CALL_RECORD_RULES) -> DataFrame:
+    """Rejected rows per first failed rule (a partial-aggregated count)."""
+    return rejects(df, rules).groupBy("failed_rule").agg(F.count(F.lit(1)).alias("rows"))

@@ -226,6 +226,15 @@ def q_cdr_rejects(spark, sf_dir):
     return rules.rejects(_typed(spark, sf_dir))
 
 
+@register(
+    "reject_summary",
+    f"with {TYPED} select {FIRST_FAILED_SQL} as failed_rule, count(*) as rows from typed "
+    f"where not coalesce({ALL_RULES_SQL}, false) group by 1",
+)
+def q_reject_summary(spark, sf_dir):
+    return rules.reject_summary(_typed(spark, sf_dir))
+
+
 @register(
     "rule_report",
     f"with {TYPED} select count(*) as rows_in, "

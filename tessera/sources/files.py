@@ -71,16 +71,22 @@ def read_files(
     schema: T.StructType | None = None,
     modified_after: str | None = None,
     recursive: bool = True,
+    group_by_schema: bool = True,
 ) -> DataFrame:
     """All ``paths`` as one table conforming to ``schema`` (SRC-5, SET-2).
 
     ``schema=None`` takes the first path's schema. No paths gives an empty
-    table of ``schema`` (SRC-10)."""
+    table of ``schema`` (SRC-10). ``group_by_schema=False`` skips the
+    per-path schema probe (one listing and footer read per path on the
+    driver) and scans everything at once with the declared schema — the fast
+    path for many paths whose files are known to share their types."""
     reader = _reader(spark, recursive, modified_after)
     if not paths:
         if schema is None:
             raise ValueError("an empty file set needs a declared schema")
         return empty_frame(spark, schema)
+    if not group_by_schema and schema is not None:
+        return reader.schema(schema).parquet(*paths)
     groups: dict[str, tuple[T.StructType, list[str]]] = {}
     for p in paths:
         found = read_parquet_or_none(spark, p, recursive)

@@ -77,3 +77,12 @@ def test_target_probe(spark, tmp_path):
     assert not files.target_exists(spark, str(tmp_path / "empty"))
     _write(spark, str(tmp_path / "t"), 2)
     assert files.target_exists(spark, str(tmp_path / "t"))
+
+
+def test_single_scan_fast_path(spark, tmp_path):
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    spark.range(3).write.parquet(a)
+    spark.range(3, 5).write.parquet(b)
+    schema = spark.createDataFrame([], "id bigint").schema
+    out = files.read_files(spark, [a, b], schema, group_by_schema=False)
+    assert sorted(r["id"] for r in out.collect()) == [0, 1, 2, 3, 4]
