@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import zlib
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values of the mixing function.
@@ -36,14 +36,57 @@ def stream_constant(seed: int, stream: str) -> int:
     return zlib.crc32(f"{seed}|{stream}".encode())
 
 
-def mix32(x: Column) -> Column:
-    x = x.bitwiseXOR(F.shiftright(x, 16))
-    x = (x * F.lit(MIX_MULTIPLIER)).bitwiseAND(F.lit(MASK32))
-    x = x.bitwiseXOR(F.shiftright(x, 16))
-    x = (x * F.lit(MIX_MULTIPLIER)).bitwiseAND(F.lit(MASK32))
+def _xorshift(x: Column) -> Column:
     return x.bitwiseXOR(F.shiftright(x, 16))
 
 
+def _multiply(x: Column) -> Column:
+    return (x * F.lit(MIX_MULTIPLIER)).bitwiseAND(F.lit(MASK32))
+
+
+MIX_STEPS = (_xorshift, _multiply, _xorshift, _multiply, _xorshift)
+
+
+def mix32(x: Column) -> Column:
+    for step in MIX_STEPS:
+        x = step(x)
+    return x
+
+
+def keyed_sql(seed: int, stream: str, key_sql: str) -> str:
+    """``keyed`` as SQL text over a non-negative integer expression."""
+    key = f"cast({key_sql} as bigint)"
+    return (
+        f"((({key} & {MASK32}) ^ {stream_constant(seed, stream)}) ^ "
+        f"((shiftright({key}, 32) * {MIX_MULTIPLIER}) & {MASK32}))"
+    )
+
+
+# The mix as three projections: each reads its input column twice in a
+# xor-shift, so the optimizer keeps the projections apart.
+_MIX_STAGES_SQL = (
+    lambda x: f"({x}) ^ shiftright({x}, 16)",
+    lambda x: f"(({x} * {MIX_MULTIPLIER}) & {MASK32}) ^ shiftright(({x} * {MIX_MULTIPLIER}) & {MASK32}, 16)",
+    lambda x: f"(({x} * {MIX_MULTIPLIER}) & {MASK32}) ^ shiftright(({x} * {MIX_MULTIPLIER}) & {MASK32}, 16)",
+)
+
+
+def with_hash_columns(df: DataFrame, words: dict[str, str]) -> DataFrame:
+    """Add mixed 32-bit words as columns.
+
+    ``words`` maps a new column name to the SQL text of its pre-mix word
+    (``keyed_sql``). The mix runs as three projections that each refer to
+    the previous one's columns, so the expression trees stay small however
+    many words a table needs (inlined, every xor-shift doubles the tree), and
+    the plan is built with one call per word and stage. All three run in one
+    stage of generated code."""
+    first, *rest = _MIX_STAGES_SQL
+    df = df.withColumns({name: F.expr(first(f"({sql})")) for name, sql in words.items()})
+    for stage in rest:
+        df = df.withColumns({name: F.expr(stage(f"`{name}`")) for name in words})
+    return df
+
+
 def keyed(seed: int, stream: str, key: Column) -> Column:
     """The pre-mix word of a non-negative 64-bit key in a stream."""
     key = key.cast("bigint")
@@ -89,3 +132,22 @@ class Uniforms:
             F.lpad(F.floor(self[f"{name}.hi"] * 10**hi).cast("bigint").cast("string"), hi, "0"),
             F.lpad(F.floor(self[f"{name}.lo"] * 10**lo).cast("bigint").cast("string"), lo, "0"),
         )
+
+
+class StagedUniforms(Uniforms):
+    """Uniforms read from hash columns that ``with_hash_columns`` adds.
+
+    ``key`` is SQL text of the key; ``names`` lists every uniform the caller
+    will use; ``words`` gives their pre-mix words (to add with
+    ``with_hash_columns``), after which ``self[name]`` is a plain column
+    reference."""
+
+    def __init__(self, seed: int, stream: str, key: str, names: list[str], prefix: str):
+        super().__init__(seed, stream, key)
+        self.column_of = {name: f"{prefix}{i}" for i, name in enumerate(names)}
+
+    def words(self) -> dict[str, str]:
+        return {col: keyed_sql(self.seed, f"{self.stream}.{name}", self.key) for name, col in self.column_of.items()}
+
+    def __getitem__(self, name: str) -> Column:
+        return to_unit(F.col(self.column_of[name]))

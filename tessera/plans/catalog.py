@@ -584,10 +584,15 @@ def _cdr_synth_sql() -> str:
 
     from tessera.functions.uniform import MASK32, SALT_MULTIPLIER
 
-    char_word = mix32_sql(f"xor(text_key, ((i * {SALT_MULTIPLIER}) & {MASK32}))")
+    word = mix32_sql(f"xor(text_key, ((j * {SALT_MULTIPLIER}) & {MASK32}))")
+    n_alpha = len(S.MESSAGE_ALPHABET)
+
+    def char(half):
+        return f"substr('{S.MESSAGE_ALPHABET}', cast(floor(({half}) * {n_alpha} / 65536.0) as integer) + 1, 1)"
+
     text = (
-        f"array_to_string(list_transform(range(0, msg_len), lambda i: substr('{S.MESSAGE_ALPHABET}', "
-        f"cast(floor({char_word} / 4294967296.0 * {len(S.MESSAGE_ALPHABET)}) as integer) + 1, 1)), '')"
+        f"substr(array_to_string(list_transform(range(0, (msg_len + 1) // 2), lambda j: "
+        f"{char(f'({word}) >> 16')} || {char(f'({word}) & 65535')}), ''), 1, msg_len)"
     )
     offset = (
         f"({idx('days', S.MAX_DAYS_AGO + 1)} * 86400 + {idx('hours', 24)} * 3600 + "

@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.uniform import Uniforms, keyed, mix32, salted, to_unit, uniform
+from tessera.functions.uniform import StagedUniforms, Uniforms, keyed, mix32, salted, with_hash_columns
 from tessera.schemas import CALL_RECORD_SCHEMA
 
 ROWS_PER_PARTITION = 2_000_000
@@ -93,6 +93,14 @@ MAX_DURATION_SECONDS = 3600
 CELL_TOWER_POOL, AREA_CODE_POOL, REGION_POOL, CITY_POOL = 500, 300, 100, 200
 DEFAULT_ANCHOR = "2025-01-01 00:00:00"
 
+# The uniforms one call record draws (digit strings take two each).
+CDR_DRAWS = [
+    "id", "sim.hi", "sim.lo", "imsi.hi", "imsi.lo", "imei.hi", "imei.lo",
+    "service_type", "direction", "roaming", "caller.hi", "caller.lo",
+    "receiver.hi", "receiver.lo", "tower", "lat", "lon", "area", "region",
+    "city", "network_type", "provider", "dbm", "cost", "currency", "call_type",
+    "days", "hours", "minutes", "seconds", "duration", "message_length",
+]
 # Columns in the producer's order; each cell of a dirty row is damaged with
 # its own uniform.
 CDR_COLUMNS = [f.name for f in CALL_RECORD_SCHEMA.fields]
@@ -108,25 +116,24 @@ def scatter_multiplier(n: int) -> int:
     return a
 
 
-def _pool_member(seed: int, pool: str, index: Column, part: int) -> Column:
-    """Uniform ``part`` describing member ``index`` of a pool."""
-    return uniform(seed, f"{pool}.{part}", index)
-
-
 def _message_text(text_key: Column, length: Column) -> Column:
     """Random text of ``length`` characters (NULL when ``length`` is NULL).
 
-    Character ``i`` is drawn from the row's ``text_key`` salted by ``i``.
-    Lambda functions run outside generated code, so the caller computes
-    ``text_key`` in the projection below and keeps this one separate."""
+    Chunk ``j`` of the text is the mix of the row's ``text_key`` salted by
+    ``j``; its high and low 16 bits pick two characters (uniform to within
+    0.1 %). Each nested ``transform`` binds one intermediate to a lambda
+    variable, so nothing is evaluated twice. Lambda functions run outside
+    generated code, so the caller keeps this in a projection of its own."""
     n = len(MESSAGE_ALPHABET)
     alphabet = F.lit(MESSAGE_ALPHABET)
+    chunks = F.sequence(F.lit(0), F.floor((length - 1) / 2).cast("int"))
+    words = F.transform(F.transform(chunks, lambda j: salted(text_key, j)), mix32)
 
-    def char(i: Column) -> Column:
-        pos = F.floor(to_unit(mix32(salted(text_key, i))) * n).cast("int") + 1
-        return F.substring(alphabet, pos, 1)
+    def char(half: Column) -> Column:
+        return F.substring(alphabet, F.floor(half * n / 65536.0).cast("int") + 1, 1)
 
-    return F.array_join(F.transform(F.sequence(F.lit(0), length - 1), char), "")
+    pairs = F.transform(words, lambda h: F.concat(char(F.shiftright(h, 16)), char(h.bitwiseAND(F.lit(0xFFFF)))))
+    return F.substring(F.array_join(pairs, ""), 1, length)
 
 
 def cdr_table(
@@ -143,10 +150,29 @@ def cdr_table(
     n = total_records
     n_dirty = int(total_records * (dirty_percentage / 100))
     rid = F.col("row_id")
-    u = Uniforms(seed, "cdr", rid)
     a = scatter_multiplier(max(n, 1))
     b = seed % max(n, 1)
 
+    # Every hash word is a column (staged projections keep the plan small).
+    u = StagedUniforms(seed, "cdr", "row_id", CDR_DRAWS, "_u")
+    err = StagedUniforms(seed, "cdr_error", "row_id", CDR_COLUMNS, "_e")
+    base = range_table(spark, n).withColumn(
+        "_dirty", F.pmod(rid * F.lit(a) + F.lit(b), F.lit(n)) < F.lit(n_dirty)
+    )
+    drawn = with_hash_columns(base, {**u.words(), **err.words()})
+    # Pool members are drawn by pool index: a second round of hash words.
+    pools = {
+        "tower0": StagedUniforms(seed, "tower", "_tower_index", ["0"], "_pt"),
+        "area0": StagedUniforms(seed, "area", "_area_index", ["0"], "_pa0_"),
+        "area1": StagedUniforms(seed, "area", "_area_index", ["1"], "_pa1_"),
+    }
+    drawn = drawn.withColumns(
+        {"_tower_index": u.index("tower", CELL_TOWER_POOL), "_area_index": u.index("area", AREA_CODE_POOL)}
+    )
+    drawn = with_hash_columns(drawn, {k: v for p in pools.values() for k, v in p.words().items()})
+    tower = pools["tower0"]["0"]
+    area = [pools["area0"]["0"], pools["area1"]["1"]]
+
     call_type = u.choice("call_type", CALL_TYPES)
     offset = (
         u.index("days", MAX_DAYS_AGO + 1) * 86400
@@ -160,8 +186,6 @@ def cdr_table(
     msg_len = u.index("message_length", MAX_MESSAGE_LENGTH) + 1
     is_voice = call_type == F.lit("voice")
     sub_hex = F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit("subscriber"), rid.cast("string")))
-    tower_index, area_index = u.index("tower", CELL_TOWER_POOL), u.index("area", AREA_CODE_POOL)
-    area = [_pool_member(seed, "area", area_index, part) for part in (0, 1)]
 
     clean = {
         "id": (u.index("id", MAX_ID) + 1).cast("double"),
@@ -178,7 +202,7 @@ def cdr_table(
         "receiver_number": F.concat(F.lit("234"), u.digits("receiver", 10)),
         "country_code": F.lit("+234"),
         "cell_tower_id": F.concat(
-            F.lit("CT-"), F.lpad(F.floor(_pool_member(seed, "tower", tower_index, 0) * 10000).cast("bigint").cast("string"), 4, "0")
+            F.lit("CT-"), F.lpad(F.floor(tower * 10000).cast("bigint").cast("string"), 4, "0")
         ),
         "location_latitude": u["lat"] * 10 + 4.0,
         "location_longitude": u["lon"] * 13 + 2.0,
@@ -205,11 +229,6 @@ def cdr_table(
         "message_length": F.when(is_voice, 0).otherwise(msg_len).cast("double"),
     }
 
-    base = range_table(spark, n).withColumn(
-        "_dirty", F.pmod(rid * F.lit(a) + F.lit(b), F.lit(n)) < F.lit(n_dirty)
-    )
-    err = Uniforms(seed, "cdr_error", rid)
-
     def damaged(name: str, value: Column) -> Column:
         r = err[name]
         out = F.when(r < ERROR_RATE, F.lit(None))
@@ -219,11 +238,11 @@ def cdr_table(
             out = out.when(r < 2 * ERROR_RATE, -F.abs(value))
         return out.otherwise(value)
 
-    # Three projections: clean values (generated code, each hash computed
-    # once), the message text (lambda functions, interpreted), then the damage
+    # Then three projections: clean values from the hash columns (generated
+    # code), the message text (lambda functions, interpreted), and the damage
     # of dirty rows (generated code). Each step refers to a costly value of
     # the step below more than once, so the optimizer keeps them apart.
-    generated = base.select(rid, "_dirty", *[clean[c].alias(c) for c in clean])
+    generated = drawn.select(rid, "_dirty", *[err.column_of[c] for c in CDR_COLUMNS], *[clean[c].alias(c) for c in clean])
     with_text = generated.withColumn("message_content", _message_text(F.col("_text_key"), F.col("_text_length")))
     cols = [
         F.when(F.col("_dirty"), damaged(f.name, F.col(f.name))).otherwise(F.col(f.name)).cast(f.dataType).alias(f.name)
