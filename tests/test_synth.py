@@ -98,3 +98,21 @@ def test_exact_dirty_count_and_null_rate(spark):
     assert abs(errs - expected) < 4 * sd
     neg = df.filter(F.col("call_duration_seconds") < 0).count()
     assert neg <= dirty * 0.1
+
+
+def test_one_pass_report_equals_the_single_reports(spark):
+    from tessera.plans.fixtures import sales_fact
+    from tests.conftest import SMALL_SF
+
+    for table in (synth.sales_table(spark, 5000), sales_fact(spark, SMALL_SF)):
+        enriched = enrich_sales(table)
+        report = analytics.sales_report(enriched)
+        singles = {
+            "latest_order_date": analytics.latest_order_date(enriched),
+            "category_totals": analytics.category_totals(enriched),
+            "region_state_totals": analytics.region_state_totals(enriched),
+            "ship_mode_delay": analytics.ship_mode_delay(enriched),
+        }
+        for name, single in singles.items():
+            assert report[name].columns == single.columns, name
+            assert report[name].collect() == single.collect(), name
