@@ -56,6 +56,7 @@ def changed_rows(
     target: DataFrame,
     ts: str = TS,
     allowed_lateness: str | None = None,
+    known_watermark: Column | None = None,
 ) -> DataFrame:
     """Batch rows strictly newer than the target's watermark (FLT-3).
 
@@ -63,8 +64,10 @@ def changed_rows(
     and so is every row when the target is empty (its watermark is NULL);
     ``merge_incremental`` treats an empty target as a first run instead.
     ``allowed_lateness`` (an interval such as ``"2 days"``) moves the
-    watermark back, so rows that arrive late by up to that much still count."""
-    wm = watermark_value(target, ts)
+    watermark back, so rows that arrive late by up to that much still count.
+    ``known_watermark`` (e.g. recorded when the target was published) is used
+    instead of computing the target's maximum."""
+    wm = known_watermark if known_watermark is not None else watermark_value(target, ts)
     if allowed_lateness:
         wm = wm - F.expr(f"INTERVAL {allowed_lateness}")
     return batch.filter(F.col(ts) > wm)
@@ -75,19 +78,24 @@ def changed_rows_per_key(batch: DataFrame, target: DataFrame, key: str = KEY, ts
     the target does not hold are all new. Unlike the global watermark this
     never drops a late row for an id that has not moved on.
 
-    The target is reduced to (id, latest timestamp) with a partial aggregate,
-    whose exchange on the id also serves the join, so only the batch is
-    shuffled again; a hot id on the batch side is split by adaptive skew-join
-    handling."""
-    stored = target.groupBy(key).agg(F.max(ts).alias("_stored_ts"))
+    The target is first cut to the batch's ids with a semi join (the id set
+    is broadcast when a bounded count proves it small, so the target is only
+    scanned), then reduced to (id, latest timestamp) with a partial aggregate;
+    a hot id on the batch side is split by adaptive skew-join handling."""
+    batch_ids = bounded_broadcast(batch.select(key).distinct(), ANTI_JOIN_BROADCAST_IDS)
+    stored = (
+        target.join(batch_ids, on=key, how="left_semi")
+        .groupBy(key)
+        .agg(F.max(ts).alias("_stored_ts"))
+    )
     newer = F.col("_stored_ts").isNull() | (F.col(ts) > F.col("_stored_ts"))
     return batch.join(stored, on=key, how="left").filter(newer).drop("_stored_ts")
 
 
-def _changed(batch, target, key, ts, watermark, allowed_lateness):
+def _changed(batch, target, key, ts, watermark, allowed_lateness, known_watermark=None):
     if watermark == "per_key":
         return changed_rows_per_key(batch, target, key, ts)
-    return changed_rows(batch, target, ts, allowed_lateness)
+    return changed_rows(batch, target, ts, allowed_lateness, known_watermark)
 
 
 def changed_ids(changed: DataFrame, key: str = KEY) -> DataFrame:
@@ -148,9 +156,10 @@ def merge_as_coded(
     ts: str = TS,
     watermark: str = "global",
     allowed_lateness: str | None = None,
+    known_watermark: Column | None = None,
 ) -> DataFrame:
     """Watermark → change ids (before cleaning) → anti join → clean → union."""
-    changed = _changed(batch, target, key, ts, watermark, allowed_lateness)
+    changed = _changed(batch, target, key, ts, watermark, allowed_lateness, known_watermark)
     unchanged = unchanged_rows(target, changed, key)
     gated = clean(cast_call_records(changed), rules)
     return union_by_name(unchanged, gated)
@@ -165,6 +174,7 @@ def merge_unique(
     tie_breakers: list[str] | None = None,
     watermark: str = "global",
     allowed_lateness: str | None = None,
+    known_watermark: Column | None = None,
 ) -> DataFrame:
     """Clean first, keep the latest version per id, replace only ids whose
     new version passed the gate. ``target`` is expected to hold one row per
@@ -172,7 +182,7 @@ def merge_unique(
 
     ``watermark="global"`` compares with the target's overall maximum (as
     the original load), ``"per_key"`` with each id's own stored version."""
-    changed = _changed(batch, target, key, ts, watermark, allowed_lateness)
+    changed = _changed(batch, target, key, ts, watermark, allowed_lateness, known_watermark)
     gated = clean(cast_call_records(changed), rules)
     latest = latest_per_key(gated, key, ts, tie_breakers)
     # The ids to replace are the gated ids (the same set as ``latest``'s), so
@@ -193,6 +203,7 @@ def merge_incremental(
     tie_breakers: list[str] | None = None,
     watermark: str = "global",
     allowed_lateness: str | None = None,
+    known_watermark: Column | None = None,
 ) -> DataFrame:
     """The load's transform. ``target=None`` (or an empty target) is a first
     run: every batch row is cleaned (rows with a NULL timestamp are kept, as
@@ -202,5 +213,5 @@ def merge_incremental(
         gated = clean(cast_call_records(batch), rules)
         return latest_per_key(gated, key, ts, tie_breakers) if policy == "unique" else gated
     if policy == "unique":
-        return merge_unique(target, batch, rules, key, ts, tie_breakers, watermark, allowed_lateness)
-    return merge_as_coded(target, batch, rules, key, ts, watermark, allowed_lateness)
+        return merge_unique(target, batch, rules, key, ts, tie_breakers, watermark, allowed_lateness, known_watermark)
+    return merge_as_coded(target, batch, rules, key, ts, watermark, allowed_lateness, known_watermark)

@@ -9,12 +9,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.operators import analytics
 from tessera.operators.enrich import enrich_sales
 from tessera.operators.merge import merge_incremental
 from tessera.schemas import CALL_RECORD_SCHEMA
-from tessera.sinks.publish import expire_versions, publish, read_current
+from tessera.sinks.publish import expire_versions, publish, published_watermark, read_current
 from tessera.sources.files import read_changed_files, read_files, since_hours_ago
 from tessera.sources.synth import sales_table
 
@@ -53,7 +54,9 @@ def run_load(
     First run (no published version): every file under ``source_path``.
     Later runs: files modified after ``since`` (default: now − 24 h).
     No new rows: nothing is written and the live version stays as it is.
-    After a publish, versions older than the newest ``keep_versions`` go."""
+    The watermark recorded with the live version is used, so the target's
+    timestamp column is not scanned. After a publish, versions older than
+    the newest ``keep_versions`` go."""
     target = read_current(spark, target_root)
     if target is None:
         batch = read_files(spark, [source_path], schema)
@@ -61,7 +64,12 @@ def run_load(
         batch = read_changed_files(spark, source_path, since or since_hours_ago(window_hours), schema)
     if batch.isEmpty():
         return LoadResult(target is None, None, None)
-    merged = merge_incremental(target, batch, policy=policy, watermark=watermark)
-    version, rows = publish(merged, target_root, single_file=single_file)
+    known = None
+    if target is not None:
+        recorded = published_watermark(spark, target_root)
+        if recorded is not None:
+            known = F.lit(recorded).cast(target.schema["updated_at"].dataType)
+    merged = merge_incremental(target, batch, policy=policy, watermark=watermark, known_watermark=known)
+    version, rows = publish(merged, target_root, single_file=single_file, watermark_column="updated_at")
     expire_versions(spark, target_root, keep_versions)
     return LoadResult(target is None, version, rows)

@@ -13,11 +13,11 @@ import datetime as dt
 import os
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.sinks.writer import counted, write
+from tessera.sinks.writer import write
 
 LOG_DIR = "_versions"
 LOG_SCHEMA = T.StructType(
@@ -26,6 +26,7 @@ LOG_SCHEMA = T.StructType(
         T.StructField("rows", T.LongType()),
         T.StructField("committed_at", T.StringType()),
         T.StructField("source_epoch", T.LongType()),
+        T.StructField("watermark", T.StringType()),
     ]
 )
 
@@ -63,6 +64,18 @@ def read_current(
     return reader.format(format).load(version_path(root, v))
 
 
+def published_watermark(spark: SparkSession, root: str) -> str | None:
+    """The live version's recorded high-watermark (ISO text), if one was
+    recorded at publish time; it spares a scan of the table's timestamp
+    column on the next run."""
+    log = version_log(spark, root)
+    v = current_version(spark, root)
+    if log is None or v is None:
+        return None
+    row = log.filter(F.col("version") == v).select("watermark").first()
+    return None if row is None else row["watermark"]
+
+
 def epoch_published(spark: SparkSession, root: str, epoch: int) -> bool:
     """Whether a streaming micro-batch ``epoch`` has already been published."""
     log = version_log(spark, root)
@@ -103,11 +116,20 @@ def publish(
     max_records_per_file: int | None = None,
     source_epoch: int | None = None,
     format: str = "parquet",
+    watermark_column: str | None = None,
 ) -> tuple[int, int]:
-    """Write ``df`` as the next version and commit it; returns (version, rows)."""
+    """Write ``df`` as the next version and commit it; returns (version, rows).
+
+    The row count — and, with ``watermark_column``, that column's maximum —
+    are observed while the version is written (no extra pass) and recorded
+    in the commit log."""
     spark = df.sparkSession
     version = (current_version(spark, root) or 0) + 1
-    observed, obs = counted(df)
+    obs = Observation("publish")
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    if watermark_column is not None:
+        metrics.append(F.max(watermark_column).cast("string").alias("watermark"))
+    observed = df.observe(obs, *metrics)
     # The next version is not in the log, so no reader uses it; leftovers of
     # an earlier failed attempt at the same number are simply replaced.
     write(
@@ -118,9 +140,11 @@ def publish(
         single_file=single_file,
         max_records_per_file=max_records_per_file,
     )
-    rows = int(obs.get["rows"])
+    seen = obs.get
+    rows = int(seen["rows"])
     entry = spark.createDataFrame(
-        [(version, rows, dt.datetime.now(dt.timezone.utc).isoformat(), source_epoch)], LOG_SCHEMA
+        [(version, rows, dt.datetime.now(dt.timezone.utc).isoformat(), source_epoch, seen.get("watermark"))],
+        LOG_SCHEMA,
     )
     entry.coalesce(1).write.mode("append").json(os.path.join(root, LOG_DIR))
     return version, rows

@@ -61,3 +61,19 @@ def test_retention_keeps_the_newest_versions(spark, tmp_path):
     assert os.path.exists(publish.version_path(root, 3))
     assert publish.read_current(spark, root).count() == 4
     assert publish.expire_versions(spark, root, keep=2) == []
+
+
+def test_publish_records_the_watermark(spark, tmp_path):
+    import datetime as dt
+
+    root = str(tmp_path / "table")
+    df = spark.createDataFrame(
+        [(1, dt.datetime(2024, 1, 2, 3, 4, 5, 678901)), (2, dt.datetime(2024, 1, 1))], "id bigint, updated_at timestamp_ntz"
+    )
+    publish.publish(df, root, watermark_column="updated_at")
+    recorded = publish.published_watermark(spark, root)
+    assert recorded == "2024-01-02 03:04:05.678901"
+    back = spark.range(1).select(F.lit(recorded).cast("timestamp_ntz").alias("t")).first()["t"]
+    assert back == dt.datetime(2024, 1, 2, 3, 4, 5, 678901)
+    publish.publish(spark.range(2), root)
+    assert publish.published_watermark(spark, root) is None
