@@ -3,12 +3,14 @@ SET-1, MRG-1, WIN-1).
 
 The watermark stays a scalar subquery (``DataFrame.scalar()``) instead of a
 value collected to the driver, so it is computed inside the same query and
-pushed into the batch scan at run time. The anti join is left to the planner:
-adaptive execution broadcasts the change-id side when its runtime size is
-small and otherwise runs a sort-merge anti join whose skewed partitions are
-split. Latest-per-key uses ``row_number() = 1``, which Spark plans with a
-partial ``WindowGroupLimit`` before the shuffle, so even a key holding a third
-of all rows ships at most one row per input partition.
+pushed into the batch scan at run time; a watermark recorded when the target
+was published can be passed instead (``known_watermark``), which spares the
+scan. The anti join broadcasts the de-duplicated change ids when a bounded
+count proves them few, so the target is never shuffled; otherwise it is a
+sort-merge anti join whose skewed partitions adaptive execution splits.
+Latest-per-key uses ``row_number() = 1``, which Spark plans with a partial
+``WindowGroupLimit`` before the shuffle, so even a key holding a third of all
+rows ships at most one row per input partition.
 
 Two policies:
 
