@@ -116,20 +116,45 @@ def since_hours_ago(hours: float, now: dt.datetime | None = None) -> str:
     return (now - dt.timedelta(hours=hours)).strftime("%Y-%m-%dT%H:%M:%S")
 
 
+def changed_file_paths(spark: SparkSession, path: str, since: str, recursive: bool = True) -> list[str]:
+    """Paths of the files under ``path`` modified strictly after ``since``.
+
+    Listed by a scan that reads no data column (only the file-path metadata
+    column), so files of any physical schema can be listed together. The
+    list is file metadata, one entry per file."""
+    listing = _reader(spark, recursive, since).schema(T.StructType([])).parquet(path)
+    rows = listing.select(F.col("_metadata.file_path").alias("p")).distinct().collect()
+    return sorted(r["p"] for r in rows)
+
+
 def read_changed_files(
     spark: SparkSession,
     path: str,
     since: str,
     schema: T.StructType | None = None,
     recursive: bool = True,
+    group_by_schema: bool = True,
 ) -> DataFrame:
     """Files under ``path`` modified strictly after ``since`` (SRC-9).
 
-    A declared schema keeps the result typed when nothing matches."""
+    A declared schema keeps the result typed when nothing matches. With
+    ``group_by_schema`` the changed files are grouped by physical schema and
+    each group is cast to the declared one, as ``read_files`` does, so a day
+    whose files disagree on a column type (``id`` as bigint in one file and
+    double in another) still reads; ``False`` is a single scan for file sets
+    known to share their types."""
     reader = _reader(spark, recursive, since)
     if schema is None:
         base = read_parquet_or_none(spark, path, recursive)
         if base is None:
             raise ValueError(f"nothing to read at {path} and no declared schema")
         schema = base.schema
-    return reader.schema(schema).parquet(path)
+    if not group_by_schema:
+        return reader.schema(schema).parquet(path)
+    try:
+        paths = changed_file_paths(spark, path, since, recursive)
+    except AnalysisException as e:
+        if e.getCondition() in MISSING_TABLE_CONDITIONS:
+            return empty_frame(spark, schema)
+        raise
+    return read_files(spark, paths, schema, recursive=False)

@@ -86,3 +86,15 @@ def test_single_scan_fast_path(spark, tmp_path):
     schema = spark.createDataFrame([], "id bigint").schema
     out = files.read_files(spark, [a, b], schema, group_by_schema=False)
     assert sorted(r["id"] for r in out.collect()) == [0, 1, 2, 3, 4]
+
+
+def test_changed_files_with_drifting_types(spark, tmp_path):
+    root = tmp_path / "drop"
+    spark.range(3).write.parquet(str(root / "clean_day"))
+    spark.range(3, 5).select(F.col("id").cast("double").alias("id")).write.parquet(str(root / "dirty_day"))
+    spark.range(100, 102).write.parquet(str(root / "old_day"))
+    _age(str(root / "old_day"), 30)
+    schema = spark.createDataFrame([], "id double").schema
+    got = files.read_changed_files(spark, str(root), files.since_hours_ago(24), schema)
+    assert sorted(r["id"] for r in got.collect()) == [0.0, 1.0, 2.0, 3.0, 4.0]
+    assert got.schema == schema
