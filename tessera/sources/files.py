@@ -40,12 +40,17 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(cols)
 
 
+# File names the drop-folder readers take; other objects in the folder (logs,
+# markers, uploads in progress under another name) are skipped when listing.
+PARQUET_NAMES = "*.parquet"
+
+
 def _reader(spark: SparkSession, recursive: bool, modified_after: str | None = None):
-    """``recursive`` reads every file below a directory (a drop folder with
-    sub-folders per day), without partition discovery."""
+    """``recursive`` reads every Parquet file below a directory (a drop folder
+    with sub-folders per day), without partition discovery."""
     reader = spark.read
     if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
+        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", PARQUET_NAMES)
     if modified_after is not None:
         reader = reader.option("modifiedAfter", modified_after)
     return reader

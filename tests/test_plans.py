@@ -74,3 +74,14 @@ def test_clean_pushes_membership_and_id_checks_into_the_scan(spark, tmp_path):
     plan = _plan(clean(cast_call_records(read_files(spark, [path], CALL_RECORD_SCHEMA))))
     pushed = [l for l in plan.splitlines() if "PushedFilters" in l][0]
     assert "In(call_type" in pushed and "GreaterThan(id" in pushed and "IsNotNull(id)" in pushed
+
+
+def test_no_registered_query_runs_python(spark):
+    import __spark_entry__ as entry
+
+    for name, fn in entry.queries().items():
+        if name == "stream_incremental_load":
+            continue  # runs two stream starts; its merge is the one checked above
+        plan = _plan(fn(spark, SMALL_SF))
+        for marker in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas"):
+            assert marker not in plan, (name, marker)

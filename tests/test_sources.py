@@ -98,3 +98,12 @@ def test_changed_files_with_drifting_types(spark, tmp_path):
     got = files.read_changed_files(spark, str(root), files.since_hours_ago(24), schema)
     assert sorted(r["id"] for r in got.collect()) == [0.0, 1.0, 2.0, 3.0, 4.0]
     assert got.schema == schema
+
+
+def test_drop_folder_skips_other_objects(spark, tmp_path):
+    root = tmp_path / "drop"
+    spark.range(3).write.parquet(str(root / "day1"))
+    (root / "day1" / "notes.txt").write_text("not a table")
+    schema = spark.createDataFrame([], "id bigint").schema
+    assert files.read_files(spark, [str(root)], schema).count() == 3
+    assert files.read_changed_files(spark, str(root), files.since_hours_ago(24), schema).count() == 3
