@@ -84,8 +84,10 @@ def epoch_published(spark: SparkSession, root: str, epoch: int) -> bool:
 
 def expire_versions(spark: SparkSession, root: str, keep: int = 3) -> list[int]:
     """Delete committed versions older than the newest ``keep`` (the live one
-    always stays); returns the deleted version numbers. Each version is a full
-    copy of the table, so retention bounds storage at ``keep`` copies.
+    always stays), and the commit-log files that only describe deleted
+    versions; returns the deleted version numbers. Each version is a full
+    copy of the table, so retention bounds storage at ``keep`` copies, and the
+    log stays a handful of files however many runs there have been.
 
     Deletion goes through the Hadoop file system of the path, so it works on
     any store Spark writes to."""
@@ -96,16 +98,24 @@ def expire_versions(spark: SparkSession, root: str, keep: int = 3) -> list[int]:
         return []
     current = current_version(spark, root)
     cutoff = current - keep + 1
-    old = [int(r["version"]) for r in log.filter(F.col("version") < cutoff).select("version").distinct().collect()]
+    entries = log.select("version", F.col("_metadata.file_path").alias("file")).collect()
+    old = sorted({int(r["version"]) for r in entries if r["version"] < cutoff})
+    newest_in_file: dict[str, int] = {}
+    for r in entries:
+        newest_in_file[r["file"]] = max(newest_in_file.get(r["file"], -1), int(r["version"]))
+    old_files = [f for f, v in newest_in_file.items() if v < cutoff]
+
     jvm = spark.sparkContext._jvm
     hadoop_conf = spark.sparkContext._jsc.hadoopConfiguration()
-    deleted = []
-    for v in sorted(old):
-        path = jvm.org.apache.hadoop.fs.Path(version_path(root, v))
+
+    def delete(location: str) -> bool:
+        path = jvm.org.apache.hadoop.fs.Path(location)
         fs = path.getFileSystem(hadoop_conf)
-        if fs.exists(path):
-            fs.delete(path, True)
-            deleted.append(v)
+        return bool(fs.exists(path) and fs.delete(path, True))
+
+    deleted = [v for v in old if delete(version_path(root, v))]
+    for f in old_files:
+        delete(f)
     return deleted
 
 

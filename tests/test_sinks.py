@@ -61,6 +61,10 @@ def test_retention_keeps_the_newest_versions(spark, tmp_path):
     assert os.path.exists(publish.version_path(root, 3))
     assert publish.read_current(spark, root).count() == 4
     assert publish.expire_versions(spark, root, keep=2) == []
+    # The log keeps only the entries of the versions still on disk.
+    versions = sorted(r["version"] for r in publish.version_log(spark, root).collect())
+    assert versions == [3, 4]
+    assert publish.current_version(spark, root) == 4
 
 
 def test_publish_records_the_watermark(spark, tmp_path):
