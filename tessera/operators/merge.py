@@ -94,7 +94,16 @@ def changed_rows_per_key(batch: DataFrame, target: DataFrame, key: str = KEY, ts
     return batch.join(stored, on=key, how="left").filter(newer).drop("_stored_ts")
 
 
-def _changed(batch, target, key, ts, watermark, allowed_lateness, known_watermark=None):
+def changed_set(
+    batch: DataFrame,
+    target: DataFrame,
+    key: str = KEY,
+    ts: str = TS,
+    watermark: str = "global",
+    allowed_lateness: str | None = None,
+    known_watermark: Column | None = None,
+) -> DataFrame:
+    """The batch rows a merge would consider, under the chosen watermark."""
     if watermark == "per_key":
         return changed_rows_per_key(batch, target, key, ts)
     return changed_rows(batch, target, ts, allowed_lateness, known_watermark)
@@ -161,7 +170,7 @@ def merge_as_coded(
     known_watermark: Column | None = None,
 ) -> DataFrame:
     """Watermark → change ids (before cleaning) → anti join → clean → union."""
-    changed = _changed(batch, target, key, ts, watermark, allowed_lateness, known_watermark)
+    changed = changed_set(batch, target, key, ts, watermark, allowed_lateness, known_watermark)
     unchanged = unchanged_rows(target, changed, key)
     gated = clean(cast_call_records(changed), rules)
     return union_by_name(unchanged, gated)
@@ -184,7 +193,7 @@ def merge_unique(
 
     ``watermark="global"`` compares with the target's overall maximum (as
     the original load), ``"per_key"`` with each id's own stored version."""
-    changed = _changed(batch, target, key, ts, watermark, allowed_lateness, known_watermark)
+    changed = changed_set(batch, target, key, ts, watermark, allowed_lateness, known_watermark)
     gated = clean(cast_call_records(changed), rules)
     latest = latest_per_key(gated, key, ts, tie_breakers)
     # The ids to replace are the gated ids (the same set as ``latest``'s), so

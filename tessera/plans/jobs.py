@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import analytics
 from tessera.operators.enrich import enrich_sales
-from tessera.operators.merge import merge_incremental
+from tessera.operators.merge import changed_set, merge_incremental
 from tessera.schemas import CALL_RECORD_SCHEMA
 from tessera.sinks.publish import expire_versions, publish, published_watermark, read_current
 from tessera.sources.files import read_changed_files, read_files, since_hours_ago
@@ -53,7 +53,8 @@ def run_load(
 
     First run (no published version): every file under ``source_path``.
     Later runs: files modified after ``since`` (default: now − 24 h).
-    No new rows: nothing is written and the live version stays as it is.
+    No new files, or no row newer than the target: nothing is written and
+    the live version stays as it is.
     The watermark recorded with the live version is used, so the target's
     timestamp column is not scanned. After a publish, versions older than
     the newest ``keep_versions`` go."""
@@ -69,6 +70,10 @@ def run_load(
         recorded = published_watermark(spark, target_root)
         if recorded is not None:
             known = F.lit(recorded).cast(target.schema["updated_at"].dataType)
+    if target is not None and changed_set(batch, target, watermark=watermark, known_watermark=known).isEmpty():
+        # Files re-listed inside the window, but no row is newer than the
+        # target: the live version already holds the result.
+        return LoadResult(False, None, None)
     merged = merge_incremental(target, batch, policy=policy, watermark=watermark, known_watermark=known)
     version, rows = publish(merged, target_root, single_file=single_file, watermark_column="updated_at")
     expire_versions(spark, target_root, keep_versions)

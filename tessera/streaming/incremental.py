@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tessera.operators.merge import merge_incremental
+from tessera.operators.merge import changed_set, merge_incremental
 from tessera.schemas import CALL_RECORD_SCHEMA
 from tessera.sinks.publish import epoch_published, expire_versions, publish, published_watermark, read_current
 from tessera.sources.files import conform
@@ -36,7 +36,10 @@ def merge_batch_into(
         target = read_current(spark, target_root)
         recorded = published_watermark(spark, target_root) if target is not None else None
         known = None if recorded is None else F.lit(recorded).cast(target.schema["updated_at"].dataType)
-        merged = merge_incremental(target, conform(batch, schema), policy=policy, known_watermark=known)
+        batch = conform(batch, schema)
+        if target is not None and changed_set(batch, target, known_watermark=known).isEmpty():
+            return
+        merged = merge_incremental(target, batch, policy=policy, known_watermark=known)
         publish(merged, target_root, source_epoch=epoch_id, watermark_column="updated_at")
         expire_versions(spark, target_root, keep_versions)
 

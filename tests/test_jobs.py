@@ -41,6 +41,9 @@ def test_run_load_first_then_incremental(spark, tmp_path):
 
     # Nothing new in the last 24 hours: the live version stays.
     assert run_load(spark, src, tgt).published_version is None
+    # Files re-listed by a wide window, but no row newer than the target:
+    # still no new version.
+    assert run_load(spark, src, tgt, since=since_hours_ago(48)).published_version is None
 
     _drop(spark, batch_part, f"{src}/day2", hours_ago=1)
     second = run_load(spark, src, tgt, since=since_hours_ago(24))
