@@ -721,9 +721,7 @@ STORED_TYPED_SELECT = """select * replace (
   try_cast(trunc(signal_strength_dbm) as integer) as signal_strength_dbm)"""
 
 
-@register(
-    "stream_incremental_load",
-    f"""with {F2},
+INCREMENTAL_LOAD_SQL = f"""with {F2},
 src as ({_stored_call_records_sql()}),
 day1 as (select * from src where {fx.TARGET_WHERE_SQL}),
 day2 as (select * from src where {fx.BATCH_WHERE_SQL}),
@@ -734,28 +732,62 @@ gated2 as (select * from ({STORED_TYPED_SELECT} from changed2) where {ALL_RULES_
 latest2 as ({latest_sql('gated2', _stored_latest_order())})
 select * from v1 where not exists (select 1 from latest2 l where l.id = v1.id)
 union all by name
-select * from latest2""",
-)
+select * from latest2"""
+
+
+def _day_files(spark, sf_dir):
+    """T's and B's call records as two days of stored files."""
+    from tessera.schemas import CALL_RECORD_SCHEMA
+    from tessera.sources.files import conform
+
+    records = fx.call_records(spark, sf_dir)
+    day1 = records.filter(F.col("updated_at") < F.lit(fx.TARGET_BEFORE).cast("timestamp_ntz"))
+    day2 = records.filter(F.col("updated_at") >= F.lit(fx.BATCH_FROM).cast("timestamp_ntz"))
+    return conform(day1, CALL_RECORD_SCHEMA), conform(day2, CALL_RECORD_SCHEMA)
+
+
+@register("batch_incremental_load", INCREMENTAL_LOAD_SQL)
+def q_batch_incremental_load(spark, sf_dir):
+    """Two runs of the batch load: the first run reads day one's files; the
+    second reads only the files modified after a point between the two drops
+    (day two's) and merges them; the second version is returned."""
+    import datetime as dt
+    import time
+
+    from tessera.plans.jobs import run_load
+    from tessera.sinks.publish import read_current
+    from tessera.sources.files import since_hours_ago
+    from tessera.util import shared_scratch
+
+    root = shared_scratch(spark, "batch_load")
+    source, target = f"{root}/source", f"{root}/target"
+    day1, day2 = _day_files(spark, sf_dir)
+    day1.write.parquet(f"{source}/day1")
+    run_load(spark, source, target)
+    # modifiedAfter has one-second resolution: leave a second on each side.
+    time.sleep(1.1)
+    since = since_hours_ago(0, dt.datetime.now(dt.timezone.utc), spark.conf.get("spark.sql.session.timeZone"))
+    time.sleep(1.1)
+    day2.write.parquet(f"{source}/day2")
+    run_load(spark, source, target, since=since)
+    return read_current(spark, target)
+
+
+@register("stream_incremental_load", INCREMENTAL_LOAD_SQL)
 def q_stream_incremental_load(spark, sf_dir):
     """Two scheduled runs of the streaming load. Day one's files (T's
     records) give the first version; day two's files (B's records) are the
     only new files on the second run and are merged into the second
     version, which is returned."""
-    from pyspark.sql import functions as F
-
-    from tessera.schemas import CALL_RECORD_SCHEMA
     from tessera.sinks.publish import read_current
-    from tessera.sources.files import conform
     from tessera.streaming.incremental import start_incremental_load
     from tessera.util import shared_scratch
 
     root = shared_scratch(spark, "stream_load")
     source, target, checkpoint = f"{root}/source", f"{root}/target", f"{root}/checkpoint"
-    records = fx.call_records(spark, sf_dir)
-    day1 = records.filter(F.col("updated_at") < F.lit(fx.TARGET_BEFORE).cast("timestamp_ntz"))
-    day2 = records.filter(F.col("updated_at") >= F.lit(fx.BATCH_FROM).cast("timestamp_ntz"))
-    conform(day1, CALL_RECORD_SCHEMA).write.parquet(f"{source}/day1")
+    day1, day2 = _day_files(spark, sf_dir)
+    day1.write.parquet(f"{source}/day1")
     start_incremental_load(spark, f"{source}/*", target, checkpoint).awaitTermination()
-    conform(day2, CALL_RECORD_SCHEMA).write.parquet(f"{source}/day2")
+    day2.write.parquet(f"{source}/day2")
     start_incremental_load(spark, f"{source}/*", target, checkpoint).awaitTermination()
     return read_current(spark, target)

@@ -62,7 +62,9 @@ def run_load(
     if target is None:
         batch = read_files(spark, [source_path], schema)
     else:
-        batch = read_changed_files(spark, source_path, since or since_hours_ago(window_hours), schema)
+        zone = spark.conf.get("spark.sql.session.timeZone")
+        since = since or since_hours_ago(window_hours, time_zone=zone)
+        batch = read_changed_files(spark, source_path, since, schema)
     if batch.isEmpty():
         return LoadResult(target is None, None, None)
     known = None

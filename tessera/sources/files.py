@@ -114,11 +114,13 @@ def read_files(
     return out
 
 
-def since_hours_ago(hours: float, now: dt.datetime | None = None) -> str:
-    """ISO text of now − ``hours`` in UTC, the format ``modifiedAfter`` reads
-    (in the session time zone, which the session factories pin to UTC)."""
+def since_hours_ago(hours: float, now: dt.datetime | None = None, time_zone: str = "UTC") -> str:
+    """ISO text of now − ``hours`` as wall-clock time in ``time_zone`` — pass
+    the session time zone, in which the reader interprets ``modifiedAfter``."""
+    from zoneinfo import ZoneInfo
+
     now = now or dt.datetime.now(dt.timezone.utc)
-    return (now - dt.timedelta(hours=hours)).strftime("%Y-%m-%dT%H:%M:%S")
+    return (now - dt.timedelta(hours=hours)).astimezone(ZoneInfo(time_zone)).strftime("%Y-%m-%dT%H:%M:%S")
 
 
 def changed_file_paths(spark: SparkSession, path: str, since: str, recursive: bool = True) -> list[str]:
