@@ -107,3 +107,9 @@ def test_drop_folder_skips_other_objects(spark, tmp_path):
     schema = spark.createDataFrame([], "id bigint").schema
     assert files.read_files(spark, [str(root)], schema).count() == 3
     assert files.read_changed_files(spark, str(root), files.since_hours_ago(24), schema).count() == 3
+
+
+def test_since_text_is_in_the_session_zone():
+    now = dt.datetime(2024, 7, 1, 12, 0, 0, tzinfo=dt.timezone.utc)
+    assert files.since_hours_ago(24, now) == "2024-06-30T12:00:00"
+    assert files.since_hours_ago(0, now, "America/New_York") == "2024-07-01T08:00:00"
