@@ -65,6 +65,25 @@ def read_parquet_or_none(spark: SparkSession, path: str, recursive: bool = False
         raise
 
 
+# Concurrent footer reads when probing many paths' schemas on the driver.
+PROBE_THREADS = 16
+
+
+def _probe_schemas(spark: SparkSession, paths: list[str], recursive: bool) -> list[T.StructType | None]:
+    """Physical schema of each path (None where nothing is readable), read
+    concurrently: one listing and footer read per path."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def probe(p: str) -> T.StructType | None:
+        found = read_parquet_or_none(spark, p, recursive)
+        return None if found is None else found.schema
+
+    if len(paths) <= 1:
+        return [probe(p) for p in paths]
+    with ThreadPoolExecutor(max_workers=min(PROBE_THREADS, len(paths))) as pool:
+        return list(pool.map(probe, paths))
+
+
 def target_exists(spark: SparkSession, path: str) -> bool:
     """SRC-7: a missing path or an empty directory both mean first run."""
     return read_parquet_or_none(spark, path) is not None
@@ -93,11 +112,10 @@ def read_files(
     if not group_by_schema and schema is not None:
         return reader.schema(schema).parquet(*paths)
     groups: dict[str, tuple[T.StructType, list[str]]] = {}
-    for p in paths:
-        found = read_parquet_or_none(spark, p, recursive)
-        if found is None:
+    for p, schema_found in zip(paths, _probe_schemas(spark, paths, recursive)):
+        if schema_found is None:
             continue
-        groups.setdefault(found.schema.simpleString(), (found.schema, []))[1].append(p)
+        groups.setdefault(schema_found.simpleString(), (schema_found, []))[1].append(p)
     if not groups:
         if schema is None:
             raise ValueError(f"no readable files in {paths} and no declared schema")
