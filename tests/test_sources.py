@@ -5,7 +5,6 @@ import glob
 import os
 import time
 
-import pytest
 from pyspark.sql import functions as F
 
 from tessera.sources import files
