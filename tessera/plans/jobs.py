@@ -11,15 +11,28 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.casts import cast_call_records
 from tessera.operators import analytics
 from tessera.operators.enrich import enrich_sales
 from tessera.operators.merge import changed_set, merge_incremental
+from tessera.operators.rules import CALL_RECORD_RULES, first_failed
 from tessera.schemas import CALL_RECORD_SCHEMA
-from tessera.sinks.publish import expire_versions, publish, published_watermark, read_current
+from tessera.sinks.publish import (
+    current_version,
+    expire_versions,
+    publish,
+    published_watermark,
+    read_current,
+    staging_path,
+)
+from tessera.sinks.writer import counted
 from tessera.sources.files import read_changed_files, read_files, since_hours_ago
 from tessera.sources.synth import sales_table
 
 
+REJECT_COLUMN = "failed_rule"
+
+
 def run_sales(spark: SparkSession, n_records: int = 100_000_000, seed: int = 42) -> dict[str, DataFrame]:
     """Generate the sales table, enrich it, and return the four analytics.
 
@@ -53,30 +66,44 @@ def run_load(
 
     First run (no published version): every file under ``source_path``.
     Later runs: files modified after ``since`` (default: now − 24 h).
-    No new files, or no row newer than the target: nothing is written and
-    the live version stays as it is.
-    The watermark recorded with the live version is used, so the target's
-    timestamp column is not scanned. After a publish, versions older than
-    the newest ``keep_versions`` go."""
+    No new files, or no row newer than the target: nothing is published and
+    the live version stays as it is. The watermark recorded with the live
+    version is used, so the target's timestamp column is not scanned. After a
+    publish, versions older than the newest ``keep_versions`` go (with their
+    staged change sets)."""
     target = read_current(spark, target_root)
-    if target is None:
+    first_run = target is None or target.isEmpty()
+    if first_run:
         batch = read_files(spark, [source_path], schema)
+        changed, target, known = batch, None, None
     else:
         zone = spark.conf.get("spark.sql.session.timeZone")
         since = since or since_hours_ago(window_hours, time_zone=zone)
         batch = read_changed_files(spark, source_path, since, schema)
-    if batch.isEmpty():
-        return LoadResult(target is None, None, None)
-    known = None
-    if target is not None:
         recorded = published_watermark(spark, target_root)
-        if recorded is not None:
-            known = F.lit(recorded).cast(target.schema["updated_at"].dataType)
-    if target is not None and changed_set(batch, target, watermark=watermark, known_watermark=known).isEmpty():
-        # Files re-listed inside the window, but no row is newer than the
-        # target: the live version already holds the result.
-        return LoadResult(False, None, None)
-    merged = merge_incremental(target, batch, policy=policy, watermark=watermark, known_watermark=known)
+        known = None if recorded is None else F.lit(recorded).cast(target.schema["updated_at"].dataType)
+        changed = changed_set(batch, target, watermark=watermark, known_watermark=known)
+
+    # Stage the typed change set once, each row tagged with the first rule it
+    # fails (NULL when clean): the merge reads this table instead of listing,
+    # reading, casting and checking the new files again, and the rejected
+    # rows stay inspectable next to the version they were part of.
+    version_next = (current_version(spark, target_root) or 0) + 1
+    stage = staging_path(target_root, version_next)
+    tagged, staged_rows = counted(cast_call_records(changed).withColumn(REJECT_COLUMN, first_failed(CALL_RECORD_RULES)))
+    tagged.write.mode("overwrite").parquet(stage)
+    if staged_rows.get["rows"] == 0:
+        # No new files, or no row newer than the target: the live version
+        # already holds the result.
+        return LoadResult(first_run, None, None)
+    staged = spark.read.parquet(stage).drop(REJECT_COLUMN)
+    merged = merge_incremental(target, staged, policy=policy, watermark=watermark, known_watermark=known)
     version, rows = publish(merged, target_root, single_file=single_file, watermark_column="updated_at")
     expire_versions(spark, target_root, keep_versions)
-    return LoadResult(target is None, version, rows)
+    return LoadResult(first_run, version, rows)
+
+
+def rejected_rows(spark: SparkSession, target_root: str, version: int) -> DataFrame:
+    """The rows of a run that failed the quality gate, with the first rule
+    each failed (kept while ``version`` is retained)."""
+    return spark.read.parquet(staging_path(target_root, version)).filter(F.col(REJECT_COLUMN).isNotNull())

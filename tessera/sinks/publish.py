@@ -35,6 +35,11 @@ def version_path(root: str, version: int) -> str:
     return os.path.join(root, f"version={version}")
 
 
+def staging_path(root: str, version: int) -> str:
+    """Where a run stages the inputs of ``version`` (ignored by table readers)."""
+    return os.path.join(root, "_staging", f"version={version}")
+
+
 def version_log(spark: SparkSession, root: str) -> DataFrame | None:
     try:
         return spark.read.schema(LOG_SCHEMA).json(os.path.join(root, LOG_DIR))
@@ -114,6 +119,8 @@ def expire_versions(spark: SparkSession, root: str, keep: int = 3) -> list[int]:
         return bool(fs.exists(path) and fs.delete(path, True))
 
     deleted = [v for v in old if delete(version_path(root, v))]
+    for v in old:
+        delete(staging_path(root, v))
     for f in old_files:
         delete(f)
     return deleted

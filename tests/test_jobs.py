@@ -7,7 +7,7 @@ import time
 from pyspark.sql import functions as F
 
 from tessera.plans import fixtures as fx
-from tessera.plans.jobs import run_load, run_sales
+from tessera.plans.jobs import rejected_rows, run_load, run_sales
 from tessera.schemas import CALL_RECORD_SCHEMA
 from tessera.sinks import publish
 from tessera.sources.files import conform, since_hours_ago
@@ -38,6 +38,17 @@ def test_run_load_first_then_incremental(spark, tmp_path):
     assert first.first_run and first.published_version == 1
     v1 = publish.read_current(spark, tgt)
     assert v1.groupBy("id").count().filter("count > 1").count() == 0
+    # The run's rejects are kept with the first rule each failed.
+    from tessera.functions.casts import cast_call_records
+    from tessera.operators.rules import rejects as gate_rejects
+
+    staged_input = conform(target_part, CALL_RECORD_SCHEMA)
+    expected = gate_rejects(cast_call_records(staged_input))
+    got = rejected_rows(spark, tgt, 1)
+    assert got.count() == expected.count() > 0
+    assert {r["failed_rule"] for r in got.select("failed_rule").distinct().collect()} == {
+        r["failed_rule"] for r in expected.select("failed_rule").distinct().collect()
+    }
 
     # Nothing new in the last 24 hours: the live version stays.
     assert run_load(spark, src, tgt).published_version is None
