@@ -81,3 +81,15 @@ def test_streaming_load_processes_each_file_once(spark, tmp_path):
     assert publish.current_version(spark, tgt) == 2
     out = publish.read_current(spark, tgt)
     assert out.groupBy("id").count().filter("count > 1").count() == 0
+
+
+def test_empty_published_target_loads_like_a_first_run(spark, tmp_path):
+    src, tgt = str(tmp_path / "src"), str(tmp_path / "tgt")
+    records = fx.call_records(spark, SMALL_SF)
+    empty = conform(records.filter(F.lit(False)), CALL_RECORD_SCHEMA)
+    publish.publish(empty, tgt)
+    _drop(spark, records, f"{src}/day1", hours_ago=1)
+    result = run_load(spark, src, tgt)
+    assert result.first_run and result.published_version == 2
+    fresh = run_load(spark, src, str(tmp_path / "fresh"))
+    assert result.rows_published == fresh.rows_published > 0
