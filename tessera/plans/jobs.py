@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.casts import cast_call_records
@@ -25,7 +25,6 @@ from tessera.sinks.publish import (
     read_current,
     staging_path,
 )
-from tessera.sinks.writer import counted
 from tessera.sources.files import read_changed_files, read_files, since_hours_ago
 from tessera.sources.synth import sales_table
 
@@ -45,9 +44,14 @@ def run_sales(spark: SparkSession, n_records: int = 100_000_000, seed: int = 42)
 
 @dataclass
 class LoadResult:
+    """What a load did. The counts are observed while the change set is
+    staged and while the version is written — no extra pass over the data."""
+
     first_run: bool
     published_version: int | None
     rows_published: int | None
+    rows_changed: int = 0
+    rows_rejected: int = 0
 
 
 def run_load(
@@ -90,9 +94,19 @@ def run_load(
     # rows stay inspectable next to the version they were part of.
     version_next = (current_version(spark, target_root) or 0) + 1
     stage = staging_path(target_root, version_next)
-    tagged, staged_rows = counted(cast_call_records(changed).withColumn(REJECT_COLUMN, first_failed(CALL_RECORD_RULES)))
+    staged_counts = Observation("staged")
+    tagged = (
+        cast_call_records(changed)
+        .withColumn(REJECT_COLUMN, first_failed(CALL_RECORD_RULES))
+        .observe(
+            staged_counts,
+            F.count(F.lit(1)).alias("changed"),
+            F.count(REJECT_COLUMN).alias("rejected"),
+        )
+    )
     tagged.write.mode("overwrite").parquet(stage)
-    if staged_rows.get["rows"] == 0:
+    n_changed, n_rejected = int(staged_counts.get["changed"]), int(staged_counts.get["rejected"])
+    if n_changed == 0:
         # No new files, or no row newer than the target: the live version
         # already holds the result.
         return LoadResult(first_run, None, None)
@@ -100,7 +114,7 @@ def run_load(
     merged = merge_incremental(target, staged, policy=policy, watermark=watermark, known_watermark=known)
     version, rows = publish(merged, target_root, single_file=single_file, watermark_column="updated_at")
     expire_versions(spark, target_root, keep_versions)
-    return LoadResult(first_run, version, rows)
+    return LoadResult(first_run, version, rows, n_changed, n_rejected)
 
 
 def rejected_rows(spark: SparkSession, target_root: str, version: int) -> DataFrame:

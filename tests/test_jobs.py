@@ -45,7 +45,8 @@ def test_run_load_first_then_incremental(spark, tmp_path):
     staged_input = conform(target_part, CALL_RECORD_SCHEMA)
     expected = gate_rejects(cast_call_records(staged_input))
     got = rejected_rows(spark, tgt, 1)
-    assert got.count() == expected.count() > 0
+    assert got.count() == expected.count() == first.rows_rejected > 0
+    assert first.rows_changed == staged_input.count()
     assert {r["failed_rule"] for r in got.select("failed_rule").distinct().collect()} == {
         r["failed_rule"] for r in expected.select("failed_rule").distinct().collect()
     }
