@@ -23,7 +23,11 @@ from tessera.sources.files import conform
 
 
 def merge_batch_into(
-    target_root: str, policy: str = "unique", schema=CALL_RECORD_SCHEMA, keep_versions: int = 3
+    target_root: str,
+    policy: str = "unique",
+    schema=CALL_RECORD_SCHEMA,
+    keep_versions: int = 3,
+    watermark: str = "global",
 ):
     """The ``foreachBatch`` function: merge one micro-batch and publish."""
 
@@ -34,12 +38,14 @@ def merge_batch_into(
         if batch.isEmpty():
             return
         target = read_current(spark, target_root)
+        if target is not None and target.isEmpty():
+            target = None  # an empty target is a first run
         recorded = published_watermark(spark, target_root) if target is not None else None
         known = None if recorded is None else F.lit(recorded).cast(target.schema["updated_at"].dataType)
         batch = conform(batch, schema)
-        if target is not None and changed_set(batch, target, known_watermark=known).isEmpty():
+        if target is not None and changed_set(batch, target, watermark=watermark, known_watermark=known).isEmpty():
             return
-        merged = merge_incremental(target, batch, policy=policy, known_watermark=known)
+        merged = merge_incremental(target, batch, policy=policy, watermark=watermark, known_watermark=known)
         publish(merged, target_root, source_epoch=epoch_id, watermark_column="updated_at")
         expire_versions(spark, target_root, keep_versions)
 
@@ -56,6 +62,7 @@ def start_incremental_load(
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
     keep_versions: int = 3,
+    watermark: str = "global",
 ) -> StreamingQuery:
     """Start the stream; call ``awaitTermination()`` on the result.
 
@@ -65,7 +72,7 @@ def start_incremental_load(
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(source_path)
     writer = (
-        stream.writeStream.foreachBatch(merge_batch_into(target_root, policy, schema, keep_versions))
+        stream.writeStream.foreachBatch(merge_batch_into(target_root, policy, schema, keep_versions, watermark))
         .option("checkpointLocation", checkpoint_path)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -94,3 +94,13 @@ def test_empty_published_target_loads_like_a_first_run(spark, tmp_path):
     assert result.first_run and result.published_version == 2
     fresh = run_load(spark, src, str(tmp_path / "fresh"))
     assert result.rows_published == fresh.rows_published > 0
+
+
+def test_streaming_load_into_an_empty_target(spark, tmp_path):
+    src, tgt, ckpt = str(tmp_path / "src"), str(tmp_path / "tgt"), str(tmp_path / "ckpt")
+    records = fx.call_records(spark, SMALL_SF)
+    publish.publish(conform(records.filter(F.lit(False)), CALL_RECORD_SCHEMA), tgt)
+    _drop(spark, records, f"{src}/a")
+    start_incremental_load(spark, src + "/*", tgt, ckpt).awaitTermination()
+    assert publish.current_version(spark, tgt) == 2
+    assert publish.read_current(spark, tgt).count() > 0
