@@ -76,17 +76,14 @@ def run_load(
     publish, versions older than the newest ``keep_versions`` go (with their
     staged change sets)."""
     target = read_current(spark, target_root)
-    first_run = target is None or target.isEmpty()
-    if first_run:
-        batch = read_files(spark, [source_path], schema)
-        changed, target, known = batch, None, None
-    else:
-        zone = spark.conf.get("spark.sql.session.timeZone")
-        since = since or since_hours_ago(window_hours, time_zone=zone)
-        batch = read_changed_files(spark, source_path, since, schema)
-        recorded = published_watermark(spark, target_root)
-        known = None if recorded is None else F.lit(recorded).cast(target.schema["updated_at"].dataType)
-        changed = changed_set(batch, target, watermark=watermark, known_watermark=known)
+    if target is None or target.isEmpty():
+        return _first_load(spark, source_path, target_root, schema, policy, single_file, keep_versions)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    since = since or since_hours_ago(window_hours, time_zone=zone)
+    batch = read_changed_files(spark, source_path, since, schema)
+    recorded = published_watermark(spark, target_root)
+    known = None if recorded is None else F.lit(recorded).cast(target.schema["updated_at"].dataType)
+    changed = changed_set(batch, target, watermark=watermark, known_watermark=known)
 
     # Stage the typed change set once, each row tagged with the first rule it
     # fails (NULL when clean): the merge reads this table instead of listing,
@@ -94,30 +91,47 @@ def run_load(
     # rows stay inspectable next to the version they were part of.
     version_next = (current_version(spark, target_root) or 0) + 1
     stage = staging_path(target_root, version_next)
-    staged_counts = Observation("staged")
-    tagged = (
-        cast_call_records(changed)
-        .withColumn(REJECT_COLUMN, first_failed(CALL_RECORD_RULES))
-        .observe(
-            staged_counts,
-            F.count(F.lit(1)).alias("changed"),
-            F.count(REJECT_COLUMN).alias("rejected"),
-        )
-    )
+    tagged, counts = _tagged(changed)
     tagged.write.mode("overwrite").parquet(stage)
-    n_changed, n_rejected = int(staged_counts.get["changed"]), int(staged_counts.get["rejected"])
+    n_changed, n_rejected = int(counts.get["changed"]), int(counts.get["rejected"])
     if n_changed == 0:
         # No new files, or no row newer than the target: the live version
         # already holds the result.
-        return LoadResult(first_run, None, None)
+        return LoadResult(False, None, None)
     staged = spark.read.parquet(stage).drop(REJECT_COLUMN)
     merged = merge_incremental(target, staged, policy=policy, watermark=watermark, known_watermark=known)
     version, rows = publish(merged, target_root, single_file=single_file, watermark_column="updated_at")
     expire_versions(spark, target_root, keep_versions)
-    return LoadResult(first_run, version, rows, n_changed, n_rejected)
+    return LoadResult(False, version, rows, n_changed, n_rejected)
+
+
+def _tagged(changed: DataFrame) -> tuple[DataFrame, Observation]:
+    """Typed rows tagged with their first failed rule, with observed counts."""
+    counts = Observation("changed")
+    tagged = (
+        cast_call_records(changed)
+        .withColumn(REJECT_COLUMN, first_failed(CALL_RECORD_RULES))
+        .observe(counts, F.count(F.lit(1)).alias("changed"), F.count(REJECT_COLUMN).alias("rejected"))
+    )
+    return tagged, counts
+
+
+def _first_load(spark, source_path, target_root, schema, policy, single_file, keep_versions) -> LoadResult:
+    """First run: the whole input, in one pass. Nothing is staged — the
+    input may be the entire history, and a first-run merge reads its input
+    only once — so the counts are observed inside the publishing write."""
+    batch = read_files(spark, [source_path], schema)
+    if batch.isEmpty():
+        return LoadResult(True, None, None)
+    tagged, counts = _tagged(batch)
+    merged = merge_incremental(None, tagged.drop(REJECT_COLUMN), policy=policy)
+    version, rows = publish(merged, target_root, single_file=single_file, watermark_column="updated_at")
+    expire_versions(spark, target_root, keep_versions)
+    return LoadResult(True, version, rows, int(counts.get["changed"]), int(counts.get["rejected"]))
 
 
 def rejected_rows(spark: SparkSession, target_root: str, version: int) -> DataFrame:
-    """The rows of a run that failed the quality gate, with the first rule
-    each failed (kept while ``version`` is retained)."""
+    """The rows of an incremental run that failed the quality gate, with the
+    first rule each failed (kept while ``version`` is retained; first runs
+    report only the count)."""
     return spark.read.parquet(staging_path(target_root, version)).filter(F.col(REJECT_COLUMN).isNotNull())
