@@ -1,0 +1,43 @@
+"""Registered queries of the Jaccard join, HTML, licence and repeated-text operators."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tessera.llm import jaccard_join
+from tessera.llm.session import ready
+from tessera.sources.tables import read_table
+
+
+def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    got = jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+    return got.select("doc_id", "n_shingles", "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op1_jaccard,)}
+
+ORACLES = {
+    "op1_jaccard": r"""
+with recursive d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents
+), s as (
+  select distinct doc_id, array_to_string(w[i : i + least(len(w), 3) - 1], chr(31)) as g
+  from (select doc_id, w, unnest(range(1, len(w) - least(len(w), 3) + 2)) as i from d where len(w) > 0)
+), n as (
+  select doc_id, count(*) as n from s group by doc_id
+), pair as (
+  select a.doc_id as x, b.doc_id as y, count(*) as k from s a join s b on a.g = b.g and a.doc_id <> b.doc_id
+  group by 1, 2
+), link as (
+  select x, y from pair join n a on a.doc_id = x join n b on b.doc_id = y where 100 * k >= 90 * (a.n + b.n - k)
+), reach as (
+  select doc_id, doc_id as c from documents
+  union
+  select link.x, reach.c from reach join link on link.y = reach.doc_id
+)
+select reach.doc_id, any_value(coalesce(n.n, 0))::bigint as n_shingles, min(c) as component_id
+from reach left join n using (doc_id) group by reach.doc_id
+""",
+}
