@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import jaccard_join
+from tessera.llm import jaccard_join, license_scan
 from tessera.llm.session import ready
 from tessera.sources.tables import read_table
 
@@ -15,7 +16,14 @@ def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_jaccard,)}
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = license_scan.scan(read_table(spark, sf_dir, "documents"))
+    return got.select(
+        F.col("id").alias("doc_id"), "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_jaccard, op6_licenses)}
 
 ORACLES = {
     "op1_jaccard": r"""
