@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import jaccard_join, license_scan
+from tessera.llm import html_extract, jaccard_join, license_scan
+from tessera.llm.rowwise import unpacked
 from tessera.llm.session import ready
 from tessera.sources.tables import read_table
 
@@ -16,6 +17,11 @@ def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_shingles", "component_id")
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return unpacked(html_extract.extract(read_table(spark, sf_dir, "pages")), "text", "n_chars")
+
+
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = license_scan.scan(read_table(spark, sf_dir, "documents"))
     return got.select(
@@ -23,7 +29,7 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_jaccard, op6_licenses)}
+QUERIES = {f.__name__: f for f in (op1_jaccard, op4_html, op6_licenses)}
 
 ORACLES = {
     "op1_jaccard": r"""
