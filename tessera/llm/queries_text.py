@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import html_extract, jaccard_join, license_scan
-from tessera.llm.rowwise import unpacked
+from tessera.llm import html_extract, jaccard_join, license_scan, suffix_dedup
+from tessera.llm.rowwise import ROW, unpacked
 from tessera.llm.session import ready
 from tessera.sources.tables import read_table
 
@@ -29,7 +29,14 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_jaccard, op4_html, op6_licenses)}
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    got = suffix_dedup.dedup(read_table(spark, sf_dir, "documents"))
+    n_spans = F.size("spans").cast("long").alias("n_spans")
+    return got.select(f"{ROW}.doc_id", "n_bytes", "n_removed", n_spans, "kept_sha256")
+
+
+QUERIES = {f.__name__: f for f in (op1_jaccard, op4_html, op6_licenses, op7_suffix_dedup)}
 
 ORACLES = {
     "op1_jaccard": r"""
