@@ -2,7 +2,9 @@
 
 ``STAGES`` lists the stages; each works on all rows that its predecessor kept.
 The stages that filter or edit return the columns of ``documents``; the last
-returns the packed pieces.
+returns the packed pieces. NULL ids and texts, empty texts and empty tables pass
+as each operator defines: an empty text fails the quality rules, a row without
+an id is in no group of copies.
 """
 
 from __future__ import annotations
@@ -10,9 +12,11 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import bestfit_packing, decontaminate, pii_crf, quality_rules
-from tessera.llm.queries import ready, tokenizer_path
+from tessera.llm import bestfit_packing, decontaminate, jaccard_join, pii_crf, quality_rules
+from tessera.llm.rowwise import unpacked
+from tessera.llm.session import ready, tokenizer_path
 from tessera.sources.tables import read_table
 from tessera.util import shared_scratch
 
@@ -23,7 +27,45 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.kept_rows(docs)
 
 
-STAGES = [("quality_rules", quality)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group of copies (five words, similarity 0.8): the one with the smallest id.
+
+    A row listed twice under one id stays once.
+    """
+    ready(spark)
+    groups = jaccard_join.jaccard_components(docs, n=5, num=8, den=10)
+    stay = groups.where("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.where("doc_id is not null").join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of the benchmark."""
+    ready(spark)
+    return decontaminate.clean_rows(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with personal data masked; ``n_chars`` follows the text."""
+    ready(spark)
+    out = pii_crf.masked_rows(docs)
+    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' pieces, packed into sequences."""
+    ready(spark)
+    got = bestfit_packing.best_fit_pack(docs, tokenizer_path())
+    return unpacked(got, "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+STAGES = [
+    ("quality_rules", quality),
+    ("ngram_jaccard", near_duplicates),
+    ("decontamination", decontamination),
+    ("personal_data", personal_data),
+    ("bestfit_packing", packing),
+]
 
 #: Tokens, a trained model and a packing search: not expressible in SQL.
 ORACLE_SQL = None
