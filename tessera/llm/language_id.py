@@ -12,7 +12,9 @@ letter follow their neighbours. Ties go to the language first in name order.
 Repeated rows are labelled one by one; texts are read whole.
 
 The model is fitted on a bounded sample: the ``rows_per_lang`` labelled rows of
-each language that come first in the order of a hash of the text.
+each language that come first in the order of a hash of the row's id. A first
+count sets a threshold on that hash, so that about twice as many rows leave the
+scan, however many there are.
 """
 
 from __future__ import annotations
@@ -78,12 +80,28 @@ def _grams(data: np.ndarray) -> np.ndarray:
     return (mix(p[:-2] << np.uint64(16) | p[1:-1] << np.uint64(8) | p[2:]) >> np.uint64(48)).astype(np.int64)
 
 
-def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", rows_per_lang: int = ROWS_PER_LANG) -> Model:
+def fit(
+    labelled: DataFrame,
+    text: str = "text",
+    lang: str = "lang",
+    key: str = "doc_id",
+    rows_per_lang: int = ROWS_PER_LANG,
+) -> Model:
     """Learn from a bounded sample of rows with a language and a text."""
-    rows = labelled.select(F.col(f"`{text}`").cast("string").alias("t"), F.col(f"`{lang}`").cast("string").alias("l"))
-    rows = rows.where("t is not null and l is not null")
-    nth = F.row_number().over(Window.partitionBy("l").orderBy(F.xxhash64("t"), "t"))
-    sample = rows.withColumn("_n", nth).where(F.col("_n") <= rows_per_lang).select("l", "t")
+    rows = labelled.select(
+        F.col(f"`{text}`").cast("string").alias("t"),
+        F.col(f"`{lang}`").cast("string").alias("l"),
+        F.xxhash64(F.col(f"`{key}`")).alias("h"),
+    ).where("t is not null and l is not null")
+    counts = rows.groupBy("l").agg(F.count("*").alias("n")).limit(MOST_LANGS + 1).collect()
+    if len(counts) > MOST_LANGS:
+        raise ValueError(f"more than {MOST_LANGS} languages")
+    below = F.lit(0)
+    for r in counts:
+        below = F.when(F.col("l") == r["l"], -(-(2 * rows_per_lang << 20) // r["n"])).otherwise(below)
+    sample = rows.where(F.pmod("h", F.lit(1 << 20)) < below)
+    nth = F.row_number().over(Window.partitionBy("l").orderBy("h", "t"))
+    sample = sample.withColumn("_n", nth).where(F.col("_n") <= rows_per_lang).select("l", "t")
     schema = "l string, grams binary, scripts binary"
 
     def count(batches):
@@ -107,9 +125,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", rows_per_la
         parts["grams"], parts["scripts"] = [grams.tobytes()], [scripts.tobytes()]
         return parts
 
-    found = sample.mapInArrow(count, schema).groupBy("l").applyInPandas(add, schema).limit(MOST_LANGS + 1).collect()
-    if len(found) > MOST_LANGS:
-        raise ValueError(f"more than {MOST_LANGS} languages")
+    found = sample.mapInArrow(count, schema).groupBy("l").applyInPandas(add, schema).collect()
     found.sort(key=lambda r: r["l"])
     grams = np.array([np.frombuffer(r["grams"], "<i8") for r in found], float).reshape(len(found), BUCKETS).T
     scripts = np.array([np.frombuffer(r["scripts"], "<i8") for r in found], float).reshape(len(found), len(SCRIPTS)).T

@@ -6,7 +6,6 @@ output (spans, items, pieces); the work is the operator's.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,35 +14,30 @@ from pyspark.sql import functions as F
 from tessera.llm import (
     bestfit_packing,
     decontaminate,
+    html_extract,
+    jaccard_join,
     language_id,
+    license_scan,
     pii_crf,
     quality_rules,
+    suffix_dedup,
     toxicity,
 )
 from tessera.llm.rowwise import ROW, unpacked
+from tessera.llm.session import ready, tokenizer_path
 from tessera.sources.tables import read_table
 
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-
-def ready(spark: SparkSession) -> None:
-    """Let Python workers import this package wherever the driver was started."""
-    env = spark.sparkContext.environment
-    if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
-        env["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, env.get("PYTHONPATH", "")]))
-
-
-def tokenizer_path() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path("word_bpe_49k.json")
-
-
 def fold(n: int) -> Column:
     """crc32 of the id as text, modulo n."""
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n))
 
 
+def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    got = jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+    return got.select("doc_id", "n_shingles", "component_id")
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
@@ -71,6 +65,11 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return unpacked(html_extract.extract(read_table(spark, sf_dir, "pages")), "text", "n_chars")
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     book = quality_rules.apply_policy(quality_rules.ledger(read_table(spark, sf_dir, "documents")))
@@ -88,6 +87,20 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = license_scan.scan(read_table(spark, sf_dir, "documents"))
+    return got.select(
+        F.col("id").alias("doc_id"), "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
+    )
+
+
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    got = suffix_dedup.dedup(read_table(spark, sf_dir, "documents"))
+    n_spans = F.size("spans").cast("long").alias("n_spans")
+    return got.select(f"{ROW}.doc_id", "n_bytes", "n_removed", n_spans, "kept_sha256")
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     docs = read_table(spark, sf_dir, "documents")
@@ -124,7 +137,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_toxicity, op3_pii, op5_quality, op8_language, op9_decontaminate, op10_packing)
+    for f in (
+        op1_jaccard,
+        op2_toxicity,
+        op3_pii,
+        op4_html,
+        op5_quality,
+        op6_licenses,
+        op7_suffix_dedup,
+        op8_language,
+        op9_decontaminate,
+        op10_packing,
+    )
 }
 
 #: words of a text, as DuckDB lists
@@ -135,6 +159,28 @@ _ALNUM_WORDS = (
 )
 
 ORACLES: dict[str, str] = {
+    "op1_jaccard": r"""
+with recursive d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents
+), s as (
+  select distinct doc_id, array_to_string(w[i : i + least(len(w), 3) - 1], chr(31)) as g
+  from (select doc_id, w, unnest(range(1, len(w) - least(len(w), 3) + 2)) as i from d where len(w) > 0)
+), n as (
+  select doc_id, count(*) as n from s group by doc_id
+), pair as (
+  select a.doc_id as x, b.doc_id as y, count(*) as k from s a join s b on a.g = b.g and a.doc_id <> b.doc_id
+  group by 1, 2
+), link as (
+  select x, y from pair join n a on a.doc_id = x join n b on b.doc_id = y where 100 * k >= 90 * (a.n + b.n - k)
+), reach as (
+  select doc_id, doc_id as c from documents
+  union
+  select link.x, reach.c from reach join link on link.y = reach.doc_id
+)
+select reach.doc_id, any_value(coalesce(n.n, 0))::bigint as n_shingles, min(c) as component_id
+from reach left join n using (doc_id) group by reach.doc_id
+""",
     "op5_quality": rf"""
 with d as (
   select row_number() over () as r, doc_id, coalesce(text, '') as t, {_PLAIN_WORDS} as w from documents

@@ -14,3 +14,10 @@ def ready(spark: SparkSession) -> None:
     env = spark.sparkContext.environment
     if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, env.get("PYTHONPATH", "")]))
+
+
+def tokenizer_path() -> str:
+    """The packing tokenizer's public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
