@@ -1,20 +1,27 @@
 """Parquet file-set scans (SRC-5 … SRC-10, SET-2).
 
-* ``read_files`` — many paths as one table. Paths are grouped by their
-  physical schema (one footer read per path), each group is scanned once and
-  cast to the declared schema, and the groups are unioned by name. One group
-  is the common case and gives a single scan.
+* ``read_files`` — many paths, or folders of files, as one table. The footer of
+  every file is read once, in one distributed pass over the listed files; files
+  are grouped by physical schema, each group is one scan cast to the declared
+  schema, and the groups are unioned by name. So a column that only some files
+  have keeps its values, and a column whose type drifts between files reads.
 * ``read_changed_files`` — only files modified after a point in time, using
   the reader's ``modifiedAfter`` filter (applied while listing, so old files
   are never opened).
 * ``target_exists`` / ``read_parquet_or_none`` — the first-run probe.
 * ``empty_frame`` — a typed empty table, so "no input" flows through the same
   plan instead of a special exit.
+
+Building a frame takes the same number of Spark jobs however many files there
+are: one listing, one footer pass, and one parallel listing per schema group.
+The driver holds the file names, as any Spark file scan does.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import warnings
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -40,17 +47,12 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(cols)
 
 
-# File names the drop-folder readers take; other objects in the folder (logs,
-# markers, uploads in progress under another name) are skipped when listing.
-PARQUET_NAMES = "*.parquet"
-
-
 def _reader(spark: SparkSession, recursive: bool, modified_after: str | None = None):
-    """``recursive`` reads every Parquet file below a directory (a drop folder
-    with sub-folders per day), without partition discovery."""
+    """``recursive`` reads every file below a directory (a drop folder with
+    sub-folders per day), without partition discovery."""
     reader = spark.read
     if recursive:
-        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", PARQUET_NAMES)
+        reader = reader.option("recursiveFileLookup", "true")
     if modified_after is not None:
         reader = reader.option("modifiedAfter", modified_after)
     return reader
@@ -65,23 +67,64 @@ def read_parquet_or_none(spark: SparkSession, path: str, recursive: bool = False
         raise
 
 
-# Concurrent footer reads when probing many paths' schemas on the driver.
-PROBE_THREADS = 16
-
-
-def _probe_schemas(spark: SparkSession, paths: list[str], recursive: bool) -> list[T.StructType | None]:
-    """Physical schema of each path (None where nothing is readable), read
-    concurrently: one listing and footer read per path."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    def probe(p: str) -> T.StructType | None:
-        found = read_parquet_or_none(spark, p, recursive)
-        return None if found is None else found.schema
-
-    if len(paths) <= 1:
-        return [probe(p) for p in paths]
-    with ThreadPoolExecutor(max_workers=min(PROBE_THREADS, len(paths))) as pool:
-        return list(pool.map(probe, paths))
+FOOTERS = "path string, layout string, ok boolean"
+
+
+def _read_footers(batches):
+    """(path, physical schema text, readable) per file, on the executors."""
+    import pandas as pd
+    import pyarrow.parquet as pq
+    from pyarrow import ArrowInvalid
+    from pyarrow.fs import FileSystem
+
+    for paths in batches:
+        out = []
+        for path in paths["path"]:
+            fs, name = FileSystem.from_uri(path)
+            try:
+                footer = pq.read_schema(name, filesystem=fs)
+                layout = "\n".join(f"{f.name}: {f.type}" for f in footer)
+                out.append((path, layout, True))
+            except ArrowInvalid:  # not a Parquet file
+                out.append((path, "", False))
+        yield pd.DataFrame(out, columns=["path", "layout", "ok"])
+
+
+def file_layouts(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The physical schema of every file, read in one distributed pass."""
+    width = max(1, min(len(paths), 4 * spark.sparkContext.defaultParallelism))
+    names = spark.createDataFrame([(p,) for p in paths], "path string").repartition(width)
+    return names.mapInPandas(_read_footers, FOOTERS)
+
+
+class ForeignFiles(ValueError):
+    """The input holds files that are not Parquet."""
+
+
+def _groups(spark: SparkSession, paths: list[str], foreign: str) -> list[list[str]]:
+    """The paths grouped by physical schema; ``foreign`` files are refused or reported."""
+    found: dict[str, list[str]] = {}
+    other = []
+    for r in file_layouts(spark, paths).collect():
+        found.setdefault(r["layout"], []).append(r["path"]) if r["ok"] else other.append(r["path"])
+    if other:
+        text = f"{len(other)} files are not Parquet: {', '.join(sorted(other)[:10])}"
+        if foreign != "skip":
+            raise ForeignFiles(text)
+        warnings.warn(text, stacklevel=3)
+    return [sorted(found[k]) for k in sorted(found)]
+
+
+@contextmanager
+def _parallel_listing(spark: SparkSession):
+    """List explicit paths on the executors, whatever their number."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.threshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "0")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def target_exists(spark: SparkSession, path: str) -> bool:
@@ -96,39 +139,34 @@ def read_files(
     modified_after: str | None = None,
     recursive: bool = True,
     group_by_schema: bool = True,
+    foreign: str = "error",
 ) -> DataFrame:
-    """All ``paths`` as one table conforming to ``schema`` (SRC-5, SET-2).
-
-    ``schema=None`` takes the first path's schema. No paths gives an empty
-    table of ``schema`` (SRC-10). ``group_by_schema=False`` skips the
-    per-path schema probe (one listing and footer read per path on the
-    driver) and scans everything at once with the declared schema — the fast
-    path for many paths whose files are known to share their types."""
-    reader = _reader(spark, recursive, modified_after)
-    if not paths:
-        if schema is None:
-            raise ValueError("an empty file set needs a declared schema")
-        return empty_frame(spark, schema)
-    if not group_by_schema and schema is not None:
-        return reader.schema(schema).parquet(*paths)
-    groups: dict[str, tuple[T.StructType, list[str]]] = {}
-    for p, schema_found in zip(paths, _probe_schemas(spark, paths, recursive)):
-        if schema_found is None:
-            continue
-        groups.setdefault(schema_found.simpleString(), (schema_found, []))[1].append(p)
-    if not groups:
-        if schema is None:
+    """All files below ``paths`` as one table conforming to ``schema`` (SRC-5, SET-2).
+
+    ``schema=None`` takes the columns of all files (the first type found for a
+    column). No files give an empty table of ``schema`` (SRC-10). Files that are
+    not Parquet fail the read (``foreign="skip"`` leaves them out with a
+    warning that names them). ``group_by_schema=False`` scans everything at once
+    with the declared schema — for file sets known to share their types."""
+    if paths and not group_by_schema and schema is not None:
+        return _reader(spark, recursive, modified_after).schema(schema).parquet(*paths)
+    files = changed_file_paths(spark, paths, modified_after, recursive) if paths else []
+    frames = []
+    with _parallel_listing(spark):
+        for group in _groups(spark, files, foreign) if files else []:
+            frames.append(spark.read.parquet(*group))
+    if schema is None:
+        if not frames:
             raise ValueError(f"no readable files in {paths} and no declared schema")
+        fields: dict[str, T.StructField] = {}
+        for f in (f for frame in frames for f in frame.schema.fields):
+            fields.setdefault(f.name, f)
+        schema = T.StructType(list(fields.values()))
+    if not frames:
         return empty_frame(spark, schema)
-    if schema is None:
-        schema = next(iter(groups.values()))[0]
-    frames = [
-        conform(reader.schema(physical).parquet(*group_paths), schema)
-        for physical, group_paths in groups.values()
-    ]
-    out = frames[0]
+    out = conform(frames[0], schema)
     for other in frames[1:]:
-        out = out.unionByName(other)
+        out = out.unionByName(conform(other, schema))
     return out
 
 
@@ -141,15 +179,25 @@ def since_hours_ago(hours: float, now: dt.datetime | None = None, time_zone: str
     return (now - dt.timedelta(hours=hours)).astimezone(ZoneInfo(time_zone)).strftime("%Y-%m-%dT%H:%M:%S")
 
 
-def changed_file_paths(spark: SparkSession, path: str, since: str, recursive: bool = True) -> list[str]:
-    """Paths of the files under ``path`` modified strictly after ``since``.
+def changed_file_paths(
+    spark: SparkSession, path: str | list[str], since: str | None = None, recursive: bool = True
+) -> list[str]:
+    """Paths of the files under ``path`` modified strictly after ``since`` (all without it).
 
     Listed by a scan that reads no data column (only the file-path metadata
-    column), so files of any physical schema can be listed together. The
-    list is file metadata, one entry per file."""
-    listing = _reader(spark, recursive, since).schema(T.StructType([])).parquet(path)
-    rows = listing.select(F.col("_metadata.file_path").alias("p")).distinct().collect()
-    return sorted(r["p"] for r in rows)
+    column of the binary reader, which opens no file), so files of any kind can
+    be listed together. The list is file metadata, one entry per file; missing
+    paths hold no files."""
+    found: list[str] = []
+    for p in [path] if isinstance(path, str) else path:
+        try:
+            listing = _reader(spark, recursive, since).format("binaryFile").load(p)
+        except AnalysisException as e:
+            if e.getCondition() in MISSING_TABLE_CONDITIONS:
+                continue
+            raise
+        found += listing.inputFiles()
+    return sorted(set(found))
 
 
 def read_changed_files(
@@ -159,27 +207,14 @@ def read_changed_files(
     schema: T.StructType | None = None,
     recursive: bool = True,
     group_by_schema: bool = True,
+    foreign: str = "error",
 ) -> DataFrame:
     """Files under ``path`` modified strictly after ``since`` (SRC-9).
 
-    A declared schema keeps the result typed when nothing matches. With
-    ``group_by_schema`` the changed files are grouped by physical schema and
-    each group is cast to the declared one, as ``read_files`` does, so a day
-    whose files disagree on a column type (``id`` as bigint in one file and
-    double in another) still reads; ``False`` is a single scan for file sets
-    known to share their types."""
-    reader = _reader(spark, recursive, since)
+    A declared schema keeps the result typed when nothing matches; without one
+    the columns come from all files under ``path``. The changed files are
+    grouped by physical schema as ``read_files`` does; ``group_by_schema=False``
+    is a single scan for file sets known to share their types."""
     if schema is None:
-        base = read_parquet_or_none(spark, path, recursive)
-        if base is None:
-            raise ValueError(f"nothing to read at {path} and no declared schema")
-        schema = base.schema
-    if not group_by_schema:
-        return reader.schema(schema).parquet(path)
-    try:
-        paths = changed_file_paths(spark, path, since, recursive)
-    except AnalysisException as e:
-        if e.getCondition() in MISSING_TABLE_CONDITIONS:
-            return empty_frame(spark, schema)
-        raise
-    return read_files(spark, paths, schema, recursive=False)
+        schema = read_files(spark, [path], recursive=recursive, foreign=foreign).schema
+    return read_files(spark, [path], schema, since, recursive, group_by_schema, foreign)

@@ -5,6 +5,7 @@ import glob
 import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.sources import files
@@ -99,13 +100,55 @@ def test_changed_files_with_drifting_types(spark, tmp_path):
     assert got.schema == schema
 
 
-def test_drop_folder_skips_other_objects(spark, tmp_path):
+def test_drop_folder_reports_other_objects(spark, tmp_path):
     root = tmp_path / "drop"
-    spark.range(3).write.parquet(str(root / "day1"))
+    spark.range(3).coalesce(1).write.parquet(str(root / "day1"))
     (root / "day1" / "notes.txt").write_text("not a table")
+    # A Parquet object counts whatever its name.
+    part = glob.glob(str(root / "day1" / "part-*.parquet"))[0]
+    os.makedirs(root / "day2")
+    (root / "day2" / "upload.000").write_bytes(open(part, "rb").read())
     schema = spark.createDataFrame([], "id bigint").schema
-    assert files.read_files(spark, [str(root)], schema).count() == 3
-    assert files.read_changed_files(spark, str(root), files.since_hours_ago(24), schema).count() == 3
+    with pytest.raises(files.ForeignFiles, match="notes.txt"):
+        files.read_files(spark, [str(root)], schema)
+    with pytest.warns(UserWarning, match="notes.txt"):
+        assert files.read_files(spark, [str(root)], schema, foreign="skip").count() == 6
+    since = files.since_hours_ago(24)
+    with pytest.warns(UserWarning, match="notes.txt"):
+        assert files.read_changed_files(spark, str(root), since, schema, foreign="skip").count() == 6
+
+
+def test_every_footer_of_a_folder_counts(spark, tmp_path):
+    path = str(tmp_path / "mixed")
+    rows = spark.range(100).select("id", (F.col("id") / 4).alias("cost"))
+    rows.coalesce(1).write.parquet(path)
+    rows.drop("cost").coalesce(1).write.mode("append").parquet(path)
+    rows.withColumn("id", F.col("id").cast("double")).coalesce(1).write.mode("append").parquet(path)
+    schema = spark.createDataFrame([], "id double, cost double").schema
+    got = files.read_files(spark, [path], schema)
+    assert got.count() == 300 and got.where("cost is not null").count() == 200
+    assert set(files.read_files(spark, [path]).columns) == {"id", "cost"}
+
+
+def _jobs(spark, build):
+    group = f"count-{time.time_ns()}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        build()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_the_number_of_jobs_does_not_grow_with_the_files(spark, tmp_path):
+    schema = spark.createDataFrame([], "id double").schema
+    jobs = []
+    for n in (20, 200):
+        path = str(tmp_path / str(n))
+        spark.range(0, n, 1, n).write.parquet(path)
+        assert len(glob.glob(path + "/*.parquet")) == n
+        jobs.append(_jobs(spark, lambda: files.read_files(spark, [path], schema)))
+    assert jobs[0] == jobs[1] <= 5
 
 
 def test_since_text_is_in_the_session_zone():
