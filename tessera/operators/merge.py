@@ -5,9 +5,12 @@ The watermark stays a scalar subquery (``DataFrame.scalar()``) instead of a
 value collected to the driver, so it is computed inside the same query and
 pushed into the batch scan at run time; a watermark recorded when the target
 was published can be passed instead (``known_watermark``), which spares the
-scan. The anti join broadcasts the de-duplicated change ids when a bounded
-count proves them few, so the target is never shuffled; otherwise it is a
-sort-merge anti join whose skewed partitions adaptive execution splits.
+scan. No plan counts anything while it is built: adaptive execution picks the
+anti join from the measured size of the de-duplicated ids, and the load passes
+``few_ids`` where the staged change set has been counted, so that the target is
+probed in place instead of shuffled. In the sort-merge form both sides are
+shuffles of the join's own (``util.own_exchange``), which is what lets adaptive
+execution split a hot id.
 Latest-per-key uses ``row_number() = 1``, which Spark plans with a partial
 ``WindowGroupLimit`` before the shuffle, so even a key holding a third of all
 rows ships at most one row per input partition.
@@ -31,16 +34,14 @@ from pyspark.sql import functions as F
 
 from tessera.functions.casts import cast_call_records
 from tessera.operators.rules import CALL_RECORD_RULES, Rule, clean
-from tessera.util import bounded_broadcast
+from tessera.util import own_exchange
 
 KEY = "id"
 TS = "updated_at"
 
-# Largest change-id set the anti join broadcasts (about 80 MiB as a hashed
-# long set). Below it the target — the big side, rewritten every run — is
-# scanned and probed in place instead of being shuffled; above it the join is
-# a sort-merge join.
-ANTI_JOIN_BROADCAST_IDS = 5_000_000
+# Rows of a counted change set up to which its ids are broadcast: at most about
+# 100 bytes each as a hashed row, 100 MB.
+FEW_IDS = 1_000_000
 
 
 def watermark(target: DataFrame, ts: str = TS) -> DataFrame:
@@ -80,18 +81,14 @@ def changed_rows_per_key(batch: DataFrame, target: DataFrame, key: str = KEY, ts
     the target does not hold are all new. Unlike the global watermark this
     never drops a late row for an id that has not moved on.
 
-    The target is first cut to the batch's ids with a semi join (the id set
-    is broadcast when a bounded count proves it small, so the target is only
-    scanned), then reduced to (id, latest timestamp) with a partial aggregate;
-    a hot id on the batch side is split by adaptive skew-join handling."""
-    batch_ids = bounded_broadcast(batch.select(key).distinct(), ANTI_JOIN_BROADCAST_IDS)
-    stored = (
-        target.join(batch_ids, on=key, how="left_semi")
-        .groupBy(key)
-        .agg(F.max(ts).alias("_stored_ts"))
-    )
+    The target is first cut to the batch's ids with a semi join, then reduced
+    to (id, latest timestamp) with a partial aggregate; a hot id on the target
+    side of the one join or on the batch side of the other is split by adaptive
+    skew-join handling."""
+    batch_ids = own_exchange(batch.select(key).distinct())
+    stored = target.join(batch_ids, on=key, how="left_semi").groupBy(key).agg(F.max(ts).alias("_stored_ts"))
     newer = F.col("_stored_ts").isNull() | (F.col(ts) > F.col("_stored_ts"))
-    return batch.join(stored, on=key, how="left").filter(newer).drop("_stored_ts")
+    return batch.join(own_exchange(stored), on=key, how="left").filter(newer).drop("_stored_ts")
 
 
 def changed_set(
@@ -114,23 +111,18 @@ def changed_ids(changed: DataFrame, key: str = KEY) -> DataFrame:
     return changed.select(key).distinct()
 
 
-def unchanged_rows(
-    target: DataFrame,
-    ids: DataFrame,
-    key: str = KEY,
-    broadcast_max_ids: int = ANTI_JOIN_BROADCAST_IDS,
-) -> DataFrame:
+def unchanged_rows(target: DataFrame, ids: DataFrame, key: str = KEY, few_ids: bool = False) -> DataFrame:
     """Target rows whose id is not in ``ids`` (left anti join, JOIN-1).
 
     NULL never equals NULL, so target rows with a NULL id always survive.
     The ids are de-duplicated first (a partial aggregate collapses a hot id to
-    one row per map task). When a bounded count proves at most
-    ``broadcast_max_ids`` distinct ids, they are broadcast and the target is
-    not shuffled at all; otherwise the planner runs a sort-merge anti join, in
-    which the de-duplication's exchange is the join's own and a hot id on the
-    target side is split by adaptive skew-join handling."""
-    distinct_ids = bounded_broadcast(ids.select(key).distinct(), broadcast_max_ids)
-    return target.join(distinct_ids, on=key, how="left_anti")
+    one row per map task). With ``few_ids`` — the caller has counted at most
+    ``FEW_IDS`` of them — they are broadcast and the target is not shuffled;
+    otherwise adaptive execution decides from their measured size, and a hot
+    id of the target is split in the sort-merge join."""
+    distinct_ids = ids.select(key).distinct()
+    other = F.broadcast(distinct_ids) if few_ids else own_exchange(distinct_ids)
+    return target.join(other, on=key, how="left_anti")
 
 
 def union_by_name(first: DataFrame, second: DataFrame) -> DataFrame:
@@ -168,10 +160,11 @@ def merge_as_coded(
     watermark: str = "global",
     allowed_lateness: str | None = None,
     known_watermark: Column | None = None,
+    few_ids: bool = False,
 ) -> DataFrame:
     """Watermark → change ids (before cleaning) → anti join → clean → union."""
     changed = changed_set(batch, target, key, ts, watermark, allowed_lateness, known_watermark)
-    unchanged = unchanged_rows(target, changed, key)
+    unchanged = unchanged_rows(target, changed, key, few_ids)
     gated = clean(cast_call_records(changed), rules)
     return union_by_name(unchanged, gated)
 
@@ -186,6 +179,7 @@ def merge_unique(
     watermark: str = "global",
     allowed_lateness: str | None = None,
     known_watermark: Column | None = None,
+    few_ids: bool = False,
 ) -> DataFrame:
     """Clean first, keep the latest version per id, replace only ids whose
     new version passed the gate. ``target`` is expected to hold one row per
@@ -197,8 +191,8 @@ def merge_unique(
     gated = clean(cast_call_records(changed), rules)
     latest = latest_per_key(gated, key, ts, tie_breakers)
     # The ids to replace are the gated ids (the same set as ``latest``'s), so
-    # the anti join — and its size check — need no window computation.
-    return union_by_name(unchanged_rows(target, gated, key), latest)
+    # the anti join needs no window computation.
+    return union_by_name(unchanged_rows(target, gated, key, few_ids), latest)
 
 
 POLICIES = {"as_coded": merge_as_coded, "unique": merge_unique}
@@ -215,6 +209,7 @@ def merge_incremental(
     watermark: str = "global",
     allowed_lateness: str | None = None,
     known_watermark: Column | None = None,
+    few_ids: bool = False,
 ) -> DataFrame:
     """The load's transform. ``target=None`` (or an empty target) is a first
     run: every batch row is cleaned (rows with a NULL timestamp are kept, as
@@ -224,5 +219,7 @@ def merge_incremental(
         gated = clean(cast_call_records(batch), rules)
         return latest_per_key(gated, key, ts, tie_breakers) if policy == "unique" else gated
     if policy == "unique":
-        return merge_unique(target, batch, rules, key, ts, tie_breakers, watermark, allowed_lateness, known_watermark)
-    return merge_as_coded(target, batch, rules, key, ts, watermark, allowed_lateness, known_watermark)
+        return merge_unique(
+            target, batch, rules, key, ts, tie_breakers, watermark, allowed_lateness, known_watermark, few_ids
+        )
+    return merge_as_coded(target, batch, rules, key, ts, watermark, allowed_lateness, known_watermark, few_ids)

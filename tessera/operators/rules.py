@@ -108,10 +108,13 @@ def first_failed(rules: list[Rule]) -> Column:
 
 
 def rejects(df: DataFrame, rules: list[Rule] = CALL_RECORD_RULES) -> DataFrame:
-    """Rows failing at least one rule, with the first failed rule's name."""
-    return df.filter(~F.coalesce(all_pass(rules), F.lit(False))).withColumn(
-        "failed_rule", first_failed(rules)
-    )
+    """Rows failing at least one rule, with the first failed rule's name.
+
+    The rules are evaluated once: the name is NULL exactly where all pass, and
+    the filter reads the name. The observation between the two keeps the
+    optimizer from copying the rules into the filter."""
+    named = df.withColumn("failed_rule", first_failed(rules))
+    return named.observe("rule check", F.count("failed_rule").alias("rejected")).filter("failed_rule is not null")
 
 
 def rule_report(df: DataFrame, rules: list[Rule] = CALL_RECORD_RULES) -> DataFrame:

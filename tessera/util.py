@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -27,6 +29,18 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     return df
 
 
+def own_exchange(df: DataFrame) -> DataFrame:
+    """``df`` with unknown partitioning, so that a join shuffles it itself.
+
+    Adaptive skew-join handling splits a hot key only where both join inputs
+    are shuffles of the join's own; an aggregate on the join key that the
+    planner would reuse as the input's partitioning switches it off for the
+    other side too. The narrow coalesce to more partitions than there can be
+    moves nothing; it only hides the partitioning, at the cost of one shuffle
+    of the (small, aggregated) side."""
+    return df.coalesce(1 << 20)
+
+
 def shared_scratch(spark: SparkSession, name: str) -> str:
     """A fresh directory under the cluster's shared checkpoint folder.
 
@@ -41,6 +55,7 @@ def shared_scratch(spark: SparkSession, name: str) -> str:
         if not master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         base = tempfile.mkdtemp(prefix="tessera-ckpt-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)  # ours, and only local runs have it
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
     return os.path.join(base, "tessera", f"{name}-{uuid.uuid4().hex[:12]}")

@@ -49,18 +49,72 @@ def test_top_k_is_take_ordered(spark):
     assert "TakeOrderedAndProject" in _plan(df)
 
 
-def test_small_change_set_is_broadcast_and_large_is_not(spark):
-    # As in the tuned session: no broadcast from static size estimates.
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_a_counted_change_set_is_broadcast(spark):
+    target = fx.target_records(spark, SMALL_SF)
+    changed = merge.changed_rows(fx.batch_records(spark, SMALL_SF), target)
+    assert "BroadcastHashJoin LeftAnti" in _plan(merge.unchanged_rows(target, changed, few_ids=True))
+
+
+@contextlib.contextmanager
+def _conf(spark, **values):
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+SKEWED = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.shuffle.partitions": "16",
+}
+
+
+def _final_plan(df) -> str:
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_hot_id_is_split_in_the_merge_joins(spark):
+    from pyspark.sql import functions as F
+
+    with _conf(spark, **SKEWED):
+        # a third of all rows have id 7
+        rows = spark.range(0, 60_000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("id"),
+            F.timestamp_seconds("id").cast("timestamp_ntz").alias("updated_at"),
+            F.sha2(F.col("id").cast("string"), 256).alias("pad"),
+        )
+        ids = spark.range(0, 60_000, 5).select("id")
+        assert "SortMergeJoin(skew=true)" in _final_plan(merge.unchanged_rows(rows, ids))
+        target = rows.where("id % 2 = 1")
+        assert "SortMergeJoin(skew=true)" in _final_plan(merge.changed_rows_per_key(rows, target))
+
+
+def test_building_a_merge_runs_no_jobs(spark):
+    target, batch = fx.target_records(spark, SMALL_SF), fx.batch_records(spark, SMALL_SF)
+    group = "build-merge"
+    spark.sparkContext.setJobGroup(group, group)
     try:
-        target = fx.target_records(spark, SMALL_SF)
-        changed = merge.changed_rows(fx.batch_records(spark, SMALL_SF), target)
-        assert "BroadcastHashJoin LeftAnti" in _plan(merge.unchanged_rows(target, changed))
-        plan = _plan(merge.unchanged_rows(target, changed, broadcast_max_ids=1))
-        assert "SortMergeJoin LeftAnti" in plan
+        merge.merge_unique(target, batch)
+        merge.merge_unique(target, batch, watermark="per_key")
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == 0
+
+
+def test_rejects_evaluate_the_rules_once(spark):
+    from tessera.functions.casts import cast_call_records
+    from tessera.operators.rules import rejects
+
+    df = rejects(cast_call_records(fx.call_records(spark, SMALL_SF)))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("RLIKE") == 6
 
 
 def test_clean_pushes_membership_and_id_checks_into_the_scan(spark, tmp_path):
@@ -77,9 +131,9 @@ def test_clean_pushes_membership_and_id_checks_into_the_scan(spark, tmp_path):
 
 
 def test_no_registered_query_runs_python(spark):
-    import __spark_entry__ as entry
+    from tessera.plans import catalog
 
-    for name, fn in entry.queries().items():
+    for name, fn in catalog.QUERIES.items():
         if name in ("stream_incremental_load", "batch_incremental_load"):
             continue  # two load runs each; their merge is the one checked above
         plan = _plan(fn(spark, SMALL_SF))
