@@ -24,10 +24,16 @@ def to_double(c: Column | str) -> Column:
     return c.try_cast("double")
 
 
-def to_timestamp_ntz(c: Column | str) -> Column:
-    """Zone-less timestamp; strings are parsed, timestamps keep their wall clock."""
+def to_timestamp_ntz(c: Column | str, source: T.DataType | None = None) -> Column:
+    """Zone-less timestamp of the session time zone.
+
+    A string with an offset is the instant it names, shown in the session time
+    zone; one without is taken as written. A column known to be zone-less
+    (``source``) passes through unchanged."""
     c = F.col(c) if isinstance(c, str) else c
-    return c.try_cast("timestamp_ntz")
+    if isinstance(source, T.TimestampNTZType):
+        return c
+    return c.try_cast("timestamp").try_cast("timestamp_ntz")
 
 
 # Target type of each call-record column that arrives loosely typed.
@@ -43,7 +49,12 @@ CALL_RECORD_CASTS = {
 
 def cast_columns(df: DataFrame, casts: dict) -> DataFrame:
     """Replace each present column by its tolerant cast, in one projection."""
-    present = {name: fn(name) for name, fn in casts.items() if name in df.columns}
+    types = {f.name: f.dataType for f in df.schema.fields}
+    present = {
+        name: fn(name, types[name]) if fn is to_timestamp_ntz else fn(name)
+        for name, fn in casts.items()
+        if name in types
+    }
     return df.withColumns(present) if present else df
 
 

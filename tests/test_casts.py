@@ -20,6 +20,20 @@ def test_double_and_timestamp_casts(spark):
     assert dict(df.select(casts.to_timestamp_ntz("t").alias("ts")).dtypes)["ts"] == "timestamp_ntz"
 
 
+def test_offsets_name_instants_of_the_session_zone(spark):
+    from tests.test_plans import _conf
+
+    df = spark.createDataFrame([("2024-01-01T10:00:00+05:00",), ("2024-01-01 10:00:00",)], "t string")
+    for zone, shown in (("UTC", "2024-01-01 05:00:00"), ("America/New_York", "2024-01-01 00:00:00")):
+        with _conf(spark, **{"spark.sql.session.timeZone": zone}):
+            got = [str(r["ts"]) for r in df.select(casts.to_timestamp_ntz("t").alias("ts")).collect()]
+            assert got == [shown, "2024-01-01 10:00:00"]
+    # A zone-less column keeps its wall clock, also in an hour that a zone skips.
+    with _conf(spark, **{"spark.sql.session.timeZone": "America/New_York"}):
+        skipped = spark.sql("select timestamp_ntz '2024-03-10 02:30:00' as call_start_time")
+        assert str(casts.cast_call_records(skipped).first()[0]) == "2024-03-10 02:30:00"
+
+
 def test_cast_call_records_only_touches_present_columns(spark):
     df = spark.createDataFrame([("12", 3.0, "x")], "call_duration_seconds string, cost double, other string")
     out = casts.cast_call_records(df)
