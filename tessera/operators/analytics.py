@@ -3,29 +3,59 @@
 Each function returns a DataFrame; printing is the caller's business. Every
 grouping is a hash aggregation with a partial (map-side) step, so a group
 holding a third of all rows is reduced to one row per input partition before
-the shuffle. Money sums are exact decimals (doubles are summed as cents) and
-are cast to double only at the end, so totals do not depend on partitioning.
+the shuffle. Money is summed exactly at its own scale and cast to double only at
+the end, so totals do not depend on partitioning; values that no decimal of the
+chosen scale holds exactly make their group a plain double sum.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.casts import is_float_type
 from tessera.operators.enrich import resolve
 
-# Money held as double is summed as exact cents: a double sum depends on the
-# order rows meet in (and so on partitioning); a decimal sum does not.
-MONEY_DECIMAL = "decimal(20,2)"
+# Doubles that this type holds exactly are summed as decimals: a double sum
+# depends on the order rows meet in (and so on partitioning), a decimal sum does
+# not. It holds 29 digits before the point and 9 behind it.
+EXACT = "decimal(38,9)"
 
 
-def _money_sum(df: DataFrame, name: str, alias: str):
+def _parts(df: DataFrame, name: str) -> dict[str, Column]:
+    """Aggregates that the total of a money column is made of.
+
+    Decimals need one exact sum. Doubles need the exact sum of the values that
+    ``EXACT`` holds, how many values there are beyond those, and the plain sum
+    for the groups that have any (infinities, NaN, more than nine decimals)."""
     col_name = resolve(df, name)
-    value = F.col(col_name)
-    if is_float_type(df.schema[col_name].dataType):
-        value = value.cast(MONEY_DECIMAL)
-    return F.sum(value).cast("double").alias(alias)
+    value, key = F.col(col_name), name.lower()
+    if not is_float_type(df.schema[col_name].dataType):
+        return {f"_{key}_exact": F.sum(value)}
+    exact = value.try_cast(EXACT)
+    held = F.coalesce(exact.cast("double") == value, F.lit(False))
+    return {
+        f"_{key}_exact": F.try_sum(F.when(held, exact)),
+        f"_{key}_other": F.count_if(value.isNotNull() & ~held),
+        f"_{key}_plain": F.sum(value),
+    }
+
+
+def _total(columns: list[str], name: str, alias: str) -> Column:
+    """The total of a money column from its parts (of one group)."""
+    key = name.lower()
+    exact = F.col(f"_{key}_exact").cast("double")
+    if f"_{key}_plain" not in columns:
+        return exact.alias(alias)
+    plain = F.col(f"_{key}_plain")
+    return F.when(F.col(f"_{key}_other") == 0, F.coalesce(exact, plain)).otherwise(plain).alias(alias)
+
+
+def _totals(df: DataFrame, keys: list[str], *wanted: tuple[str, str]) -> DataFrame:
+    """(keys, alias of each wanted money column's total)."""
+    parts = {k: c for name, _ in wanted for k, c in _parts(df, name).items()}
+    summed = df.groupBy(*keys).agg(*[c.alias(k) for k, c in parts.items()])
+    return summed.select(*keys, *[_total(summed.columns, name, alias) for name, alias in wanted])
 
 
 def latest_order_date(df: DataFrame) -> DataFrame:
@@ -33,20 +63,14 @@ def latest_order_date(df: DataFrame) -> DataFrame:
 
 
 def category_totals(df: DataFrame) -> DataFrame:
-    return (
-        df.groupBy(resolve(df, "Category"))
-        .agg(_money_sum(df, "Profit", "total_profit"), _money_sum(df, "Sales", "total_sales"))
-        .orderBy(F.col("total_profit").desc())
-    )
+    totals = _totals(df, [resolve(df, "Category")], ("Profit", "total_profit"), ("Sales", "total_sales"))
+    return totals.orderBy(F.col("total_profit").desc())
 
 
 def region_state_totals(df: DataFrame) -> DataFrame:
     region, state = resolve(df, "Region"), resolve(df, "State")
-    return (
-        df.groupBy(region, state)
-        .agg(_money_sum(df, "Sales", "total_sales"), _money_sum(df, "Profit", "total_profit"))
-        .orderBy(F.col(region), F.col("total_sales").desc())
-    )
+    totals = _totals(df, [region, state], ("Sales", "total_sales"), ("Profit", "total_profit"))
+    return totals.orderBy(F.col(region), F.col("total_sales").desc())
 
 
 def ship_mode_delay(df: DataFrame) -> DataFrame:
@@ -62,9 +86,7 @@ def top_region_states(df: DataFrame, n: int = 20) -> DataFrame:
     a unique tie-breaker, so the cut is deterministic. Planned as
     ``TakeOrderedAndProject`` (a per-partition top-n, then a merge)."""
     region, state = resolve(df, "Region"), resolve(df, "State")
-    totals = df.groupBy(region, state).agg(
-        _money_sum(df, "Sales", "total_sales"), _money_sum(df, "Profit", "total_profit")
-    )
+    totals = _totals(df, [region, state], ("Sales", "total_sales"), ("Profit", "total_profit"))
     return totals.orderBy(F.col(region), F.col("total_sales").desc(), F.col(state)).limit(n)
 
 
@@ -73,15 +95,9 @@ def sales_summary(df: DataFrame) -> DataFrame:
     sums, the delay sum and count, and the latest order date per
     (category, region, state, ship mode)."""
     keys = [resolve(df, k) for k in ("Category", "Region", "State", "Ship_Mode")]
-
-    def money(name: str):
-        col_name = resolve(df, name)
-        value = F.col(col_name)
-        return value.cast(MONEY_DECIMAL) if is_float_type(df.schema[col_name].dataType) else value
-
+    money = {**_parts(df, "Profit"), **_parts(df, "Sales")}
     return df.groupBy(*keys).agg(
-        F.sum(money("Profit")).alias("_profit"),
-        F.sum(money("Sales")).alias("_sales"),
+        *[c.alias(k) for k, c in money.items()],
         F.sum(F.col("shipping_delay").cast("bigint")).alias("_delay_sum"),
         F.count("shipping_delay").alias("_delay_count"),
         F.max(resolve(df, "Order_Date")).alias("_latest"),
@@ -94,8 +110,8 @@ def sales_report(df: DataFrame) -> dict[str, DataFrame]:
     The summary (at most categories × regions × states × ship modes rows) is
     checkpointed to the shared checkpoint folder, so the four reports re-read
     that small table instead of re-scanning (or regenerating) the input four
-    times. Sums re-add exactly (decimals) and the average is sum / count, so
-    each report equals its one-pass function above."""
+    times. Exact sums re-add exactly and the average is sum / count, so each
+    report equals its one-pass function above."""
     from tessera.util import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(df.sparkSession)
@@ -104,11 +120,12 @@ def sales_report(df: DataFrame) -> dict[str, DataFrame]:
         resolve(df, "Category"), resolve(df, "Region"), resolve(df, "State"), resolve(df, "Ship_Mode"),
     )
 
+    parts = [c for c in summary.columns if c.endswith(("_exact", "_other", "_plain"))]
+
     def totals(*keys):
-        return summary.groupBy(*keys).agg(
-            F.sum("_profit").cast("double").alias("total_profit"),
-            F.sum("_sales").cast("double").alias("total_sales"),
-        )
+        summed = summary.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in parts])
+        wanted = (("Profit", "total_profit"), ("Sales", "total_sales"))
+        return summed.select(*keys, *[_total(summed.columns, name, alias) for name, alias in wanted])
 
     return {
         "latest_order_date": summary.agg(F.max("_latest").alias("latest_order_date")),
