@@ -28,9 +28,12 @@ def main(argv: list[str] | None = None) -> None:
     load = sub.add_parser("load", help="merge new call-record files into the target")
     load.add_argument("--source", required=True)
     load.add_argument("--target", required=True)
-    load.add_argument("--since", default=None, help="ISO time; default now - 24 h")
+    load.add_argument("--since", default=None, help="ISO time; default: the last listing")
     load.add_argument("--policy", choices=["unique", "as_coded"], default="unique")
     load.add_argument("--watermark", choices=["global", "per_key"], default="global")
+    load.add_argument("--allowed-lateness", default=None, help='move the watermark back, e.g. "2 days"')
+    load.add_argument("--buckets", type=int, default=None, help="keep the target in buckets of the id")
+    load.add_argument("--skip-foreign", action="store_true", help="leave files out that are not Parquet")
     load.add_argument("--single-file", action="store_true")
     for p in (sales, load):
         p.add_argument("--local", type=int, default=None, help="run on local[N] instead of the cluster")
@@ -53,7 +56,8 @@ def main(argv: list[str] | None = None) -> None:
         else:
             result = run_load(
                 spark, args.source, args.target, since=args.since, policy=args.policy,
-                watermark=args.watermark, single_file=args.single_file,
+                watermark=args.watermark, single_file=args.single_file, allowed_lateness=args.allowed_lateness,
+                buckets=args.buckets, foreign="skip" if args.skip_foreign else "error",
             )
             print(result)
     finally:

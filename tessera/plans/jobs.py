@@ -6,6 +6,7 @@ errors propagate: a failed load leaves the previous published version live.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -14,21 +15,21 @@ from pyspark.sql import functions as F
 from tessera.functions.casts import cast_call_records
 from tessera.operators import analytics
 from tessera.operators.enrich import enrich_sales
-from tessera.operators.merge import changed_set, merge_incremental
+from tessera.operators.merge import FEW_IDS, POLICIES, changed_set, merge_incremental
 from tessera.operators.rules import CALL_RECORD_RULES, first_failed
 from tessera.schemas import CALL_RECORD_SCHEMA
 from tessera.sinks.publish import (
-    current_version,
+    bucket_of,
     expire_versions,
+    last_listing,
+    live,
     publish,
-    published_watermark,
-    read_current,
+    read_parts,
     staging_path,
 )
 from tessera.sources.files import read_changed_files, read_files, since_hours_ago
 from tessera.sources.synth import sales_table
 
-
 REJECT_COLUMN = "failed_rule"
 
 
@@ -65,42 +66,99 @@ def run_load(
     single_file: bool = False,
     watermark: str = "global",
     keep_versions: int = 3,
+    allowed_lateness: str | None = None,
+    buckets: int | None = None,
+    foreign: str = "error",
 ) -> LoadResult:
     """Read new call-record files, merge them into the target, publish.
 
     First run (no published version): every file under ``source_path``.
-    Later runs: files modified after ``since`` (default: now − 24 h).
-    No new files, or no row newer than the target: nothing is published and
-    the live version stays as it is. The watermark recorded with the live
-    version is used, so the target's timestamp column is not scanned. After a
-    publish, versions older than the newest ``keep_versions`` go (with their
+    Later runs: files modified after ``since`` (default: the time at which the
+    live version's run listed its files, so a late run misses nothing; now −
+    ``window_hours`` for a table without such a record). No new files, no row
+    newer than the target, or (``unique`` policy) no new row that passes the
+    rules: nothing is published and the live version stays as it is.
+    ``allowed_lateness`` (an interval such as ``"2 days"``) moves the watermark
+    back. ``buckets`` keeps the target in that many buckets of the id; a later
+    run then reads and rewrites only the buckets that its ids fall into. After
+    a publish, versions older than the newest ``keep_versions`` go (with their
     staged change sets)."""
-    target = read_current(spark, target_root)
-    if target is None or target.isEmpty():
-        return _first_load(spark, source_path, target_root, schema, policy, single_file, keep_versions)
     zone = spark.conf.get("spark.sql.session.timeZone")
-    since = since or since_hours_ago(window_hours, time_zone=zone)
-    batch = read_changed_files(spark, source_path, since, schema)
-    recorded = published_watermark(spark, target_root)
+    # One second back: file times have whole seconds on some stores.
+    listed_at = since_hours_ago(1 / 3600, dt.datetime.now(dt.timezone.utc), zone)
+    before = live(spark, target_root)
+    if before is None or read_parts(spark, target_root, before.parts).isEmpty():
+        batch = read_files(spark, [source_path], schema, foreign=foreign)
+        return merge_and_publish(
+            spark, None, batch, target_root, policy, watermark, keep_versions,
+            single_file=single_file, listed_at=listed_at, buckets=buckets,
+        )
+    since = since or last_listing(spark, target_root) or since_hours_ago(window_hours, time_zone=zone)
+    batch = read_changed_files(spark, source_path, since, schema, foreign=foreign)
+    return merge_and_publish(
+        spark, before, batch, target_root, policy, watermark, keep_versions, allowed_lateness,
+        single_file, listed_at, before.buckets or buckets,
+    )
+
+
+def merge_and_publish(
+    spark: SparkSession,
+    before,
+    batch: DataFrame,
+    target_root: str,
+    policy: str = "unique",
+    watermark: str = "global",
+    keep_versions: int = 3,
+    allowed_lateness: str | None = None,
+    single_file: bool = False,
+    listed_at: str | None = None,
+    buckets: int | None = None,
+    source: str | None = None,
+) -> LoadResult:
+    """Stage the batch's typed change set once, merge it into the live version ``before``, publish.
+
+    Each staged row is tagged with the first rule it fails (NULL when clean):
+    the merge reads this table instead of listing, reading, casting and checking
+    the new rows again, and the rejected rows stay inspectable next to the
+    version they were part of. ``before=None`` is a first run; of its input,
+    which may be the whole history, only the rejected rows are staged."""
+    if before is None:
+        return _first_load(
+            spark, batch, target_root, policy, single_file, keep_versions, listed_at, buckets, source
+        )
+    target = read_parts(spark, target_root, before.parts)
+    recorded = before.watermark
     known = None if recorded is None else F.lit(recorded).cast(target.schema["updated_at"].dataType)
-    changed = changed_set(batch, target, watermark=watermark, known_watermark=known)
-
-    # Stage the typed change set once, each row tagged with the first rule it
-    # fails (NULL when clean): the merge reads this table instead of listing,
-    # reading, casting and checking the new files again, and the rejected
-    # rows stay inspectable next to the version they were part of.
-    version_next = (current_version(spark, target_root) or 0) + 1
-    stage = staging_path(target_root, version_next)
+    changed = changed_set(
+        batch, target, watermark=watermark, allowed_lateness=allowed_lateness, known_watermark=known
+    )
+    stage = staging_path(target_root, before.version + 1)
     tagged, counts = _tagged(changed)
     tagged.write.mode("overwrite").parquet(stage)
     n_changed, n_rejected = int(counts.get["changed"]), int(counts.get["rejected"])
-    if n_changed == 0:
-        # No new files, or no row newer than the target: the live version
-        # already holds the result.
-        return LoadResult(False, None, None)
-    staged = spark.read.parquet(stage).drop(REJECT_COLUMN)
-    merged = merge_incremental(target, staged, policy=policy, watermark=watermark, known_watermark=known)
-    version, rows = publish(merged, target_root, single_file=single_file, watermark_column="updated_at")
+    # Under ``unique`` rejected rows change nothing; as coded, they remove ids.
+    if n_changed == 0 or (policy == "unique" and n_changed == n_rejected):
+        return LoadResult(False, None, None, n_changed, n_rejected)
+    staged = spark.read.parquet(stage)
+    touched = None
+    if before.buckets:
+        rows = staged.where(F.col(REJECT_COLUMN).isNull()) if policy == "unique" else staged
+        found = rows.select(bucket_of("id", before.buckets).alias("b")).distinct().collect()
+        touched = sorted(r["b"] for r in found)  # at most ``buckets`` numbers
+        parts = [p for p in before.parts if p["bucket"] in set(touched)]
+        target = read_parts(spark, target_root, parts, target.schema) if parts else None
+    staged = staged.drop(REJECT_COLUMN)
+    if target is None:  # none of the buckets holds a row yet
+        merged = merge_incremental(None, staged, policy=policy)
+    else:
+        merged = POLICIES[policy](
+            target, staged, watermark=watermark, allowed_lateness=allowed_lateness, known_watermark=known,
+            few_ids=n_changed <= FEW_IDS,
+        )
+    version, rows = publish(
+        merged, target_root, single_file=single_file, source=source, watermark_column="updated_at",
+        listed_at=listed_at, key="id", buckets=before.buckets or None, changed=touched,
+    )
     expire_versions(spark, target_root, keep_versions)
     return LoadResult(False, version, rows, n_changed, n_rejected)
 
@@ -116,22 +174,28 @@ def _tagged(changed: DataFrame) -> tuple[DataFrame, Observation]:
     return tagged, counts
 
 
-def _first_load(spark, source_path, target_root, schema, policy, single_file, keep_versions) -> LoadResult:
-    """First run: the whole input, in one pass. Nothing is staged — the
-    input may be the entire history, and a first-run merge reads its input
-    only once — so the counts are observed inside the publishing write."""
-    batch = read_files(spark, [source_path], schema)
-    if batch.isEmpty():
-        return LoadResult(True, None, None)
+def _first_load(
+    spark, batch, target_root, policy, single_file, keep_versions, listed_at, buckets, source
+) -> LoadResult:
+    """First run: the whole input. A first pass writes the rejected rows and
+    counts what it reads in that write; the second merges and publishes."""
+    before = live(spark, target_root)
+    stage = staging_path(target_root, (before.version if before else 0) + 1)
     tagged, counts = _tagged(batch)
-    merged = merge_incremental(None, tagged.drop(REJECT_COLUMN), policy=policy)
-    version, rows = publish(merged, target_root, single_file=single_file, watermark_column="updated_at")
+    tagged.where(F.col(REJECT_COLUMN).isNotNull()).write.mode("overwrite").parquet(stage)
+    n_changed, n_rejected = int(counts.get["changed"]), int(counts.get["rejected"])
+    if n_changed == 0:
+        return LoadResult(True, None, None)
+    merged = merge_incremental(None, batch, policy=policy)
+    version, rows = publish(
+        merged, target_root, single_file=single_file, source=source, watermark_column="updated_at",
+        listed_at=listed_at, key="id", buckets=buckets,
+    )
     expire_versions(spark, target_root, keep_versions)
-    return LoadResult(True, version, rows, int(counts.get["changed"]), int(counts.get["rejected"]))
+    return LoadResult(True, version, rows, n_changed, n_rejected)
 
 
 def rejected_rows(spark: SparkSession, target_root: str, version: int) -> DataFrame:
-    """The rows of an incremental run that failed the quality gate, with the
-    first rule each failed (kept while ``version`` is retained; first runs
-    report only the count)."""
+    """The rows of a run that failed the quality gate, with the first rule each
+    failed (kept while ``version`` is retained)."""
     return spark.read.parquet(staging_path(target_root, version)).filter(F.col(REJECT_COLUMN).isNotNull())

@@ -1,38 +1,67 @@
 """Versioned publish of a table (the load's sink).
 
-A table root holds one directory per version, ``version=<n>``, plus a
-commit log ``_versions/`` of one-row JSON files. A run writes the next
-version, and only after that write succeeds appends its log
-entry; readers take the highest logged version. So a failed run leaves the
-last good version readable, and a run never overwrites the files it reads.
+A table root holds the directories that versions were written to and a commit
+log ``_versions/`` with one JSON file per version. An entry lists the parts the
+version consists of: one directory, or for a bucketed table one directory per
+bucket of the key. A run writes its parts to a directory of its own and then
+creates the entry of the next version, which fails if another writer has created
+it first; readers take the highest version. So a failed run leaves the last good
+version readable, a run never overwrites the files it reads, and of two runs
+that started from the same version only one is published.
+
+A bucketed publish may carry only the buckets it changed: the other buckets'
+parts are taken over from the version before, unread and unwritten.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 import os
+import uuid
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.sinks.writer import write
-
 LOG_DIR = "_versions"
+BUCKET = "_bucket"
+WHOLE = -1  # the bucket number of a part that is the whole table
+PART = T.StructType(
+    [
+        T.StructField("bucket", T.LongType()),
+        T.StructField("path", T.StringType()),
+        T.StructField("rows", T.LongType()),
+    ]
+)
 LOG_SCHEMA = T.StructType(
     [
         T.StructField("version", T.LongType()),
         T.StructField("rows", T.LongType()),
         T.StructField("committed_at", T.StringType()),
-        T.StructField("source_epoch", T.LongType()),
+        T.StructField("source", T.StringType()),
         T.StructField("watermark", T.StringType()),
+        T.StructField("listed_at", T.StringType()),
+        T.StructField("buckets", T.LongType()),
+        T.StructField("parts", T.ArrayType(PART)),
     ]
 )
 
 
-def version_path(root: str, version: int) -> str:
-    return os.path.join(root, f"version={version}")
+class ConcurrentPublish(RuntimeError):
+    """Another run has published the version this one was about to."""
+
+
+@dataclass
+class Live:
+    """The live version: number, parts, and what its run recorded."""
+
+    version: int
+    parts: list
+    buckets: int
+    watermark: str | None
 
 
 def staging_path(root: str, version: int) -> str:
@@ -40,6 +69,11 @@ def staging_path(root: str, version: int) -> str:
     return os.path.join(root, "_staging", f"version={version}")
 
 
+def bucket_of(key: str, buckets: int) -> Column:
+    """The bucket of a key (NULL keys share one)."""
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("long")
+
+
 def version_log(spark: SparkSession, root: str) -> DataFrame | None:
     try:
         return spark.read.schema(LOG_SCHEMA).json(os.path.join(root, LOG_DIR))
@@ -49,50 +83,93 @@ def version_log(spark: SparkSession, root: str) -> DataFrame | None:
         raise
 
 
-def current_version(spark: SparkSession, root: str) -> int | None:
-    """Highest committed version, or None for a table never published."""
+def live(spark: SparkSession, root: str) -> Live | None:
+    """The highest committed version, or None for a table never published."""
     log = version_log(spark, root)
-    if log is None:
+    row = None if log is None else log.orderBy(F.col("version").desc()).first()
+    if row is None:
         return None
-    row = log.agg(F.max("version").alias("v")).first()
-    return None if row is None or row["v"] is None else int(row["v"])
+    return Live(int(row["version"]), row["parts"], int(row["buckets"] or 0), row["watermark"])
+
+
+def current_version(spark: SparkSession, root: str) -> int | None:
+    """Highest committed version, or None for a table never published."""
+    now = live(spark, root)
+    return None if now is None else now.version
+
+
+def version_paths(spark: SparkSession, root: str, version: int) -> list[str]:
+    """The directories a version consists of."""
+    row = version_log(spark, root).where(F.col("version") == version).first()
+    return [os.path.join(root, p["path"]) for p in row["parts"]]
+
+
+def read_parts(
+    spark: SparkSession, root: str, parts: list, schema: T.StructType | None = None, format: str = "parquet"
+) -> DataFrame:
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.format(format).load([os.path.join(root, p["path"]) for p in parts])
 
 
 def read_current(
     spark: SparkSession, root: str, schema: T.StructType | None = None, format: str = "parquet"
 ) -> DataFrame | None:
     """The live version of the table, or None before the first publish."""
-    v = current_version(spark, root)
-    if v is None:
-        return None
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.format(format).load(version_path(root, v))
+    now = live(spark, root)
+    return None if now is None else read_parts(spark, root, now.parts, schema, format)
 
 
 def published_watermark(spark: SparkSession, root: str) -> str | None:
     """The live version's recorded high-watermark (ISO text), if one was
     recorded at publish time; it spares a scan of the table's timestamp
     column on the next run."""
+    now = live(spark, root)
+    return None if now is None else now.watermark
+
+
+def source_published(spark: SparkSession, root: str, source: str) -> bool:
+    """Whether the input named ``source`` (a stream's id and micro-batch) has been published."""
     log = version_log(spark, root)
-    v = current_version(spark, root)
-    if log is None or v is None:
-        return None
-    row = log.filter(F.col("version") == v).select("watermark").first()
-    return None if row is None else row["watermark"]
+    return log is not None and not log.filter(F.col("source") == source).isEmpty()
 
 
-def epoch_published(spark: SparkSession, root: str, epoch: int) -> bool:
-    """Whether a streaming micro-batch ``epoch`` has already been published."""
+def last_listing(spark: SparkSession, root: str) -> str | None:
+    """When the source files of the latest published version were listed."""
     log = version_log(spark, root)
-    return log is not None and not log.filter(F.col("source_epoch") == epoch).isEmpty()
+    return None if log is None else log.agg(F.max("listed_at").alias("t")).first()["t"]
+
+
+def _file_system(spark: SparkSession, location: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _delete(spark: SparkSession, location: str) -> bool:
+    path, fs = _file_system(spark, location)
+    return bool(fs.exists(path) and fs.delete(path, True))
+
+
+def _commit(spark: SparkSession, root: str, entry: dict) -> None:
+    """Create the version's log file; fails if there is one. (Create-if-absent
+    is atomic on HDFS and local file systems; on an object store it is as strong
+    as that store's Hadoop connector.)"""
+    path, fs = _file_system(spark, os.path.join(root, LOG_DIR, f"{entry['version']:010d}.json"))
+    try:
+        out = fs.create(path, False)
+    except Exception as e:  # a Java FileAlreadyExistsException, by way of the gateway
+        if fs.exists(path):
+            raise ConcurrentPublish(f"version {entry['version']} of {root} was published by another run") from e
+        raise
+    try:
+        out.write(bytearray((json.dumps(entry) + "\n").encode()))
+    finally:
+        out.close()
 
 
 def expire_versions(spark: SparkSession, root: str, keep: int = 3) -> list[int]:
     """Delete committed versions older than the newest ``keep`` (the live one
-    always stays), and the commit-log files that only describe deleted
-    versions; returns the deleted version numbers. Each version is a full
-    copy of the table, so retention bounds storage at ``keep`` copies, and the
-    log stays a handful of files however many runs there have been.
+    always stays): their log entries, staged inputs, and the parts that no kept
+    version uses. Returns the deleted version numbers.
 
     Deletion goes through the Hadoop file system of the path, so it works on
     any store Spark writes to."""
@@ -101,29 +178,17 @@ def expire_versions(spark: SparkSession, root: str, keep: int = 3) -> list[int]:
     log = version_log(spark, root)
     if log is None:
         return []
-    current = current_version(spark, root)
-    cutoff = current - keep + 1
-    entries = log.select("version", F.col("_metadata.file_path").alias("file")).collect()
-    old = sorted({int(r["version"]) for r in entries if r["version"] < cutoff})
-    newest_in_file: dict[str, int] = {}
-    for r in entries:
-        newest_in_file[r["file"]] = max(newest_in_file.get(r["file"], -1), int(r["version"]))
-    old_files = [f for f, v in newest_in_file.items() if v < cutoff]
-
-    jvm = spark.sparkContext._jvm
-    hadoop_conf = spark.sparkContext._jsc.hadoopConfiguration()
-
-    def delete(location: str) -> bool:
-        path = jvm.org.apache.hadoop.fs.Path(location)
-        fs = path.getFileSystem(hadoop_conf)
-        return bool(fs.exists(path) and fs.delete(path, True))
-
-    deleted = [v for v in old if delete(version_path(root, v))]
-    for v in old:
-        delete(staging_path(root, v))
-    for f in old_files:
-        delete(f)
-    return deleted
+    entries = log.select("version", "parts").collect()
+    cutoff = max((r["version"] for r in entries), default=0) - keep + 1
+    old = sorted(r["version"] for r in entries if r["version"] < cutoff)
+    used = {p["path"] for r in entries if r["version"] >= cutoff for p in r["parts"]}
+    gone = {p["path"] for r in entries if r["version"] < cutoff for p in r["parts"]} - used
+    for v in old:  # the entry first: a version without all its parts is never listed
+        _delete(spark, os.path.join(root, LOG_DIR, f"{v:010d}.json"))
+        _delete(spark, staging_path(root, v))
+    for path in sorted(gone):
+        _delete(spark, os.path.join(root, path))
+    return old
 
 
 def publish(
@@ -131,37 +196,79 @@ def publish(
     root: str,
     single_file: bool = False,
     max_records_per_file: int | None = None,
-    source_epoch: int | None = None,
+    source: str | None = None,
     format: str = "parquet",
     watermark_column: str | None = None,
+    listed_at: str | None = None,
+    key: str | None = None,
+    buckets: int | None = None,
+    changed: list[int] | None = None,
 ) -> tuple[int, int]:
     """Write ``df`` as the next version and commit it; returns (version, rows).
 
-    The row count — and, with ``watermark_column``, that column's maximum —
-    are observed while the version is written (no extra pass) and recorded
-    in the commit log."""
+    The row count and, with ``watermark_column``, that column's maximum are
+    observed while the version is written (no extra pass) and recorded in the
+    commit log. With ``key`` and ``buckets`` the table is bucketed; ``changed``
+    then names the buckets that ``df`` replaces (default: all)."""
+    from tessera.sinks.writer import write
+
     spark = df.sparkSession
-    version = (current_version(spark, root) or 0) + 1
+    before = live(spark, root)
+    version = (before.version if before else 0) + 1
+    home = f"version={version}-{uuid.uuid4().hex[:8]}"
     obs = Observation("publish")
     metrics = [F.count(F.lit(1)).alias("rows")]
     if watermark_column is not None:
         metrics.append(F.max(watermark_column).cast("string").alias("watermark"))
     observed = df.observe(obs, *metrics)
-    # The next version is not in the log, so no reader uses it; leftovers of
-    # an earlier failed attempt at the same number are simply replaced.
+    if buckets:
+        observed = observed.withColumn(BUCKET, bucket_of(key, buckets)).hint("rebalance", BUCKET)
     write(
         observed,
-        version_path(root, version),
+        os.path.join(root, home),
         format=format,
-        mode="overwrite",
+        mode="errorifexists",
         single_file=single_file,
         max_records_per_file=max_records_per_file,
+        partition_by=[BUCKET] if buckets else None,
     )
     seen = obs.get
-    rows = int(seen["rows"])
-    entry = spark.createDataFrame(
-        [(version, rows, dt.datetime.now(dt.timezone.utc).isoformat(), source_epoch, seen.get("watermark"))],
-        LOG_SCHEMA,
-    )
-    entry.coalesce(1).write.mode("append").json(os.path.join(root, LOG_DIR))
+    rows, watermark = int(seen["rows"]), seen.get("watermark")
+    if not buckets:
+        parts = [{"bucket": WHOLE, "path": home, "rows": rows}]
+    else:
+        parts = _bucket_parts(spark, root, home, df.schema, format)
+        if changed is not None and before is not None:
+            if before.buckets != buckets:
+                raise ValueError(f"the table has {before.buckets} buckets, not {buckets}")
+            kept = [p.asDict() for p in before.parts if p["bucket"] not in set(changed)]
+            parts = sorted([*kept, *parts], key=lambda p: p["bucket"])
+            watermark = max(filter(None, (watermark, before.watermark)), default=None)
+            rows = sum(p["rows"] for p in parts)
+        if not parts:  # an empty version still needs a readable part
+            write(df.limit(0), os.path.join(root, home, "empty"), format=format, mode="errorifexists")
+            parts = [{"bucket": WHOLE, "path": f"{home}/empty", "rows": 0}]
+    entry = {
+        "version": version,
+        "rows": rows,
+        "committed_at": dt.datetime.now(dt.timezone.utc).isoformat(),
+        "source": source,
+        "watermark": watermark,
+        "listed_at": listed_at,
+        "buckets": buckets or 0,
+        "parts": parts,
+    }
+    try:
+        _commit(spark, root, entry)
+    except ConcurrentPublish:
+        _delete(spark, os.path.join(root, home))
+        raise
     return version, rows
+
+
+def _bucket_parts(spark: SparkSession, root: str, home: str, schema: T.StructType, format: str) -> list[dict]:
+    """The written buckets with their row counts (at most ``buckets`` rows)."""
+    typed = T.StructType([*schema.fields, T.StructField(BUCKET, T.LongType())])
+    written = spark.read.schema(typed).format(format).load(os.path.join(root, home))
+    counts = written.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n")).collect()
+    return [{"bucket": r[BUCKET], "path": f"{home}/{BUCKET}={r[BUCKET]}", "rows": r["n"]} for r in counts]

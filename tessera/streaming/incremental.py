@@ -5,22 +5,24 @@ processed, which replaces the 24-hour listing window of the batch job: a run
 that is late or repeated neither misses nor re-reads files. With
 ``trigger(availableNow=True)`` each start processes everything new and stops,
 so it can be scheduled like the batch job. Each micro-batch is merged into the
-target and published as a new version inside ``foreachBatch``; the batch's
-epoch id is recorded in the version log, so a micro-batch replayed after a
-failure is skipped instead of applied twice.
+target and published as a new version inside ``foreachBatch``; the stream's
+query id and the batch's epoch are recorded in the version log, so a micro-batch
+replayed after a failure is skipped instead of applied twice, while a stream
+with another checkpoint (which counts its epochs from 0 again) is not.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tessera.operators.merge import changed_set, merge_incremental
+from tessera.plans.jobs import merge_and_publish
 from tessera.schemas import CALL_RECORD_SCHEMA
-from tessera.sinks.publish import epoch_published, expire_versions, publish, published_watermark, read_current
+from tessera.sinks.publish import live, read_parts, source_published
 from tessera.sources.files import conform
 
+QUERY_ID = "sql.streaming.queryId"  # the local property of a micro-batch's thread
+
 
 def merge_batch_into(
     target_root: str,
@@ -28,26 +30,24 @@ def merge_batch_into(
     schema=CALL_RECORD_SCHEMA,
     keep_versions: int = 3,
     watermark: str = "global",
+    allowed_lateness: str | None = None,
+    buckets: int | None = None,
 ):
     """The ``foreachBatch`` function: merge one micro-batch and publish."""
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        if epoch_published(spark, target_root, epoch_id):
-            return
-        if batch.isEmpty():
-            return
-        target = read_current(spark, target_root)
-        if target is not None and target.isEmpty():
-            target = None  # an empty target is a first run
-        recorded = published_watermark(spark, target_root) if target is not None else None
-        known = None if recorded is None else F.lit(recorded).cast(target.schema["updated_at"].dataType)
-        batch = conform(batch, schema)
-        if target is not None and changed_set(batch, target, watermark=watermark, known_watermark=known).isEmpty():
+        source = f"{spark.sparkContext.getLocalProperty(QUERY_ID)}:{epoch_id}"
+        if source_published(spark, target_root, source):
             return
-        merged = merge_incremental(target, batch, policy=policy, watermark=watermark, known_watermark=known)
-        publish(merged, target_root, source_epoch=epoch_id, watermark_column="updated_at")
-        expire_versions(spark, target_root, keep_versions)
+        before = live(spark, target_root)
+        if before is not None and read_parts(spark, target_root, before.parts).isEmpty():
+            before = None  # an empty target is a first run
+        # Staged once: the micro-batch is not evaluated again for the merge.
+        merge_and_publish(
+            spark, before, conform(batch, schema), target_root, policy, watermark, keep_versions,
+            allowed_lateness, source=source, buckets=buckets,
+        )
 
     return apply
 
@@ -63,6 +63,8 @@ def start_incremental_load(
     available_now: bool = True,
     keep_versions: int = 3,
     watermark: str = "global",
+    allowed_lateness: str | None = None,
+    buckets: int | None = None,
 ) -> StreamingQuery:
     """Start the stream; call ``awaitTermination()`` on the result.
 
@@ -71,9 +73,7 @@ def start_incremental_load(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(source_path)
-    writer = (
-        stream.writeStream.foreachBatch(merge_batch_into(target_root, policy, schema, keep_versions, watermark))
-        .option("checkpointLocation", checkpoint_path)
-    )
+    apply = merge_batch_into(target_root, policy, schema, keep_versions, watermark, allowed_lateness, buckets)
+    writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint_path)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -6,6 +6,8 @@ import time
 
 from pyspark.sql import functions as F
 
+from tessera.functions.casts import cast_call_records
+from tessera.operators.rules import clean
 from tessera.plans import fixtures as fx
 from tessera.plans.jobs import rejected_rows, run_load, run_sales
 from tessera.schemas import CALL_RECORD_SCHEMA
@@ -38,15 +40,15 @@ def test_run_load_first_then_incremental(spark, tmp_path):
     assert first.first_run and first.published_version == 1
     v1 = publish.read_current(spark, tgt)
     assert v1.groupBy("id").count().filter("count > 1").count() == 0
-    # The first run reports its rejects by count (nothing is staged).
-    from tessera.functions.casts import cast_call_records
+    # The first run keeps its rejects with the first rule each failed.
+    assert rejected_rows(spark, tgt, 1).count() == first.rows_rejected
     from tessera.operators.rules import rejects as gate_rejects
 
     first_input = conform(target_part, CALL_RECORD_SCHEMA)
     assert first.rows_changed == first_input.count()
     assert first.rows_rejected == gate_rejects(cast_call_records(first_input)).count() > 0
 
-    # Nothing new in the last 24 hours: the live version stays.
+    # Nothing new since the last listing: the live version stays.
     assert run_load(spark, src, tgt).published_version is None
     # Files re-listed by a wide window, but no row newer than the target:
     # still no new version.
@@ -103,3 +105,79 @@ def test_streaming_load_into_an_empty_target(spark, tmp_path):
     start_incremental_load(spark, src + "/*", tgt, ckpt).awaitTermination()
     assert publish.current_version(spark, tgt) == 2
     assert publish.read_current(spark, tgt).count() > 0
+
+
+def _rows(spark, tgt):
+    return sorted(map(str, publish.read_current(spark, tgt).collect()))
+
+
+def test_a_batch_of_rejects_publishes_nothing(spark, tmp_path):
+    src, tgt = str(tmp_path / "src"), str(tmp_path / "tgt")
+    records = fx.call_records(spark, SMALL_SF)
+    _drop(spark, records.filter(F.col("updated_at") < F.lit(fx.TARGET_BEFORE).cast("timestamp_ntz")), f"{src}/day1", 30)
+    run_load(spark, src, tgt)
+    bad = fx.batch_records(spark, SMALL_SF).withColumn("currency", F.lit("none"))
+    _drop(spark, bad, f"{src}/day2")
+    result = run_load(spark, src, tgt, since=since_hours_ago(1))
+    assert result.published_version is None and result.rows_changed == result.rows_rejected > 0
+    assert publish.current_version(spark, tgt) == 1
+
+
+def test_a_late_run_starts_at_the_last_listing(spark, tmp_path):
+    src, tgt = str(tmp_path / "src"), str(tmp_path / "tgt")
+    records = fx.call_records(spark, SMALL_SF)
+    _drop(spark, records.filter(F.col("updated_at") < F.lit(fx.TARGET_BEFORE).cast("timestamp_ntz")), f"{src}/day1", 90)
+    run_load(spark, src, tgt)
+    _drop(spark, fx.batch_records(spark, SMALL_SF), f"{src}/day2")
+    # A window of no hours would miss the new files; the recorded listing doesn't.
+    assert run_load(spark, src, tgt, window_hours=0).published_version == 2
+
+
+def test_allowed_lateness_lets_late_rows_in(spark, tmp_path):
+    src, tgt = str(tmp_path / "src"), str(tmp_path / "tgt")
+    records = fx.call_records(spark, SMALL_SF)
+    _drop(spark, records, f"{src}/day1", 30)
+    run_load(spark, src, tgt)
+    newest = F.lit(publish.published_watermark(spark, tgt)).cast("timestamp_ntz")
+    late = records.where("id = 3").limit(1).withColumn("updated_at", newest - F.expr("interval 1 hour"))
+    _drop(spark, late, f"{src}/day2")
+    since = since_hours_ago(1)
+    assert run_load(spark, src, tgt, since=since).rows_changed == 0
+    assert run_load(spark, src, tgt, since=since, allowed_lateness="2 hours").rows_changed == 1
+
+
+def test_a_bucketed_target_holds_the_same_rows(spark, tmp_path):
+    src = str(tmp_path / "src")
+    plain, buckets = str(tmp_path / "plain"), str(tmp_path / "buckets")
+    records = fx.call_records(spark, SMALL_SF)
+    _drop(spark, records.filter(F.col("updated_at") < F.lit(fx.TARGET_BEFORE).cast("timestamp_ntz")), f"{src}/day1", 30)
+    run_load(spark, src, plain)
+    run_load(spark, src, buckets, buckets=16)
+    assert _rows(spark, plain) == _rows(spark, buckets)
+    before = {p["bucket"]: p["path"] for p in publish.live(spark, buckets).parts}
+    batch = fx.batch_records(spark, SMALL_SF)
+    newest = clean(cast_call_records(batch)).orderBy(F.col("updated_at").desc()).limit(3)
+    some = batch.where(F.col("id").isin([r["id"] for r in newest.collect()]))
+    _drop(spark, some, f"{src}/day2")
+    since = since_hours_ago(1)
+    for root in (plain, buckets):
+        assert run_load(spark, src, root, since=since).published_version == 2
+    assert _rows(spark, plain) == _rows(spark, buckets)
+    after = {p["bucket"]: p["path"] for p in publish.live(spark, buckets).parts}
+    assert 0 < sum(before.get(b) != p for b, p in after.items()) < 16
+
+
+def test_a_second_checkpoint_loses_nothing(spark, tmp_path):
+    src, tgt = str(tmp_path / "src"), str(tmp_path / "tgt")
+    records = fx.call_records(spark, SMALL_SF)
+    _drop(spark, records.filter(F.col("updated_at") < F.lit(fx.TARGET_BEFORE).cast("timestamp_ntz")), f"{src}/a")
+    start_incremental_load(spark, src + "/*", tgt, str(tmp_path / "one")).awaitTermination()
+    other = str(tmp_path / "other")
+    _drop(spark, fx.batch_records(spark, SMALL_SF), f"{other}/b")
+    start_incremental_load(spark, other + "/*", tgt, str(tmp_path / "two")).awaitTermination()
+    assert publish.current_version(spark, tgt) == 2
+    expected = str(tmp_path / "expected")
+    start_incremental_load(spark, src + "/*", expected, str(tmp_path / "x")).awaitTermination()
+    _drop(spark, fx.batch_records(spark, SMALL_SF), f"{src}/b")
+    start_incremental_load(spark, src + "/*", expected, str(tmp_path / "x")).awaitTermination()
+    assert _rows(spark, tgt) == _rows(spark, expected)

@@ -36,7 +36,7 @@ def test_publish_versions_and_reads_latest(spark, tmp_path):
     assert publish.publish(current.union(spark.range(3, 5)), root) == (2, 5)
     assert publish.current_version(spark, root) == 2
     assert publish.read_current(spark, root).count() == 5
-    assert spark.read.parquet(publish.version_path(root, 1)).count() == 3
+    assert spark.read.parquet(*publish.version_paths(spark, root, 1)).count() == 3
 
 
 def test_failed_publish_keeps_the_last_good_version(spark, tmp_path):
@@ -56,9 +56,10 @@ def test_retention_keeps_the_newest_versions(spark, tmp_path):
     root = str(tmp_path / "table")
     for i in range(4):
         publish.publish(spark.range(i + 1), root)
+    first, third = publish.version_paths(spark, root, 1)[0], publish.version_paths(spark, root, 3)[0]
     assert publish.expire_versions(spark, root, keep=2) == [1, 2]
-    assert not os.path.exists(publish.version_path(root, 1))
-    assert os.path.exists(publish.version_path(root, 3))
+    assert not os.path.exists(first)
+    assert os.path.exists(third)
     assert publish.read_current(spark, root).count() == 4
     assert publish.expire_versions(spark, root, keep=2) == []
     # The log keeps only the entries of the versions still on disk.
@@ -81,3 +82,49 @@ def test_publish_records_the_watermark(spark, tmp_path):
     assert back == dt.datetime(2024, 1, 2, 3, 4, 5, 678901)
     publish.publish(spark.range(2), root)
     assert publish.published_watermark(spark, root) is None
+
+
+def test_two_writers_of_one_version_publish_once(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "table")
+    publish.publish(spark.range(3), root)
+    start = publish.live(spark, root)
+    assert publish.publish(spark.range(4), root) == (2, 4)
+    # A run that started from version 1 loses, and leaves nothing behind.
+    monkeypatch.setattr(publish, "live", lambda *a: start)
+    before = set(os.listdir(root))
+    with pytest.raises(publish.ConcurrentPublish):
+        publish.publish(spark.range(9), root)
+    monkeypatch.undo()
+    assert set(os.listdir(root)) == before
+    assert publish.read_current(spark, root).count() == 4
+
+
+def _files(path):
+    return {f: os.stat(f).st_mtime_ns for f in glob.glob(os.path.join(path, "*.parquet"))}
+
+
+def test_bucketed_publish_leaves_other_buckets_alone(spark, tmp_path):
+    root = str(tmp_path / "table")
+    rows = spark.range(1000).withColumn("v", F.lit(1))
+    publish.publish(rows, root, key="id", buckets=8)
+    assert publish.read_current(spark, root).count() == 1000
+    bucket = spark.range(7, 8).select(publish.bucket_of("id", 8)).first()[0]
+    parts = {p["bucket"]: os.path.join(root, p["path"]) for p in publish.live(spark, root).parts}
+    kept = {b: _files(p) for b, p in parts.items() if b != bucket}
+    one = rows.where(publish.bucket_of("id", 8) == bucket).withColumn("v", F.lit(2))
+    version, total = publish.publish(one, root, key="id", buckets=8, changed=[bucket])
+    assert (version, total) == (2, 1000)
+    now = {p["bucket"]: os.path.join(root, p["path"]) for p in publish.live(spark, root).parts}
+    assert {b: _files(p) for b, p in now.items() if b != bucket} == kept
+    assert now[bucket] != parts[bucket]
+    got = publish.read_current(spark, root)
+    assert got.where("v = 2").count() == one.count() and got.distinct().count() == 1000
+    # Retention drops the replaced part only.
+    assert publish.expire_versions(spark, root, keep=1) == [1]
+    assert publish.read_current(spark, root).count() == 1000 and not os.path.exists(parts[bucket])
+
+
+def test_bucketed_publish_of_nothing_reads_back(spark, tmp_path):
+    root = str(tmp_path / "table")
+    publish.publish(spark.range(0), root, key="id", buckets=4)
+    assert publish.read_current(spark, root).count() == 0
