@@ -2,8 +2,8 @@
 the same result written as DuckDB SQL over the same tables (the oracle).
 
 Every query reads whole tables; a ``limit`` appears only where it is the
-feature (top-k, preview). Queries without an SQL form are listed in
-``NO_ORACLE`` and are checked by row count only.
+feature (top-k, preview). Every query has an SQL form (``NO_ORACLE`` would list
+those without one).
 """
 
 from __future__ import annotations
@@ -388,13 +388,100 @@ def q_scan_multi_file(spark, sf_dir):
     return read_files(spark, [f"{root}/group_a", f"{root}/group_b"], li.schema)
 
 
-@register("scan_changed_files", "select * from events")
+@register("first_load_mixed_types", "select * from lineitem")
+def q_first_load_mixed_types(spark, sf_dir):
+    """lineitem as one folder whose files disagree on the key's type."""
+    from tessera.sources.files import read_files
+    from tessera.sources.tables import read_table
+    from tessera.util import shared_scratch
+
+    li = read_table(spark, sf_dir, "lineitem")
+    path = shared_scratch(spark, "mixed_types")
+    odd = F.coalesce(F.col("l_linenumber") % 2 == 1, F.lit(False))
+    li.filter(odd).write.parquet(path)
+    li.filter(~odd).withColumn("l_orderkey", F.col("l_orderkey").cast("double")).write.mode("append").parquet(path)
+    return read_files(spark, [path], li.schema)
+
+
+@register(
+    "first_load_missing_column",
+    "select * replace (case when event_id % 2 = 1 then value end as value) from events",
+)
+def q_first_load_missing_column(spark, sf_dir):
+    """events as one folder where only some files have the value column."""
+    from tessera.sources.files import read_files
+    from tessera.sources.tables import read_table
+    from tessera.util import shared_scratch
+
+    events = read_table(spark, sf_dir, "events")
+    path = shared_scratch(spark, "missing_column")
+    odd = F.coalesce(F.col("event_id") % 2 == 1, F.lit(False))
+    events.filter(~odd).drop("value").write.parquet(path)
+    events.filter(odd).write.mode("append").parquet(path)
+    return read_files(spark, [path], events.schema)
+
+
+@register("scan_changed_files", "select * from events where event_id % 3 = 0")
 def q_scan_changed_files(spark, sf_dir):
+    """Only the files written after the cut: a third of the events, beside
+    files that hold the rest and are older."""
     from tessera.sources.files import read_changed_files
-    from tessera.sources.tables import read_table, table_path
+    from tessera.sources.tables import read_table
+    from tessera.util import shared_scratch
+
+    events = read_table(spark, sf_dir, "events")
+    path = shared_scratch(spark, "changed_files")
+    new = F.coalesce(F.col("event_id") % 3 == 0, F.lit(False))
+    events.filter(~new).write.parquet(f"{path}/old")
+    cut = _cut(spark)
+    events.filter(new).write.parquet(f"{path}/new")
+    return read_changed_files(spark, path, cut, events.schema)
+
+
+def _cut(spark) -> str:
+    """A time between the files written before and after this call
+    (``modifiedAfter`` has one-second resolution: a second on each side)."""
+    import datetime as dt
+    import time
+
+    from tessera.sources.files import since_hours_ago
+
+    time.sleep(1.1)
+    now = since_hours_ago(0, dt.datetime.now(dt.timezone.utc), spark.conf.get("spark.sql.session.timeZone"))
+    time.sleep(1.1)
+    return now
+
 
-    schema = read_table(spark, sf_dir, "events").schema
-    return read_changed_files(spark, table_path(sf_dir, "events"), "1970-01-01T00:00:00", schema)
+@register("write_single_file", "select count(*) as rows, 1 as files from part")
+def q_write_single_file(spark, sf_dir):
+    from tessera.sinks.writer import write
+    from tessera.sources.tables import read_table
+    from tessera.util import shared_scratch
+
+    path = shared_scratch(spark, "single_file")
+    write(read_table(spark, sf_dir, "part").repartition(4), path, single_file=True)
+    back = spark.read.parquet(path).select("*", "_metadata.file_path")
+    return back.agg(F.count("*").alias("rows"), F.countDistinct("file_path").cast("int").alias("files"))
+
+
+@register("write_refused", "select count(*) as rows, true as refused from supplier")
+def q_write_refused(spark, sf_dir):
+    """A create-only write onto an existing table fails and leaves it whole."""
+    from pyspark.errors import AnalysisException
+
+    from tessera.sinks.writer import write_new
+    from tessera.sources.tables import read_table
+    from tessera.util import shared_scratch
+
+    path = shared_scratch(spark, "refused")
+    supplier = read_table(spark, sf_dir, "supplier")
+    write_new(supplier, path)
+    refused = False
+    try:
+        write_new(supplier.limit(1), path)
+    except AnalysisException as e:
+        refused = e.getCondition() == "PATH_ALREADY_EXISTS"
+    return spark.read.parquet(path).agg(F.count("*").alias("rows"), F.lit(refused).alias("refused"))
 
 
 @register("write_read_roundtrip", "select * from orders")
@@ -430,20 +517,149 @@ def q_range_source(spark, sf_dir):
     return range_table(spark, read_table(spark, sf_dir, "orders").count())
 
 
-@register("partition_profile")
+@register("partition_profile", "select count(*) as rows, true as every_partition_counted from lineitem")
 def q_partition_profile(spark, sf_dir):
     from tessera.sinks.writer import partition_profile
     from tessera.sources.tables import read_table
 
-    return partition_profile(read_table(spark, sf_dir, "lineitem"))
+    table = read_table(spark, sf_dir, "lineitem").repartition(5)
+    counted = F.count_distinct("partition") == F.count("*")
+    return partition_profile(table).agg(F.sum("rows").alias("rows"), counted.alias("every_partition_counted"))
 
 
-@register("preview_rows")
+@register("preview_rows", "select least(5, count(*)) as previewed, least(5, count(*)) as found from orders")
 def q_preview_rows(spark, sf_dir):
+    """The preview's rows, counted, and how many of them are rows of orders."""
     from tessera.sinks.writer import preview
     from tessera.sources.tables import read_table
 
-    return preview(read_table(spark, sf_dir, "orders"), 5)
+    orders = read_table(spark, sf_dir, "orders")
+    shown = preview(orders, 5).withColumn("shown", F.lit(1))
+    found = shown.join(orders.select("o_orderkey").distinct(), "o_orderkey", "left_semi")
+    return shown.agg(F.count("*").alias("previewed")).join(found.agg(F.count("*").alias("found")))
+
+
+# ---------------------------------------------------------------- projections on the given tables
+
+@register(
+    "order_calendar",
+    """select o_orderkey as order_no, cast(o_orderdate as date) as order_day,
+ cast(cast(o_orderdate as date) + cast(o_orderkey % 7 as integer) as date) as due_day from orders""",
+)
+def q_order_calendar(spark, sf_dir):
+    from tessera.operators import projections as pj
+    from tessera.sources.tables import read_table
+
+    orders = pj.renamed(read_table(spark, sf_dir, "orders"), {"o_orderkey": "order_no"})
+    iso = F.date_format("o_orderdate", "yyyy-MM-dd")
+    return orders.select(
+        "order_no", F.to_date(iso).alias("order_day"), pj.days_after(iso, F.col("order_no") % 7).alias("due_day")
+    )
+
+
+@register(
+    "part_labels",
+    """select p_partkey as part_no, concat_ws('/', p_brand, case when p_size > 25 then p_type end,
+  cast(p_size as varchar)) as label,
+ ['East', 'West', 'Central', 'South'][cast(p_partkey % 4 as integer) + 1] as region from part""",
+)
+def q_part_labels(spark, sf_dir):
+    from tessera.operators import projections as pj
+    from tessera.sources.tables import read_table
+
+    part = pj.renamed(read_table(spark, sf_dir, "part"), {"p_partkey": "part_no"})
+    kind = F.when(F.col("p_size") > 25, F.col("p_type"))
+    return part.select(
+        "part_no",
+        pj.label("/", "p_brand", kind, F.col("p_size").cast("string")).alias("label"),
+        pj.pick(["East", "West", "Central", "South"], F.col("part_no") % 4).alias("region"),
+    )
+
+
+@register(
+    "line_charges",
+    """select l_orderkey, l_linenumber, cast(round(cast(l_extendedprice as decimal(12,2))
+ * (1 - cast(l_discount as decimal(4,2))) * (1 + cast(l_tax as decimal(4,2))), 1) as double) as charge from lineitem""",
+)
+def q_line_charges(spark, sf_dir):
+    from tessera.operators import projections as pj
+    from tessera.sources.tables import read_table
+
+    rate = lambda c: F.col(c).cast(fx.DEC_RATE)
+    charge = F.col("l_extendedprice").cast(fx.DEC_MONEY) * (1 - rate("l_discount")) * (1 + rate("l_tax"))
+    return read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", pj.money(charge, 1).cast("double").alias("charge")
+    )
+
+
+SQL_TEXT_FILTER = "profit > 100 and shipping_delay between 5 and 20 and (category like '%STEEL' or state = 'FRANCE')"
+
+
+@register(
+    "sales_sql_filter",
+    f"with {ENRICHED} select l_orderkey, l_linenumber, state, category, shipping_delay from enriched "
+    f"where {SQL_TEXT_FILTER}",
+)
+def q_sales_sql_filter(spark, sf_dir):
+    """A predicate given as SQL text over the enriched fact (FLT-19)."""
+    enriched = enrich.enrich_sales(fx.sales_fact(spark, sf_dir)).filter(SQL_TEXT_FILTER)
+    return enriched.select("l_orderkey", "l_linenumber", "state", "category", "shipping_delay")
+
+
+@register(
+    "double_totals",
+    """with s as (select l_returnflag as category,
+  cast(l_extendedprice as decimal(12,2)) * (1 - cast(l_discount as decimal(4,2))) as sales,
+  cast(l_extendedprice as decimal(12,2)) * cast(l_tax as decimal(4,2)) / 1 as profit from lineitem)
+select category, cast(sum(cast(l.profit as decimal(30,4))) as double) as total_profit,
+ cast(sum(cast(l.sales as decimal(30,4))) as double) as total_sales from s l group by category""",
+)
+def q_double_totals(spark, sf_dir):
+    """Totals of doubles with four decimals (no rounding before the sum)."""
+    from tessera.sources.tables import read_table
+
+    price = F.col("l_extendedprice").cast(fx.DEC_MONEY)
+    rows = read_table(spark, sf_dir, "lineitem").select(
+        F.col("l_returnflag").alias("category"),
+        (price * (1 - F.col("l_discount").cast(fx.DEC_RATE))).cast("double").alias("sales"),
+        (price * F.col("l_tax").cast(fx.DEC_RATE)).cast("double").alias("profit"),
+    )
+    return analytics.category_totals(rows)
+
+
+# Call records whose times arrive as text, a third of them with an offset.
+TEXT_TIMES_SQL = """select event_id, ts as call_start_time,
+ case when event_id % 41 = 0 then null when event_id % 37 = 0 then ts - interval '5' minute else ts + interval '10' minute end as call_end_time
+ from events"""
+
+
+def _text_times(spark, sf_dir):
+    from tessera.sources.tables import read_table
+
+    def text(ts):
+        local = F.concat((ts + F.expr("interval 5 hours 30 minutes")).cast("string"), F.lit("+05:30"))
+        utc = F.concat(ts.cast("string"), F.lit("Z"))
+        third = F.col("event_id") % 3
+        return F.when(third == 0, local).when(third == 1, utc).otherwise(ts.cast("string"))
+
+    end = F.expr(fx.CALL_RECORD_COLUMNS["call_end_time"])
+    return read_table(spark, sf_dir, "events").select(
+        "event_id", text(F.col("ts")).alias("call_start_time"), text(end).alias("call_end_time")
+    )
+
+
+@register("cdr_text_times", TEXT_TIMES_SQL)
+def q_cdr_text_times(spark, sf_dir):
+    return cast_call_records(_text_times(spark, sf_dir))
+
+
+@register(
+    "rule_time_order_text",
+    f"select event_id from ({TEXT_TIMES_SQL}) where call_end_time >= call_start_time",
+)
+def q_rule_time_order_text(spark, sf_dir):
+    typed = cast_call_records(_text_times(spark, sf_dir))
+    return rules.clean(typed, [rules.RULES_BY_NAME["rule_time_order"]]).select("event_id")
 
 
 @register(
@@ -751,12 +967,8 @@ def q_batch_incremental_load(spark, sf_dir):
     """Two runs of the batch load: the first run reads day one's files; the
     second reads only the files modified after a point between the two drops
     (day two's) and merges them; the second version is returned."""
-    import datetime as dt
-    import time
-
     from tessera.plans.jobs import run_load
     from tessera.sinks.publish import read_current
-    from tessera.sources.files import since_hours_ago
     from tessera.util import shared_scratch
 
     root = shared_scratch(spark, "batch_load")
@@ -764,15 +976,30 @@ def q_batch_incremental_load(spark, sf_dir):
     day1, day2 = _day_files(spark, sf_dir)
     day1.write.parquet(f"{source}/day1")
     run_load(spark, source, target)
-    # modifiedAfter has one-second resolution: leave a second on each side.
-    time.sleep(1.1)
-    since = since_hours_ago(0, dt.datetime.now(dt.timezone.utc), spark.conf.get("spark.sql.session.timeZone"))
-    time.sleep(1.1)
+    since = _cut(spark)
     day2.write.parquet(f"{source}/day2")
     run_load(spark, source, target, since=since)
     return read_current(spark, target)
 
 
+@register("bucketed_load", INCREMENTAL_LOAD_SQL)
+def q_bucketed_load(spark, sf_dir):
+    """The two runs on a target in buckets of the id; the second rewrites only
+    the buckets its ids fall into and starts at the recorded listing."""
+    from tessera.plans.jobs import run_load
+    from tessera.sinks.publish import read_current
+    from tessera.util import shared_scratch
+
+    root = shared_scratch(spark, "bucketed_load")
+    source, target = f"{root}/source", f"{root}/target"
+    day1, day2 = _day_files(spark, sf_dir)
+    day1.write.parquet(f"{source}/day1")
+    run_load(spark, source, target, buckets=8)
+    day2.write.parquet(f"{source}/day2")
+    run_load(spark, source, target)
+    return read_current(spark, target)
+
+
 @register("stream_incremental_load", INCREMENTAL_LOAD_SQL)
 def q_stream_incremental_load(spark, sf_dir):
     """Two scheduled runs of the streaming load. Day one's files (T's
@@ -791,3 +1018,19 @@ def q_stream_incremental_load(spark, sf_dir):
     day2.write.parquet(f"{source}/day2")
     start_incremental_load(spark, f"{source}/*", target, checkpoint).awaitTermination()
     return read_current(spark, target)
+
+
+@register("stream_new_checkpoint", INCREMENTAL_LOAD_SQL)
+def q_stream_new_checkpoint(spark, sf_dir):
+    """Day two arrives through a second stream with a checkpoint of its own,
+    whose first micro-batch has the number the first stream's had."""
+    from tessera.sinks.publish import read_current
+    from tessera.streaming.incremental import start_incremental_load
+    from tessera.util import shared_scratch
+
+    root = shared_scratch(spark, "stream_second")
+    target = f"{root}/target"
+    for name, day in zip(("one", "two"), _day_files(spark, sf_dir)):
+        day.write.parquet(f"{root}/{name}/day")
+        start_incremental_load(spark, f"{root}/{name}/*", target, f"{root}/checkpoint_{name}").awaitTermination()
+    return read_current(spark, target)

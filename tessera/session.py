@@ -1,8 +1,9 @@
 """Session factories (SRC-1, SRC-2).
 
 Credentials and object-store settings are never handled here: they belong in
-the cluster's Spark configuration. Both factories pin the session time zone to
-UTC because the call-record timestamps are zone-less wall-clock values.
+the cluster's Spark configuration. The tuned session pins the time zone to UTC
+because the call-record timestamps are zone-less wall-clock values; the named one
+changes no setting.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import SparkSession
 # Broadcast joins are chosen only from measured sizes: the static threshold
 # (which trusts compressed file sizes) is off, adaptive execution converts a
 # join to broadcast when a side's materialized shuffle output is under 10 MiB,
-# and explicit hints are given only after a bounded count (util.bounded_broadcast).
+# and explicit hints are given only for sides whose size has been counted.
 TUNING = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
