@@ -223,32 +223,74 @@ def _candidates(num: int, den: int):
     return run
 
 
+PAIRS_AT_ONCE = 200_000
+
+
 def _across(num: int, den: int):
     """Candidate pairs of different components within one block pair of a long list."""
 
     def run(part):
-        rows = part[["node", "component", "n", "pos", "sketch", "block"]].to_numpy(np.int64).T
-        out = []
-        low = int(rows[5].min())
-        one, other = rows[:, rows[5] == low], rows
-        for i in range(one.shape[1]):
-            y = other[:, (other[1] != one[1, i]) & ((other[5] > low) | (other[0] > one[0, i]))]
-            if y.shape[1]:
-                ok = may_link(np.repeat(one[2:5, i : i + 1], y.shape[1], 1), y[2:5], num, den)
-                out += [(min(one[0, i], v), max(one[0, i], v)) for v in y[0, ok]]
         import pandas as pd
 
-        return pd.DataFrame(sorted(set(out)), columns=["a", "b"], dtype="int64")
+        rows = part[["node", "component", "n", "pos", "sketch", "block"]].to_numpy(np.int64).T
+        rows = rows[:, np.argsort(rows[2], kind="stable")]
+        apart = rows[5].min() < rows[5].max()
+        size = rows.shape[1]
+        # a pair's longer set is at most den / num times the shorter one
+        last = np.searchsorted(rows[2], den * rows[2] // num, "right")
+        width = last - np.arange(size) - 1
+        upto, out, i = np.cumsum(width), [], 0
+        while i < size:
+            j = max(i + 1, int(np.searchsorted(upto, (upto[i - 1] if i else 0) + PAIRS_AT_ONCE, "right")))
+            x = np.repeat(np.arange(i, j), width[i:j])
+            y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(width[i:j]) - width[i:j], width[i:j])
+            ok = rows[1, x] != rows[1, y]
+            if apart:
+                ok &= rows[5, x] != rows[5, y]
+            x, y = x[ok], y[ok]
+            ok = may_link(rows[2:5, x], rows[2:5, y], num, den)
+            out.append(np.stack([rows[0, x[ok]], rows[0, y[ok]]]))
+            i = j
+        both = np.unique(np.sort(np.concatenate(out, 1), axis=0), axis=1)
+        return pd.DataFrame({"a": both[0], "b": both[1]})
 
     return run
 
 
+def _wide_sketch(s: np.ndarray) -> bytes:
+    """Sizes of 64 parts of the set, one byte each (255: so many or more)."""
+    part = np.bincount((s >> np.uint64(3) & np.uint64(63)).astype(np.int64), minlength=64)
+    return np.minimum(part, 255).astype(np.uint8).tobytes()
+
+
+def sketched(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs that the suffix filter on 64 parts lets through, before any set is read."""
+    side = lambda c: classes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "sa", "sb")
+
+    def run(batches):
+        for x in batches:
+            if not x.num_rows:
+                continue
+            na, nb = (x.column(c).to_numpy() for c in ("na", "nb"))
+            sa, sb = (
+                np.frombuffer(b"".join(x.column(c).to_pylist()), np.uint8).reshape(-1, 64).astype(np.int16)
+                for c in ("sa", "sb")
+            )
+            need = -(-num * (na + nb) // (num + den))
+            ok = pa.array(np.abs(sa - sb).sum(1) <= na + nb - 2 * need)
+            yield pa.RecordBatch.from_arrays([x.column("a").filter(ok), x.column("b").filter(ok)], ["a", "b"])
+
+    return both.mapInArrow(run, "a long, b long")
+
+
 def verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """The pairs whose whole sets link, each compared once.
 
     Only the texts of candidate classes are read into sets: their ids are
     broadcast if few, else joined by shuffle.
     """
+    pairs = sketched(pairs, classes, num, den).checkpoint()
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = nodes.join(classes, "node").select("node", F.col("rep").alias("_id")).checkpoint()
     ids = wanted.select("_id").distinct()
@@ -314,12 +356,14 @@ def jaccard_components(
                     t.rows.column("_id"),
                     pa.array([fingerprint(s) if len(s) else None for s in sets], pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([_wide_sketch(s) for s in sets], pa.binary()),
                 ],
-                ["_id", "node", "n"],
+                ["_id", "node", "n", "sketch"],
             )
 
-    rows = texts.select("_id", "_text").mapInArrow(describe, "_id long, node long, n long").checkpoint()
-    classes = rows.where("node is not null").groupBy("node").agg(F.min("_id").alias("rep")).checkpoint()
+    shape = "_id long, node long, n long, sketch binary"
+    rows = texts.select("_id", "_text").mapInArrow(describe, shape).checkpoint()
+    classes = rows.where("node is not null").groupBy("node", "n", "sketch").agg(F.min("_id").alias("rep")).checkpoint()
     lists = postings(texts, n, num, den, ranks)
     width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     lists = lists.repartition(width, "token").sortWithinPartitions("token", "centre", "node")
