@@ -292,21 +292,22 @@ def verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame, n: int, num
     """
     pairs = sketched(pairs, classes, num, den).checkpoint()
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = nodes.join(classes, "node").select("node", F.col("rep").alias("_id")).checkpoint()
-    ids = wanted.select("_id").distinct()
+    wanted = nodes.join(classes, "node").select(F.col("rep").alias("_id"), F.col("node").alias("want")).checkpoint()
     if wanted.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
+        wanted = F.broadcast(wanted)
 
     def to_sets(batches):
         for t in slices(batches, "_text"):
-            sets = [s for s in sets_of(t, n) if len(s)]
+            found = [(fingerprint(s), s.tobytes()) for s in sets_of(t, n)]
+            # rows that share an id may hold other texts
+            found = [f for f, w in zip(found, t.rows.column("want").to_pylist()) if f[0] == w]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([fingerprint(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                [pa.array([f for f, _ in found], pa.int64()), pa.array([x for _, x in found], pa.binary())],
                 ["node", "grams"],
             )
 
-    sets = texts.join(ids, "_id", "left_semi").select("_text").mapInArrow(to_sets, "node long, grams binary")
-    sets = sets.join(nodes, "node", "left_semi").dropDuplicates(["node"]).checkpoint()
+    # a row listed twice gives its set twice, and its links twice: they are made distinct
+    sets = texts.join(wanted, "_id").select("_text", "want").mapInArrow(to_sets, "node long, grams binary").checkpoint()
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("grams").alias("x")), "a")
     both = both.join(sets.select(F.col("node").alias("b"), F.col("grams").alias("y")), "b")
 
@@ -324,7 +325,7 @@ def verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame, n: int, num
                 [pa.array([a_[i] for i in keep], pa.int64()), pa.array([b_[i] for i in keep], pa.int64())], ["a", "b"]
             )
 
-    return both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
+    return both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long").distinct()
 
 
 def _to_ids(links: DataFrame, classes: DataFrame) -> DataFrame:
