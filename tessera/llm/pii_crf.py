@@ -5,9 +5,9 @@ linear-chain CRF over word-shape features, trained from the small labelled
 table below, reads every word of every text and is decoded by Viterbi in numpy
 batches. It adds what the patterns can't express: secrets such as access
 tokens, and telephone numbers without a country code. A span of the CRF that
-touches any match of a pattern, kept or rejected, is left to the pattern, so
-base spans always stay and a rejected match (a card number that fails Luhn, an
-address part over 255) doesn't come back.
+touches a base span, or lies for the greater part in a match that its pattern
+rejected, is left to the pattern, so base spans always stay and a rejected match
+(a card number that fails Luhn, an address part over 255) doesn't come back.
 
 NULL and empty texts have no spans. Repeated rows are read one by one. Texts
 are read whole; matching takes time linear in the text. Spans are code points,
@@ -325,7 +325,10 @@ def find(t: Texts, m: Model) -> dict[str, list]:
         for a, b, kind, _ in runs.get(int(i), ()):
             a, b = _trimmed(raw, a - begin, b - begin)
             a, b = len(raw[:a].decode()), len(raw[:b].decode())
-            if a < b and not any(a < d and c < b for c, d in seen):
+            over = lambda c, d: min(b, d) - max(a, c)
+            if any(over(c, d) > 0 for c, d, _ in base) or any(2 * over(c, d) > b - a for c, d in seen):
+                continue
+            if a < b:
                 extra.append((a, b, TAGS[kind]))
         out["base"][i], out["spans"][i] = shape(base), shape(base + extra)
     return out
