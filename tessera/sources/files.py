@@ -164,6 +164,9 @@ def read_files(
         schema = T.StructType(list(fields.values()))
     if not frames:
         return empty_frame(spark, schema)
+    left_out = sorted({c for frame in frames for c in frame.columns} - set(schema.names))
+    if left_out:
+        warnings.warn(f"columns that the declared schema lacks are left out: {', '.join(left_out)}", stacklevel=2)
     out = conform(frames[0], schema)
     for other in frames[1:]:
         out = out.unionByName(conform(other, schema))

@@ -128,6 +128,8 @@ def test_every_footer_of_a_folder_counts(spark, tmp_path):
     got = files.read_files(spark, [path], schema)
     assert got.count() == 300 and got.where("cost is not null").count() == 200
     assert set(files.read_files(spark, [path]).columns) == {"id", "cost"}
+    with pytest.warns(UserWarning, match="left out: cost"):
+        files.read_files(spark, [path], spark.createDataFrame([], "id double").schema)
 
 
 def _jobs(spark, build):
