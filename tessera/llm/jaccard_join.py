@@ -21,7 +21,7 @@ Plan, with every step linear in the n-grams or in the links:
    components is lost.
 6. Links and classes become components.
 
-Sets, fingerprints and n-grams are 64-bit hashes. A long list is streamed: one
+N-grams and fingerprints are 64-bit hashes; sets are compared on 48 bits. A long list is streamed: one
 task holds its centre and one batch. Repeated rows count as copies; a NULL id
 gets the component of its class, or NULL if no member has an id. Only doc_id
 and the text are read, so other columns can't clash.
@@ -224,35 +224,53 @@ def _candidates(num: int, den: int):
 
 
 PAIRS_AT_ONCE = 200_000
+MEMBER = "token long, one long, two long, n long, node long, component long, pos long, sketch long, block long"
+
+
+def _across_block(rows: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Candidate pairs of different components among members ordered by n (columns from n on)."""
+    size = rows.shape[1]
+    apart = rows[5].min() < rows[5].max()
+    # a pair's longer set is at most den / num times the shorter one
+    last = np.searchsorted(rows[0], den * rows[0] // num, "right")
+    width = last - np.arange(size) - 1
+    upto, out, i = np.cumsum(width), [], 0
+    while i < size:
+        j = max(i + 1, int(np.searchsorted(upto, (upto[i - 1] if i else 0) + PAIRS_AT_ONCE, "right")))
+        x = np.repeat(np.arange(i, j), width[i:j])
+        y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(width[i:j]) - width[i:j], width[i:j])
+        ok = rows[2, x] != rows[2, y]
+        if apart:
+            ok &= rows[5, x] != rows[5, y]
+        x, y = x[ok], y[ok]
+        side = lambda z: np.stack([rows[0, z], rows[3, z], rows[4, z]])
+        ok = may_link(side(x), side(y), num, den)
+        out.append(np.stack([rows[1, x[ok]], rows[1, y[ok]]]))
+        i = j
+    return np.sort(np.concatenate(out, 1), axis=0)
 
 
 def _across(num: int, den: int):
-    """Candidate pairs of different components within one block pair of a long list."""
-
-    def run(part):
-        import pandas as pd
-
-        rows = part[["node", "component", "n", "pos", "sketch", "block"]].to_numpy(np.int64).T
-        rows = rows[:, np.argsort(rows[2], kind="stable")]
-        apart = rows[5].min() < rows[5].max()
-        size = rows.shape[1]
-        # a pair's longer set is at most den / num times the shorter one
-        last = np.searchsorted(rows[2], den * rows[2] // num, "right")
-        width = last - np.arange(size) - 1
-        upto, out, i = np.cumsum(width), [], 0
-        while i < size:
-            j = max(i + 1, int(np.searchsorted(upto, (upto[i - 1] if i else 0) + PAIRS_AT_ONCE, "right")))
-            x = np.repeat(np.arange(i, j), width[i:j])
-            y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(width[i:j]) - width[i:j], width[i:j])
-            ok = rows[1, x] != rows[1, y]
-            if apart:
-                ok &= rows[5, x] != rows[5, y]
-            x, y = x[ok], y[ok]
-            ok = may_link(rows[2:5, x], rows[2:5, y], num, den)
-            out.append(np.stack([rows[0, x[ok]], rows[0, y[ok]]]))
-            i = j
-        both = np.unique(np.sort(np.concatenate(out, 1), axis=0), axis=1)
-        return pd.DataFrame({"a": both[0], "b": both[1]})
+    """Candidate pairs within block pairs of long lists; rows come sorted by token, one, two and n."""
+
+    def pairs(rows):
+        cut = np.flatnonzero((rows[:3, 1:] != rows[:3, :-1]).any(0)) + 1
+        found = [_across_block(part[3:], num, den) for part in np.split(rows, cut, axis=1)]
+        both = np.unique(np.concatenate(found, 1), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in both], ["a", "b"])
+
+    def run(batches):
+        held = np.empty((9, 0), np.int64)  # at most a block pair and a batch
+        for b in batches:
+            if not b.num_rows:
+                continue
+            held = np.concatenate([held, np.stack([c.to_numpy() for c in b.columns])], 1)
+            tail = int(np.flatnonzero((held[:3] == held[:3, -1:]).all(0))[0])
+            if tail:
+                yield pairs(held[:, :tail])
+                held = held[:, tail:]
+        if held.shape[1]:
+            yield pairs(held)
 
     return run
 
@@ -263,6 +281,18 @@ def _wide_sketch(s: np.ndarray) -> bytes:
     return np.minimum(part, 255).astype(np.uint8).tobytes()
 
 
+def _packed(s: np.ndarray) -> bytes:
+    """The sorted set as 48-bit numbers: enough to compare two sets, a quarter less to move."""
+    return (s >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _unpacked(raw) -> np.ndarray:
+    six = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    out = np.zeros((len(six), 8), np.uint8)
+    out[:, :6] = six
+    return out.view("<u8").ravel()
+
+
 def sketched(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs that the suffix filter on 64 parts lets through, before any set is read."""
     side = lambda c: classes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
@@ -284,6 +314,12 @@ def sketched(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFr
     return both.mapInArrow(run, "a long, b long")
 
 
+def few(ids: DataFrame) -> DataFrame:
+    """The ids, to be broadcast if a count finds at most ``BROADCAST_IDS``."""
+    ids = ids.checkpoint()
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """The pairs whose whole sets link, each compared once.
 
@@ -292,13 +328,11 @@ def verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame, n: int, num
     """
     pairs = sketched(pairs, classes, num, den).checkpoint()
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = nodes.join(classes, "node").select(F.col("rep").alias("_id"), F.col("node").alias("want")).checkpoint()
-    if wanted.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
+    wanted = few(nodes.join(classes, "node").select(F.col("rep").alias("_id"), F.col("node").alias("want")))
 
     def to_sets(batches):
         for t in slices(batches, "_text"):
-            found = [(fingerprint(s), s.tobytes()) for s in sets_of(t, n)]
+            found = [(fingerprint(s), _packed(s)) for s in sets_of(t, n)]
             # rows that share an id may hold other texts
             found = [f for f, w in zip(found, t.rows.column("want").to_pylist()) if f[0] == w]
             yield pa.RecordBatch.from_arrays(
@@ -316,7 +350,7 @@ def verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame, n: int, num
             a_, b_ = b.column("a").to_pylist(), b.column("b").to_pylist()
             keep = []
             for i, (x, y) in enumerate(zip(b.column("x"), b.column("y"))):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                x, y = _unpacked(x.as_buffer()), _unpacked(y.as_buffer())
                 at = np.minimum(np.searchsorted(x, y), len(x) - 1)
                 both = int((x[at] == y).sum())
                 if den * both >= num * (len(x) + len(y) - both):
@@ -382,7 +416,9 @@ def jaccard_components(
     split = members.join(open_lists, "token").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("long"))
     split = split.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     split = split.withColumn("one", F.least("block", "other")).withColumn("two", F.greatest("block", "other"))
-    rest = split.groupBy("token", "one", "two").applyInPandas(_across(num, den), "a long, b long").distinct().checkpoint()
+    split = split.select(*[F.col(f.split()[0]).cast("long") for f in MEMBER.split(", ")])
+    split = split.repartition(width, "token", "one", "two").sortWithinPartitions("token", "one", "two", "n")
+    rest = split.mapInArrow(_across(num, den), "a long, b long").distinct().checkpoint()
     links = links.union(verified(rest, texts, classes, n, num, den)).checkpoint()
     merged = connected_components(_to_ids(links, classes))
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
