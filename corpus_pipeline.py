@@ -33,10 +33,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     A row listed twice under one id stays once.
     """
     ready(spark)
-    groups = jaccard_join.jaccard_components(docs, n=5, num=8, den=10)
-    stay = groups.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.where("doc_id is not null").join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    groups = jaccard_join.jaccard_components(docs, n=5, num=8, den=10).select("doc_id", "component_id")
+    groups = groups.where("doc_id is not null").checkpoint()
+    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    twice = groups.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    # Texts are not shuffled where the ids that leave, and those listed twice, are few.
+    kept = docs.join(jaccard_join.few(gone), "doc_id", "left_anti").select(*docs.columns)
+    if twice.isEmpty():
+        return kept
+    twice = jaccard_join.few(twice)
+    once = kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    return kept.join(twice, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
