@@ -42,6 +42,7 @@ BITS = 18  # of the frequency table
 SEGMENTS = 16
 SHORT_LIST = 8
 BLOCK = 1024
+PARTS = 512
 #: ids that may be broadcast; more are joined by shuffle
 BROADCAST_IDS = 200_000
 
@@ -275,9 +276,9 @@ def _across(num: int, den: int):
     return run
 
 
-def _wide_sketch(s: np.ndarray) -> bytes:
-    """Sizes of 64 parts of the set, one byte each (255: so many or more)."""
-    part = np.bincount((s >> np.uint64(3) & np.uint64(63)).astype(np.int64), minlength=64)
+def _wide_sketch(s: np.ndarray, parts: int) -> bytes:
+    """Sizes of that many parts of the set, one byte each (255: so many or more)."""
+    part = np.bincount((s >> np.uint64(3) & np.uint64(parts - 1)).astype(np.int64), minlength=parts)
     return np.minimum(part, 255).astype(np.uint8).tobytes()
 
 
@@ -294,7 +295,7 @@ def _unpacked(raw) -> np.ndarray:
 
 
 def sketched(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs that the suffix filter on 64 parts lets through, before any set is read."""
+    """The pairs that the suffix filter on the classes' wide sketches lets through."""
     side = lambda c: classes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "sa", "sb")
 
@@ -304,7 +305,7 @@ def sketched(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFr
                 continue
             na, nb = (x.column(c).to_numpy() for c in ("na", "nb"))
             sa, sb = (
-                np.frombuffer(b"".join(x.column(c).to_pylist()), np.uint8).reshape(-1, 64).astype(np.int16)
+                np.frombuffer(b"".join(x.column(c).to_pylist()), np.uint8).reshape(x.num_rows, -1).astype(np.int16)
                 for c in ("sa", "sb")
             )
             need = -(-num * (na + nb) // (num + den))
@@ -323,25 +324,30 @@ def few(ids: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """The pairs whose whole sets link, each compared once.
 
-    Only the texts of candidate classes are read into sets: their ids are
-    broadcast if few, else joined by shuffle.
+    The suffix filter runs first on the 64 parts that every class carries, then
+    on ``PARTS`` parts of the remaining classes, whose texts are read for it;
+    only sets of pairs that pass both are moved. Ids and classes are broadcast
+    if few, else joined by shuffle.
     """
     pairs = sketched(pairs, classes, num, den).checkpoint()
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = few(nodes.join(classes, "node").select(F.col("rep").alias("_id"), F.col("node").alias("want")))
+    nodes = lambda p: p.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = few(nodes(pairs).join(classes, "node").select(F.col("rep").alias("_id"), F.col("node").alias("want")))
 
     def to_sets(batches):
         for t in slices(batches, "_text"):
-            found = [(fingerprint(s), _packed(s)) for s in sets_of(t, n)]
+            found = [(fingerprint(s), s) for s in sets_of(t, n)]
             # rows that share an id may hold other texts
             found = [f for f, w in zip(found, t.rows.column("want").to_pylist()) if f[0] == w]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([f for f, _ in found], pa.int64()), pa.array([x for _, x in found], pa.binary())],
-                ["node", "grams"],
-            )
+            columns = [pa.array([f for f, _ in found], pa.int64()), pa.array([len(s) for _, s in found], pa.int64())]
+            for pack in (lambda s: _wide_sketch(s, PARTS), _packed):
+                columns.append(pa.array([pack(s) for _, s in found], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, ["node", "n", "sketch", "grams"])
 
     # a row listed twice gives its set twice, and its links twice: they are made distinct
-    sets = texts.join(wanted, "_id").select("_text", "want").mapInArrow(to_sets, "node long, grams binary").checkpoint()
+    found = texts.join(wanted, "_id").select("_text", "want")
+    found = found.mapInArrow(to_sets, "node long, n long, sketch binary, grams binary").checkpoint()
+    pairs = sketched(pairs, found, num, den).distinct().checkpoint()
+    sets = found.join(few(nodes(pairs)), "node").select("node", "grams")
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("grams").alias("x")), "a")
     both = both.join(sets.select(F.col("node").alias("b"), F.col("grams").alias("y")), "b")
 
@@ -391,7 +397,7 @@ def jaccard_components(
                     t.rows.column("_id"),
                     pa.array([fingerprint(s) if len(s) else None for s in sets], pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([_wide_sketch(s) for s in sets], pa.binary()),
+                    pa.array([_wide_sketch(s, 64) for s in sets], pa.binary()),
                 ],
                 ["_id", "node", "n", "sketch"],
             )
