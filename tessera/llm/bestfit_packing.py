@@ -41,7 +41,7 @@ from tessera.util import ensure_checkpoint_dir
 
 CAPACITY = 4096
 END_ID = 1
-SEARCH_NODES = 20_000
+SEARCH_NODES = 7_000
 FILL_NODES = 300
 CHOICES = 4
 #: words that a Python worker keeps the ids of; beyond it the memory starts anew
