@@ -45,7 +45,7 @@ SEARCH_NODES = 7_000
 FILL_NODES = 300
 CHOICES = 4
 #: words that a Python worker keeps the ids of; beyond it the memory starts anew
-CACHED_WORDS = 2_000_000
+CACHED_WORDS = 1_000_000
 #: pieces of one length that are numbered in one group, about
 GROUP_ROWS = 200_000
 
