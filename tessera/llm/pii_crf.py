@@ -163,7 +163,7 @@ for _bytes, _class in (
     CLASSES[np.frombuffer(_bytes, np.uint8)] = _class
 CLASSES[0x80:] = 1
 TAGS = ("other", "phone", "secret")
-N_DIGITS = np.array([1, 2, 3, 4, 5, 8, 12, 20])
+N_DIGITS = np.array([1, 2, 3, 4, 5, 8, 12])
 N_LENGTH = np.array([2, 4, 8, 16, 24, 32])
 N_TURNS = np.array([1, 2, 3, 5, 8])
 
@@ -309,7 +309,8 @@ def find(t: Texts, m: Model) -> dict[str, list]:
     runs: dict[int, list] = {}
     for i in marked:
         own = runs.setdefault(int(w.text[i]), [])
-        if own and own[-1][2] == tag[i] and own[-1][3] == i - 1:
+        # a telephone number may have several words, a secret is one
+        if own and own[-1][2] == tag[i] == TAGS.index("phone") and own[-1][3] == i - 1:
             own[-1][1:] = [int(w.end[i]), tag[i], i]
         else:
             own.append([int(w.start[i]), int(w.end[i]), tag[i], i])
