@@ -7,12 +7,16 @@ sequences use it). Spark then deals the pieces to the patterns: pieces of one
 length are numbered, and the n-th piece of a length takes the n-th place that
 the patterns hold for that length.
 
-Bin completion: take the largest remaining length, enumerate undominated
-fillings of the space it leaves, branch over them (least waste first). A
-branch ends as soon as its waste exceeds what a solution better than the
-incumbent could waste. The incumbent starts as the best-fit decreasing
-solution. The search visits at most ``nodes`` fillings; the best solution
-found is always complete.
+Bin completion: take the largest remaining length, enumerate all undominated
+fillings of the space it leaves (least waste first, made only when asked for),
+branch over them and over how often each is used. A branch ends as soon as its
+waste exceeds what a solution better than the incumbent could waste. The
+incumbent starts as the best-fit decreasing solution; its wasteful sequences
+are solved anew, first alone, then with ever more full ones, at last all of
+them. A search that ends tries everything, so its result is the fewest
+sequences. One that visits ``nodes`` fillings stops, as the problem is NP-hard;
+if the lower bound is not met then, a warning gives both figures. The solution
+is always complete.
 
 A document is the tokenizer's ids (no special tokens added; special-token
 strings in a text are ordinary text) and the end id 1. NULL and empty texts
@@ -23,10 +27,11 @@ by one. An empty table gives no pieces.
 
 from __future__ import annotations
 
+import logging
 import zlib
 from bisect import bisect_right
-from collections.abc import Sequence
-from itertools import groupby
+from collections.abc import Iterator, Sequence
+from itertools import groupby, islice
 
 import numpy as np
 import pyarrow as pa
@@ -39,11 +44,15 @@ from tessera.llm.rowwise import ROW, TEXT
 from tessera.llm.scan import PLAIN, Texts, slices, word_hashes, words_of
 from tessera.util import ensure_checkpoint_dir
 
+log = logging.getLogger(__name__)
+
 CAPACITY = 4096
 END_ID = 1
-SEARCH_NODES = 7_000
-FILL_NODES = 300
-CHOICES = 4
+#: fillings that a search visits: so many, or so many for every distinct length if that is more
+SEARCH_NODES = 20_000
+NODES_PER_LENGTH = 8
+#: fillings per place of the quick try before the full one
+FIRST_WIDTH = 4
 #: words that a Python worker keeps the ids of; beyond it the memory starts anew
 CACHED_WORDS = 1_000_000
 #: pieces of one length that are numbered in one group, about
@@ -213,88 +222,172 @@ def best_fit(stock: Stock, capacity: int) -> Filling:
         room -= n * x
 
 
-def fillings(stock: Stock, capacity: int, most_waste: int) -> list[tuple[int, Filling]]:
-    """Undominated fillings around the largest length as (waste, filling), best first.
+def _sums(lengths: list[int], counts: list[int], room: int) -> list[int]:
+    """Bit sets of the sums up to ``room`` that the first i lengths can make, for every i."""
+    mask, out = (1 << (room + 1)) - 1, [1]
+    for x, c in zip(lengths, counts):
+        r, c, k = out[-1], min(c, room // x), 1
+        while c > 0 and r != mask:
+            r |= (r << min(k, c) * x) & mask
+            c, k = c - k, 2 * k
+        out.append(r)
+    return out
+
+
+def fillings(stock: Stock, capacity: int, most_waste: int) -> Iterator[tuple[int, Filling | None]]:
+    """All undominated fillings around the largest length as (waste, filling), least waste first.
 
     A filling is dominated if something left still fits, or if one of its
-    lengths can be swapped for a larger one that is left.
+    lengths can be swapped for a larger one that is left. They are made one at
+    a time; only sums that the lengths can make are followed. A
+    dominated one gives None, so that a search can count it.
     """
     first = best_fit(stock, capacity)
-    waste = capacity - sum(k * n for k, n in first)
-    found = {first: waste}
-    if waste:
-        largest = stock.lengths[-1]
-        budget = FILL_NODES
-        stack = [([], capacity - largest, len(stock.lengths))]
-        while stack and budget:
-            chosen, room, below = stack.pop()
-            budget -= 1
-            i = min(bisect_right(stock.lengths, room), below) - 1
-            free = lambda x: stock.count[x] - (x == largest) - chosen.count(x)
-            while i >= 0 and free(stock.lengths[i]) <= 0:
-                i -= 1
-            if i < 0:
-                whole = _filling([largest, *chosen])
-                j = bisect_right(stock.lengths, room + min(chosen, default=0)) - 1
-                swap = chosen and j >= 0 and stock.lengths[j] > min(chosen) and free(stock.lengths[j]) > 0
-                if room <= most_waste and not swap:
-                    found[whole] = room
-                    if room == 0:
-                        break
+    if sum(k * n for k, n in first) == capacity:
+        yield 0, first
+    largest = stock.lengths[-1]
+    room = capacity - largest
+    free = {x: stock.count[x] - (x == largest) for x in stock.lengths}
+    lengths = [x for x in stock.lengths if x <= room and free[x]]
+    sums = _sums(lengths, [free[x] for x in lengths], room)
+
+    def dominated(chosen, waste):
+        used = dict(chosen)
+        left = lambda x: free[x] > used.get(x, 0)
+        if any(left(x) for x in lengths[: bisect_right(lengths, waste)]):
+            return True
+        larger = lambda x: lengths[bisect_right(lengths, x) : bisect_right(lengths, x + waste)]
+        return any(left(y) for x in used for y in larger(x))
+
+    for waste in range(min(room, most_waste) + 1):
+        stack = [(len(lengths), room - waste, ())]
+        while stack:
+            i, rest, chosen = stack.pop()
+            if not sums[i] >> rest & 1:
                 continue
-            # deepest first: the largest that fits, then the next ones below it
-            for j in range(max(0, i - CHOICES + 1), i + 1):
-                x = stock.lengths[j]
-                if free(x) > 0:
-                    stack.append(([*chosen, x], room - x, j + 1))
-    ranked = sorted(found.items(), key=lambda f: (f[1], sum(n for _, n in f[0])))
-    return [(w, f) for f, w in ranked if w <= most_waste][:CHOICES]
+            if rest:
+                i = min(i, bisect_right(lengths, rest))
+                x = lengths[i - 1]
+                stack.append((i - 1, rest, chosen))
+                stack += [(i - 1, rest - n * x, (*chosen, (x, n))) for n in range(1, min(free[x], rest // x) + 1)]
+            elif waste and dominated(chosen, waste):
+                yield waste, None
+            else:
+                whole = _filling([largest, *(x for x, n in chosen for _ in range(n))])
+                if waste or whole != first:
+                    yield waste, whole
 
 
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
+    """Sequences that no packing can do without (Martello and Toth's L2)."""
     total = sum(k * v for k, v in counts.items())
-    halves = sum(v for k, v in counts.items() if 2 * k > capacity)
-    return max(-(-total // capacity), halves)
+    best = -(-total // capacity)
+    lengths = np.array(sorted(k for k, v in counts.items() if v > 0), np.int64)
+    number = np.array([counts[int(k)] for k in lengths], np.int64)
+    upto, size = np.append(0, np.cumsum(number)), np.append(0, np.cumsum(number * lengths))
+    half = int(np.searchsorted(lengths, capacity // 2, "right"))
+    for i in range(half + 1):  # lengths from the i-th on; those over half stand alone
+        top = len(lengths) if i == half else int(np.searchsorted(lengths, capacity - lengths[i], "right"))
+        room = (upto[top] - upto[half]) * capacity - (size[top] - size[half])
+        over = max(0, -(-int(size[half] - size[i] - room) // capacity))
+        best = max(best, int(upto[-1] - upto[half]) + over)
+    return best
+
 
+def _search(
+    counts: dict[int, int], capacity: int, most: int, nodes: int, width: int | None
+) -> tuple[list[Pattern] | None, int, bool]:
+    """A packing in at most ``most`` sequences or None, the nodes left, and whether all were tried.
 
-def pack_histogram(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = SEARCH_NODES) -> list[Pattern]:
+    With a ``width``, only so many fillings are tried at a place, each as often as it goes.
+    """
+    spare = most * capacity - sum(k * v for k, v in counts.items())
+    if spare < 0:
+        return None, nodes, True
+    stock, path, wasted = Stock(counts), [], 0
+    choices = lambda most_waste: islice(fillings(stock, capacity, most_waste), width)
+    options = [choices(spare)]
+    while options:
+        choice = next(options[-1], None)
+        if choice is not None:
+            if nodes <= 0:
+                return None, 0, False
+            nodes -= 1
+            waste, f = choice
+            if f is None:
+                continue
+            n = stock.times(f)
+            if waste:
+                n = min(n, (spare - wasted) // waste)
+            path.append((f, n, waste))
+            stock.take(f, n)
+            wasted += waste * n
+            if not stock.lengths:
+                return [(f, n) for f, n, _ in path], nodes, True
+            options.append(choices(spare - wasted))
+            continue
+        options.pop()
+        if path:  # the same filling once less, and another in its place
+            f, n, waste = path.pop()
+            back = n if width else 1
+            stock.put(f, back)
+            wasted -= waste * back
+            if n > back:
+                path.append((f, n - 1, waste))
+                others = fillings(stock, capacity, spare - wasted)
+                options.append(x for x in others if x[1] != path[-1][0])
+    return None, nodes, width is None
+
+
+def _some(patterns: list[Pattern], n: int) -> tuple[list[Pattern], list[Pattern]]:
+    """About ``n`` sequences of the patterns, evenly, and the others."""
+    total, taken, seen, rest = sum(m for _, m in patterns), [], 0, []
+    for f, m in patterns:
+        k = (seen + m) * n // total - seen * n // total
+        seen += m
+        taken += [(f, k)] if k else []
+        rest += [(f, m - k)] if m > k else []
+    return taken, rest
+
+
+def _counts(patterns: list[Pattern]) -> dict[int, int]:
+    out: dict[int, int] = {}
+    for f, m in patterns:
+        for length, n in f:
+            out[length] = out.get(length, 0) + n * m
+    return out
+
+
+def pack_histogram(counts: dict[int, int], capacity: int = CAPACITY, nodes: int | None = None) -> list[Pattern]:
     """Patterns that together hold every length exactly as often as ``counts`` says."""
     stock, best = Stock(counts), []
+    nodes = max(SEARCH_NODES, NODES_PER_LENGTH * len(stock.lengths)) if nodes is None else nodes
     while stock.lengths:
         f = best_fit(stock, capacity)
         best.append((f, stock.times(f)))
         stock.take(*best[-1])
-    bins = sum(n for _, n in best)
-    bound, total = lower_bound(counts, capacity), sum(k * v for k, v in counts.items())
-    if bins <= bound:
-        return best
-    stock, path, wasted, used = Stock(counts), [], 0, 0
-    options = [fillings(stock, capacity, (bins - 1) * capacity - total)]
-    while options and nodes > 0 and bins > bound:
-        spare = (bins - 1) * capacity - total
-        if options[-1]:
-            waste, f = options[-1].pop(0)
-            n = stock.times(f)
-            # waste that a better solution can't afford for all n: take fewer
-            if waste:
-                n = min(n, (spare - wasted) // waste)
-            if n <= 0:
-                continue
-            nodes -= 1
-            path.append((f, n))
-            stock.take(f, n)
-            wasted, used = wasted + waste * n, used + n
-            if not stock.lengths:
-                best, bins = list(path), used
-                options.append([])
-            else:
-                options.append(fillings(stock, capacity, spare - wasted))
+    number = lambda patterns: sum(n for _, n in patterns)
+    wasteful = lambda p: sum(k * n for k, n in p[0]) < capacity
+    bound, again, proven = lower_bound(counts, capacity), 0, False
+    width: int | None = FIRST_WIDTH
+    while number(best) > bound and not proven and nodes > 0:
+        # the wasteful sequences first, then with ever more full ones, at last all
+        poor, full = [p for p in best if wasteful(p)], [p for p in best if not wasteful(p)]
+        whole = again >= number(full)
+        some, rest = ([], full) if not again else (full, []) if whole else _some(full, again)
+        part = poor + some
+        share = nodes if whole and width is None else max(1, nodes // 8)
+        found, left, done = _search(_counts(part), capacity, number(part) - 1, share, width)
+        nodes -= share - left
+        if found:
+            best, again, width = rest + found, 0, FIRST_WIDTH
+        elif width is None:
+            proven = whole and done
+            again, width = max(2 * again, number(poor)), FIRST_WIDTH
         else:
-            options.pop()
-            if path:
-                f, n = path.pop()
-                stock.put(f, n)
-                wasted, used = wasted - n * (capacity - sum(k * m for k, m in f)), used - n
+            width = None
+    if number(best) > bound and not proven:
+        log.warning("packing: search budget spent at %d sequences, lower bound %d", number(best), bound)
     return best
 
 
@@ -328,7 +421,7 @@ def best_fit_pack(
     text: str = "text",
     carry: Sequence[str] = ("doc_id",),
     capacity: int = CAPACITY,
-    nodes: int = SEARCH_NODES,
+    nodes: int | None = None,
     with_ids: bool = False,
 ) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``.

@@ -93,3 +93,21 @@ def test_repeats_nulls_and_nothing(spark):
     got = unpacked(bp.best_fit_pack(brute.documents(spark, rows), tokenizer_path()), "length", "sequence_id", "offset").collect()
     assert len(got) == 4 and len({(r["sequence_id"], r["offset"]) for r in got}) == 4
     assert bp.best_fit_pack(brute.documents(spark, []), tokenizer_path()).count() == 0
+
+
+def test_search_resolves_wasteful_sequences():
+    for seed, capacity in ((9, 100), (14, 60), (20, 1000), (37, 1000)):
+        rng = random.Random(seed)
+        assert rng.choice([60, 100, 1000]) == capacity
+        items = [rng.randrange(capacity // 7, capacity * 2 // 3) for _ in range(rng.choice([20, 60, 300]))]
+        patterns = bp.pack_histogram(Counter(items), capacity)
+        assert _held(patterns) == Counter(items)
+        assert sum(n for _, n in patterns) == bp.lower_bound(Counter(items), capacity)
+
+
+def test_a_spent_budget_is_told(caplog):
+    rng = random.Random(20)
+    rng.choice([60, 100, 1000])
+    items = Counter(rng.randrange(142, 666) for _ in range(rng.choice([20, 60, 300])))
+    bp.pack_histogram(items, 1000, nodes=1)
+    assert "search budget spent" in caplog.text
