@@ -5,14 +5,18 @@ pages where its path of tags and class names is the same. For every node the
 host's pages give two entropies: of its presentations (the sequences of child
 elements) and of its content (in how many pages each text block below it
 stands). Menus, notices and adverts repeat, so their importance is low; article
-text differs from page to page. What a tag or class name says outright (nav,
-footer, article) counts as prior evidence, and is all there is for a host with
-one page. Branches of low importance are removed from each page.
+text differs from page to page. What a tag or class name says (nav, footer,
+article) counts as prior evidence, and is all there is for a host with one
+page. The pages' evidence weighs log2 of their number: over 2^6 pages can
+outvote a class name or an id, over 2^16 a tag or an ARIA role. Elements below
+content are shielded less (2^4), so repeated unnamed blocks in it go. Each
+element is judged by itself; one seen on few pages follows the one around it.
+Text of elements of low importance is removed from each page.
 
 Pass 1 parses the pages into (node, value) counts, added up before and after
 the shuffle, so that a host with a third of all pages sends each task's
 distinct values only. The importance needs sums of c log c, never the values of
-a host together. Only nodes whose importance contradicts their prior go back to
+a host together. Only nodes whose importance contradicts their role go back to
 the pages (pass 2), as a small table per host.
 
 NULL or empty html gives an empty text. NULL urls share the host ''. Repeated
@@ -62,37 +66,57 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
-NEUTRAL, NOISE, CONTENT = 0, 1, 2
-PRIOR = {NEUTRAL: (0.7, 4.0), NOISE: (0.0, 16.0), CONTENT: (1.0, 16.0)}  # importance, weight
-MOST_EVIDENCE = 15.9  # never outvotes a clear name
+# Roles: by a tag or an ARIA role, by a class name or id, or taken over from the element above.
+NEUTRAL, NOISE, CONTENT, NOISE_NAME, CONTENT_NAME, WITHIN_CONTENT, WITHIN_NOISE, WITHIN_NOISE_NAME = range(8)
+TAKEN_OVER = (NEUTRAL, WITHIN_CONTENT, WITHIN_NOISE, WITHIN_NOISE_NAME)
+REMOVED_ROLES = (NOISE, NOISE_NAME, WITHIN_NOISE, WITHIN_NOISE_NAME)
+CONTENT_ROLES = (CONTENT, CONTENT_NAME, WITHIN_CONTENT)
+#: importance, weight; a site's pages weigh log2 of their number, so over 2^weight of them can outvote a prior
+PRIOR = {
+    NEUTRAL: (0.7, 4.0),
+    NOISE: (0.0, 16.0),
+    CONTENT: (1.0, 16.0),
+    NOISE_NAME: (0.0, 6.0),
+    CONTENT_NAME: (1.0, 6.0),
+    WITHIN_CONTENT: (1.0, 4.0),
+    WITHIN_NOISE: (0.0, 16.0),
+    WITHIN_NOISE_NAME: (0.0, 6.0),
+}
+ENOUGH_PAGES = 16  # for an element to differ from a removed one around it
 PRESENTATION_SHARE = 0.1
 LEAST_IMPORTANCE = 0.5
 BROADCAST_NODES = 200_000
 
 
 class Node:
-    """An open element: its tag, site node, role and whether it is removed."""
+    """An open element: its tag, site node, role, whether it is removed, and the site node above."""
 
-    __slots__ = ("tag", "key", "role", "removed", "children")
+    __slots__ = ("tag", "key", "role", "removed", "above", "children")
 
-    def __init__(self, tag: str, key: int, role: int, removed: bool):
-        self.tag, self.key, self.role, self.removed, self.children = tag, key, role, removed, []
+    def __init__(self, tag: str, key: int, role: int, removed: bool, above: int = 0):
+        self.tag, self.key, self.role, self.removed, self.above, self.children = tag, key, role, removed, above, []
 
 
 def role_of(tag: str, attributes: str, parent: int) -> int:
-    if parent == NOISE or tag in NOISE_TAGS:
+    if parent in (NOISE, WITHIN_NOISE):
+        return WITHIN_NOISE
+    if tag in NOISE_TAGS:
         return NOISE
     if tag == "header":
-        return CONTENT if parent == CONTENT else NOISE
+        return WITHIN_CONTENT if parent in CONTENT_ROLES else NOISE
     names = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)} if attributes else {}
     if names.get("role", "").lower() in NOISE_ROLES:
         return NOISE
     text = f"{names.get('class', '')} {names.get('id', '')}"
+    if parent in (NOISE_NAME, WITHIN_NOISE_NAME):
+        return WITHIN_NOISE_NAME
     if tag not in ("html", "body") and NOISE_NAMES.search(text) and not (tag in CONTENT_TAGS):
-        return NOISE
-    if parent == CONTENT or tag in CONTENT_TAGS or names.get("role") == "main":
+        return NOISE_NAME
+    if tag in CONTENT_TAGS or names.get("role") == "main":
         return CONTENT
-    return CONTENT if tag not in ("html", "body") and CONTENT_NAMES.search(text) else NEUTRAL
+    if tag not in ("html", "body") and CONTENT_NAMES.search(text):
+        return CONTENT_NAME
+    return WITHIN_CONTENT if parent in CONTENT_ROLES else NEUTRAL
 
 
 _nodes: dict[tuple, tuple[int, int]] = {}
@@ -173,8 +197,8 @@ class Page:
         parent = self.stack[-1]
         key, role = node_of(parent, tag, attributes)
         parent.children.append(tag)
-        removed = parent.removed or self.decisions.get(signed(key), role == NOISE)
-        node = Node(tag, key, role, removed)
+        unless = parent.removed if role in TAKEN_OVER else role in REMOVED_ROLES
+        node = Node(tag, key, role, self.decisions.get(signed(key), unless), signed(parent.key))
         self.nodes.append(node)
         self.stack.append(node)
 
@@ -190,7 +214,7 @@ class Page:
     def main_text(self) -> str:
         kept = [line for line, path in self.blocks if not path[-1].removed]
         if not kept:  # the tree removed all: go by names alone
-            kept = [line for line, path in self.blocks if path[-1].role != NOISE]
+            kept = [line for line, path in self.blocks if path[-1].role not in REMOVED_ROLES]
         return "\n".join(kept)
 
 
@@ -199,10 +223,10 @@ PAGES, STYLE, TEXT_BLOCK = 0, 1, 2
 
 
 def page_facts(page: Page) -> set[tuple[int, int, int, int]]:
-    """(node, role, kind, value) once per page."""
+    """(node, role, kind, value) once per page; the value of a node's page count is the node above it."""
     out = set()
     for node in page.nodes:
-        out.add((signed(node.key), node.role, PAGES, 0))
+        out.add((signed(node.key), node.role, PAGES, node.above))
         if node.children:
             style = xxhash.xxh64_intdigest(",".join(node.children))
             out.add((signed(node.key), node.role, STYLE, signed(style)))
@@ -215,7 +239,7 @@ def page_facts(page: Page) -> set[tuple[int, int, int, int]]:
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """(node, role, pages, importance) of every site node; ``pages`` has _host and _html."""
+    """(node, role, above, pages, importance) of every site node; ``pages`` has _host and _html."""
     names = [c.split()[0] for c in SEEN.split(", ")]
 
     def count(batches):
@@ -239,6 +263,7 @@ def style_tree(pages: DataFrame) -> DataFrame:
     of = lambda kind, e: F.sum(F.when(F.col("kind") == kind, e).otherwise(0.0))
     c, clogc = F.col("c").cast("double"), F.col("c") * F.log("c")
     sums = seen.groupBy("node", "role").agg(
+        F.max(F.when(F.col("kind") == PAGES, F.col("value"))).alias("above"),
         of(PAGES, c).alias("pages"),
         of(STYLE, c).alias("s"),
         of(STYLE, clogc).alias("slog"),
@@ -250,14 +275,30 @@ def style_tree(pages: DataFrame) -> DataFrame:
     content = F.when(F.col("t") > 0, 1 - F.col("tlog") / F.col("t") / m)
     mixed = PRESENTATION_SHARE * F.coalesce(style, content) + (1 - PRESENTATION_SHARE) * content
     found = F.when(F.col("t") > 0, F.least(F.greatest(mixed, F.lit(0.0)), F.lit(1.0)))
-    weight = F.least(F.log2(F.greatest("pages", F.lit(1.0))), F.lit(MOST_EVIDENCE))
+    weight = F.log2(F.greatest("pages", F.lit(1.0)))
     prior = F.lit(0.0)
     trust = F.lit(0.0)
     for role, (value, strength) in PRIOR.items():
         prior = F.when(F.col("role") == role, value).otherwise(prior)
         trust = F.when(F.col("role") == role, strength).otherwise(trust)
     importance = (prior * trust + F.coalesce(found, prior) * weight) / (trust + weight)
-    return sums.select("node", "role", "pages", importance.alias("importance"))
+    return sums.select("node", "role", "above", "pages", importance.alias("importance"))
+
+
+def contradicting(tree: DataFrame) -> DataFrame:
+    """(node, removed) where that differs from the role, or from the element above if the role is taken over.
+
+    An element within a removed one stays if enough pages show that it is important.
+    """
+    own = tree.withColumn("own", F.col("importance") <= LEAST_IMPORTANCE).checkpoint()
+    above = own.select(F.col("node").alias("above"), F.col("own").alias("outer"))
+    own = own.join(above, "above", "left").withColumn("outer", F.coalesce("outer", F.lit(False)))
+    noise = F.col("role").isin(*REMOVED_ROLES)
+    sure = (F.col("pages") >= ENOUGH_PAGES) | ~F.col("outer") & ~noise
+    taken = F.col("role").isin(*TAKEN_OVER)
+    removed = F.when(~taken | sure, F.col("own")).otherwise(F.col("outer"))
+    unless = F.when(taken, F.col("outer")).otherwise(noise)
+    return own.select("node", removed.alias("removed"), unless.alias("unless")).where("removed <> unless").drop("unless")
 
 
 def extract(
@@ -269,9 +310,7 @@ def extract(
         F.lower(F.regexp_extract(F.coalesce(F.col(f"`{url}`"), F.lit("")), HOST, 1)).alias("_host"),
         F.col(f"`{source}`").cast("string").alias("_html"),
     )
-    tree = style_tree(rows.select("_host", "_html"))
-    removed = F.col("importance") <= LEAST_IMPORTANCE
-    against = tree.where(removed != (F.col("role") == NOISE)).select("node", removed.alias("removed")).checkpoint()
+    against = contradicting(style_tree(rows.select("_host", "_html"))).checkpoint()
     if against.count() > BROADCAST_NODES:
         return _extract_by_shuffle(rows, against)
     sent = pages.sparkSession.sparkContext.broadcast({r["node"]: r["removed"] for r in against.collect()})

@@ -63,3 +63,35 @@ def test_given_pages_keep_their_article(spark):
         body = re.sub(r"</?b>", "", body.replace("<br>", " "))
         blocks = [" ".join(html.unescape(x).split()) for x in re.split(r"<[^>]*>", body)]
         assert got[r["page_id"]] == "\n".join(x for x in blocks if x)
+
+
+def _site(i, name, rng):
+    line = lambda: " ".join(f"w{rng.randrange(9999)}" for _ in range(9))
+    own = [line() for _ in range(3)]
+    return own, "".join(f"<p>{x}</p>" for x in own), f"https://{name}.example/{i}"
+
+
+def test_repeats_inside_content_go(spark):
+    rng, rows, want = random.Random(5), [], {}
+    for i in range(100):
+        own, body, url = _site(i, "wrap", rng)
+        menu = "<div class=q><ul>" + "".join(f"<li>Link {k}</li>" for k in range(12)) + "</ul></div>"
+        rows.append((i, url, f"<html><body><div id=content>{menu}<div class=z>{body}</div></div></body></html>"))
+        want[i] = "\n".join(own)
+    assert _texts(_pages(spark, rows)) == want
+
+
+def test_article_under_a_noise_name_stays(spark, monkeypatch):
+    rng, rows, want = random.Random(6), [], {}
+    for i in range(200):
+        own, body, url = _site(i, "side", rng)
+        rare = f"<table><tr><td>only {i}</td></tr></table>" if i == 7 else ""
+        rows.append((i, url, f'<html><body><div class="related">{body}{rare}</div><div class=menu>Home</div></body></html>'))
+        want[i] = "\n".join(own + ["only 7"] * bool(rare))
+    # few pages don't outvote a name
+    rows += [(1000 + i, f"https://few.example/{i}", f'<p>text {i}</p><div class="related">more {i}</div>') for i in range(9)]
+    want |= {1000 + i: f"text {i}" for i in range(9)}
+    df = _pages(spark, rows)
+    assert _texts(df) == want
+    monkeypatch.setattr(hx, "BROADCAST_NODES", 0)
+    assert _texts(df) == want
