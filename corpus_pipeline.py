@@ -33,7 +33,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     A row listed twice under one id stays once.
     """
     ready(spark)
-    groups = jaccard_join.jaccard_components(docs, n=5, num=8, den=10).select("doc_id", "component_id")
+    groups = jaccard_join.jaccard_components(docs, n=5, num=8, den=10, count_links=False).select("doc_id", "component_id")
     groups = groups.where("doc_id is not null").checkpoint()
     gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
     twice = groups.groupBy("doc_id").count().where("count > 1").select("doc_id")

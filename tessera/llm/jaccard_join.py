@@ -16,10 +16,13 @@ Plan, with every step linear in the n-grams or in the links:
    rare n-grams. Length, positional and suffix filters drop pairs that can't
    link.
 4. Distinct candidates are verified once on their whole sets.
-5. Members of a long list that the centre's links have not brought together
-   are compared with one another, block by block, so that no link between
-   components is lost.
-6. Links and classes become components.
+5. Members of a long list are compared with one another, block by block, so
+   that no link is lost. Without ``count_links`` only members that the centre's
+   links have not brought together are compared, which is enough for the
+   components, and ``n_links`` is left out.
+6. Links and classes become components. ``n_links`` counts every link of a
+   row's class to another class; a group of k near copies has up to k (k - 1) / 2
+   links, and counting them verifies each.
 
 N-grams and fingerprints are 64-bit hashes; sets are compared on 48 bits. A long list is streamed: one
 task holds its centre and one batch. Repeated rows count as copies; a NULL id
@@ -382,8 +385,12 @@ def jaccard_components(
     den: int = 10,
     key: str = "doc_id",
     text: str = "text",
+    count_links: bool = True,
 ) -> DataFrame:
-    """(key, n_shingles, component_id, n_links) per row; links of a row's class to other texts."""
+    """(key, n_shingles, component_id, n_links) per row; links of a row's class to other texts.
+
+    ``count_links=False`` gives the components alone, without ``n_links``.
+    """
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
     texts = docs.select(F.col(f"`{key}`").cast("long").alias("_id"), F.col(f"`{text}`").cast("string").alias("_text"))
@@ -411,10 +418,12 @@ def jaccard_components(
     found = lists.mapInArrow(_candidates(num, den), FOUND).checkpoint()
     pairs = found.where("kind = 0").select("a", "b").distinct().checkpoint()
     links = verified(pairs, texts, classes, n, num, den).checkpoint()
-    together = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    # long lists whose members are not all in one component
+    together = None if count_links else connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     members = found.where("kind = 1").select(F.col("a").alias("token"), F.col("b").alias("node"), "n", "pos", "sketch")
-    members = members.join(together, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    if count_links:  # every two members of a long list
+        members = members.withColumn("component", F.col("node"))
+    else:  # long lists whose members are not all in one component
+        members = members.join(together, "node", "left").withColumn("component", F.coalesce("component", "node"))
     open_lists = members.groupBy("token").agg(
         F.count("*").alias("size"), F.min("component").alias("x"), F.max("component").alias("y")
     )
@@ -424,17 +433,22 @@ def jaccard_components(
     split = split.withColumn("one", F.least("block", "other")).withColumn("two", F.greatest("block", "other"))
     split = split.select(*[F.col(f.split()[0]).cast("long") for f in MEMBER.split(", ")])
     split = split.repartition(width, "token", "one", "two").sortWithinPartitions("token", "one", "two", "n")
-    rest = split.mapInArrow(_across(num, den), "a long, b long").distinct().checkpoint()
+    rest = split.mapInArrow(_across(num, den), "a long, b long").distinct()
+    if count_links:
+        rest = rest.join(pairs, ["a", "b"], "left_anti")
+    rest = rest.checkpoint()
     links = links.union(verified(rest, texts, classes, n, num, den)).checkpoint()
     merged = connected_components(_to_ids(links, classes))
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-    known = classes.join(merged.withColumnRenamed("node", "rep"), "rep", "left").join(degree, "node", "left")
-    known = known.select(
-        "node", F.coalesce("component", "rep").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")
-    ).checkpoint()
+    known = classes.join(merged.withColumnRenamed("node", "rep"), "rep", "left")
+    shown = [F.coalesce("component", "rep").alias("component_id")]
+    none = [F.col("_id").alias("component_id")]
+    if count_links:
+        degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
+        known = known.join(degree, "node", "left")
+        shown.append(F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        none.append(F.lit(0).cast("long").alias("n_links"))
+    known = known.select("node", *shown).checkpoint()
     filled = rows.where("node is not null").join(known, "node")
     empty = rows.where("node is null")
     columns = [F.col("_id").alias(key), F.col("n").alias("n_shingles")]
-    return filled.select(*columns, "component_id", "n_links").union(
-        empty.select(*columns, F.col("_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
-    )
+    return filled.select(*columns, *[c for c in known.columns if c != "node"]).union(empty.select(*columns, *none))

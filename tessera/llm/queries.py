@@ -34,7 +34,7 @@ def fold(n: int) -> Column:
 
 def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
-    got = jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+    got = jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"), n=3, num=90, den=100, count_links=False)
     return got.select("doc_id", "n_shingles", "component_id")
 
 

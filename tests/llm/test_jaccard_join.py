@@ -49,3 +49,21 @@ def test_links_are_counted_per_class(spark):
     df = brute.documents(spark, [" ".join(base), " ".join(near), " ".join(base), "other words stand here"])
     got = {r["doc_id"]: r["n_links"] for r in jj.jaccard_components(df, 3, 90, 100).collect()}
     assert got == {0: 1, 1: 1, 2: 1, 3: 0}
+
+
+def test_links_within_a_group_are_all_counted(spark, monkeypatch):
+    monkeypatch.setattr(jj, "BLOCK", 7)
+    rng = random.Random(12)
+    vocabulary = [f"w{i}" for i in range(500)]
+    base = [rng.choice(vocabulary) for _ in range(90)]
+    texts = dict(enumerate(dict.fromkeys(_copies(rng, vocabulary, base, 40, 1) + _copies(rng, vocabulary, base[:45], 30, 1))))
+    assert len(texts) > 4 * jj.SHORT_LIST
+    sets = {i: brute.shingles(t, 3) for i, t in texts.items()}
+    linked = lambda x, y: 100 * len(x & y) >= 90 * len(x | y)
+    want = {i: sum(linked(x, y) for j, y in sets.items() if j != i) for i, x in sets.items()}
+    df = brute.documents(spark, [texts[i] for i in sorted(texts)])
+    got = jj.jaccard_components(df, 3, 90, 100).collect()
+    assert {r["doc_id"]: r["n_links"] for r in got} == want
+    alone = jj.jaccard_components(df, 3, 90, 100, count_links=False)
+    assert alone.columns == ["doc_id", "n_shingles", "component_id"]
+    assert sorted(alone.collect()) == sorted(r[:3] for r in got)
