@@ -22,10 +22,15 @@ from tessera.llm import (
     quality_rules,
     suffix_dedup,
     toxicity,
+    url_filter,
+    va_clusters,
+    whitening,
 )
 from tessera.llm.rowwise import ROW, unpacked
 from tessera.llm.session import ready, tokenizer_path
 from tessera.sources.tables import read_table
+from tessera.util import ensure_checkpoint_dir
+
 
 def fold(n: int) -> Column:
     """crc32 of the id as text, modulo n."""
@@ -135,6 +140,29 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unpacked(got, "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+#: host, path and verdict of the query's rules
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op11_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    got = url_filter.judge(pages, spark.createDataFrame(URL_RULES, "host string, path string, verdict string"))
+    return got.select(f"{ROW}.page_id", "host", "path", "rule", "verdict")
+
+
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    ensure_checkpoint_dir(spark)
+    got, centroids = va_clusters.clusters(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    got = va_clusters.report(got.select(f"{ROW}.vec_id", "cluster", "distance").checkpoint(), centroids)
+    return got.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = whitening.whiten(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return unpacked(got, "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -148,6 +176,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_language,
         op9_decontaminate,
         op10_packing,
+        op11_urls,
+        op12_clusters,
+        op13_whitening,
     )
 }
 
@@ -158,6 +189,43 @@ _ALNUM_WORDS = (
     r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 )
 
+#: k-means with exact integers; three rounds and the last assignment, written out
+_ASSIGN = """
+), a{0} as (
+  select r, arg_min(c, d * 64 + c) as c, min(d) as d from (
+    select x.r, m.c, list_sum(list_transform(range(1, 65), lambda i: (x.v[i] - m.v[i]) * (x.v[i] - m.v[i])))::hugeint as d
+    from x, m{0} as m
+  ) group by r
+"""
+_MOVE = """
+), m{1} as (
+  select m{0}.c, coalesce(t.v, m{0}.v) as v from m{0} left join (
+    select c, list(((s - ((s % n) + n) % n) // n)::bigint order by i) as v from (
+      select a{0}.c, i, sum(x.v[i]) as s, count(*) as n from x join a{0} using (r), (select unnest(range(1, 65)) as i)
+      group by a{0}.c, i
+    ) group by c
+  ) as t using (c)
+"""
+_KMEANS = (
+    """
+with x as (
+  select row_number() over () as r, vec_id, list_transform(embedding, lambda e: floor(64 * e::double)::bigint) as v
+  from embeddings where len(embedding) = 64 and len(list_filter(embedding, lambda e: e is not null and isfinite(e))) = 64
+), m0 as (
+  select (row_number() over (order by h, v)) - 1 as c, v from (
+    select sha256('1:' || vec_id) as h, v from x where vec_id is not null order by h, v limit 16
+  )
+"""
+    + "".join(_ASSIGN.format(k) + _MOVE.format(k, k + 1) for k in range(3))
+    + _ASSIGN.format(3)
+    + """
+)
+select vec_id, a3.c::int as cluster, d::bigint as distance, (sum(d) over (partition by a3.c))::bigint as cluster_inertia,
+  (sum(d) over ())::bigint as inertia, sha256(array_to_string(m3.v, ',')) as centroid_sha256
+from x join a3 using (r) join m3 using (c)
+"""
+)
+
 ORACLES: dict[str, str] = {
     "op1_jaccard": r"""
 with recursive d as (
@@ -243,4 +311,22 @@ select doc_id, len(w)::bigint as n_words, coalesce(words.n, 0)::bigint as n_hit,
   sha256(coalesce(items.s, '')) as items_sha256, coalesce(words.n, 0) > 0 as contaminated
 from d left join words using (r) left join items using (r)
 """,
+    "op11_urls": r"""
+with u as (
+  select page_id, case when instr(coalesce(url, ''), '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as rest
+  from pages
+), p as (
+  select row_number() over () as r, page_id,
+    translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
+  from u
+), rules (h, s, v) as (
+  values ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), best as (
+  select r, arg_max(h || s, length(h || s)) as rule, arg_max(v, length(h || s)) as v
+  from p join rules on (host = h or ends_with(host, '.' || h)) and starts_with(path, s) group by r
+)
+select page_id, host, path, rule, coalesce(v, 'allow') as verdict from p left join best using (r)
+""",
+    "op12_clusters": _KMEANS,
 }
