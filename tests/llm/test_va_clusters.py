@@ -1,0 +1,108 @@
+"""Clustering against a plain version; how many whole vectors are fetched."""
+
+import hashlib
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tessera.llm import va_clusters
+from tessera.llm.rowwise import ROW
+from tests.conftest import SMALL_SF
+
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def plain(rows, dims, k=16, rounds=3, scale=64):
+    """(vec_id, cluster, distance) of every usable row, and the centroids, with Python's integers."""
+    kept = []
+    for i, v in rows:
+        if v is not None and len(v) == dims and all(c is not None and math.isfinite(c) for c in v):
+            kept.append((i, [math.floor(scale * float(np.float32(c))) for c in v]))
+    first = sorted((hashlib.sha256(f"1:{i}".encode()).hexdigest(), x) for i, x in kept if i is not None)
+    centroids = [x for _, x in first[:k]]
+    if not centroids:
+        return [], []
+    far = lambda x, c: sum((a - b) ** 2 for a, b in zip(x, c))
+    nearest = lambda x: min(range(len(centroids)), key=lambda j: (far(x, centroids[j]), j))
+    for _ in range(rounds):
+        of = [nearest(x) for _, x in kept]
+        for j in range(len(centroids)):
+            mine = [x for (_, x), c in zip(kept, of) if c == j]
+            if mine:
+                centroids[j] = [sum(col) // len(mine) for col in zip(*mine)]
+    return [(i, nearest(x), far(x, centroids[nearest(x)])) for i, x in kept], centroids
+
+
+def check(spark, rows, dims, **options):
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got, centroids = va_clusters.clusters(df, dims=dims, **options)
+    want, middle = plain(rows, dims, options.get("k", 16), options.get("rounds", 3))
+    found = [tuple(r) for r in got.select(f"{ROW}.vec_id", "cluster", "distance").collect()]
+    order = lambda r: (r[0] is None, *map(str, r))
+    fits = [(i, c, d if d < 1 << 63 else None) for i, c, d in want]
+    assert sorted(found, key=order) == sorted(fits, key=order)
+    assert [[int(v) for v in c] for c in centroids] == middle
+    return got, centroids
+
+
+@pytest.mark.parametrize("dims,spread", [(64, 1.0), (7, 0.05), (1, 3.0)])
+def test_against_plain(spark, dims, spread):
+    rng = random.Random(dims)
+    rows = [(i, [rng.gauss(i % 5, spread) for _ in range(dims)]) for i in range(300)]
+    check(spark, rows, dims)
+
+
+def test_ties_copies_and_odd_rows(spark):
+    """Few distinct vectors, so that distances tie; unusable vectors; NULL and repeated ids."""
+    rng = random.Random(1)
+    rows = [(i % 70, [float(rng.choice([0, 1])) for _ in range(4)]) for i in range(200)]
+    rows += [(None, [1.0, 0.0, 1.0, 0.0]), (500, None), (501, []), (502, [1.0] * 5), (503, [1.0, None, 0.0, 0.0])]
+    rows += [(504, [math.nan, 0.0, 0.0, 0.0]), (505, [math.inf, 0.0, 0.0, 0.0]), (506, [-0.0] * 4), (507, [-1e-9] * 4)]
+    check(spark, rows, 4)
+    check(spark, [(i, [1.0] * 4) for i in range(40)], 4)
+    check(spark, rows[:5], 4)
+
+
+def test_huge_components(spark):
+    rng = random.Random(2)
+    for size in (1e5, 1e8, 1e30):
+        check(spark, [(i, [rng.uniform(-size, size) if j else rng.gauss(0, 1) for j in range(3)]) for i in range(80)], 3, k=5)
+
+
+def test_empty_table_and_clashing_names(spark):
+    none = spark.createDataFrame([], SCHEMA)
+    got, centroids = va_clusters.clusters(none)
+    assert got.isEmpty() and not len(centroids) and va_clusters.report(got, centroids).isEmpty()
+    df = spark.createDataFrame([(i, [float(i)]) for i in range(20)], SCHEMA)
+    df = df.withColumns({c: F.lit("q") for c in ("cluster", "x", "cells", "_row", "distance")})
+    row = va_clusters.clusters(df, dims=1)[0].first()
+    assert row[ROW]["cluster"] == "q" and row[ROW]["_row"] == "q" and row["cluster"] is not None
+
+
+def test_intervals_hold_and_spare_whole_vectors(spark):
+    """Every exact distance lies in its interval, and most rows are settled without their vector."""
+    df = spark.read.parquet(f"{SMALL_SF}/embeddings.parquet")
+    index = va_clusters.approximate(df)
+    rows = index.table.select("cells", "x").collect()
+    cells = np.array([np.frombuffer(r["cells"], np.uint8) for r in rows])
+    x = va_clusters.wide([bytes(r["x"]) for r in rows], index.width, 64)
+    start = va_clusters.start_centroids(index, F.col(ROW)["vec_id"], 16)
+    table = va_clusters.lookup(index.edges, start)
+    bounds = sum(table[p][cells[:, p]] for p in range(32))
+    exact = va_clusters.squared(x, start).astype(float)
+    assert (bounds[:, :16] <= exact).all() and (exact <= bounds[:, 16:]).all()
+    fetched = []
+    nearest = va_clusters.Nearest(index.edges, start, index.width)
+    got, _ = nearest(cells, lambda r: (fetched.extend(r), x[r])[1])
+    assert (got == exact.argmin(1)).all()
+    blobs = np.repeat(x[:8], 60, axis=0) + np.random.default_rng(0).integers(-1, 2, (480, 64))  # well-separated groups
+    packed = np.zeros((480, 64), np.uint8)
+    for d in range(64):
+        packed[:, d] = np.clip(np.searchsorted(index.edges[d], blobs[:, d], "right") - 1, 0, 15)
+    fetched.clear()
+    near = va_clusters.Nearest(index.edges, x[:8].astype(object), index.width)
+    got, _ = near(packed[:, 0::2] | packed[:, 1::2] << 4, lambda r: (fetched.extend(r), blobs[r])[1])
+    assert (got == np.repeat(np.arange(8), 60)).all() and len(fetched) < 48

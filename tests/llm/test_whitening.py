@@ -1,0 +1,96 @@
+"""Whitening against numpy on small tables, and its edge cases."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tessera.llm import whitening
+from tessera.llm.rowwise import ROW
+
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def plain(rows, components=4):
+    """{position of a usable row: [(deviation, whitened, explained)]} and n."""
+    usable = [(p, v) for p, (_, v) in enumerate(rows) if v and all(c is not None and math.isfinite(c) for c in v)]
+    lengths = [len(v) for _, v in usable]
+    if not lengths:
+        return {}, 0
+    d = min(set(lengths), key=lambda k: (-lengths.count(k), k))
+    xs = {p: tuple(math.floor(256 * float(np.float32(c))) for c in v) for p, v in usable if len(v) == d}
+    fit = sorted(set(xs.values()))
+    n, sums = len(fit), [sum(c) for c in zip(*fit)]
+    centred = np.array([[float(n * c - s) / n for c, s in zip(x, sums)] for x in fit])
+    v = centred.T @ centred / n
+    value, vector = np.linalg.eigh(v)
+    value, vector = value[::-1][:components], vector[:, ::-1][:, :components]
+    keep = value > 1e-12 * max(value[0], 1e-300)
+    out = {}
+    for p, x in xs.items():
+        gap = [n * c - s for c, s in zip(x, sums)]
+        w = (np.array(gap, float) / n) @ vector[:, keep] / np.sqrt(value[keep])
+        out[p] = [(sum(g * g for g in gap), a, e / np.trace(v)) for a, e in zip(w, value[keep])]
+    return out, n
+
+
+def check(spark, rows):
+    df = spark.createDataFrame([(p, i, v) for p, (i, v) in enumerate(rows)], "p long, " + SCHEMA).repartition(3)
+    got = whitening.whiten(df).collect()
+    want, n = plain(rows)
+    found = {}
+    for r in got:
+        found.setdefault(r[ROW]["p"], {})[r["component"]] = r
+        assert r[ROW]["vec_id"] == rows[r[ROW]["p"]][0] and r["n"] == n and r["identity_error"] <= 1e-4
+    assert {p: sorted(c) for p, c in found.items()} == {p: list(range(1, len(c) + 1)) for p, c in want.items() if c}
+    signs = {}
+    for p, parts in want.items():
+        for c, (deviation, whitened, explained) in enumerate(parts, 1):
+            r = found[p][c]
+            assert r["deviation"] == deviation and math.isclose(r["explained"], explained, rel_tol=1e-9)
+            assert math.isclose(abs(r["whitened"]), abs(whitened), rel_tol=1e-6, abs_tol=1e-8)
+            if abs(whitened) > 1e-6:
+                signs.setdefault(c, set()).add(r["whitened"] * whitened > 0)
+    assert all(len(s) == 1 for s in signs.values())  # a component's sign is the same for all rows
+
+
+@pytest.mark.parametrize("dims,count", [(2, 30), (6, 200), (3, 3)])
+def test_against_numpy(spark, dims, count):
+    rng = random.Random(dims)
+    check(spark, [(i, [rng.gauss(2, 1 + j) for j in range(dims)]) for i in range(count)])
+
+
+def test_copies_odd_rows_and_ids(spark):
+    rng = random.Random(7)
+    rows = [(i, [rng.gauss(0, 1), rng.gauss(5, 2), rng.gauss(0, 0.1)]) for i in range(60)]
+    rows += [(9, rows[0][1])] * 30 + [(None, rows[1][1]), (1, rows[1][1])]
+    rows += [(70, None), (71, []), (72, [1.0, 2.0]), (73, [1.0, None, 1.0]), (74, [math.nan, 0.0, 0.0]), (75, [0.0, -math.inf, 0.0])]
+    rows += [(76, [-0.0, 0.0, 0.0]), (77, [-1e-12, 0.0, 0.0])]
+    check(spark, rows)
+
+
+def test_vanishing_components_are_left_out(spark):
+    """A line through space has one component; one distinct vector has none."""
+    check(spark, [(i, [float(i), 2.0 * i, 1.0]) for i in range(20)])
+    same = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(5)], SCHEMA)
+    assert whitening.whiten(same).isEmpty()
+    none = whitening.whiten(spark.createDataFrame([], SCHEMA))
+    assert none.isEmpty() and none.columns == whitening.whiten(same).columns
+
+
+def test_many_blocks_and_clashing_names(spark, monkeypatch):
+    monkeypatch.setattr(whitening, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(whitening, "GROUP", 3)
+    rng = random.Random(3)
+    check(spark, [(i, [rng.gauss(0, 1) for _ in range(5)]) for i in range(150)])
+    df = spark.createDataFrame([(i, [rng.random(), rng.random()]) for i in range(9)], SCHEMA)
+    df = df.withColumns({c: F.lit("q") for c in ("i", "x", "m", "p", "n", "_row", "component")})
+    row = whitening.whiten(df).first()
+    assert row[ROW]["n"] == "q" and row["n"] == 9
+
+
+def test_deviation_beyond_a_long_is_null(spark):
+    rows = whitening.whiten(spark.createDataFrame([(i, [10.0**16 * i, float(i * i)]) for i in range(4)], SCHEMA)).collect()
+    assert rows and all(r["deviation"] is None and math.isfinite(r["whitened"]) for r in rows)
