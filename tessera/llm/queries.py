@@ -159,6 +159,7 @@ def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
     got = whitening.whiten(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
     return unpacked(got, "component", "n", "deviation", "whitened", "explained", "identity_error")
 
