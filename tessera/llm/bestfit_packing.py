@@ -54,7 +54,7 @@ NODES_PER_LENGTH = 8
 #: fillings per place of the quick try before the full one
 FIRST_WIDTH = 4
 #: words that a Python worker keeps the ids of; beyond it the memory starts anew
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 250_000
 #: pieces of one length that are numbered in one group, about
 GROUP_ROWS = 200_000
 

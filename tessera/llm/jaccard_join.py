@@ -15,6 +15,8 @@ Plan, with every step linear in the n-grams or in the links:
    list; of a longer one the pairs with its centre, the class with the fewest
    rare n-grams. Length, positional and suffix filters drop pairs that can't
    link.
+   The suffix filter works on the sizes of parts of the sets: the parts that differ
+   bound the union from below, whatever the sets hold.
 4. Distinct candidates are verified once on their whole sets.
 5. Members of a long list are compared with one another, block by block, so
    that no link is lost. Without ``count_links`` only members that the centre's
@@ -26,7 +28,7 @@ Plan, with every step linear in the n-grams or in the links:
 
 N-grams and fingerprints are 64-bit hashes; sets are compared on 48 bits. A long list is streamed: one
 task holds its centre and one batch. Repeated rows count as copies; a NULL id
-gets the component of its class, or NULL if no member has an id. Only doc_id
+gets the id of its component, or NULL if no member of that has one. Only doc_id
 and the text are read, so other columns can't clash.
 """
 
@@ -36,10 +38,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.llm.components import connected_components
+from tessera.llm.rowwise import annotate_whole
 from tessera.llm.scan import MULT, PLAIN, Texts, mix, shingle_hashes, short_hash, slices, word_hashes, words_of
-from tessera.util import ensure_checkpoint_dir
+from tessera.util import ensure_checkpoint_dir, own_exchange
 
 BITS = 18  # of the frequency table
 SEGMENTS = 16
@@ -129,7 +133,7 @@ def postings(texts: DataFrame, n: int, num: int, den: int, ranks) -> DataFrame:
             for s in sets_of(t, n):
                 if not len(s) or (node := fingerprint(s)) in seen:
                     continue
-                if len(seen) < 500_000:  # a bound on memory; later copies only repeat rows
+                if len(seen) < 100_000:  # a bound on memory; later copies only repeat rows
                     seen.add(node)
                 r = rank[_place(s)]
                 order = np.argsort(r, kind="stable")[: prefix_length(len(s), num, den)]
@@ -334,21 +338,28 @@ def verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame, n: int, num
     """
     pairs = sketched(pairs, classes, num, den).checkpoint()
     nodes = lambda p: p.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = few(nodes(pairs).join(classes, "node").select(F.col("rep").alias("_id"), F.col("node").alias("want")))
+    wanted = nodes(pairs).join(classes, "node").select(F.col("rep").alias("_id"), F.col("node").alias("want")).checkpoint()
+    listed = few(wanted.where("_id is not null"))
 
     def to_sets(batches):
         for t in slices(batches, "_text"):
-            found = [(fingerprint(s), s) for s in sets_of(t, n)]
+            found = [(fingerprint(s) if len(s) else None, s) for s in sets_of(t, n)]
             # rows that share an id may hold other texts
-            found = [f for f, w in zip(found, t.rows.column("want").to_pylist()) if f[0] == w]
+            if "want" in t.rows.schema.names:
+                found = [f for f, w in zip(found, t.rows.column("want").to_pylist()) if f[0] == w]
             columns = [pa.array([f for f, _ in found], pa.int64()), pa.array([len(s) for _, s in found], pa.int64())]
             for pack in (lambda s: _wide_sketch(s, PARTS), _packed):
                 columns.append(pa.array([pack(s) for _, s in found], pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, ["node", "n", "sketch", "grams"])
 
     # a row listed twice gives its set twice, and its links twice: they are made distinct
-    found = texts.join(wanted, "_id").select("_text", "want")
-    found = found.mapInArrow(to_sets, "node long, n long, sketch binary, grams binary").checkpoint()
+    shape = "node long, n long, sketch binary, grams binary"
+    found = texts.join(listed, "_id").select("_text", "want").mapInArrow(to_sets, shape)
+    nameless = wanted.where("_id is null").select(F.col("want").alias("node"))
+    if not nameless.isEmpty():  # classes that only rows without an id have: their sets are found by class
+        of_class = texts.where("_id is null").select("_text").mapInArrow(to_sets, shape)
+        found = found.unionByName(of_class.join(few(nameless), "node", "left_semi").dropDuplicates(["node"]).select(*found.columns))
+    found = found.checkpoint()
     pairs = sketched(pairs, found, num, den).distinct().checkpoint()
     sets = found.join(few(nodes(pairs)), "node").select("node", "grams")
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("grams").alias("x")), "a")
@@ -371,13 +382,6 @@ def verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame, n: int, num
     return both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long").distinct()
 
 
-def _to_ids(links: DataFrame, classes: DataFrame) -> DataFrame:
-    """Links of classes as edges of their smallest ids."""
-    u = classes.select(F.col("node").alias("a"), F.col("rep").alias("u"))
-    v = classes.select(F.col("node").alias("b"), F.col("rep").alias("v"))
-    return links.join(u, "a").join(v, "b").select("u", "v").where("u is not null and v is not null")
-
-
 def jaccard_components(
     docs: DataFrame,
     n: int = 5,
@@ -386,10 +390,13 @@ def jaccard_components(
     key: str = "doc_id",
     text: str = "text",
     count_links: bool = True,
+    with_class: bool = False,
 ) -> DataFrame:
     """(key, n_shingles, component_id, n_links) per row; links of a row's class to other texts.
 
-    ``count_links=False`` gives the components alone, without ``n_links``.
+    ``count_links=False`` gives the components alone, without ``n_links``. ``with_class`` adds
+    ``class_id``, equal for equal sets, and ``component``, the smallest class of the row's
+    component (both NULL without words): what a row is known by where ids repeat or are NULL.
     """
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
@@ -434,21 +441,33 @@ def jaccard_components(
     split = split.select(*[F.col(f.split()[0]).cast("long") for f in MEMBER.split(", ")])
     split = split.repartition(width, "token", "one", "two").sortWithinPartitions("token", "one", "two", "n")
     rest = split.mapInArrow(_across(num, den), "a long, b long").distinct()
-    if count_links:
-        rest = rest.join(pairs, ["a", "b"], "left_anti")
-    rest = rest.checkpoint()
+    rest = rest.join(pairs, ["a", "b"], "left_anti").checkpoint()
     links = links.union(verified(rest, texts, classes, n, num, den)).checkpoint()
-    merged = connected_components(_to_ids(links, classes))
-    known = classes.join(merged.withColumnRenamed("node", "rep"), "rep", "left")
-    shown = [F.coalesce("component", "rep").alias("component_id")]
-    none = [F.col("_id").alias("component_id")]
+    merged = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    known = classes.select("node", "rep").join(merged, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    known = known.checkpoint()
+    least = known.groupBy("component").agg(F.min("rep").alias("component_id"))
+    known = known.join(own_exchange(least), "component")
+    shown, none = ["component_id"], [F.col("_id").alias("component_id")]
     if count_links:
         degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
         known = known.join(degree, "node", "left")
         shown.append(F.coalesce("n_links", F.lit(0)).alias("n_links"))
         none.append(F.lit(0).cast("long").alias("n_links"))
+    if with_class:
+        shown += [F.col("node").alias("class_id"), "component"]
+        none += [F.lit(None).cast("long").alias(c) for c in ("class_id", "component")]
     known = known.select("node", *shown).checkpoint()
     filled = rows.where("node is not null").join(known, "node")
     empty = rows.where("node is null")
     columns = [F.col("_id").alias(key), F.col("n").alias("n_shingles")]
     return filled.select(*columns, *[c for c in known.columns if c != "node"]).union(empty.select(*columns, *none))
+
+
+def class_of(docs: DataFrame, text: str = "text", n: int = 5) -> DataFrame:
+    """``docs`` (for ``whole_rows``) with ``class_id`` of every row's text, NULL without words."""
+
+    def scan(t: Texts) -> dict:
+        return {"class_id": [fingerprint(s) if len(s) else None for s in sets_of(t, n)]}
+
+    return annotate_whole(docs, text, [T.StructField("class_id", T.LongType())], scan)

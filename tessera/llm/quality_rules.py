@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.rowwise import annotate, unpacked
+from tessera.llm.rowwise import annotate, annotate_whole, whole_rows
 from tessera.llm.scan import (
     PLAIN,
     Texts,
@@ -163,7 +163,9 @@ def apply_policy(book: DataFrame, version: str = DEFAULT_POLICY) -> DataFrame:
 
 def kept_rows(docs: DataFrame, text: str = "text", version: str = DEFAULT_POLICY) -> DataFrame:
     """The rows of ``docs``, all their columns, that a policy keeps."""
-    return unpacked(apply_policy(ledger(docs, text, docs.columns), version).where("kept"))
+    fields = [T.StructField(m, T.LongType(), False) for m in MEASURES]
+    book = annotate_whole(docs, text, fields, measure).withColumn("failed", failed_mask())
+    return whole_rows(apply_policy(book, version).where("kept"), docs.columns, text)
 
 
 def ablations(book: DataFrame, version: str = DEFAULT_POLICY) -> DataFrame:

@@ -53,6 +53,21 @@ def annotate(
     return src.mapInArrow(run, schema)
 
 
+WHOLE = "_whole"
+
+
+def annotate_whole(df: DataFrame, text: str, fields: Sequence[T.StructField], scan: Callable[[Texts], Results]) -> DataFrame:
+    """As ``annotate`` over all columns of ``df``, with the text as ``_whole``: it travels once
+    to the task and once back. ``whole_rows`` gives the columns of ``df`` again."""
+    rest = [c for c in df.columns if c != text]
+    whole = T.StructField(WHOLE, T.StringType())
+    return annotate(df, text, [whole, *fields], lambda t: scan(t) | {WHOLE: t.rows.column(TEXT)}, rest or [text])
+
+
+def whole_rows(got: DataFrame, columns: Sequence[str], text: str) -> DataFrame:
+    return got.select(*[F.col(WHOLE).alias(c) if c == text else F.col(f"{ROW}.`{c}`").alias(c) for c in columns])
+
+
 def unpacked(df: DataFrame, *names: str) -> DataFrame:
     """The carried columns followed by ``names``."""
     return df.select(f"{ROW}.*", *names)

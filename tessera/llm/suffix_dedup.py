@@ -28,8 +28,8 @@ are ordinary shuffles of two tables, which adaptive execution splits at hot
 keys. Nothing is collected.
 
 NULL and empty texts, and texts shorter than ``length``, lose nothing. Rows
-with equal id and text give equal results; rows with a NULL id count as larger
-than all others. Texts are read whole; matches never cross documents.
+with equal id and text give equal results; a NULL id counts as larger than all
+others. Texts under one id, or under none, lose nothing to one another. Texts are read whole; matches never cross documents.
 """
 
 from __future__ import annotations
@@ -45,7 +45,7 @@ from pyspark.sql import types as T
 
 from tessera.llm.rowwise import ROW
 from tessera.llm.scan import MULT, Texts, mix, powers, prefix_hash, slices
-from tessera.util import ensure_checkpoint_dir
+from tessera.util import ensure_checkpoint_dir, own_exchange
 
 LENGTH = 50
 GRAM = 20
@@ -122,7 +122,7 @@ def candidate_regions(texts: DataFrame, length: int) -> DataFrame:
     return found.join(shared, "h").groupBy("t").agg(F.collect_set("at").alias("at"))
 
 
-SAMPLED = "doc long, j long, triple binary, before int, after int, shifts int"
+SAMPLED = "doc long, k long, j long, triple binary, before int, after int, shifts int"
 
 
 def sampled_positions(regions: DataFrame, length: int) -> DataFrame:
@@ -133,7 +133,7 @@ def sampled_positions(regions: DataFrame, length: int) -> DataFrame:
 
     def emit(batches):
         for b in batches:
-            for doc, text, at in zip(b.column("doc").to_pylist(), b.column("text").to_pylist(), b.column("at").to_pylist()):
+            for doc, k, text, at in zip(*(b.column(c).to_pylist() for c in ("doc", "k", "text", "at"))):
                 raw = text.encode()
                 data = np.frombuffer(raw, np.uint8)
                 cover = np.zeros(len(data) + 1, np.int64)
@@ -153,35 +153,36 @@ def sampled_positions(regions: DataFrame, length: int) -> DataFrame:
                     ok = lambda d: ((j - d >= lo) & (j - d + length <= hi)).astype(np.int32) << d
                     columns = [
                         pa.array(np.full(len(j), doc)),
+                        pa.array(np.full(len(j), k)),
                         pa.array(j),
                         pa.FixedSizeBinaryArray.from_buffers(
                             pa.binary(TRIPLE), len(j), [None, pa.py_buffer(np.ascontiguousarray(windows).tobytes())]
                         ).cast(pa.binary()),
                         *(pa.array(x.astype(np.int32)) for x in (before, after, ok(0) | ok(1) | ok(2))),
                     ]
-                    yield pa.RecordBatch.from_arrays(columns, ["doc", "j", "triple", "before", "after", "shifts"])
+                    yield pa.RecordBatch.from_arrays(columns, ["doc", "k", "j", "triple", "before", "after", "shifts"])
 
-    return regions.select("doc", "text", "at").mapInArrow(emit, SAMPLED)
+    return regions.select("doc", "k", "text", "at").mapInArrow(emit, SAMPLED)
 
 
 def repeated_starts(texts: DataFrame, firsts: DataFrame, length: int) -> DataFrame:
-    """(doc, s): window starts of first copies that also stand in a text with a smaller first id."""
+    """(doc, k, s): window starts of first copies that also stand in a text with a smaller first id."""
     regions = texts.join(candidate_regions(texts, length).join(firsts, "t"), "t").where("doc = first")
     sample = sampled_positions(regions.dropDuplicates(["t"]), length).checkpoint()
     triples = ranked(sample, "triple")
-    named = sample.join(triples, "triple").select("doc", "j", F.col("name").alias("first"), "before", "after", "shifts")
-    nxt = named.select("doc", (F.col("j") - TRIPLE).alias("j"), F.col("first").alias("next"))
-    pairs = named.join(nxt, ["doc", "j"]).where("shifts > 0").checkpoint()
+    named = sample.join(triples, "triple").select("doc", "k", "j", F.col("name").alias("first"), "before", "after", "shifts")
+    nxt = named.select("doc", "k", (F.col("j") - TRIPLE).alias("j"), F.col("first").alias("next"))
+    pairs = named.join(nxt, ["doc", "k", "j"]).where("shifts > 0").checkpoint()
     names = ranked(pairs, "first", "next").withColumnRenamed("name", "n2")
     suffix = pairs.join(names, ["first", "next"])
     low, high = F.col("before").bitwiseAND(255), F.shiftright("after", 8)
     suffix = suffix.withColumn("d", F.explode(F.array(*[F.lit(d) for d in range(3)])))
     suffix = suffix.where("(shifts & shiftleft(1, d)) <> 0")
     rest = F.when(F.col("d") == 0, F.col("after")).when(F.col("d") == 1, F.shiftleft(low, 8).bitwiseOR(high))
-    suffix = suffix.select("doc", (F.col("j") - F.col("d")).alias("s"), "d", "n2", rest.otherwise(F.col("before")).alias("rest"))
+    suffix = suffix.select("doc", "k", (F.col("j") - F.col("d")).alias("s"), "d", "n2", rest.otherwise(F.col("before")).alias("rest"))
     runs = suffix.groupBy("d", "n2", "rest").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
     runs = runs.where("least < most").drop("most").checkpoint()
-    return suffix.join(runs, ["d", "n2", "rest"]).where("doc > least").select("doc", "s").distinct()
+    return suffix.join(runs, ["d", "n2", "rest"]).where("doc > least").select("doc", "k", "s").distinct()
 
 
 def removed_spans(starts: np.ndarray, length: int) -> np.ndarray:
@@ -215,9 +216,13 @@ def dedup(
         F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"),
     ).withColumn("t", text_key("text"))
     firsts = rows.groupBy("t").agg(F.min("doc").alias("first")).checkpoint()
+    # Of an id with several texts, and of the rows without one, the text's key tells them apart (else 0).
+    several = firsts.groupBy("first").count().where("count > 1").select("first", F.lit(True).alias("several"))
+    firsts = firsts.join(own_exchange(several), "first", "left").select("t", "first", F.when(F.col("several"), F.col("t")).otherwise(0).alias("k"))
+    firsts = firsts.checkpoint()
     texts = rows.select("doc", "t", "text")
-    starts = repeated_starts(texts, firsts, length).groupBy("doc").agg(F.collect_list("s").alias("starts")).checkpoint()
-    known = firsts.join(starts, firsts["first"] == starts["doc"], "left").select("t", "first", "starts")
+    starts = repeated_starts(texts, firsts, length).groupBy("doc", "k").agg(F.collect_list("s").alias("starts")).checkpoint()
+    known = firsts.join(starts.withColumnRenamed("doc", "first"), ["first", "k"], "left").select("t", "first", "starts")
     joined = rows.join(known, "t")
     schema = T.StructType([joined.schema[ROW], *FIELDS])
 

@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.mllib.linalg import DenseMatrix
 from pyspark.mllib.linalg.distributed import BlockMatrix
 from pyspark.sql import DataFrame, SparkSession
@@ -192,13 +193,14 @@ def whiten(
     if n < 2:
         return spark.createDataFrame([], result)
     sums = column_sums(fit, d)
-    a = block_matrix(fit, size, fit_blocks, n, sums)
+    a = block_matrix(fit, size, fit_blocks, n, sums).persist(StorageLevel.MEMORY_AND_DISK)  # read three times
     covariance = transposed_product(a) / n
     w, value = whitening_matrix(covariance, components)
-    if not len(value):
-        return spark.createDataFrame([], result)
     explained, k = value / np.trace(covariance), len(value)
-    error = float(np.abs(transposed_product(project(spark, a, w)) / n - np.eye(k)).max())
+    error = float(np.abs(transposed_product(project(spark, a, w)) / n - np.eye(k)).max()) if k else 0.0
+    a._java_matrix_wrapper._java_model.blocks().unpersist(False)
+    if not k:
+        return spark.createDataFrame([], result)
     table = write_blocks(rows, size, os.path.join(home, "rows"))
     projected = project(spark, block_matrix(table, size, table.count(), n, sums), w)
     found = projected.blocks.map(lambda block: (block[0][0], np.asarray(block[1].toArray(), "<f8").tobytes()))

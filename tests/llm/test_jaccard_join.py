@@ -67,3 +67,39 @@ def test_links_within_a_group_are_all_counted(spark, monkeypatch):
     alone = jj.jaccard_components(df, 3, 90, 100, count_links=False)
     assert alone.columns == ["doc_id", "n_shingles", "component_id"]
     assert sorted(alone.collect()) == sorted(r[:3] for r in got)
+
+
+def test_links_through_rows_without_an_id(spark):
+    """Ids 1 and 2 link to a text without an id, not to each other."""
+    w = [f"w{i}" for i in range(400)]
+    a, b = w[:200] + w[220:], w[:100] + w[120:]
+    rows = [(1, " ".join(a)), (None, " ".join(w)), (2, " ".join(b)), (None, " ".join(w)), (None, "quite another text stands here")]
+    linked = lambda x, y: 10 * len(x & y) >= 9 * len(x | y)
+    x, y, z = (brute.shingles(" ".join(t), 3) for t in (a, w, b))
+    assert linked(x, y) and linked(y, z) and not linked(x, z)
+    for links in (True, False):
+        got = jj.jaccard_components(brute.documents(spark, rows), 3, 90, 100, count_links=links).collect()
+        assert sorted(str(r["component_id"]) for r in got) == ["1", "1", "1", "1", "None"]
+    got = jj.jaccard_components(brute.documents(spark, [(None, t) for _, t in rows]), 3, 90, 100, with_class=True).collect()
+    assert sorted(r["n_links"] for r in got) == [0, 1, 1, 2, 2] and len({r["component"] for r in got}) == 2
+    assert {r["component_id"] for r in got} == {None}
+
+
+def test_every_pair_is_verified_once(spark, monkeypatch):
+    """What step 4 has compared, step 5 doesn't compare again, with and without counting links."""
+    monkeypatch.setattr(jj, "BLOCK", 7)
+    rng = random.Random(13)
+    vocabulary = [f"w{i}" for i in range(300)]
+    base = [rng.choice(vocabulary) for _ in range(60)]
+    df = brute.documents(spark, _copies(rng, vocabulary, base, 60, 6))
+    real, seen = jj.verified, []
+
+    def spy(pairs, *rest):
+        seen.append({tuple(r) for r in pairs.collect()})
+        return real(pairs, *rest)
+
+    monkeypatch.setattr(jj, "verified", spy)
+    for links in (True, False):
+        seen.clear()
+        jj.jaccard_components(df, 3, 90, 100, count_links=links).collect()
+        assert len(seen) == 2 and seen[0] and not seen[0] & seen[1]

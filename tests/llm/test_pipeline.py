@@ -1,5 +1,6 @@
 """The pipeline against a plain version of its stages."""
 
+import random
 import zlib
 from collections import defaultdict
 
@@ -68,8 +69,21 @@ def test_stages_keep_the_columns_and_take_odd_rows(spark):
         cp.STAGES[-1][1](spark, docs, SMALL_SF).count()
 
 
+def test_near_duplicates_judge_rows_not_ids(spark):
+    rng = random.Random(3)
+    text = lambda: " ".join(f"w{rng.randrange(900)}" for _ in range(120))
+    a, b, c, d, e = (text() for _ in range(5))
+    near = b.replace(b.split()[50], "other", 1)
+    assert len(brute.shingles(b, 5) & brute.shingles(near, 5)) * 10 >= 8 * len(brute.shingles(b, 5) | brute.shingles(near, 5))
+    rows = [(1, a), (2, a), (2, b), (3, c), (3, near), (4, d), (4, d), (4, d + " "), (None, e), (None, e), (None, a), (None, ""), (5, None)]
+    out = cp.near_duplicates(spark, brute.documents(spark, rows, extra=True), SMALL_SF).collect()
+    got = sorted((str(r["doc_id"]), (r["text"] or "").strip()) for r in out)
+    want = [("1", a), ("2", b), ("3", c), ("4", d), ("None", e), ("None", ""), ("5", "")]
+    assert got == sorted(want)
+
+
 def test_registered(spark):
     names = entry.queries()
-    assert "pipeline" in names and [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in names)] == []
+    assert "pipeline" in names and [n for n in range(1, 14) if not any(q.startswith(f"op{n}_") for q in names)] == []
     assert [name for name, _ in cp.STAGES] == ["quality_rules", "ngram_jaccard", "decontamination", "personal_data", "bestfit_packing"]
     assert quality_rules.POLICIES[quality_rules.DEFAULT_POLICY].mask & 3 == 3

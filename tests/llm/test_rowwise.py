@@ -1,6 +1,8 @@
 """Quality rules, decontamination, personal data, language and toxicity."""
 
 import random
+
+import pytest
 import re
 
 import numpy as np
@@ -52,18 +54,22 @@ def test_decontamination_matches_a_scan_of_all_windows(spark, monkeypatch):
     texts = brute.ODD_TEXTS + [line(rng.randrange(90)).replace(" ", rng.choice([" ", "-", "\n. "])) for _ in range(60)]
     texts += [f"prefix, {items[0][1].upper()}! suffix"]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    known = [(i, t) for i, t in items if i is not None]
     docs = brute.documents(spark, texts, extra=True)
     for block in (dc.BLOCK_BYTES, 60):
         monkeypatch.setattr(dc, "BLOCK_BYTES", block)
         rows = {r["doc_id"]: r for r in unpacked(dc.decontaminate(docs, bench, window=5), "n_words", "n_hit", "items", "spans").collect()}
         for i, t in enumerate(texts):
             r = rows[i]
-            assert (r["n_words"], r["n_hit"], r["items"]) == brute.benchmark_hits(t, known, 5), t
+            assert (r["n_words"], r["n_hit"], r["items"]) == brute.benchmark_hits(t, items, 5), t
             inside = sum(len(brute.words(t[s["start"] : s["end"]], brute.ALNUM, True)) for s in r["spans"])
             assert inside == r["n_hit"]
+    assert any(r["n_hit"] and not r["items"] for r in rows.values())  # hit by the item without an id alone
+    monkeypatch.setattr(dc, "MOST_BYTES", 10)
+    with pytest.raises(ValueError, match="bytes of text"):
+        dc.decontaminate(docs, bench)
     none = bench.where("false")
     assert dc.clean_rows(docs, none).count() == len(texts)
+    monkeypatch.undo()
     kept = dc.clean_rows(docs, bench, window=5)
     assert kept.columns == docs.columns and kept.count() == sum(not r["n_hit"] for r in rows.values())
 

@@ -46,6 +46,23 @@ def test_null_ids_and_nothing(spark):
     assert sd.dedup(brute.documents(spark, [])).count() == 0
 
 
+def test_texts_that_share_an_id_or_have_none(spark):
+    """Repeats are told by text: a second text of an id, or a second one without an id, keeps its own bytes."""
+    rng = random.Random(4)
+    line = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    passage = line(80)
+    texts = [(1, line(60) + passage), (5, line(20) + passage + line(9)), (5, line(150)), (None, line(33) + passage), (None, line(140))]
+    texts += [(None, texts[4][1][:70] + line(40)), (5, texts[2][1][:90] + line(10))]
+    got = sd.dedup(brute.documents(spark, texts), carry=("doc_id", "text")).collect()
+    big = 1 << 62
+    for r in got:
+        own = big if r["_row"]["doc_id"] is None else r["_row"]["doc_id"]
+        others = [(i if i is not None else big, t) for i, t in texts if (i if i is not None else big) < own]
+        raw, cover = brute.removed([(own, r["_row"]["text"]), *others])[own]
+        assert r["n_removed"] == len(cover) and r["n_bytes"] == len(raw)
+    assert sorted(r["n_removed"] for r in got) == [0, 0, 0, 0, 0, 80, 80]
+
+
 def test_runs_merge_where_they_touch():
     assert sd.removed_spans(np.array([5, 6, 55, 200]), 50).tolist() == [[5, 105], [200, 250]]
     assert sd.removed_spans(np.array([0, 51]), 50).tolist() == [[0, 50], [51, 101]]
