@@ -4,7 +4,7 @@
 The stages that filter or edit return the columns of ``documents``; the last
 returns the packed pieces. NULL ids and texts, empty texts and empty tables pass
 as each operator defines: an empty text fails the quality rules, a row without
-an id is in no group of copies.
+an id gives way to a copy that has one.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import bestfit_packing, decontaminate, jaccard_join, pii_crf, quality_rules
-from tessera.llm.rowwise import unpacked
+from tessera.llm.rowwise import ROW, unpacked, whole_rows
 from tessera.llm.session import ready, tokenizer_path
 from tessera.sources.tables import read_table
 from tessera.util import shared_scratch
@@ -28,22 +28,38 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of copies (five words, similarity 0.8): the one with the smallest id.
+    """One row of every group of copies (five words, similarity 0.8): the one with the smallest id.
 
-    A row listed twice under one id stays once.
+    Rows are judged, not ids: texts under one id, or under none, stay or go each by
+    its own group. A NULL id counts as larger than all others; of the rows of a group that
+    share the smallest id one stays. Rows without words stay.
     """
     ready(spark)
-    groups = jaccard_join.jaccard_components(docs, n=5, num=8, den=10, count_links=False).select("doc_id", "component_id")
-    groups = groups.where("doc_id is not null").checkpoint()
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    twice = groups.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    # Texts are not shuffled where the ids that leave, and those listed twice, are few.
+    groups = jaccard_join.jaccard_components(docs, n=5, num=8, den=10, count_links=False, with_class=True)
+    groups = groups.where("class_id is not null").select("doc_id", "class_id", "component").checkpoint()
+    best = groups.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "class_id")).alias("s"))
+    stay = best.select("s.doc_id", "s.class_id").checkpoint()
+    named = groups.where("doc_id is not null")
+    rows = named.groupBy("doc_id").agg(F.count("*").alias("n"))
+    ids = rows.join(stay.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("s")), "doc_id", "left").checkpoint()
+    gone, several = ids.where("s is null").select("doc_id"), ids.where("s is not null and n > 1").select("doc_id")
+    # Texts are not shuffled where the ids that leave, and those with several rows, are few.
     kept = docs.join(jaccard_join.few(gone), "doc_id", "left_anti").select(*docs.columns)
-    if twice.isEmpty():
-        return kept
-    twice = jaccard_join.few(twice)
-    once = kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return kept.join(twice, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+    apart = []
+    if not several.isEmpty():
+        several = jaccard_join.few(several)
+        apart.append(docs.join(several, "doc_id", "left_semi").select(*docs.columns))
+        kept = kept.join(several, "doc_id", "left_anti").select(*docs.columns)
+    if not groups.where("doc_id is null").isEmpty():
+        apart.append(docs.where("doc_id is null"))
+        kept = kept.where("doc_id is not null")
+    for part in apart:  # by row: the text's class says which of an id's rows is meant
+        own = jaccard_join.class_of(part).withColumn("_id", F.col(f"{ROW}.doc_id"))
+        right = stay.select(F.col("doc_id").alias("_stay"), F.col("class_id").alias("_class"))
+        told = own.join(right, F.col("_id").eqNullSafe(F.col("_stay")) & (F.col("class_id") == F.col("_class")), "left_semi")
+        told = told.dropDuplicates(["_id", "class_id"]).unionByName(own.where("class_id is null"))
+        kept = kept.unionByName(whole_rows(told, docs.columns, "text"))
+    return kept
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
