@@ -43,6 +43,12 @@ TS = "updated_at"
 # 100 bytes each as a hashed row, 100 MB.
 FEW_IDS = 1_000_000
 
+# Words of the bitmap of changed ids (16.7 million bits, about 10 MB as a hashed
+# relation, whatever the number of ids), and the ids up to which it still tells
+# most rows apart (a fifth of its bits set).
+BITMAP_WORDS = 1 << 18
+BITMAP_IDS = 4_000_000
+
 
 def watermark(target: DataFrame, ts: str = TS) -> DataFrame:
     """One row: the target's high-watermark (NULL when the target is empty)."""
@@ -111,18 +117,46 @@ def changed_ids(changed: DataFrame, key: str = KEY) -> DataFrame:
     return changed.select(key).distinct()
 
 
-def unchanged_rows(target: DataFrame, ids: DataFrame, key: str = KEY, few_ids: bool = False) -> DataFrame:
+def _place(key: str) -> tuple[Column, Column]:
+    """An id's word in the bitmap and its bit there; NULL for a NULL id."""
+    h = F.when(F.col(key).isNotNull(), F.xxhash64(key))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(h, 32).bitwiseAND(F.lit(63)).cast("int"))
+    return F.pmod(h, F.lit(BITMAP_WORDS)), bit
+
+
+def split_by_bitmap(target: DataFrame, ids: DataFrame, key: str = KEY) -> tuple[DataFrame, DataFrame]:
+    """(rows whose id is surely not among ``ids``, rows whose id may be).
+
+    The ids set bits of a fixed-size table, one row a word, which is broadcast: at
+    most ``BITMAP_WORDS`` rows. Ids that share a bit only make a row a candidate."""
+    word, bit = _place(key)
+    words = ids.select(word.alias("_word"), bit.alias("_bit")).where("_word is not null")
+    words = words.groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    rows = target.withColumns({"_word": word, "_bit": bit}).join(F.broadcast(words), "_word", "left")
+    maybe = F.coalesce(F.col("_bits").bitwiseAND(F.col("_bit")) != 0, F.lit(False))
+    return rows.where(~maybe).select(target.columns), rows.where(maybe).select(target.columns)
+
+
+def unchanged_rows(
+    target: DataFrame, ids: DataFrame, key: str = KEY, few_ids: bool = False, bitmap: bool = False
+) -> DataFrame:
     """Target rows whose id is not in ``ids`` (left anti join, JOIN-1).
 
     NULL never equals NULL, so target rows with a NULL id always survive.
     The ids are de-duplicated first (a partial aggregate collapses a hot id to
     one row per map task). With ``few_ids`` — the caller has counted at most
-    ``FEW_IDS`` of them — they are broadcast and the target is not shuffled;
-    otherwise adaptive execution decides from their measured size, and a hot
-    id of the target is split in the sort-merge join."""
+    ``FEW_IDS`` of them — they are broadcast and the target is not shuffled.
+    With ``bitmap`` — at most ``BITMAP_IDS`` — the target is read twice but only
+    rows that may match are shuffled to the exact join (ids of one type on both
+    sides). Otherwise adaptive execution decides from their measured size, and a
+    hot id of the target is split in the sort-merge join."""
     distinct_ids = ids.select(key).distinct()
-    other = F.broadcast(distinct_ids) if few_ids else own_exchange(distinct_ids)
-    return target.join(other, on=key, how="left_anti")
+    if few_ids:
+        return target.join(F.broadcast(distinct_ids), on=key, how="left_anti")
+    if bitmap and target.schema[key].dataType == ids.schema[key].dataType:
+        apart, maybe = split_by_bitmap(target, ids, key)
+        return apart.unionByName(maybe.join(own_exchange(distinct_ids), on=key, how="left_anti").select(target.columns))
+    return target.join(own_exchange(distinct_ids), on=key, how="left_anti")
 
 
 def union_by_name(first: DataFrame, second: DataFrame) -> DataFrame:
@@ -161,10 +195,11 @@ def merge_as_coded(
     allowed_lateness: str | None = None,
     known_watermark: Column | None = None,
     few_ids: bool = False,
+    bitmap: bool = False,
 ) -> DataFrame:
     """Watermark → change ids (before cleaning) → anti join → clean → union."""
     changed = changed_set(batch, target, key, ts, watermark, allowed_lateness, known_watermark)
-    unchanged = unchanged_rows(target, changed, key, few_ids)
+    unchanged = unchanged_rows(target, changed, key, few_ids, bitmap)
     gated = clean(cast_call_records(changed), rules)
     return union_by_name(unchanged, gated)
 
@@ -180,6 +215,7 @@ def merge_unique(
     allowed_lateness: str | None = None,
     known_watermark: Column | None = None,
     few_ids: bool = False,
+    bitmap: bool = False,
 ) -> DataFrame:
     """Clean first, keep the latest version per id, replace only ids whose
     new version passed the gate. ``target`` is expected to hold one row per
@@ -192,7 +228,7 @@ def merge_unique(
     latest = latest_per_key(gated, key, ts, tie_breakers)
     # The ids to replace are the gated ids (the same set as ``latest``'s), so
     # the anti join needs no window computation.
-    return union_by_name(unchanged_rows(target, gated, key, few_ids), latest)
+    return union_by_name(unchanged_rows(target, gated, key, few_ids, bitmap), latest)
 
 
 POLICIES = {"as_coded": merge_as_coded, "unique": merge_unique}
@@ -210,6 +246,7 @@ def merge_incremental(
     allowed_lateness: str | None = None,
     known_watermark: Column | None = None,
     few_ids: bool = False,
+    bitmap: bool = False,
 ) -> DataFrame:
     """The load's transform. ``target=None`` (or an empty target) is a first
     run: every batch row is cleaned (rows with a NULL timestamp are kept, as
@@ -220,6 +257,6 @@ def merge_incremental(
         return latest_per_key(gated, key, ts, tie_breakers) if policy == "unique" else gated
     if policy == "unique":
         return merge_unique(
-            target, batch, rules, key, ts, tie_breakers, watermark, allowed_lateness, known_watermark, few_ids
+            target, batch, rules, key, ts, tie_breakers, watermark, allowed_lateness, known_watermark, few_ids, bitmap
         )
-    return merge_as_coded(target, batch, rules, key, ts, watermark, allowed_lateness, known_watermark, few_ids)
+    return merge_as_coded(target, batch, rules, key, ts, watermark, allowed_lateness, known_watermark, few_ids, bitmap)

@@ -107,6 +107,51 @@ def first_failed(rules: list[Rule]) -> Column:
     return expr
 
 
+MASK_COLUMN = "failed_rules"
+
+
+def failed_mask(rules: list[Rule] = CALL_RECORD_RULES) -> Column:
+    """Every rule the row fails, as a bitmask: bit k stands for rule k of the list, 0 for a clean row."""
+    bits = [F.when(r.passes(), 0).otherwise(1 << k) for k, r in enumerate(rules)]
+    return reduce(lambda a, b: a.bitwiseOR(b), bits).cast("long")
+
+
+def first_of_mask(rules: list[Rule] = CALL_RECORD_RULES, mask: str = MASK_COLUMN) -> Column:
+    """Name of the first rule of a bitmask, NULL for 0."""
+    expr = F.lit(None).cast("string")
+    for k, r in reversed(list(enumerate(rules))):
+        expr = F.when(F.col(mask).bitwiseAND(F.lit(1 << k)) != 0, F.lit(r.name)).otherwise(expr)
+    return expr
+
+
+def mask_counts(df: DataFrame, mask: str = MASK_COLUMN) -> DataFrame:
+    """Rows per bitmask (a partial-aggregated count), the clean rows' 0 left out."""
+    return df.where(F.col(mask) != 0).groupBy(F.col(mask).alias("mask")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def reject_masks(df: DataFrame, rules: list[Rule] = CALL_RECORD_RULES) -> DataFrame:
+    """Rejected rows per set of failed rules (FLT-18)."""
+    masked = df.select(failed_mask(rules).alias(MASK_COLUMN))
+    return mask_counts(masked.observe("rule check", F.count(F.lit(1)).alias("rows")))
+
+
+def cause_report(counts: DataFrame, rules: list[Rule] = CALL_RECORD_RULES) -> DataFrame:
+    """(rule, n_failed, n_only): rows that fail a rule, and rows that fail no other.
+
+    Works on the counts per bitmask, at most 2^rules rows however many there were."""
+    hit = lambda k: F.col("mask").bitwiseAND(F.lit(1 << k)) != 0
+    each = [
+        F.struct(
+            F.lit(r.name).alias("rule"),
+            F.when(hit(k), F.col("rows")).otherwise(0).alias("n_failed"),
+            F.when(F.col("mask") == 1 << k, F.col("rows")).otherwise(0).alias("n_only"),
+        )
+        for k, r in enumerate(rules)
+    ]
+    rows = counts.select(F.explode(F.array(*each)).alias("x"))
+    return rows.groupBy("x.rule").agg(F.sum("x.n_failed").alias("n_failed"), F.sum("x.n_only").alias("n_only"))
+
+
 def rejects(df: DataFrame, rules: list[Rule] = CALL_RECORD_RULES) -> DataFrame:
     """Rows failing at least one rule, with the first failed rule's name.
 

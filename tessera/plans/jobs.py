@@ -9,22 +9,26 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.casts import cast_call_records
 from tessera.operators import analytics
 from tessera.operators.enrich import enrich_sales
-from tessera.operators.merge import FEW_IDS, POLICIES, changed_set, merge_incremental
-from tessera.operators.rules import CALL_RECORD_RULES, first_failed
+from tessera.operators.merge import BITMAP_IDS, FEW_IDS, POLICIES, changed_set, merge_incremental
+from tessera.operators.rules import CALL_RECORD_RULES, MASK_COLUMN, cause_report, failed_mask, first_of_mask, mask_counts
 from tessera.schemas import CALL_RECORD_SCHEMA
 from tessera.sinks.publish import (
+    ConcurrentPublish,
     bucket_of,
+    delete_path,
     expire_versions,
     last_listing,
     live,
+    new_run,
     publish,
     read_parts,
+    staged_path,
     staging_path,
 )
 from tessera.sources.files import read_changed_files, read_files, since_hours_ago
@@ -45,8 +49,8 @@ def run_sales(spark: SparkSession, n_records: int = 100_000_000, seed: int = 42)
 
 @dataclass
 class LoadResult:
-    """What a load did. The counts are observed while the change set is
-    staged and while the version is written — no extra pass over the data."""
+    """What a load did. The counts are read from the files that the run has
+    staged and written, so a repeated task attempt counts once."""
 
     first_run: bool
     published_version: int | None
@@ -69,6 +73,8 @@ def run_load(
     allowed_lateness: str | None = None,
     buckets: int | None = None,
     foreign: str = "error",
+    group_by_schema: bool = True,
+    target_file_bytes: int | None = None,
 ) -> LoadResult:
     """Read new call-record files, merge them into the target, publish.
 
@@ -80,7 +86,10 @@ def run_load(
     rules: nothing is published and the live version stays as it is.
     ``allowed_lateness`` (an interval such as ``"2 days"``) moves the watermark
     back. ``buckets`` keeps the target in that many buckets of the id; a later
-    run then reads and rewrites only the buckets that its ids fall into. After
+    run then reads and rewrites only the buckets that its ids fall into.
+    ``group_by_schema=False`` reads with the one declared schema, without a look at
+    the footers. Otherwise new files without a row after the recorded watermark are
+    not scanned. ``target_file_bytes`` sizes the target's files. After
     a publish, versions older than the newest ``keep_versions`` go (with their
     staged change sets)."""
     zone = spark.conf.get("spark.sql.session.timeZone")
@@ -88,19 +97,34 @@ def run_load(
     listed_at = since_hours_ago(1 / 3600, dt.datetime.now(dt.timezone.utc), zone)
     before = live(spark, target_root)
     if before is None or read_parts(spark, target_root, before.parts).isEmpty():
-        batch = read_files(spark, [source_path], schema, foreign=foreign)
+        batch = read_files(spark, [source_path], schema, group_by_schema=group_by_schema, foreign=foreign)
         return merge_and_publish(
             spark, None, batch, target_root, policy, watermark, keep_versions,
-            single_file=single_file, listed_at=listed_at, buckets=buckets,
+            single_file=single_file, listed_at=listed_at, buckets=buckets, target_file_bytes=target_file_bytes,
         )
     since = since or last_listing(spark, target_root) or since_hours_ago(window_hours, time_zone=zone)
-    batch = read_changed_files(spark, source_path, since, schema, foreign=foreign)
+    bound = _file_bound(spark, before.watermark, watermark, allowed_lateness)
+    batch = read_changed_files(
+        spark, source_path, since, schema, group_by_schema=group_by_schema, foreign=foreign, newer_than=bound
+    )
     return merge_and_publish(
         spark, before, batch, target_root, policy, watermark, keep_versions, allowed_lateness,
-        single_file, listed_at, before.buckets or buckets,
+        single_file, listed_at, before.buckets or buckets, target_file_bytes=target_file_bytes,
     )
 
 
+def _file_bound(
+    spark: SparkSession, recorded: str | None, watermark: str, allowed_lateness: str | None
+) -> tuple[str, dt.datetime] | None:
+    """The bound below which whole files can be left out, where the global watermark is known."""
+    if recorded is None or watermark != "global":
+        return None
+    at = F.lit(recorded).cast("timestamp_ntz")
+    if allowed_lateness:
+        at = at - F.expr(f"INTERVAL {allowed_lateness}")
+    return "updated_at", spark.range(1).select(at.alias("t")).first()["t"]
+
+
 def merge_and_publish(
     spark: SparkSession,
     before,
@@ -114,32 +138,50 @@ def merge_and_publish(
     listed_at: str | None = None,
     buckets: int | None = None,
     source: str | None = None,
+    target_file_bytes: int | None = None,
 ) -> LoadResult:
     """Stage the batch's typed change set once, merge it into the live version ``before``, publish.
 
     Each staged row is tagged with the first rule it fails (NULL when clean):
     the merge reads this table instead of listing, reading, casting and checking
     the new rows again, and the rejected rows stay inspectable next to the
-    version they were part of. ``before=None`` is a first run; of its input,
+    version they were part of. The staged rows are this run's own (the log entry
+    names the run), so runs side by side don't touch each other's: the one that
+    commits second is refused. ``before=None`` is a first run; of its input,
     which may be the whole history, only the rejected rows are staged."""
-    if before is None:
-        return _first_load(
-            spark, batch, target_root, policy, single_file, keep_versions, listed_at, buckets, source
+    run = new_run()
+    try:
+        load = _first_load if before is None else _next_load
+        result = load(
+            spark, before, batch, target_root, run, policy=policy, watermark=watermark, keep_versions=keep_versions,
+            allowed_lateness=allowed_lateness, single_file=single_file, listed_at=listed_at, buckets=buckets,
+            source=source, target_file_bytes=target_file_bytes,
         )
+    except ConcurrentPublish:
+        delete_path(spark, staging_path(target_root, run))
+        raise
+    if result.published_version is None:
+        delete_path(spark, staging_path(target_root, run))
+    return result
+
+
+def _next_load(
+    spark, before, batch, target_root, run, policy, watermark, keep_versions, allowed_lateness, single_file, listed_at,
+    buckets, source, target_file_bytes,
+) -> LoadResult:
     target = read_parts(spark, target_root, before.parts)
     recorded = before.watermark
     known = None if recorded is None else F.lit(recorded).cast(target.schema["updated_at"].dataType)
     changed = changed_set(
         batch, target, watermark=watermark, allowed_lateness=allowed_lateness, known_watermark=known
     )
-    stage = staging_path(target_root, before.version + 1)
-    tagged, counts = _tagged(changed)
-    tagged.write.mode("overwrite").parquet(stage)
-    n_changed, n_rejected = int(counts.get["changed"]), int(counts.get["rejected"])
+    stage = staging_path(target_root, run)
+    _tagged(changed).write.parquet(stage)
+    staged = spark.read.parquet(stage)
+    n_changed, n_rejected = staged.agg(F.count(F.lit(1)), F.count(REJECT_COLUMN)).first()
     # Under ``unique`` rejected rows change nothing; as coded, they remove ids.
     if n_changed == 0 or (policy == "unique" and n_changed == n_rejected):
         return LoadResult(False, None, None, n_changed, n_rejected)
-    staged = spark.read.parquet(stage)
     touched = None
     if before.buckets:
         rows = staged.where(F.col(REJECT_COLUMN).isNull()) if policy == "unique" else staged
@@ -147,49 +189,47 @@ def merge_and_publish(
         touched = sorted(r["b"] for r in found)  # at most ``buckets`` numbers
         parts = [p for p in before.parts if p["bucket"] in set(touched)]
         target = read_parts(spark, target_root, parts, target.schema) if parts else None
-    staged = staged.drop(REJECT_COLUMN)
+    staged = staged.drop(REJECT_COLUMN, MASK_COLUMN)
     if target is None:  # none of the buckets holds a row yet
         merged = merge_incremental(None, staged, policy=policy)
     else:
         merged = POLICIES[policy](
             target, staged, watermark=watermark, allowed_lateness=allowed_lateness, known_watermark=known,
-            few_ids=n_changed <= FEW_IDS,
+            few_ids=n_changed <= FEW_IDS, bitmap=n_changed <= BITMAP_IDS,
         )
     version, rows = publish(
         merged, target_root, single_file=single_file, source=source, watermark_column="updated_at",
         listed_at=listed_at, key="id", buckets=before.buckets or None, changed=touched,
+        based_on=before.version, staged=run, target_file_bytes=target_file_bytes,
     )
     expire_versions(spark, target_root, keep_versions)
     return LoadResult(False, version, rows, n_changed, n_rejected)
 
 
-def _tagged(changed: DataFrame) -> tuple[DataFrame, Observation]:
-    """Typed rows tagged with their first failed rule, with observed counts."""
-    counts = Observation("changed")
-    tagged = (
-        cast_call_records(changed)
-        .withColumn(REJECT_COLUMN, first_failed(CALL_RECORD_RULES))
-        .observe(counts, F.count(F.lit(1)).alias("changed"), F.count(REJECT_COLUMN).alias("rejected"))
-    )
-    return tagged, counts
+def _tagged(changed: DataFrame) -> DataFrame:
+    """Typed rows tagged with the rules they fail (a bitmask, 0 when clean) and the first of them."""
+    masked = cast_call_records(changed).withColumn(MASK_COLUMN, failed_mask(CALL_RECORD_RULES))
+    return masked.withColumn(REJECT_COLUMN, first_of_mask(CALL_RECORD_RULES))
 
 
 def _first_load(
-    spark, batch, target_root, policy, single_file, keep_versions, listed_at, buckets, source
+    spark, before, batch, target_root, run, policy, watermark, keep_versions, allowed_lateness, single_file, listed_at,
+    buckets, source, target_file_bytes,
 ) -> LoadResult:
     """First run: the whole input. A first pass writes the rejected rows and
     counts what it reads in that write; the second merges and publishes."""
-    before = live(spark, target_root)
-    stage = staging_path(target_root, (before.version if before else 0) + 1)
-    tagged, counts = _tagged(batch)
-    tagged.where(F.col(REJECT_COLUMN).isNotNull()).write.mode("overwrite").parquet(stage)
-    n_changed, n_rejected = int(counts.get["changed"]), int(counts.get["rejected"])
-    if n_changed == 0:
-        return LoadResult(True, None, None)
+    now = live(spark, target_root)
+    stage = staging_path(target_root, run)
     merged = merge_incremental(None, batch, policy=policy)
+    if batch.isEmpty():
+        return LoadResult(True, None, None)
+    _tagged(batch).where(F.col(MASK_COLUMN) != 0).write.parquet(stage)
+    n_rejected = spark.read.parquet(stage).count()
+    n_changed = batch.count()
     version, rows = publish(
         merged, target_root, single_file=single_file, source=source, watermark_column="updated_at",
-        listed_at=listed_at, key="id", buckets=buckets,
+        listed_at=listed_at, key="id", buckets=buckets, based_on=now.version if now else 0, staged=run,
+        target_file_bytes=target_file_bytes,
     )
     expire_versions(spark, target_root, keep_versions)
     return LoadResult(True, version, rows, n_changed, n_rejected)
@@ -198,4 +238,10 @@ def _first_load(
 def rejected_rows(spark: SparkSession, target_root: str, version: int) -> DataFrame:
     """The rows of a run that failed the quality gate, with the first rule each
     failed (kept while ``version`` is retained)."""
-    return spark.read.parquet(staging_path(target_root, version)).filter(F.col(REJECT_COLUMN).isNotNull())
+    return spark.read.parquet(staged_path(spark, target_root, version)).filter(F.col(REJECT_COLUMN).isNotNull())
+
+
+def reject_causes(spark: SparkSession, target_root: str, version: int) -> DataFrame:
+    """For each rule, how many rows of a run failed it and how many failed it alone; only the
+    staged bitmask is read."""
+    return cause_report(mask_counts(spark.read.parquet(staged_path(spark, target_root, version))))

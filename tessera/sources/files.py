@@ -1,10 +1,15 @@
 """Parquet file-set scans (SRC-5 … SRC-10, SET-2).
 
-* ``read_files`` — many paths, or folders of files, as one table. The footer of
-  every file is read once, in one distributed pass over the listed files; files
-  are grouped by physical schema, each group is one scan cast to the declared
+* ``read_files`` — many paths, or folders of files, as one table. Files are
+  grouped by physical schema, each group is one scan cast to the declared
   schema, and the groups are unioned by name. So a column that only some files
   have keeps its values, and a column whose type drifts between files reads.
+  Footers of files on a mounted path are read in one distributed pass. Any
+  other store is reached as Spark reaches it, through Hadoop: Spark's own
+  distributed schema merge answers for file sets whose types agree; only where
+  they don't are the footers read one by one, by threads of the driver.
+* ``newer_than`` — files whose footer says that no row of a timestamp column lies
+  after a bound are left out: they are not scanned.
 * ``read_changed_files`` — only files modified after a point in time, using
   the reader's ``modifiedAfter`` filter (applied while listing, so old files
   are never opened).
@@ -13,7 +18,8 @@
   plan instead of a special exit.
 
 Building a frame takes the same number of Spark jobs however many files there
-are: one listing, one footer pass, and one parallel listing per schema group.
+are: one listing, one footer pass or schema merge, and one parallel listing per
+schema group.
 The driver holds the file names, as any Spark file scan does.
 """
 
@@ -21,9 +27,10 @@ from __future__ import annotations
 
 import datetime as dt
 import warnings
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,52 +74,153 @@ def read_parquet_or_none(spark: SparkSession, path: str, recursive: bool = False
         raise
 
 
-FOOTERS = "path string, layout string, ok boolean"
+FOOTERS = "path string, layout string, ok boolean, high long"
+#: threads that read footers through the Hadoop file system, and files handed to them at a time
+FOOTER_THREADS, FOOTER_CHUNK = 16, 2000
+EPOCH = dt.datetime(1970, 1, 1)
 
 
-def _read_footers(batches):
-    """(path, physical schema text, readable) per file, on the executors."""
-    import pandas as pd
-    import pyarrow.parquet as pq
-    from pyarrow import ArrowInvalid
-    from pyarrow.fs import FileSystem
+def micros(t: dt.datetime) -> int:
+    """Microseconds since 1970 of a zone-less time, or of the UTC time of an instant."""
+    if t.tzinfo is not None:
+        t = t.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    return (t - EPOCH) // dt.timedelta(microseconds=1)
 
-    for paths in batches:
-        out = []
-        for path in paths["path"]:
-            fs, name = FileSystem.from_uri(path)
-            try:
-                footer = pq.read_schema(name, filesystem=fs)
-                layout = "\n".join(f"{f.name}: {f.type}" for f in footer)
-                out.append((path, layout, True))
-            except ArrowInvalid:  # not a Parquet file
-                out.append((path, "", False))
-        yield pd.DataFrame(out, columns=["path", "layout", "ok"])
 
+def _read_footers(column: str | None):
+    """(path, physical schema text, readable, latest value of ``column``) per file, on the executors.
 
-def file_layouts(spark: SparkSession, paths: list[str]) -> DataFrame:
+    The latest value is NULL where the footer doesn't tell it."""
+
+    def latest(meta) -> int | None:
+        names = [meta.schema.column(i).path for i in range(meta.num_columns)]
+        if column not in names:
+            return None
+        found = []
+        for g in range(meta.num_row_groups):
+            chunk = meta.row_group(g).column(names.index(column))
+            stats = chunk.statistics
+            if stats is not None and stats.has_null_count and stats.null_count == chunk.num_values:
+                continue  # no row of the group has a time
+            if stats is None or not stats.has_min_max or not isinstance(stats.max, dt.datetime):
+                return None
+            found.append(micros(stats.max))
+        return max(found, default=None)
+
+    def read(batches):
+        import pandas as pd
+        import pyarrow.parquet as pq
+        from pyarrow import ArrowInvalid
+        from pyarrow.fs import FileSystem
+
+        for paths in batches:
+            out = []
+            for path in paths["path"]:
+                fs, name = FileSystem.from_uri(path)
+                try:
+                    meta = pq.read_metadata(name, filesystem=fs)
+                    layout = "\n".join(f"{f.name}: {f.type}" for f in meta.schema.to_arrow_schema())
+                    out.append((path, layout, True, latest(meta)))
+                except ArrowInvalid:  # not a Parquet file
+                    out.append((path, "", False, None))
+            got = pd.DataFrame(out, columns=["path", "layout", "ok", "high"])
+            yield got.astype({"high": "Int64"})
+
+    return read
+
+
+def file_layouts(spark: SparkSession, paths: list[str], column: str | None = None) -> DataFrame:
     """The physical schema of every file, read in one distributed pass."""
     width = max(1, min(len(paths), 4 * spark.sparkContext.defaultParallelism))
     names = spark.createDataFrame([(p,) for p in paths], "path string").repartition(width)
-    return names.mapInPandas(_read_footers, FOOTERS)
+    return names.mapInPandas(_read_footers(column), FOOTERS)
+
+
+def _hadoop_footer(spark: SparkSession, path: str, column: str | None) -> tuple[str, str, bool, int | None]:
+    """What ``_read_footers`` tells of a file, read through the Hadoop file system."""
+    from py4j.protocol import Py4JJavaError
+
+    jvm = spark._jvm
+    parquet = jvm.org.apache.parquet
+    converter = parquet.format.converter.ParquetMetadataConverter
+    at = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path))
+    part = converter.SKIP_ROW_GROUPS if column is None else converter.NO_FILTER
+    try:
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        meta = parquet.hadoop.ParquetFileReader.readFooter(conf, at, part)
+    except Py4JJavaError as e:
+        if "not a Parquet file" in str(e.java_exception):
+            return path, "", False, None
+        raise
+    layout = meta.getFileMetaData().getSchema().toString().partition("{")[2]
+    if column is None:
+        return path, layout, True, None
+    found = []
+    for block in meta.getBlocks():
+        chunk = next((c for c in block.getColumns() if c.getPath().toDotString() == column), None)
+        stats = None if chunk is None else chunk.getStatistics()
+        if stats is not None and stats.getNumNulls() == chunk.getValueCount():
+            continue
+        kind = "" if chunk is None else str(chunk.getPrimitiveType().getLogicalTypeAnnotation())
+        if stats is None or not stats.hasNonNullValue() or not kind.startswith("TIMESTAMP(MICROS"):
+            return path, layout, True, None
+        found.append(stats.genericGetMax())
+    return path, layout, True, max(found, default=None)
+
+
+def _mounted(path: str) -> bool:
+    """Whether executors open the file by its name (a shared mount, or local mode)."""
+    return path.startswith(("file:", "/"))
+
+
+def _footers(spark: SparkSession, paths: list[str], column: str | None) -> list[tuple]:
+    """(path, layout, readable, latest value of ``column`` or None) of every file."""
+    if all(map(_mounted, paths)):
+        return [tuple(r) for r in file_layouts(spark, paths, column).collect()]
+    out = []
+    with ThreadPoolExecutor(FOOTER_THREADS) as pool:
+        for k in range(0, len(paths), FOOTER_CHUNK):
+            out += pool.map(lambda p: _hadoop_footer(spark, p, column), paths[k : k + FOOTER_CHUNK])
+    return out
+
+
+def _merged_schema(spark: SparkSession, paths: list[str]) -> T.StructType | None:
+    """The schema of all files by Spark's distributed merge (one job); None where types disagree
+    or a file is not Parquet."""
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(*paths).schema
+    except PySparkException:
+        return None
 
 
 class ForeignFiles(ValueError):
     """The input holds files that are not Parquet."""
 
 
-def _groups(spark: SparkSession, paths: list[str], foreign: str) -> list[list[str]]:
-    """The paths grouped by physical schema; ``foreign`` files are refused or reported."""
+def _groups(
+    spark: SparkSession, paths: list[str], foreign: str, newer_than: tuple[str, dt.datetime] | None = None
+) -> list[tuple[list[str], T.StructType | None]]:
+    """The paths grouped by physical schema, each group with its schema where that is known already;
+    ``foreign`` files are refused or reported, files without a row after ``newer_than`` left out."""
+    if newer_than is None and not all(map(_mounted, paths)):
+        with _parallel_listing(spark):
+            schema = _merged_schema(spark, paths)
+        if schema is not None:
+            return [(paths, schema)]
+    column, bound = newer_than or (None, EPOCH)
     found: dict[str, list[str]] = {}
     other = []
-    for r in file_layouts(spark, paths).collect():
-        found.setdefault(r["layout"], []).append(r["path"]) if r["ok"] else other.append(r["path"])
+    for path, layout, ok, high in _footers(spark, paths, column):
+        if not ok:
+            other.append(path)
+        elif high is None or high > micros(bound):
+            found.setdefault(layout, []).append(path)
     if other:
         text = f"{len(other)} files are not Parquet: {', '.join(sorted(other)[:10])}"
         if foreign != "skip":
             raise ForeignFiles(text)
         warnings.warn(text, stacklevel=3)
-    return [sorted(found[k]) for k in sorted(found)]
+    return [(sorted(found[k]), None) for k in sorted(found)]
 
 
 @contextmanager
@@ -140,6 +248,7 @@ def read_files(
     recursive: bool = True,
     group_by_schema: bool = True,
     foreign: str = "error",
+    newer_than: tuple[str, dt.datetime] | None = None,
 ) -> DataFrame:
     """All files below ``paths`` as one table conforming to ``schema`` (SRC-5, SET-2).
 
@@ -147,14 +256,17 @@ def read_files(
     column). No files give an empty table of ``schema`` (SRC-10). Files that are
     not Parquet fail the read (``foreign="skip"`` leaves them out with a
     warning that names them). ``group_by_schema=False`` scans everything at once
-    with the declared schema — for file sets known to share their types."""
+    with the declared schema — for file sets known to share their types.
+    ``newer_than`` (a timestamp column and a bound) leaves out files whose footer
+    says that all their rows are at or below the bound, or have no time."""
     if paths and not group_by_schema and schema is not None:
         return _reader(spark, recursive, modified_after).schema(schema).parquet(*paths)
     files = changed_file_paths(spark, paths, modified_after, recursive) if paths else []
     frames = []
     with _parallel_listing(spark):
-        for group in _groups(spark, files, foreign) if files else []:
-            frames.append(spark.read.parquet(*group))
+        for group, known in _groups(spark, files, foreign, newer_than) if files else []:
+            reader = spark.read if known is None else spark.read.schema(known)
+            frames.append(reader.parquet(*group))
     if schema is None:
         if not frames:
             raise ValueError(f"no readable files in {paths} and no declared schema")
@@ -211,6 +323,7 @@ def read_changed_files(
     recursive: bool = True,
     group_by_schema: bool = True,
     foreign: str = "error",
+    newer_than: tuple[str, dt.datetime] | None = None,
 ) -> DataFrame:
     """Files under ``path`` modified strictly after ``since`` (SRC-9).
 
@@ -220,4 +333,4 @@ def read_changed_files(
     is a single scan for file sets known to share their types."""
     if schema is None:
         schema = read_files(spark, [path], recursive=recursive, foreign=foreign).schema
-    return read_files(spark, [path], schema, since, recursive, group_by_schema, foreign)
+    return read_files(spark, [path], schema, since, recursive, group_by_schema, foreign, newer_than)
