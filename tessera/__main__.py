@@ -34,6 +34,8 @@ def main(argv: list[str] | None = None) -> None:
     load.add_argument("--allowed-lateness", default=None, help='move the watermark back, e.g. "2 days"')
     load.add_argument("--buckets", type=int, default=None, help="keep the target in buckets of the id")
     load.add_argument("--skip-foreign", action="store_true", help="leave files out that are not Parquet")
+    load.add_argument("--one-schema", action="store_true", help="read all files with the declared schema, without their footers")
+    load.add_argument("--file-bytes", type=int, default=None, help="size of the target's files")
     load.add_argument("--single-file", action="store_true")
     for p in (sales, load):
         p.add_argument("--local", type=int, default=None, help="run on local[N] instead of the cluster")
@@ -58,6 +60,7 @@ def main(argv: list[str] | None = None) -> None:
                 spark, args.source, args.target, since=args.since, policy=args.policy,
                 watermark=args.watermark, single_file=args.single_file, allowed_lateness=args.allowed_lateness,
                 buckets=args.buckets, foreign="skip" if args.skip_foreign else "error",
+                group_by_schema=not args.one_schema, target_file_bytes=args.file_bytes,
             )
             print(result)
     finally:

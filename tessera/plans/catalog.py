@@ -235,6 +235,33 @@ def q_reject_summary(spark, sf_dir):
     return rules.reject_summary(_typed(spark, sf_dir))
 
 
+MASK_SQL = " + ".join(f"case when coalesce(({p}), false) then 0 else {1 << k} end" for k, p in enumerate(RULE_SQL.values()))
+
+
+@register(
+    "reject_masks",
+    f"with {TYPED}, m as (select ({MASK_SQL})::bigint as mask from typed) "
+    "select mask, count(*) as rows from m where mask <> 0 group by mask",
+)
+def q_reject_masks(spark, sf_dir):
+    """Rejected rows per set of failed rules."""
+    return rules.reject_masks(_typed(spark, sf_dir))
+
+
+@register(
+    "reject_causes",
+    f"with {TYPED}, m as (select ({MASK_SQL})::bigint as mask from typed) "
+    + " union all ".join(
+        f"select '{n}' as rule, (count(*) filter (where mask & {1 << k} <> 0))::bigint as n_failed, "
+        f"(count(*) filter (where mask = {1 << k}))::bigint as n_only from m"
+        for k, n in enumerate(RULE_SQL)
+    ),
+)
+def q_reject_causes(spark, sf_dir):
+    """Per rule the rows that fail it, and those that only it rejects."""
+    return rules.cause_report(rules.reject_masks(_typed(spark, sf_dir)))
+
+
 @register(
     "rule_report",
     f"with {TYPED} select count(*) as rows_in, "
@@ -277,6 +304,17 @@ def q_unchanged_rows(spark, sf_dir):
     return merge.unchanged_rows(target, changed)
 
 
+@register(
+    "unchanged_rows_bitmap",
+    f"{MERGE_BASE} select * from t where not exists (select 1 from changed c where c.id = t.id)",
+)
+def q_unchanged_rows_bitmap(spark, sf_dir):
+    """JOIN-1 with the target cut by the bitmap of changed ids before the exact join."""
+    target = fx.target_records(spark, sf_dir)
+    changed = merge.changed_rows(fx.batch_records(spark, sf_dir), target)
+    return merge.unchanged_rows(target, changed, bitmap=True)
+
+
 @register(
     "union_by_name",
     f"{MERGE_BASE}, tb as ({TYPED_SELECT} from b) select * from t union all by name select * from tb",
@@ -433,23 +471,42 @@ def q_scan_changed_files(spark, sf_dir):
     path = shared_scratch(spark, "changed_files")
     new = F.coalesce(F.col("event_id") % 3 == 0, F.lit(False))
     events.filter(~new).write.parquet(f"{path}/old")
-    cut = _cut(spark)
+    _age(spark, f"{path}/old", 30)
     events.filter(new).write.parquet(f"{path}/new")
-    return read_changed_files(spark, path, cut, events.schema)
+    return read_changed_files(spark, path, _hours_ago(spark, 24), events.schema)
 
 
-def _cut(spark) -> str:
-    """A time between the files written before and after this call
-    (``modifiedAfter`` has one-second resolution: a second on each side)."""
-    import datetime as dt
+def _age(spark, path: str, hours: float) -> None:
+    """Set the files of a folder back in time, as if they had been written ``hours`` ago."""
     import time
 
+    from tessera.sinks.publish import file_system
+
+    at, fs = file_system(spark, path)
+    then = int((time.time() - 3600 * hours) * 1000)
+    for status in fs.listStatus(at):
+        fs.setTimes(status.getPath(), then, -1)
+
+
+def _hours_ago(spark, hours: float) -> str:
     from tessera.sources.files import since_hours_ago
 
-    time.sleep(1.1)
-    now = since_hours_ago(0, dt.datetime.now(dt.timezone.utc), spark.conf.get("spark.sql.session.timeZone"))
-    time.sleep(1.1)
-    return now
+    return since_hours_ago(hours, time_zone=spark.conf.get("spark.sql.session.timeZone"))
+
+
+@register("sized_write", "select * from lineitem")
+def q_sized_write(spark, sf_dir):
+    """lineitem in files of at most about half a megabyte: bytes a row are measured on one write
+    and size the next."""
+    from tessera.sinks.writer import bytes_per_row_of, write
+    from tessera.sources.tables import read_table
+    from tessera.util import shared_scratch
+
+    root = shared_scratch(spark, "sized")
+    write(read_table(spark, sf_dir, "lineitem"), f"{root}/staged")
+    staged = spark.read.parquet(f"{root}/staged")
+    write(staged, f"{root}/sized", target_file_bytes=1 << 19, bytes_per_row=bytes_per_row_of(staged))
+    return spark.read.parquet(f"{root}/sized")
 
 
 @register("write_single_file", "select count(*) as rows, 1 as files from part")
@@ -592,18 +649,18 @@ def q_line_charges(spark, sf_dir):
     )
 
 
-SQL_TEXT_FILTER = "profit > 100 and shipping_delay between 5 and 20 and (category like '%STEEL' or state = 'FRANCE')"
+# The predicates that a cleaned table must leave empty.
+SQL_TEXT_FILTER = "profit <= 0 or shipping_delay > 31"
 
 
 @register(
     "sales_sql_filter",
-    f"with {ENRICHED} select l_orderkey, l_linenumber, state, category, shipping_delay from enriched "
-    f"where {SQL_TEXT_FILTER}",
+    f"with {ENRICHED} select l_orderkey, l_linenumber, state, category, shipping_delay from e0 where {SQL_TEXT_FILTER}",
 )
 def q_sales_sql_filter(spark, sf_dir):
-    """A predicate given as SQL text over the enriched fact (FLT-19)."""
-    enriched = enrich.enrich_sales(fx.sales_fact(spark, sf_dir)).filter(SQL_TEXT_FILTER)
-    return enriched.select("l_orderkey", "l_linenumber", "state", "category", "shipping_delay")
+    """A predicate given as SQL text: the rows of the fact that the enrichment drops (FLT-19)."""
+    fact = fx.sales_fact(spark, sf_dir).withColumn("shipping_delay", F.date_diff("ship_date", "order_date"))
+    return fact.filter(SQL_TEXT_FILTER).select("l_orderkey", "l_linenumber", "state", "category", "shipping_delay")
 
 
 @register(
@@ -975,10 +1032,27 @@ def q_batch_incremental_load(spark, sf_dir):
     source, target = f"{root}/source", f"{root}/target"
     day1, day2 = _day_files(spark, sf_dir)
     day1.write.parquet(f"{source}/day1")
+    _age(spark, f"{source}/day1", 30)
     run_load(spark, source, target)
-    since = _cut(spark)
     day2.write.parquet(f"{source}/day2")
-    run_load(spark, source, target, since=since)
+    run_load(spark, source, target, since=_hours_ago(spark, 24))
+    return read_current(spark, target)
+
+
+@register("relisted_load", INCREMENTAL_LOAD_SQL)
+def q_relisted_load(spark, sf_dir):
+    """The second run lists the files of both days; day one's are left out by their footers."""
+    from tessera.plans.jobs import run_load
+    from tessera.sinks.publish import read_current
+    from tessera.util import shared_scratch
+
+    root = shared_scratch(spark, "relisted_load")
+    source, target = f"{root}/source", f"{root}/target"
+    day1, day2 = _day_files(spark, sf_dir)
+    day1.write.parquet(f"{source}/day1")
+    run_load(spark, source, target)
+    day2.write.parquet(f"{source}/day2")
+    run_load(spark, source, target, since=_hours_ago(spark, 24), target_file_bytes=1 << 20)
     return read_current(spark, target)
 
 
@@ -1034,3 +1108,39 @@ def q_stream_new_checkpoint(spark, sf_dir):
         day.write.parquet(f"{root}/{name}/day")
         start_incremental_load(spark, f"{root}/{name}/*", target, f"{root}/checkpoint_{name}").awaitTermination()
     return read_current(spark, target)
+
+
+@register("stream_drifting_types", INCREMENTAL_LOAD_SQL)
+def q_stream_drifting_types(spark, sf_dir):
+    """The streaming load over file names: half of each day's files hold the duration as
+    text, which a stream of rows with one declared schema can't read."""
+    from tessera.sinks.publish import read_current
+    from tessera.streaming.incremental import start_incremental_load
+    from tessera.util import shared_scratch
+
+    root = shared_scratch(spark, "stream_drifting")
+    source, target, checkpoint = f"{root}/source", f"{root}/target", f"{root}/checkpoint"
+    for name, day in zip(("day1", "day2"), _day_files(spark, sf_dir)):
+        odd = F.coalesce(F.pmod("id", F.lit(2)) == 1, F.lit(False))
+        day.where(~odd).write.parquet(f"{source}/{name}a")
+        drifted = day.where(odd).withColumn("call_duration_seconds", F.col("call_duration_seconds").cast("string"))
+        drifted.write.parquet(f"{source}/{name}b")
+        start_incremental_load(spark, f"{source}/*", target, checkpoint, by_file=True).awaitTermination()
+    return read_current(spark, target)
+
+
+@register("stream_latest_versions", ORACLES["merge_unique_per_key"])
+def q_stream_latest_versions(spark, sf_dir):
+    """The latest version of every id as a stream's state: T's records, then B's that pass the rules."""
+    from tessera.streaming.incremental import latest_versions, start_latest_versions
+    from tessera.util import shared_scratch
+
+    root = shared_scratch(spark, "stream_versions")
+    first = fx.target_records(spark, sf_dir)
+    second = rules.clean(cast_call_records(fx.batch_records(spark, sf_dir))).select(first.columns)
+    for arrived, rows in ((1, first), (2, second)):
+        rows.withColumn("arrived", F.lit(arrived)).write.parquet(f"{root}/source/{arrived}")
+        schema = spark.read.parquet(f"{root}/source/1").schema
+        stream = spark.readStream.schema(schema).parquet(f"{root}/source/*")
+        start_latest_versions(stream, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return latest_versions(spark, f"{root}/out")

@@ -166,13 +166,13 @@ def last_listing(spark: SparkSession, root: str) -> str | None:
     return None if log is None else log.agg(F.max("listed_at").alias("t")).first()["t"]
 
 
-def _file_system(spark: SparkSession, location: str):
+def file_system(spark: SparkSession, location: str):
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
     return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def delete_path(spark: SparkSession, location: str) -> bool:
-    path, fs = _file_system(spark, location)
+    path, fs = file_system(spark, location)
     return bool(fs.exists(path) and fs.delete(path, True))
 
 
@@ -229,8 +229,8 @@ def _commit(spark: SparkSession, root: str, entry: dict) -> None:
     systems; on an object store it is as strong as that store's Hadoop connector.)"""
     name = f"{entry['version']:010d}"
     log, run = os.path.join(root, LOG_DIR), new_run()
-    final, fs = _file_system(spark, os.path.join(log, f"{name}.json"))
-    new, probe, lock = (_file_system(spark, os.path.join(log, f))[0] for f in (f".{run}.json", f".{run}.probe", f".{name}.lock"))
+    final, fs = file_system(spark, os.path.join(log, f"{name}.json"))
+    new, probe, lock = (file_system(spark, os.path.join(log, f))[0] for f in (f".{run}.json", f".{run}.probe", f".{name}.lock"))
     refused = ConcurrentPublish(f"version {entry['version']} of {root} was published by another run")
     try:
         _put(fs, new, json.dumps(entry) + "\n")
@@ -283,7 +283,7 @@ def expire_versions(spark: SparkSession, root: str, keep: int = 3) -> list[int]:
 
 def _sweep(spark: SparkSession, folder: str, unused: Callable[[str], bool]) -> None:
     """Delete unused directories that have stood for ``ORPHAN_HOURS``: what ended runs have left."""
-    path, fs = _file_system(spark, folder)
+    path, fs = file_system(spark, folder)
     if not fs.exists(path):
         return
     limit = (time.time() - 3600 * ORPHAN_HOURS) * 1000

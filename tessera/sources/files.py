@@ -29,7 +29,9 @@ import datetime as dt
 import warnings
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -108,6 +110,8 @@ def _read_footers(column: str | None):
         return max(found, default=None)
 
     def read(batches):
+        from urllib.parse import quote
+
         import pandas as pd
         import pyarrow.parquet as pq
         from pyarrow import ArrowInvalid
@@ -116,7 +120,7 @@ def _read_footers(column: str | None):
         for paths in batches:
             out = []
             for path in paths["path"]:
-                fs, name = FileSystem.from_uri(path)
+                fs, name = FileSystem.from_uri(quote(path, safe="/:"))
                 try:
                     meta = pq.read_metadata(name, filesystem=fs)
                     layout = "\n".join(f"{f.name}: {f.type}" for f in meta.schema.to_arrow_schema())
@@ -138,12 +142,10 @@ def file_layouts(spark: SparkSession, paths: list[str], column: str | None = Non
 
 def _hadoop_footer(spark: SparkSession, path: str, column: str | None) -> tuple[str, str, bool, int | None]:
     """What ``_read_footers`` tells of a file, read through the Hadoop file system."""
-    from py4j.protocol import Py4JJavaError
-
     jvm = spark._jvm
     parquet = jvm.org.apache.parquet
     converter = parquet.format.converter.ParquetMetadataConverter
-    at = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path))
+    at = jvm.org.apache.hadoop.fs.Path(path)
     part = converter.SKIP_ROW_GROUPS if column is None else converter.NO_FILTER
     try:
         conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -189,7 +191,7 @@ def _merged_schema(spark: SparkSession, paths: list[str]) -> T.StructType | None
     or a file is not Parquet."""
     try:
         return spark.read.option("mergeSchema", "true").parquet(*paths).schema
-    except PySparkException:
+    except (PySparkException, Py4JJavaError):  # told file by file in what follows
         return None
 
 
@@ -262,6 +264,19 @@ def read_files(
     if paths and not group_by_schema and schema is not None:
         return _reader(spark, recursive, modified_after).schema(schema).parquet(*paths)
     files = changed_file_paths(spark, paths, modified_after, recursive) if paths else []
+    if schema is None and not files:
+        raise ValueError(f"no readable files in {paths} and no declared schema")
+    return read_listed(spark, files, schema, foreign, newer_than)
+
+
+def read_listed(
+    spark: SparkSession,
+    files: list[str],
+    schema: T.StructType | None = None,
+    foreign: str = "error",
+    newer_than: tuple[str, dt.datetime] | None = None,
+) -> DataFrame:
+    """``read_files`` of files that have been listed already."""
     frames = []
     with _parallel_listing(spark):
         for group, known in _groups(spark, files, foreign, newer_than) if files else []:
@@ -269,7 +284,7 @@ def read_files(
             frames.append(reader.parquet(*group))
     if schema is None:
         if not frames:
-            raise ValueError(f"no readable files in {paths} and no declared schema")
+            raise ValueError(f"no readable files and no declared schema")
         fields: dict[str, T.StructField] = {}
         for f in (f for frame in frames for f in frame.schema.fields):
             fields.setdefault(f.name, f)
@@ -311,7 +326,7 @@ def changed_file_paths(
             if e.getCondition() in MISSING_TABLE_CONDITIONS:
                 continue
             raise
-        found += listing.inputFiles()
+        found += map(unquote, listing.inputFiles())
     return sorted(set(found))
 
 

@@ -181,3 +181,41 @@ def test_a_second_checkpoint_loses_nothing(spark, tmp_path):
     _drop(spark, fx.batch_records(spark, SMALL_SF), f"{src}/b")
     start_incremental_load(spark, src + "/*", expected, str(tmp_path / "x")).awaitTermination()
     assert _rows(spark, tgt) == _rows(spark, expected)
+
+
+def test_stream_of_file_names_takes_drifting_types(spark, tmp_path):
+    src, tgt, ckpt = str(tmp_path / "src"), str(tmp_path / "tgt"), str(tmp_path / "ckpt")
+    records = fx.call_records(spark, SMALL_SF).filter(F.col("updated_at") < F.lit(fx.TARGET_BEFORE).cast("timestamp_ntz"))
+    for k, kind in enumerate(("double", "string", "int")):
+        rows = conform(records, CALL_RECORD_SCHEMA).where(F.pmod(F.xxhash64("subscriber_id", "sim_card_number"), F.lit(3)) == k)
+        rows.withColumn("message_length", F.col("message_length").cast(kind)).write.parquet(f"{src}/f{k}")
+    for _ in range(2):  # the second start finds nothing new
+        start_incremental_load(spark, src + "/*", tgt, ckpt, by_file=True).awaitTermination()
+        assert publish.current_version(spark, tgt) == 1
+    plain = str(tmp_path / "plain")
+    run_load(spark, src, plain)
+    assert _rows(spark, tgt) == _rows(spark, plain) != []
+    (tmp_path / "src" / "g").mkdir()
+    (tmp_path / "src" / "g" / "note.txt").write_text("not parquet")
+    q = start_incremental_load(spark, src + "/*", tgt, ckpt, by_file=True, foreign="skip")
+    q.awaitTermination()
+    assert publish.current_version(spark, tgt) == 1
+
+
+def test_a_late_version_of_a_quiet_id_is_kept_by_the_state(spark, tmp_path):
+    from tessera.streaming.incremental import latest_versions, start_latest_versions
+
+    schema = "id long, updated_at timestamp_ntz, v string, arrived int"
+    days = [
+        [(1, "2024-05-01", "a"), (2, "2024-01-01", "b"), (2, None, "b0"), (None, "2024-01-01", "n"), (4, None, "q")],
+        [(2, "2024-01-02", "late"), (1, "2024-05-01", "same time"), (3, "2020-01-01", "old"), (4, None, "p"), (1, "2024-04-30", "older")],
+        [(3, None, "no time"), (4, "2020-01-01", "first time")],
+    ]
+    for k, rows in enumerate(days, 1):
+        df = spark.createDataFrame(rows, "id long, t string, v string").selectExpr("id", "cast(t as timestamp_ntz) updated_at", "v", f"{k} arrived")
+        df.coalesce(1).write.parquet(str(tmp_path / f"src/{k}"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "src/*"))
+        start_latest_versions(stream, str(tmp_path / "out"), str(tmp_path / "ckpt")).awaitTermination()
+    got = latest_versions(spark, str(tmp_path / "out"))
+    assert got.columns == ["id", "updated_at", "v"]
+    assert {r["id"]: r["v"] for r in got.collect()} == {1: "a", 2: "late", 3: "old", 4: "first time"}

@@ -136,3 +136,25 @@ def test_hot_key_holding_a_third_of_rows(spark):
     out = merge.merge_unique(target, batch)
     assert out.groupBy("id").count().filter("count > 1").count() == 0
     hot.unpersist()
+
+
+def test_bitmap_cuts_the_target_before_the_exact_join(spark, monkeypatch):
+    target = spark.range(0, 50_000, 1, 4).select(F.when(F.col("id") % 1000 == 1, None).otherwise(F.col("id")).alias("id"), F.lit("x").alias("v"))
+    ids = spark.range(0, 50_000, 500)
+    want = sorted(map(str, merge.unchanged_rows(target, ids).collect()))
+    assert sorted(map(str, merge.unchanged_rows(target, ids, bitmap=True).collect())) == want
+    apart, maybe = merge.split_by_bitmap(target, ids)
+    assert maybe.count() <= 200 and apart.count() + maybe.count() == 50_000  # 100 ids; hardly any other row is shuffled
+    plan = apart._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    monkeypatch.setattr(merge, "BITMAP_WORDS", 1)  # every id shares its word with all others
+    assert sorted(map(str, merge.unchanged_rows(target, ids, bitmap=True).collect())) == want
+    assert merge.split_by_bitmap(target, ids)[1].count() > 25_000
+    none = ids.where("false")
+    assert merge.unchanged_rows(target, none, bitmap=True).count() == 50_000
+    # ids of another type meet in the join alone
+    assert merge.unchanged_rows(target, ids.selectExpr("cast(id as double) as id"), bitmap=True).count() == len(want)
+    odd = spark.createDataFrame([(0.0,), (-0.0,), (float("nan"),), (1.5,), (None,)], "id double")
+    assert merge.unchanged_rows(odd, spark.createDataFrame([(-0.0,), (float("nan"),)], "id double"), bitmap=True).count() == merge.unchanged_rows(
+        odd, spark.createDataFrame([(-0.0,), (float("nan"),)], "id double")
+    ).count()

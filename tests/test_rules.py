@@ -104,3 +104,16 @@ def test_rule_report_counts(spark):
     rep = rules.rule_report(spark.createDataFrame(rows, SCHEMA)).first()
     assert rep["rows_in"] == 3 and rep["rows_clean"] == 1
     assert rep["pass_rule_currency"] == 2 and rep["pass_rule_id"] == 2
+
+
+def test_every_failed_rule_of_a_row_is_counted(spark):
+    from tessera.operators.rules import Rule, cause_report, failed_mask, first_of_mask, mask_counts
+
+    rules = [Rule("a", lambda: F.col("x") > 0), Rule("b", lambda: F.col("y") > 0), Rule("c", lambda: F.col("x") < 9)]
+    rows = spark.createDataFrame([(1, 1), (0, 1), (0, 0), (9, 0), (None, 1), (None, None), (0, 1)], "x int, y int")
+    masked = rows.withColumn("failed_rules", failed_mask(rules)).withColumn("first", first_of_mask(rules))
+    assert [r["failed_rules"] for r in masked.collect()] == [0, 1, 3, 6, 5, 7, 1]
+    assert [r["first"] for r in masked.collect()] == [None, "a", "a", "b", "a", "a", "a"]
+    counts = mask_counts(masked)
+    assert {r["mask"]: r["rows"] for r in counts.collect()} == {1: 2, 3: 1, 6: 1, 5: 1, 7: 1}
+    assert {r["rule"]: (r["n_failed"], r["n_only"]) for r in cause_report(counts, rules).collect()} == {"a": (5, 2), "b": (3, 0), "c": (3, 0)}

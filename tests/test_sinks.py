@@ -128,3 +128,25 @@ def test_bucketed_publish_of_nothing_reads_back(spark, tmp_path):
     root = str(tmp_path / "table")
     publish.publish(spark.range(0), root, key="id", buckets=4)
     assert publish.read_current(spark, root).count() == 0
+
+
+def test_files_are_sized_by_bytes_also_in_a_skewed_bucket(spark, tmp_path):
+    from tessera.sinks.writer import bytes_per_row_of, write
+
+    # nine tenths of the rows in one bucket
+    rows = spark.range(0, 60_000, 1, 4).select(
+        F.when(F.col("id") % 10 > 0, 1).otherwise(F.col("id") % 4).alias("b"), F.sha2(F.col("id").cast("string"), 256).alias("pad")
+    )
+    rows.write.parquet(str(tmp_path / "staged"))
+    staged = spark.read.parquet(str(tmp_path / "staged"))
+    size = bytes_per_row_of(staged)
+    total = sum(os.path.getsize(f) for f in glob.glob(str(tmp_path / "staged/*.parquet")))
+    assert size == total / 60_000
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    write(staged, str(tmp_path / "sized"), partition_by=["b"], target_file_bytes=400_000, bytes_per_row=size)
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == before
+    files = {f: os.path.getsize(f) for f in glob.glob(str(tmp_path / "sized/*/*.parquet"))}
+    assert max(files.values()) < 500_000 and spark.read.parquet(str(tmp_path / "sized")).count() == 60_000
+    tasks = {os.path.basename(f).split("-")[1] for f in files if "/b=1/" in f}
+    assert len(tasks) >= 4  # the large bucket is not one task's work
+    assert bytes_per_row_of(staged.where("false")) is None
