@@ -16,39 +16,58 @@ from pyspark.sql import functions as F
 from tessera.functions.casts import is_float_type
 from tessera.operators.enrich import resolve
 
-# Doubles that this type holds exactly are summed as decimals: a double sum
-# depends on the order rows meet in (and so on partitioning), a decimal sum does
-# not. It holds 29 digits before the point and 9 behind it.
+# Doubles that stand for at most nine decimals are summed exactly: a double sum
+# depends on the order rows meet in (and so on partitioning), an exact one does not.
+# Most are whole numbers of billionths below 2^53, which are added up as two bigints,
+# thousandths and the billionths left over; larger ones as decimals of this type.
 EXACT = "decimal(38,9)"
+BILLION, UNIT, MOST = 10**9, 10**6, 9.0e6
 
 
 def _parts(df: DataFrame, name: str) -> dict[str, Column]:
     """Aggregates that the total of a money column is made of.
 
-    Decimals need one exact sum. Doubles need the exact sum of the values that
-    ``EXACT`` holds, how many values there are beyond those, and the plain sum
-    for the groups that have any (infinities, NaN, more than nine decimals)."""
+    Decimals need one exact sum. Doubles need the sums of thousandths and
+    billionths, the exact sum of the values too large for those, how many values
+    there are beyond ``EXACT``, and the plain sum for the groups that have any
+    (infinities, NaN, more than nine decimals)."""
     col_name = resolve(df, name)
     value, key = F.col(col_name), name.lower()
     if not is_float_type(df.schema[col_name].dataType):
         return {f"_{key}_exact": F.sum(value)}
-    exact = value.try_cast(EXACT)
-    held = F.coalesce(exact.cast("double") == value, F.lit(False))
+    near = F.abs(value) < MOST
+    tiny = F.rint(F.when(near, value) * float(BILLION))
+    small = F.coalesce(tiny / float(BILLION) == value, F.lit(False))
+    whole = F.when(small, tiny).cast("bigint")
+    exact = F.when(~small, value).try_cast(EXACT)
+    held = small | F.coalesce(exact.cast("double") == value, F.lit(False))
     return {
+        f"_{key}_high": F.try_sum(F.call_function("div", whole, F.lit(UNIT).cast("bigint"))),
+        f"_{key}_low": F.try_sum(whole % UNIT),
         f"_{key}_exact": F.try_sum(F.when(held, exact)),
+        f"_{key}_small": F.count_if(small),
         f"_{key}_other": F.count_if(value.isNotNull() & ~held),
         f"_{key}_plain": F.sum(value),
     }
 
 
+SUFFIXES = ("_high", "_low", "_exact", "_small", "_other", "_plain")
+
+
 def _total(columns: list[str], name: str, alias: str) -> Column:
     """The total of a money column from its parts (of one group)."""
     key = name.lower()
-    exact = F.col(f"_{key}_exact").cast("double")
+    exact = F.col(f"_{key}_exact")
     if f"_{key}_plain" not in columns:
-        return exact.alias(alias)
+        return exact.cast("double").alias(alias)
     plain = F.col(f"_{key}_plain")
-    return F.when(F.col(f"_{key}_other") == 0, F.coalesce(exact, plain)).otherwise(plain).alias(alias)
+    # Both sums are NULL without a small value, one is if it has left a bigint's range.
+    lost = (F.col(f"_{key}_small") > 0) & (F.col(f"_{key}_high").isNull() | F.col(f"_{key}_low").isNull())
+    unit = F.lit(1).cast("decimal(18,0)")
+    tiny = (F.col(f"_{key}_high") * F.lit(UNIT).cast("decimal(7,0)") + F.col(f"_{key}_low") * unit).cast("decimal(29,0)")
+    small = (tiny * F.lit("0.000000001").cast("decimal(9,9)")).cast(EXACT)
+    both = F.coalesce(F.try_add(F.coalesce(small, F.lit(0).cast(EXACT)), F.coalesce(exact, F.lit(0).cast(EXACT))).cast("double"), plain)
+    return F.when(plain.isNull() | lost | (F.col(f"_{key}_other") != 0), plain).otherwise(both).alias(alias)
 
 
 def _totals(df: DataFrame, keys: list[str], *wanted: tuple[str, str]) -> DataFrame:
@@ -120,10 +139,10 @@ def sales_report(df: DataFrame) -> dict[str, DataFrame]:
         resolve(df, "Category"), resolve(df, "Region"), resolve(df, "State"), resolve(df, "Ship_Mode"),
     )
 
-    parts = [c for c in summary.columns if c.endswith(("_exact", "_other", "_plain"))]
+    parts = [c for c in summary.columns if c.endswith(SUFFIXES)]
 
     def totals(*keys):
-        summed = summary.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in parts])
+        summed = summary.groupBy(*keys).agg(*[F.try_sum(c).alias(c) for c in parts])
         wanted = (("Profit", "total_profit"), ("Sales", "total_sales"))
         return summed.select(*keys, *[_total(summed.columns, name, alias) for name, alias in wanted])
 
