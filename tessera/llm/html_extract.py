@@ -42,10 +42,11 @@ from tessera.llm.rowwise import ROW
 
 # Fixed names of HTML elements by role.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style noscript template iframe textarea title svg math object".split())
+RAW = set("script style noscript template iframe textarea title".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike "
-    "strong sub sup time tt u var".split()
+    "strong sub sup time tt u var math mfrac mi mn mo mover mroot mrow ms msqrt msub msubsup msup mtext munder munderover "
+    "object semantics".split()
 )
 NOISE_TAGS = set("nav footer aside form button select dialog menu head noscript fieldset".split())
 CONTENT_TAGS = {"article", "main"}

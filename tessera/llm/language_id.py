@@ -7,7 +7,10 @@ whole text, with a fixed cost for switching language, labels spans of mixed
 texts; a text's language is the one that holds most letters.
 
 NULL texts, empty texts and texts without a letter are ``und`` with score 0 and
-no spans. With no labelled rows at all every text is ``und``. Words without a
+no spans. With no labelled rows at all every text is ``und``. Of more than
+``MOST_LANGS`` languages those with most labelled rows are learned (of equal counts
+the first in name order), with a warning; texts in the others get the nearest
+learned one. Words without a
 letter follow their neighbours. Ties go to the language first in name order.
 Repeated rows are labelled one by one; texts are read whole.
 
@@ -19,6 +22,7 @@ scan, however many there are.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -33,27 +37,59 @@ from tessera.llm.scan import LOWER, PLAIN, Texts, mix, slices, words_of
 from tessera.llm.viterbi import decode
 
 ROWS_PER_LANG = 400
-MOST_LANGS = 64
+MOST_LANGS = 256
 BUCKETS = 1 << 16
 SWITCH_COST = 12.0
 UNKNOWN = "und"
-#: UTF-8 lead byte ranges (first byte or first two) by script; fixed values
-SCRIPTS = ("latin", "greek", "cyrillic", "semitic", "indic", "east_asian", "other")
-LEADS = [
-    (0x41, 0x5A, "latin"),
-    (0x61, 0x7A, "latin"),
-    (0xC3, 0xC9, "latin"),
-    (0xCD, 0xCF, "greek"),
-    (0xD0, 0xD4, "cyrillic"),
-    (0xD6, 0xDD, "semitic"),
-    (0xE0, 0xE0, "indic"),
-    (0xE1, 0xE1, "other"),
-    (0xE3, 0xED, "east_asian"),
-    (0xF0, 0xF4, "other"),
-]
-SCRIPT_OF = np.full(256, -1, np.int8)
-for _a, _b, _s in LEADS:
-    SCRIPT_OF[_a : _b + 1] = SCRIPTS.index(_s)
+# Code point ranges of letters by script.
+RANGES = {
+    "latin": "0041-005A 0061-007A 00AA-00AA 00BA-00BA 00C0-00D6 00D8-00F6 00F8-02AF 1D00-1D7F 1E00-1EFF 2C60-2C7F A720-A7FF "
+    "AB30-AB6F FB00-FB06 FF21-FF3A FF41-FF5A",
+    "greek": "0370-03FF 1F00-1FFF",
+    "cyrillic": "0400-052F 1C80-1C8F 2DE0-2DFF A640-A69F",
+    "armenian": "0531-058F FB13-FB17",
+    "hebrew": "0591-05F4 FB1D-FB4F",
+    "arabic": "0600-06FF 0750-077F 0870-08FF FB50-FDFF FE70-FEFC",
+    "syriac_thaana": "0700-074F 0780-086F",
+    "indic": "0900-0DFF A8E0-A8FF",
+    "thai_lao": "0E00-0EFF",
+    "tibetan": "0F00-0FFF",
+    "burmese_khmer": "1000-109F 1780-17FF 19E0-19FF A9E0-A9FF AA60-AA7F",
+    "georgian": "10A0-10FF 1C90-1CBF 2D00-2D2F",
+    "ethiopic": "1200-139F 2D80-2DDF AB00-AB2F",
+    "hangul": "1100-11FF 3130-318F A960-A97F AC00-D7FF",
+    "kana": "3040-30FF 31F0-31FF FF66-FF9D",
+    "han": "3005-3007 3100-312F 31A0-31BF 3400-4DBF 4E00-9FFF F900-FAFF 20000-323AF",
+}
+SCRIPTS = (*RANGES, "other")
+_table = sorted((*(int(x, 16) for x in r.split("-")), k) for k, name in enumerate(RANGES) for r in RANGES[name].split())
+_starts, _ends, _scripts = (np.array(c) for c in zip(*_table))
+#: letters of no listed range: from here on
+FIRST_OTHER = 0x0530
+
+
+def scripts_of(data: np.ndarray) -> np.ndarray:
+    """Script of the letter that starts at each byte of a UTF-8 array; -1 elsewhere."""
+    out = np.full(len(data), -1, np.int8)
+    out[(data | 0x20 >= 0x61) & (data | 0x20 <= 0x7A) & (data < 0x80)] = 0  # latin is the first
+    lead = np.flatnonzero(data >= 0xC2)
+    if not len(lead):
+        return out
+    first, last = data[lead].astype(np.int64), len(data) - 1
+    tail = [data[np.minimum(lead + k, last)].astype(np.int64) & 0x3F for k in (1, 2, 3)]
+    two = (first & 0x1F) << 6 | tail[0]
+    three = (first & 0x0F) << 12 | tail[0] << 6 | tail[1]
+    four = (first & 0x07) << 18 | tail[0] << 12 | tail[1] << 6 | tail[2]
+    point = np.where(first < 0xE0, two, np.where(first < 0xF0, three, four))
+    at = np.searchsorted(_starts, point, "right") - 1
+    inside = (at >= 0) & (point <= _ends[at])
+    # Punctuation, symbols, private and surrogate blocks hold no letters.
+    letter = (point >= FIRST_OTHER) & ~((point >= 0x2000) & (point <= 0x2BFF)) & ~((point >= 0x3000) & (point <= 0x303F))
+    letter &= ~((point >= 0xD800) & (point <= 0xF8FF)) & ~((point >= 0xFE00) & (point <= 0xFFFF)) & (point < 0x1F000)
+    out[lead] = np.where(inside, _scripts[at], np.where(letter, len(SCRIPTS) - 1, -1))
+    return out
+
+
 SPAN = T.StructType(
     [T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("lang", T.StringType())]
 )
@@ -93,9 +129,10 @@ def fit(
         F.col(f"`{lang}`").cast("string").alias("l"),
         F.xxhash64(F.col(f"`{key}`")).alias("h"),
     ).where("t is not null and l is not null")
-    counts = rows.groupBy("l").agg(F.count("*").alias("n")).limit(MOST_LANGS + 1).collect()
+    counts = rows.groupBy("l").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "l").limit(MOST_LANGS + 1).collect()
     if len(counts) > MOST_LANGS:
-        raise ValueError(f"more than {MOST_LANGS} languages")
+        warnings.warn(f"only the {MOST_LANGS} languages with most labelled rows are learned", stacklevel=2)
+        counts = counts[:MOST_LANGS]
     below = F.lit(0)
     for r in counts:
         below = F.when(F.col("l") == r["l"], -(-(2 * rows_per_lang << 20) // r["n"])).otherwise(below)
@@ -108,7 +145,7 @@ def fit(
         for part in slices(batches, "t"):
             names = np.array(part.rows.column("l").to_pylist(), object)
             at = np.repeat(np.arange(len(part)), np.diff(part.offsets))
-            inside, gram, script = PLAIN[part.data], _grams(part.data), SCRIPT_OF[part.data]
+            inside, gram, script = PLAIN[part.data], _grams(part.data), scripts_of(part.data)
             for name in sorted(set(names)):
                 own = (names == name)[at]
                 g = np.bincount(gram[own & inside], minlength=BUCKETS).astype("<i8")
@@ -153,7 +190,7 @@ def label(t: Texts, m: Model, switch: float = SWITCH_COST) -> dict[str, list]:
     for j in range(k):
         np.cumsum(m.grams[gram, j], out=total[1:])
         emit[:, j] = total[w.end] - total[w.start]
-    script = SCRIPT_OF[t.data]
+    script = scripts_of(t.data)
     letters = np.zeros(len(t.data) + 1, np.int64)
     np.cumsum(script >= 0, out=letters[1:])
     weight = letters[w.end] - letters[w.start]

@@ -95,3 +95,9 @@ def test_article_under_a_noise_name_stays(spark, monkeypatch):
     assert _texts(df) == want
     monkeypatch.setattr(hx, "BROADCAST_NODES", 0)
     assert _texts(df) == want
+
+
+def test_formulas_drawings_and_fallbacks_are_kept(spark):
+    page = ("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be.</p><svg><text>Axis label</text></svg>"
+            "<object data='a.swf'><p>No player here</p></object><script>var a;</script></article>")
+    assert _texts(_pages(spark, [(1, "http://a.example/1", page)]))[1] == "Let x=2 be.\nAxis label\nNo player here"

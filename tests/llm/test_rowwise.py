@@ -190,3 +190,41 @@ def test_toxicity_odd_rows(spark):
     assert toxicity.fit(docs, labels.where("toxic = 0")) is None
     assert {r["score"] for r in unpacked(toxicity.score(odd, None), "score").collect()} == {0.0}
     assert toxicity.score(brute.documents(spark, []), model).count() == 0
+
+
+def test_scripts_are_told_by_code_point():
+    import unicodedata
+
+    names = {"LATIN": "latin", "GREEK": "greek", "CYRILLIC": "cyrillic", "ARMENIAN": "armenian", "HEBREW": "hebrew", "ARABIC": "arabic",
+             "DEVANAGARI": "indic", "TAMIL": "indic", "THAI": "thai_lao", "LAO": "thai_lao", "TIBETAN": "tibetan", "GEORGIAN": "georgian",
+             "ETHIOPIC": "ethiopic", "HANGUL": "hangul", "HIRAGANA": "kana", "KATAKANA": "kana", "CJK UNIFIED": "han", "MYANMAR": "burmese_khmer",
+             "KHMER": "burmese_khmer", "CHEROKEE": "other", "MONGOLIAN": "other"}
+    wrong = []
+    for point in [*range(0x41, 0x1D00), *range(0x1DC0, 0x2000), *range(0x2C00, 0xAB30), *range(0xAB70, 0xD800), *range(0xF900, 0xFFFF), 0x20000]:  # but phonetic signs
+        ch = chr(point)
+        name = next((n for n in names if unicodedata.name(ch, "").startswith(n + " ")), None)
+        if name is None or unicodedata.category(ch) not in ("Lu", "Ll", "Lo"):
+            continue
+        got = language_id.scripts_of(np.frombuffer(ch.encode(), np.uint8))
+        assert (got[1:] == -1).all()
+        if language_id.SCRIPTS[got[0]] != names[name]:
+            wrong.append((hex(point), name))
+    assert wrong == []
+    assert (language_id.scripts_of(np.frombuffer("12 .,-_\u2013\u201c\u3002\ue000\U0001f600\u00d7".encode(), np.uint8)) == -1).all()
+
+
+def test_more_languages_than_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MOST_LANGS", 5)
+    letters = "abcdefgh"
+    rows = [(100 * k + i, f"{c}{c}x {c}y{c} {c}{c}{c}", f"l{c}") for k, c in enumerate(letters) for i in range(9 if k < 5 else 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    with pytest.warns(UserWarning, match="5 languages"):
+        model = language_id.fit(docs)
+    assert model.langs == [f"l{c}" for c in letters[:5]]
+    got = unpacked(language_id.identify(docs, model), "lang_pred").collect()
+    assert all(r["lang_pred"] == f"l{letters[r['doc_id'] // 100]}" for r in got if r["doc_id"] < 500)
+    many = spark.createDataFrame([(k, f"w{k} v{k}", f"l{k:03}") for k in range(100)], "doc_id long, text string, lang string")
+    monkeypatch.undo()
+    assert len(language_id.fit(many).langs) == 100
+    none = language_id.fit(docs.where("false"))
+    assert none.langs == [] and unpacked(language_id.identify(docs.where("false"), none), "lang_pred").isEmpty()
