@@ -140,6 +140,12 @@ commit 9fceb02 fixed it
 they met on 12/05/2021 (a Sunday) in town
 from 2023-11-02 until 2021-01-30 it was closed
 born 1987-03-09, died 2019-12-31 in town
+call on 2025-06-14 or on 2022-10-08 before noon
+ask for the 2021-02-27 issue
+due 2018-11-30 tel of the office
+from 1.204.550 to 10.118.023 in the book
+build 4.12.1093 and 10.0.22631 are old
+ring the bell at 12.45.30 sharp
 lot 12-34-56 and lot 100-200 were empty
 ticket 555-0163 is void
 order 1234567 shipped with 15 boxes
@@ -174,7 +180,7 @@ for _bytes, _class in (
     CLASSES[np.frombuffer(_bytes, np.uint8)] = _class
 CLASSES[0x80:] = 1
 TAGS = ("other", "phone", "secret")
-N_DIGITS = np.array([1, 2, 3, 4, 5, 8, 12])
+N_DIGITS = np.array([1, 2, 3, 4, 5, 8, 9, 12])
 N_LENGTH = np.array([2, 4, 8, 16, 24, 32])
 N_TURNS = np.array([1, 2, 3, 5, 8])
 
