@@ -4,9 +4,10 @@ Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text with A-Z lower-c
 Every rolling word k-gram of every document is hashed and joined to the
 positions of the same k-gram in the templates. A match votes for the diagonal
 document position minus template position; neighbouring diagonals of a
-template (a word inserted or left out) merge into one span, whose words are
-compared with the template's. A template's label counts where at least
-``LEAST_SHARE`` of its k-grams are verified.
+template (a word inserted or left out) merge into one span. The span is verified
+along the text: a k-gram counts if it stands later in the template than all that
+counted before it, so words out of order don't add up. A template's label counts
+where at least ``LEAST_SHARE`` of its k-grams are verified so.
 
 Phrases are templates of one k-gram, so each verified match is a place of the
 phrase. K-grams have three words, or two for a template of two words: the join
@@ -151,7 +152,7 @@ def scan(
     hits = matches(docs, key, text, templates).repartition("row")
     votes = hits.groupBy("row", "id", "template", "label", "base", "grams", (F.col("pos") - F.col("tpos")).alias("diagonal"))
     votes = votes.agg(
-        F.min("pos").alias("first"), F.max("pos").alias("last"), F.collect_set("tpos").alias("places")
+        F.min("pos").alias("first"), F.max("pos").alias("last"), F.collect_set(F.struct("pos", "tpos")).alias("places")
     )
     along = Window.partitionBy("row", "template").orderBy("diagonal")
     near = F.col("diagonal") - F.lag("diagonal").over(along)
@@ -160,8 +161,11 @@ def scan(
     spans = votes.groupBy("row", "id", "template", "label", "base", "grams", "cluster").agg(
         F.min("first").alias("first"),
         F.max("last").alias("last"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("voted"),
+        F.sort_array(F.flatten(F.collect_list("places"))).alias("places"),
     )
+    none = F.struct(F.lit(-1).alias("at"), F.lit(0).alias("n"))
+    further = lambda s, p: F.when(p["tpos"] > s["at"], F.struct(p["tpos"].alias("at"), (s["n"] + 1).alias("n"))).otherwise(s)
+    spans = spans.withColumn("voted", F.aggregate("places", none, further)["n"]).drop("places")
     share = F.col("voted") / F.col("grams")
     spans = spans.withColumn("share", share).where((F.col("template") == CLOSING) | (share >= least_share))
     closing, base = F.col("template") == CLOSING, F.col("base")

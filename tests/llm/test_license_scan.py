@@ -41,6 +41,39 @@ def test_notices_with_edits_are_found(spark):
     assert (span["first"], span["label"]) == (1, "bsd")
 
 
+def test_a_span_is_verified_in_order(spark):
+    """A notice whose parts are exchanged holds nearly all k-grams, but not in order."""
+    text = "alpha one two three four beta five six seven eight gamma nine ten eleven twelve delta"
+    w = text.split()
+    template = (ls.Template("own", text),)
+    near = w[:5] + w[7:10] + w[5:7] + w[10:]  # exchanged within the diagonals that merge
+    texts = [text, " ".join(w[8:] + w[:8]), " ".join(near), " ".join(w[:9] + ["more"] + w[9:])]
+    rows = {r["id"]: r for r in ls.scan(brute.documents(spark, texts), templates=template, least_share=0.1).collect()}
+
+    def in_order(words):
+        """Most k-grams met in order along one band of diagonals, by brute force."""
+        grams = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
+        best, found = 0, [(p, grams.index(g)) for p in range(len(words) - 2) if (g := tuple(words[p : p + 3])) in grams]
+        diagonals = sorted({p - t for p, t in found})
+        bands, band = [], []
+        for d in diagonals:
+            if band and d - band[-1] > ls.NEIGHBOURS:
+                bands.append(band)
+                band = []
+            band.append(d)
+        for band in [*bands, band]:
+            at, n = -1, 0
+            for p, t in sorted(x for x in found if x[0] - x[1] in band):
+                if t > at:
+                    at, n = t, n + 1
+            best = max(best, n)
+        return best / len(grams)
+
+    for i, t in enumerate(texts):
+        assert abs(rows[i]["score"] - in_order(t.split())) < 1e-12, t
+    assert rows[0]["score"] == 1.0 and rows[1]["score"] < 0.7
+
+
 def test_repeats_nulls_and_nothing(spark):
     rows = [(1, "mit license"), (1, "mit license"), (None, "apache license")]
     got = sorted((str(r["id"]), r["labels"], r["n_base"]) for r in ls.scan(brute.documents(spark, rows)).collect())
