@@ -32,7 +32,7 @@ def main(argv: list[str] | None = None) -> None:
     load.add_argument("--policy", choices=["unique", "as_coded"], default="unique")
     load.add_argument("--watermark", choices=["global", "per_key"], default="global")
     load.add_argument("--allowed-lateness", default=None, help='move the watermark back, e.g. "2 days"')
-    load.add_argument("--buckets", type=int, default=None, help="keep the target in buckets of the id")
+    load.add_argument("--buckets", type=int, default=None, help="buckets of the id (0: none; default: by the target's size)")
     load.add_argument("--skip-foreign", action="store_true", help="leave files out that are not Parquet")
     load.add_argument("--one-schema", action="store_true", help="read all files with the declared schema, without their footers")
     load.add_argument("--file-bytes", type=int, default=None, help="size of the target's files")

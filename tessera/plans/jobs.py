@@ -30,11 +30,18 @@ from tessera.sinks.publish import (
     read_parts,
     staged_path,
     staging_path,
+    stored_bytes,
 )
 from tessera.sources.files import read_changed_files, read_files, since_hours_ago
 from tessera.sources.synth import sales_table
 
 REJECT_COLUMN = "failed_rule"
+#: A target larger than this is kept in buckets of the id, of about this size each.
+BUCKET_BYTES = 1 << 30
+#: Buckets of a target at most: the log lists one part for each.
+MOST_BUCKETS = 4096
+#: A target is dealt to more buckets once they have grown to this many times their size.
+REBUCKET = 4
 
 
 def run_sales(spark: SparkSession, n_records: int = 100_000_000, seed: int = 42) -> dict[str, DataFrame]:
@@ -75,6 +82,7 @@ def run_load(
     foreign: str = "error",
     group_by_schema: bool = True,
     target_file_bytes: int | None = None,
+    bucket_bytes: int = BUCKET_BYTES,
 ) -> LoadResult:
     """Read new call-record files, merge them into the target, publish.
 
@@ -85,8 +93,11 @@ def run_load(
     newer than the target, or (``unique`` policy) no new row that passes the
     rules: nothing is published and the live version stays as it is.
     ``allowed_lateness`` (an interval such as ``"2 days"``) moves the watermark
-    back. ``buckets`` keeps the target in that many buckets of the id; a later
-    run then reads and rewrites only the buckets that its ids fall into.
+    back. ``buckets`` keeps the target in that many buckets of the id (0: whole); a
+    later run then reads and rewrites only the buckets that its ids fall into. By
+    default a target of more than ``bucket_bytes`` has buckets of about that size:
+    the first run counts the source's bytes; a run on a table that has outgrown its
+    buckets fourfold, or has none, rewrites it whole in more of them.
     ``group_by_schema=False`` reads with the one declared schema, without a look at
     the footers. Otherwise new files without a row after the recorded watermark are
     not scanned. ``target_file_bytes`` sizes the target's files. After
@@ -98,6 +109,8 @@ def run_load(
     before = live(spark, target_root)
     if before is None or read_parts(spark, target_root, before.parts).isEmpty():
         batch = read_files(spark, [source_path], schema, group_by_schema=group_by_schema, foreign=foreign)
+        if buckets is None and not single_file:
+            buckets = buckets_for(stored_bytes(spark, source_path), bucket_bytes)
         return merge_and_publish(
             spark, None, batch, target_root, policy, watermark, keep_versions,
             single_file=single_file, listed_at=listed_at, buckets=buckets, target_file_bytes=target_file_bytes,
@@ -109,10 +122,26 @@ def run_load(
     )
     return merge_and_publish(
         spark, before, batch, target_root, policy, watermark, keep_versions, allowed_lateness,
-        single_file, listed_at, before.buckets or buckets, target_file_bytes=target_file_bytes,
+        single_file, listed_at, buckets, target_file_bytes=target_file_bytes, bucket_bytes=bucket_bytes,
     )
 
 
+def buckets_for(n_bytes: int, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """The power of two that gives buckets of at most ``bucket_bytes`` (0 where one would do)."""
+    n = min(-(-n_bytes // bucket_bytes), MOST_BUCKETS)
+    return 1 << (n - 1).bit_length() if n > 1 else 0
+
+
+def _next_buckets(before, buckets: int | None, single_file: bool, bucket_bytes: int) -> int:
+    """How many buckets the version after ``before`` has (other than now: all rows are rewritten).
+
+    A bucketed table keeps its number unless the load chooses it (``None``)."""
+    if buckets is not None or single_file:
+        return before.buckets or buckets or 0
+    fit = buckets_for(before.n_bytes or 0, bucket_bytes)
+    return fit if fit >= REBUCKET * max(before.buckets, 1) or not before.buckets else before.buckets
+
+
 def _file_bound(
     spark: SparkSession, recorded: str | None, watermark: str, allowed_lateness: str | None
 ) -> tuple[str, dt.datetime] | None:
@@ -139,6 +168,7 @@ def merge_and_publish(
     buckets: int | None = None,
     source: str | None = None,
     target_file_bytes: int | None = None,
+    bucket_bytes: int = BUCKET_BYTES,
 ) -> LoadResult:
     """Stage the batch's typed change set once, merge it into the live version ``before``, publish.
 
@@ -155,7 +185,7 @@ def merge_and_publish(
         result = load(
             spark, before, batch, target_root, run, policy=policy, watermark=watermark, keep_versions=keep_versions,
             allowed_lateness=allowed_lateness, single_file=single_file, listed_at=listed_at, buckets=buckets,
-            source=source, target_file_bytes=target_file_bytes,
+            source=source, target_file_bytes=target_file_bytes, bucket_bytes=bucket_bytes,
         )
     except ConcurrentPublish:
         delete_path(spark, staging_path(target_root, run))
@@ -167,7 +197,7 @@ def merge_and_publish(
 
 def _next_load(
     spark, before, batch, target_root, run, policy, watermark, keep_versions, allowed_lateness, single_file, listed_at,
-    buckets, source, target_file_bytes,
+    buckets, source, target_file_bytes, bucket_bytes,
 ) -> LoadResult:
     target = read_parts(spark, target_root, before.parts)
     recorded = before.watermark
@@ -182,8 +212,8 @@ def _next_load(
     # Under ``unique`` rejected rows change nothing; as coded, they remove ids.
     if n_changed == 0 or (policy == "unique" and n_changed == n_rejected):
         return LoadResult(False, None, None, n_changed, n_rejected)
-    touched = None
-    if before.buckets:
+    touched, n_buckets = None, _next_buckets(before, buckets, single_file, bucket_bytes)
+    if n_buckets and n_buckets == before.buckets:
         rows = staged.where(F.col(REJECT_COLUMN).isNull()) if policy == "unique" else staged
         found = rows.select(bucket_of("id", before.buckets).alias("b")).distinct().collect()
         touched = sorted(r["b"] for r in found)  # at most ``buckets`` numbers
@@ -199,7 +229,7 @@ def _next_load(
         )
     version, rows = publish(
         merged, target_root, single_file=single_file, source=source, watermark_column="updated_at",
-        listed_at=listed_at, key="id", buckets=before.buckets or None, changed=touched,
+        listed_at=listed_at, key="id", buckets=n_buckets or None, changed=touched,
         based_on=before.version, staged=run, target_file_bytes=target_file_bytes,
     )
     expire_versions(spark, target_root, keep_versions)
@@ -214,7 +244,7 @@ def _tagged(changed: DataFrame) -> DataFrame:
 
 def _first_load(
     spark, before, batch, target_root, run, policy, watermark, keep_versions, allowed_lateness, single_file, listed_at,
-    buckets, source, target_file_bytes,
+    buckets, source, target_file_bytes, bucket_bytes,
 ) -> LoadResult:
     """First run: the whole input. A first pass writes the rejected rows and
     counts what it reads in that write; the second merges and publishes."""

@@ -16,7 +16,9 @@ empty or cut off counts as absent. Row counts and watermarks are read from the
 written files, so repeated task attempts can't be counted twice.
 
 A bucketed publish may carry only the buckets it changed: the other buckets'
-parts are taken over from the version before, unread and unwritten.
+parts are taken over from the version before, unread and unwritten. The log also
+records the bytes a written row takes, from which a load sees when a table has
+outgrown its buckets.
 """
 
 from __future__ import annotations
@@ -56,6 +58,7 @@ LOG_SCHEMA = T.StructType(
         T.StructField("buckets", T.LongType()),
         T.StructField("parts", T.ArrayType(PART)),
         T.StructField("staged", T.StringType()),
+        T.StructField("row_bytes", T.DoubleType()),
     ]
 )
 #: seconds after which a commit's lock has been left by a run that ended
@@ -76,6 +79,7 @@ class Live:
     parts: list
     buckets: int
     watermark: str | None
+    n_bytes: int | None = None  # about: rows x bytes of a row as last written
 
 
 def staging_path(root: str, run: str) -> str:
@@ -116,7 +120,8 @@ def live(spark: SparkSession, root: str) -> Live | None:
     row = None if log is None else log.orderBy(F.col("version").desc()).first()
     if row is None:
         return None
-    return Live(int(row["version"]), row["parts"], int(row["buckets"] or 0), row["watermark"])
+    n_bytes = None if row["row_bytes"] is None else int(row["rows"] * row["row_bytes"])
+    return Live(int(row["version"]), row["parts"], int(row["buckets"] or 0), row["watermark"], n_bytes)
 
 
 def current_version(spark: SparkSession, root: str) -> int | None:
@@ -171,6 +176,12 @@ def file_system(spark: SparkSession, location: str):
     return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def stored_bytes(spark: SparkSession, location: str) -> int:
+    """Bytes of all files under a path (0 where there is none)."""
+    path, fs = file_system(spark, location)
+    return int(fs.getContentSummary(path).getLength()) if fs.exists(path) else 0
+
+
 def delete_path(spark: SparkSession, location: str) -> bool:
     path, fs = file_system(spark, location)
     return bool(fs.exists(path) and fs.delete(path, True))
@@ -340,6 +351,7 @@ def publish(
     )
     found = _written(spark, os.path.join(root, home), out.schema, format, watermark_column, BUCKET if buckets else None)
     rows = sum(r["rows"] for r in found)
+    row_bytes = stored_bytes(spark, os.path.join(root, home)) / rows if rows else None
     watermark = max((r["watermark"] for r in found if r["watermark"] is not None), default=None)
     if not buckets:
         parts = [{"bucket": WHOLE, "path": home, "rows": rows}]
@@ -365,6 +377,7 @@ def publish(
         "buckets": buckets or 0,
         "parts": parts,
         "staged": staged,
+        "row_bytes": row_bytes,
     }
     try:
         _commit(spark, root, entry)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tessera.functions.casts import cast_call_records
 from tessera.operators.rules import clean
 from tessera.plans import fixtures as fx
-from tessera.plans.jobs import rejected_rows, run_load, run_sales
+from tessera.plans.jobs import MOST_BUCKETS, buckets_for, rejected_rows, run_load, run_sales
 from tessera.schemas import CALL_RECORD_SCHEMA
 from tessera.sinks import publish
 from tessera.sources.files import conform, since_hours_ago
@@ -167,6 +167,38 @@ def test_a_bucketed_target_holds_the_same_rows(spark, tmp_path):
     assert 0 < sum(before.get(b) != p for b, p in after.items()) < 16
 
 
+def test_a_target_that_outgrows_its_buckets_is_dealt_to_more(spark, tmp_path):
+    """The load chooses the buckets by size, on the first run and later; the rows stay the same."""
+    src = str(tmp_path / "src")
+    roots = {k: str(tmp_path / k) for k in ("whole", "kept", "grown", "first")}
+    records = fx.call_records(spark, SMALL_SF)
+    day = lambda d: F.col("updated_at") < F.lit(d).cast("timestamp_ntz")
+    _drop(spark, records.filter(day(fx.TARGET_BEFORE)), f"{src}/day1", 30)
+    size = publish.stored_bytes(spark, src)
+    first = {"whole": {}, "kept": {"buckets": 2}, "grown": {}, "first": {"bucket_bytes": size // 3}}
+    for k, root in roots.items():
+        run_load(spark, src, root, **first[k])
+    assert {k: publish.live(spark, r).buckets for k, r in roots.items()} == {"whole": 0, "kept": 2, "grown": 0, "first": 4}
+    held = publish.live(spark, roots["grown"]).n_bytes
+    assert 0 < held <= publish.stored_bytes(spark, roots["grown"])
+    _drop(spark, fx.batch_records(spark, SMALL_SF), f"{src}/day2")
+    since = since_hours_ago(1)
+    later = {"whole": {"buckets": 0, "bucket_bytes": 1}, "kept": {"buckets": 2, "bucket_bytes": 1}, "grown": {"bucket_bytes": held // 3}}
+    later["first"] = {"bucket_bytes": held // 40}
+    for k, root in roots.items():
+        assert run_load(spark, src, root, since=since, **later[k]).published_version == 2
+        assert _rows(spark, root) == _rows(spark, roots["whole"])
+    after = {k: publish.live(spark, r).buckets for k, r in roots.items()}
+    assert after["whole"] == 0 and after["kept"] == 2
+    assert after["grown"] >= 4 and after["first"] >= 32
+    spread = [p["bucket"] for p in publish.live(spark, roots["first"]).parts]
+    assert len(spread) == len(set(spread)) and max(spread) < after["first"]
+
+
+def test_buckets_follow_the_bytes():
+    assert [buckets_for(n, 10) for n in (0, 10, 11, 40, 41, 10**9)] == [0, 0, 2, 4, 8, MOST_BUCKETS]
+
+
 def test_a_second_checkpoint_loses_nothing(spark, tmp_path):
     src, tgt = str(tmp_path / "src"), str(tmp_path / "tgt")
     records = fx.call_records(spark, SMALL_SF)
