@@ -566,12 +566,21 @@ def q_publish_roundtrip(spark, sf_dir):
     return read_current(spark, root)
 
 
-@register("range_source", "select range as row_id from range((select count(*) from orders))")
+@register(
+    "range_source",
+    """select range as row_id, count(l_orderkey) as lines, round(sum(l_extendedprice), 2) as charged
+from range((select max(o_orderkey) + 1 from orders)) left join lineitem on l_orderkey = range group by range""",
+)
 def q_range_source(spark, sf_dir):
+    """Every id of a range over the order keys with what its lines come to (ids without lines included)."""
     from tessera.sources.synth import range_table
     from tessera.sources.tables import read_table
 
-    return range_table(spark, read_table(spark, sf_dir, "orders").count())
+    last = read_table(spark, sf_dir, "orders").agg(F.max("o_orderkey").alias("k")).first()["k"]
+    lines = read_table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("row_id"))
+    lines = lines.agg(F.count("*").alias("lines"), F.round(F.sum("l_extendedprice"), 2).alias("charged"))
+    ids = range_table(spark, 0 if last is None else last + 1)
+    return ids.join(lines, "row_id", "left").select("row_id", F.coalesce("lines", F.lit(0)).alias("lines"), "charged")
 
 
 @register("partition_profile", "select count(*) as rows, true as every_partition_counted from lineitem")
@@ -781,8 +790,7 @@ def _sales_synth_sql() -> str:
         lst = ", ".join(f"'{v}'" for v in values)
         return f"[{lst}][{idx(name, len(values))} + 1]"
 
-    return f"""with r as (select range as row_id from range((select count(*) from orders))),
-d as (select row_id, date '{S.FIRST_ORDER_DATE}' + {idx('order_date', S.ORDER_DAYS)} as Order_Date from r)
+    return f"""with d as (select o_orderkey as row_id, cast(o_orderdate as date) as Order_Date, o_totalprice from orders)
 select row_id, Order_Date,
  Order_Date + {idx('ship_date', S.SHIP_DAYS)} as Ship_Date,
  {choice('ship_mode', S.SHIP_MODES)} as Ship_Mode,
@@ -791,7 +799,7 @@ select row_id, Order_Date,
  concat_ws('-', 'PRD', row_id) as Product_Reference,
  {choice('category', S.CATEGORIES)} as Category,
  {choice('sub_category', S.SUB_CATEGORIES)} as Sub_Category,
- round({u('sales')} * 1000, 2) as Sales,
+ o_totalprice as Sales,
  {idx('quantity', 10)} + 1 as Quantity,
  round({u('profit')} * 500 - 100, 2) + 0.0 as Profit,
  {choice('state', S.STATES)} as State
@@ -800,10 +808,13 @@ from d"""
 
 @register("sales_synth", _sales_synth_sql())
 def q_sales_synth(spark, sf_dir):
+    """The orders completed to the sales table: keys, dates and totals as given, the rest drawn by key."""
     from tessera.sources.synth import sales_table
     from tessera.sources.tables import read_table
 
-    return sales_table(spark, read_table(spark, sf_dir, "orders").count(), SEED)
+    orders = read_table(spark, sf_dir, "orders")
+    given = orders.selectExpr("o_orderkey as row_id", "o_orderdate as Order_Date", "o_totalprice as Sales")
+    return sales_table(spark, seed=SEED, given=given)
 
 
 @register(
@@ -817,16 +828,11 @@ select Region, State, cast(sum(cast(Sales as decimal(20,2))) as double) as total
 from e where Profit > 0 and shipping_delay <= 31 group by Region, State""",
 )
 def q_sales_synth_report(spark, sf_dir):
-    """The sales job end to end on a generated table sized by orders."""
-    from tessera.sources.synth import sales_table
-    from tessera.sources.tables import read_table
-
-    table = sales_table(spark, read_table(spark, sf_dir, "orders").count(), SEED)
-    return analytics.region_state_totals(enrich.enrich_sales(table))
+    """The sales job end to end on the completed orders."""
+    return analytics.region_state_totals(enrich.enrich_sales(q_sales_synth(spark, sf_dir)))
 
 
 CDR_DIRTY_PERCENT = 40
-CDR_ANCHOR = "2025-01-01 00:00:00"
 
 
 def _cdr_synth_sql() -> str:
@@ -867,10 +873,6 @@ def _cdr_synth_sql() -> str:
         f"substr(array_to_string(list_transform(range(0, (msg_len + 1) // 2), lambda j: "
         f"{char(f'({word}) >> 16')} || {char(f'({word}) & 65535')}), ''), 1, msg_len)"
     )
-    offset = (
-        f"({idx('days', S.MAX_DAYS_AGO + 1)} * 86400 + {idx('hours', 24)} * 3600 + "
-        f"{idx('minutes', 60)} * 60 + {idx('seconds', 60)})"
-    )
     clean = {
         "id": f"cast({idx('id', S.MAX_ID)} + 1 as double)",
         "subscriber_id": "concat_ws('-', substr(sh, 1, 8), substr(sh, 9, 4), substr(sh, 13, 4), substr(sh, 17, 4), substr(sh, 21, 12))",
@@ -895,7 +897,7 @@ def _cdr_synth_sql() -> str:
         "network_type": choice("network_type", S.NETWORK_TYPES),
         "network_provider": choice("provider", S.NETWORK_PROVIDERS),
         "signal_strength_dbm": f"cast({idx('dbm', 71)} - 120 as double)",
-        "cost": f"round({u('cost')} * 9.99 + 0.01, 2)",
+        "cost": "value",
         "currency": choice("currency", S.CURRENCIES),
         "call_type": "call_type",
         "call_start_time": "start_ts",
@@ -926,15 +928,15 @@ p as (select n,
   (select min(range) from range(1000003, 1002003, 2) where gcd(range, n) = 1) as a,
   {SEED} % n as b,
   cast(floor(n * {CDR_DIRTY_PERCENT / 100}) as bigint) as n_dirty from n),
-r as (select range as row_id from range((select n from n))),
-b as (select row_id,
+r as (select event_id as row_id, ts, value from events),
+b as (select row_id, value,
   ((row_id * (select a from p) + (select b from p)) % (select n from p)) < (select n_dirty from p) as dirty,
   {choice('call_type', S.CALL_TYPES)} as call_type,
   {idx('duration', S.MAX_DURATION_SECONDS)} + 1 as duration,
   {idx('message_length', S.MAX_MESSAGE_LENGTH)} + 1 as msg_len,
   md5(concat_ws('|', '{SEED}', 'subscriber', cast(row_id as varchar))) as sh,
   {keyed_sql('message')} as text_key,
-  timestamp '{CDR_ANCHOR}' - to_seconds({offset}) as start_ts
+  cast(ts as timestamp) as start_ts
  from r),
 c as (select *, start_ts + to_seconds(duration) as end_ts from b)
 select {cols}
@@ -943,12 +945,13 @@ from c"""
 
 @register("cdr_synth", _cdr_synth_sql())
 def q_cdr_synth(spark, sf_dir):
-    """The call-record table generated with as many rows as events, 40 % dirty."""
+    """The events completed to call records, 40 % dirty: times and costs as given, the rest drawn by id."""
     from tessera.sources.synth import cdr_table
     from tessera.sources.tables import read_table
 
-    n = read_table(spark, sf_dir, "events").count()
-    return cdr_table(spark, n, CDR_DIRTY_PERCENT, SEED, CDR_ANCHOR)
+    events = read_table(spark, sf_dir, "events")
+    given = events.selectExpr("event_id as row_id", "ts as call_start_time", "value as cost")
+    return cdr_table(spark, events.count(), CDR_DIRTY_PERCENT, SEED, given=given)
 
 
 @register(
@@ -962,7 +965,7 @@ typed as (select * replace (
 select * from typed where {ALL_RULES_SQL}""",
 )
 def q_cdr_synth_load(spark, sf_dir):
-    """First-run load (as coded) of the generated call records."""
+    """First-run load (as coded) of the completed events."""
     return rules.clean(cast_call_records(q_cdr_synth(spark, sf_dir)))
 
 

@@ -6,6 +6,9 @@ count and any re-execution of a lost partition, and nothing runs on the
 driver. The sales table follows the reference's 13 columns; the call-record
 table follows its 30 columns, with a chosen share of dirty rows (NULL cells,
 corrupted phone numbers, negative durations).
+
+Both also complete a given table: ``given`` rows have a long ``row_id`` and any of the
+table's columns, which are kept; the other columns are drawn by ``row_id``.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.uniform import StagedUniforms, Uniforms, keyed, mix32, salted, with_hash_columns
-from tessera.schemas import CALL_RECORD_SCHEMA
+from tessera.schemas import CALL_RECORD_SCHEMA, SALES_SCHEMA
 
 ROWS_PER_PARTITION = 2_000_000
 _observation_ids = itertools.count(1)
@@ -51,27 +54,32 @@ def range_table(spark: SparkSession, n: int, name: str = "row_id") -> DataFrame:
     return spark.range(0, n, 1, parts).withColumnRenamed("id", name)
 
 
-def sales_table(spark: SparkSession, n_records: int = 100_000_000, seed: int = 42) -> DataFrame:
-    """The synthetic sales table (SRC-4)."""
+def sales_table(
+    spark: SparkSession, n_records: int = 100_000_000, seed: int = 42, given: DataFrame | None = None
+) -> DataFrame:
+    """The synthetic sales table (SRC-4): ``n_records`` rows, or the ``given`` ones completed."""
     rid = F.col("row_id")
     u = Uniforms(seed, "sales", rid)
-    base = range_table(spark, n_records)
+    base = range_table(spark, n_records) if given is None else given
+    kept = {} if given is None else {f.name.lower(): F.col(f.name).cast(f.dataType) for f in SALES_SCHEMA.fields}
+    kept = {c: kept[c] for c in map(str.lower, base.columns) if c in kept}
     order_date = F.date_add(F.to_date(F.lit(FIRST_ORDER_DATE)), u.index("order_date", ORDER_DAYS))
-    table = base.select(
-        rid,
-        order_date.alias("Order_Date"),
-        F.date_add(order_date, u.index("ship_date", SHIP_DAYS)).alias("Ship_Date"),
-        u.choice("ship_mode", SHIP_MODES).alias("Ship_Mode"),
-        (F.lit(POSTAL_CODE_BASE) + u.index("postal_code", POSTAL_CODES)).cast("string").alias("Postal_Code"),
-        u.choice("region", REGIONS).alias("Region"),
-        F.concat_ws("-", F.lit("PRD"), rid).alias("Product_Reference"),
-        u.choice("category", CATEGORIES).alias("Category"),
-        u.choice("sub_category", SUB_CATEGORIES).alias("Sub_Category"),
-        F.round(u["sales"] * 1000, 2).alias("Sales"),
-        (u.index("quantity", 10) + 1).alias("Quantity"),
-        F.round(u["profit"] * 500 - 100, 2).alias("Profit"),
-        u.choice("state", STATES).alias("State"),
-    )
+    order_date = kept.get("order_date", order_date)
+    drawn = {
+        "Order_Date": order_date,
+        "Ship_Date": F.date_add(order_date, u.index("ship_date", SHIP_DAYS)),
+        "Ship_Mode": u.choice("ship_mode", SHIP_MODES),
+        "Postal_Code": (F.lit(POSTAL_CODE_BASE) + u.index("postal_code", POSTAL_CODES)).cast("string"),
+        "Region": u.choice("region", REGIONS),
+        "Product_Reference": F.concat_ws("-", F.lit("PRD"), rid),
+        "Category": u.choice("category", CATEGORIES),
+        "Sub_Category": u.choice("sub_category", SUB_CATEGORIES),
+        "Sales": F.round(u["sales"] * 1000, 2),
+        "Quantity": u.index("quantity", 10) + 1,
+        "Profit": F.round(u["profit"] * 500 - 100, 2),
+        "State": u.choice("state", STATES),
+    }
+    table = base.select(rid, *[kept.get(c.lower(), value).alias(c) for c, value in drawn.items()])
     return _observed(table, "sales_table")
 
 
@@ -142,10 +150,13 @@ def cdr_table(
     dirty_percentage: float = 20,
     seed: int = 42,
     anchor: str = DEFAULT_ANCHOR,
+    given: DataFrame | None = None,
 ) -> DataFrame:
     """The call-record table (SRC-11) with exactly ``floor(n·p/100)`` dirty rows.
 
-    Timestamps count back from ``anchor`` (a fixed parameter, so a table can be
+    ``given`` rows are completed instead (``total_records`` is then the number of row ids
+    that the dirty share is dealt over; it is exact for ids 0 … n-1). Times follow their
+    ``call_start_time`` where they have one. Timestamps count back from ``anchor`` (a fixed parameter, so a table can be
     regenerated exactly), and are written as zone-less microseconds."""
     n = total_records
     n_dirty = int(total_records * (dirty_percentage / 100))
@@ -156,7 +167,8 @@ def cdr_table(
     # Every hash word is a column (staged projections keep the plan small).
     u = StagedUniforms(seed, "cdr", "row_id", CDR_DRAWS, "_u")
     err = StagedUniforms(seed, "cdr_error", "row_id", CDR_COLUMNS, "_e")
-    base = range_table(spark, n).withColumn(
+    kept = {f.name for f in CALL_RECORD_SCHEMA.fields} & set(() if given is None else given.columns)
+    base = (range_table(spark, n) if given is None else given).withColumn(
         "_dirty", F.pmod(rid * F.lit(a) + F.lit(b), F.lit(n)) < F.lit(n_dirty)
     )
     drawn = with_hash_columns(base, {**u.words(), **err.words()})
@@ -173,7 +185,7 @@ def cdr_table(
     tower = pools["tower0"]["0"]
     area = [pools["area0"]["0"], pools["area1"]["1"]]
 
-    call_type = u.choice("call_type", CALL_TYPES)
+    call_type = F.col("call_type") if "call_type" in kept else u.choice("call_type", CALL_TYPES)
     offset = (
         u.index("days", MAX_DAYS_AGO + 1) * 86400
         + u.index("hours", 24) * 3600
@@ -182,6 +194,8 @@ def cdr_table(
     )
     duration = u.index("duration", MAX_DURATION_SECONDS) + 1
     start = F.lit(anchor).cast("timestamp_ntz") - F.make_dt_interval(secs=offset)
+    if "call_start_time" in kept:
+        start = F.col("call_start_time").cast("timestamp_ntz")
     end = start + F.make_dt_interval(secs=duration)
     msg_len = u.index("message_length", MAX_MESSAGE_LENGTH) + 1
     is_voice = call_type == F.lit("voice")
@@ -229,6 +243,8 @@ def cdr_table(
         "message_length": F.when(is_voice, 0).otherwise(msg_len).cast("double"),
     }
 
+    clean |= {c: F.col(c) for c in kept - {"message_content"}}
+
     def damaged(name: str, value: Column) -> Column:
         r = err[name]
         out = F.when(r < ERROR_RATE, F.lit(None))
@@ -243,6 +259,8 @@ def cdr_table(
     # of dirty rows (generated code). Each step refers to a costly value of
     # the step below more than once, so the optimizer keeps them apart.
     generated = drawn.select(rid, "_dirty", *[err.column_of[c] for c in CDR_COLUMNS], *[clean[c].alias(c) for c in clean])
+    if "message_content" in kept:
+        raise ValueError("message texts are drawn, not given")
     with_text = generated.withColumn("message_content", _message_text(F.col("_text_key"), F.col("_text_length")))
     cols = [
         F.when(F.col("_dirty"), damaged(f.name, F.col(f.name))).otherwise(F.col(f.name)).cast(f.dataType).alias(f.name)

@@ -2,11 +2,12 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import analytics
 from tessera.operators.enrich import enrich_sales
-from tessera.schemas import SALES_SCHEMA
+from tessera.schemas import CALL_RECORD_SCHEMA, SALES_SCHEMA
 from tessera.sources import synth
 
 
@@ -114,3 +115,28 @@ def test_one_pass_report_equals_the_single_reports(spark):
         for name, single in singles.items():
             assert report[name].columns == single.columns, name
             assert report[name].collect() == single.collect(), name
+
+
+def test_given_rows_are_completed_and_kept(spark):
+    drawn = synth.sales_table(spark, 500, seed=3)
+    ids = spark.range(100, 500).selectExpr("id as row_id", "date'2024-02-28' as order_date", "cast(id as double) as Sales", "1 as other")
+    got = synth.sales_table(spark, seed=3, given=ids)
+    assert got.columns == drawn.columns and got.count() == 400
+    own = ["Order_Date", "Ship_Date", "Sales"]
+    assert sorted(got.drop(*own).collect()) == sorted(drawn.where("row_id >= 100").drop(*own).collect())
+    assert got.where("Order_Date = date'2024-02-28' and Sales = row_id and datediff(Ship_Date, Order_Date) between 0 and 6").count() == 400
+    assert synth.sales_table(spark, given=ids.limit(0)).count() == 0
+
+
+def test_given_call_records_keep_their_times(spark):
+    start = "timestamp_ntz'2024-02-28 10:00:00'"
+    given = spark.range(300).selectExpr("id as row_id", f"{start} as call_start_time", "id * 0.5D as cost", "'sms' as call_type")
+    got = synth.cdr_table(spark, 300, 0, given=given)
+    assert got.columns == [f.name for f in CALL_RECORD_SCHEMA.fields]
+    wrong = f"call_start_time <> {start} or created_at <> {start} or call_type <> 'sms' or message_content is null or call_duration_seconds <> 0"
+    assert got.count() == 300 and got.where(wrong).isEmpty()
+    assert sorted(r["cost"] for r in got.select("cost").collect()) == [i * 0.5 for i in range(300)]
+    drawn = synth.cdr_table(spark, 300, 0).select("id", "subscriber_id", "imsi_number")
+    assert sorted(got.select(*drawn.columns).collect()) == sorted(drawn.collect())
+    with pytest.raises(ValueError, match="message"):
+        synth.cdr_table(spark, 300, 0, given=given.withColumn("message_content", F.lit("x")))
