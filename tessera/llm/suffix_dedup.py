@@ -25,7 +25,8 @@ Equal texts are one text: copies with a larger id lose all bytes at once.
 Names are given to distinct keys, after a map-side distinct, so a string that a
 third of all documents share costs each task one row; joins back to positions
 are ordinary shuffles of two tables, which adaptive execution splits at hot
-keys. Nothing is collected.
+keys. Nothing is collected. Positions and names are written as compressed tables
+in the shared folder, each deleted once the next step's table stands.
 
 NULL and empty texts, and texts shorter than ``length``, lose nothing. Rows
 with equal id and text give equal results; a NULL id counts as larger than all
@@ -45,7 +46,8 @@ from pyspark.sql import types as T
 
 from tessera.llm.rowwise import ROW
 from tessera.llm.scan import MULT, Texts, mix, powers, prefix_hash, slices
-from tessera.util import ensure_checkpoint_dir, own_exchange
+from tessera.sinks.publish import delete_path
+from tessera.util import ensure_checkpoint_dir, own_exchange, shared_scratch
 
 LENGTH = 50
 GRAM = 20
@@ -89,6 +91,26 @@ def text_key(text: str) -> Column:
     return F.xxhash64(F.col(text), F.octet_length(text))
 
 
+class Tables:
+    """Written tables in the shared folder, for as long as a later step reads them."""
+
+    def __init__(self, spark):
+        self.spark, self.paths = spark, []
+
+    def add(self, df: DataFrame, name: str) -> DataFrame:
+        path = shared_scratch(self.spark, name)
+        self.paths.append(path)
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, keep: int = 0) -> None:
+        """Delete all but the newest ``keep`` tables."""
+        old = self.paths[: len(self.paths) - keep]
+        for path in old:
+            delete_path(self.spark, path)
+        self.paths = self.paths[len(old) :]
+
+
 def ranked(keys: DataFrame, *columns: str) -> DataFrame:
     """Distinct keys with a ``name`` that orders as they do."""
     keys = keys.select(*columns).distinct().repartitionByRange(*columns).sortWithinPartitions(*columns)
@@ -102,7 +124,7 @@ def ranked(keys: DataFrame, *columns: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.arange(at, at + b.num_rows))], schema.names)
             at += b.num_rows
 
-    return keys.mapInArrow(number, schema).checkpoint()
+    return keys.mapInArrow(number, schema)
 
 
 def candidate_regions(texts: DataFrame, length: int) -> DataFrame:
@@ -165,15 +187,16 @@ def sampled_positions(regions: DataFrame, length: int) -> DataFrame:
     return regions.select("doc", "k", "text", "at").mapInArrow(emit, SAMPLED)
 
 
-def repeated_starts(texts: DataFrame, firsts: DataFrame, length: int) -> DataFrame:
+def repeated_starts(texts: DataFrame, firsts: DataFrame, length: int, tables: Tables) -> DataFrame:
     """(doc, k, s): window starts of first copies that also stand in a text with a smaller first id."""
     regions = texts.join(candidate_regions(texts, length).join(firsts, "t"), "t").where("doc = first")
-    sample = sampled_positions(regions.dropDuplicates(["t"]), length).checkpoint()
-    triples = ranked(sample, "triple")
+    sample = tables.add(sampled_positions(regions.dropDuplicates(["t"]), length), "sample")
+    triples = tables.add(ranked(sample, "triple"), "triples")
     named = sample.join(triples, "triple").select("doc", "k", "j", F.col("name").alias("first"), "before", "after", "shifts")
     nxt = named.select("doc", "k", (F.col("j") - TRIPLE).alias("j"), F.col("first").alias("next"))
-    pairs = named.join(nxt, ["doc", "k", "j"]).where("shifts > 0").checkpoint()
-    names = ranked(pairs, "first", "next").withColumnRenamed("name", "n2")
+    pairs = tables.add(named.join(nxt, ["doc", "k", "j"]).where("shifts > 0"), "pairs")
+    tables.drop(keep=1)
+    names = tables.add(ranked(pairs, "first", "next"), "names").withColumnRenamed("name", "n2")
     suffix = pairs.join(names, ["first", "next"])
     low, high = F.col("before").bitwiseAND(255), F.shiftright("after", 8)
     suffix = suffix.withColumn("d", F.explode(F.array(*[F.lit(d) for d in range(3)])))
@@ -181,7 +204,7 @@ def repeated_starts(texts: DataFrame, firsts: DataFrame, length: int) -> DataFra
     rest = F.when(F.col("d") == 0, F.col("after")).when(F.col("d") == 1, F.shiftleft(low, 8).bitwiseOR(high))
     suffix = suffix.select("doc", "k", (F.col("j") - F.col("d")).alias("s"), "d", "n2", rest.otherwise(F.col("before")).alias("rest"))
     runs = suffix.groupBy("d", "n2", "rest").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
-    runs = runs.where("least < most").drop("most").checkpoint()
+    runs = tables.add(runs.where("least < most").drop("most"), "runs")
     return suffix.join(runs, ["d", "n2", "rest"]).where("doc > least").select("doc", "k", "s").distinct()
 
 
@@ -221,7 +244,10 @@ def dedup(
     firsts = firsts.join(own_exchange(several), "first", "left").select("t", "first", F.when(F.col("several"), F.col("t")).otherwise(0).alias("k"))
     firsts = firsts.checkpoint()
     texts = rows.select("doc", "t", "text")
-    starts = repeated_starts(texts, firsts, length).groupBy("doc", "k").agg(F.collect_list("s").alias("starts")).checkpoint()
+    tables = Tables(docs.sparkSession)
+    starts = repeated_starts(texts, firsts, length, tables)
+    starts = starts.groupBy("doc", "k").agg(F.collect_list("s").alias("starts")).checkpoint()
+    tables.drop()
     known = firsts.join(starts.withColumnRenamed("doc", "first"), ["first", "k"], "left").select("t", "first", "starts")
     joined = rows.join(known, "t")
     schema = T.StructType([joined.schema[ROW], *FIELDS])
