@@ -144,45 +144,57 @@ def candidate_regions(texts: DataFrame, length: int) -> DataFrame:
     return found.join(shared, "h").groupBy("t").agg(F.collect_set("at").alias("at"))
 
 
+#: positions that a task works on at a time
+SLICE = 1 << 17
 SAMPLED = "doc long, k long, j long, triple binary, before int, after int, shifts int"
 
 
+def sampled_places(data: np.ndarray, at: np.ndarray, length: int, size: int = SLICE):
+    """Sampled positions around the anchors ``at`` with the ends of their region, some at a time."""
+    cover = np.zeros(len(data) + 1, np.int32)
+    np.add.at(cover, np.maximum(at - (length - GRAM), 0), 1)
+    np.add.at(cover, np.minimum(at + length, len(data)), -1)
+    inside = (np.cumsum(cover)[:-1] > 0).astype(np.int8)
+    lo, hi = np.flatnonzero(np.diff(inside, prepend=0, append=0)).reshape(-1, 2).T
+    for a in range(0, len(data), size):
+        j = a + np.flatnonzero(inside[a : a + size])
+        j = j[j % 3 != 0]
+        region = np.searchsorted(lo, j, "right") - 1
+        whole = j + TRIPLE <= hi[region]
+        if whole.any():
+            yield j[whole], lo[region[whole]], hi[region[whole]]
+
+
+def _batch(held: list, names: list[str]) -> pa.RecordBatch:
+    doc, k, j, windows, *ints = (np.concatenate(c) for c in zip(*held))
+    triples = pa.FixedSizeBinaryArray.from_buffers(pa.binary(TRIPLE), len(j), [None, pa.py_buffer(windows)])
+    return pa.RecordBatch.from_arrays([*map(pa.array, (doc, k, j)), triples.cast(pa.binary()), *map(pa.array, ints)], names)
+
+
 def sampled_positions(regions: DataFrame, length: int) -> DataFrame:
     """Sampled positions of the candidate regions with their triple and the bytes around 48 bytes.
 
     ``shifts`` has bit d where the window starting at j - d lies in the region.
     """
+    names = [part.split()[0] for part in SAMPLED.split(", ")]
 
     def emit(batches):
+        held, n = [], 0
         for b in batches:
             for doc, k, text, at in zip(*(b.column(c).to_pylist() for c in ("doc", "k", "text", "at"))):
-                raw = text.encode()
-                data = np.frombuffer(raw, np.uint8)
-                cover = np.zeros(len(data) + 1, np.int64)
-                at = np.array(at)
-                np.add.at(cover, np.maximum(at - (length - GRAM), 0), 1)
-                np.add.at(cover, np.minimum(at + length, len(data)), -1)
-                inside = np.cumsum(cover)[:-1] > 0
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], inside.astype(np.int8), [0]])))
-                for lo, hi in edge.reshape(-1, 2):
-                    j = np.arange(lo, hi - TRIPLE + 1)
-                    j = j[j % 3 != 0]
-                    if not len(j):
-                        continue
+                data = np.frombuffer(text.encode(), np.uint8)
+                around = np.concatenate([np.zeros(2, np.int32), data.astype(np.int32), np.zeros(length, np.int32)])
+                for j, lo, hi in sampled_places(data, np.array(at), length):
                     windows = np.lib.stride_tricks.sliding_window_view(data, TRIPLE)[j]
-                    around = np.concatenate([np.zeros(2, np.int32), data.astype(np.int32), np.zeros(length, np.int32)])
+                    ok = [((j - d >= lo) & (j - d + length <= hi)).astype(np.int32) << d for d in range(3)]
                     before, after = around[j] << 8 | around[j + 1], around[j + 50] << 8 | around[j + 51]
-                    ok = lambda d: ((j - d >= lo) & (j - d + length <= hi)).astype(np.int32) << d
-                    columns = [
-                        pa.array(np.full(len(j), doc)),
-                        pa.array(np.full(len(j), k)),
-                        pa.array(j),
-                        pa.FixedSizeBinaryArray.from_buffers(
-                            pa.binary(TRIPLE), len(j), [None, pa.py_buffer(np.ascontiguousarray(windows).tobytes())]
-                        ).cast(pa.binary()),
-                        *(pa.array(x.astype(np.int32)) for x in (before, after, ok(0) | ok(1) | ok(2))),
-                    ]
-                    yield pa.RecordBatch.from_arrays(columns, ["doc", "k", "j", "triple", "before", "after", "shifts"])
+                    held.append((np.full(len(j), doc), np.full(len(j), k), j, windows, before, after, sum(ok).astype(np.int32)))
+                    n += len(j)
+                    if n >= SLICE:
+                        yield _batch(held, names)
+                        held, n = [], 0
+        if held:
+            yield _batch(held, names)
 
     return regions.select("doc", "k", "text", "at").mapInArrow(emit, SAMPLED)
 

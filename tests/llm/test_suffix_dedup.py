@@ -66,3 +66,22 @@ def test_texts_that_share_an_id_or_have_none(spark):
 def test_runs_merge_where_they_touch():
     assert sd.removed_spans(np.array([5, 6, 55, 200]), 50).tolist() == [[5, 105], [200, 250]]
     assert sd.removed_spans(np.array([0, 51]), 50).tolist() == [[0, 50], [51, 101]]
+
+
+def test_sampled_places_in_slices():
+    rng = np.random.default_rng(3)
+    data = rng.integers(97, 123, 2000).astype(np.uint8)
+    for at in ([0], [1980], [40, 55, 300, 1980], sorted(rng.choice(1980, 25, replace=False).tolist())):
+        inside = {p for x in at for p in range(max(x - 30, 0), min(x + 50, len(data)))}
+        expected = {}
+        for p in inside:
+            lo, hi = p, p
+            while lo - 1 in inside:
+                lo -= 1
+            while hi in inside:
+                hi += 1
+            if p % 3 and p + 24 <= hi:
+                expected[p] = (lo, hi)
+        for size in (7, 100, 1 << 17):
+            got = [x for part in sd.sampled_places(data, np.array(at), 50, size) for x in zip(*(c.tolist() for c in part))]
+            assert {j: (lo, hi) for j, lo, hi in got} == expected and len(got) == len(expected)
