@@ -33,13 +33,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.rowwise import annotate
-from tessera.llm.scan import LOWER, PLAIN, Texts, mix, slices, words_of
-from tessera.llm.viterbi import decode
+from tessera.llm.scan import LOWER, PLAIN, Texts, Words, mix, slices, words_of
+from tessera.llm.viterbi import decode, decode_switching
 
 ROWS_PER_LANG = 400
 MOST_LANGS = 256
 BUCKETS = 1 << 16
 SWITCH_COST = 12.0
+#: up to so many languages are decoded in segments, more step by step (the same paths)
+FEW_LANGS = 8
+#: scores (words by languages) held at a time; a longer text is held whole
+CELLS = 1 << 22
 UNKNOWN = "und"
 # Code point ranges of letters by script.
 RANGES = {
@@ -177,6 +181,39 @@ def _has_letter(raw: np.ndarray) -> bool:
     return bool((raw >= 0x80).any()) and any(ch.isalpha() for ch in raw.tobytes().decode())
 
 
+def _tags(t: Texts, w: Words, m: Model, script: np.ndarray, weight: np.ndarray, switch: float) -> np.ndarray:
+    """Language number of every word; runs of whole texts of about ``CELLS`` scores are worked on at a time."""
+    k, gram = len(m.langs), _grams(t.data)
+    out, lo = np.empty(len(w.start), np.int64), 0
+    while lo < len(t):
+        hi = max(lo + 1, int(np.searchsorted(w.first, w.first[lo] + CELLS // k, "right")) - 1)
+        a, b = int(w.first[lo]), int(w.first[hi])
+        begin, end = int(t.offsets[lo]), int(t.offsets[hi])
+        first, lo = w.first[lo : hi + 1] - a, hi
+        if a == b:
+            continue
+        start, stop = w.start[a:b] - begin, w.end[a:b] - begin
+        emit = np.empty((b - a, k), np.float32)
+        total = np.zeros(end - begin + 1)
+        for j in range(k):
+            np.cumsum(m.grams[gram[begin:end], j], out=total[1:])
+            emit[:, j] = total[stop] - total[start]
+        top = np.maximum.reduceat(script[begin:end], start)  # ranges after a word hold no letters
+        allowed = m.scripts[np.maximum(top, 0)]
+        allowed[~allowed.any(1)] = True
+        emit[~allowed] = -1e6
+        emit -= emit.max(1, keepdims=True)
+        np.maximum(emit, -40.0, out=emit)
+        emit[weight[a:b] == 0] = 0
+        if k > FEW_LANGS:
+            out[a:b] = decode_switching(emit, switch, first)
+        else:
+            change = np.full((k, k), -switch)
+            np.fill_diagonal(change, 0)
+            out[a:b] = decode(emit, change, first)
+    return out
+
+
 def label(t: Texts, m: Model, switch: float = SWITCH_COST) -> dict[str, list]:
     """Language, score and spans of every text of a slice."""
     n, k = len(t), len(m.langs)
@@ -184,26 +221,11 @@ def label(t: Texts, m: Model, switch: float = SWITCH_COST) -> dict[str, list]:
     w = words_of(t, PLAIN)
     if not len(w.start) or not k:
         return out
-    gram = _grams(t.data)
-    emit = np.empty((len(w.start), k), np.float32)
-    total = np.zeros(len(t.data) + 1)
-    for j in range(k):
-        np.cumsum(m.grams[gram, j], out=total[1:])
-        emit[:, j] = total[w.end] - total[w.start]
     script = scripts_of(t.data)
     letters = np.zeros(len(t.data) + 1, np.int64)
     np.cumsum(script >= 0, out=letters[1:])
     weight = letters[w.end] - letters[w.start]
-    top = np.maximum.reduceat(script, w.start)  # ranges after a word hold no letters
-    allowed = m.scripts[np.maximum(top, 0)]
-    allowed[~allowed.any(1)] = True
-    emit[~allowed] = -1e6
-    emit -= emit.max(1, keepdims=True)
-    emit = np.maximum(emit, -40.0)
-    emit[weight == 0] = 0
-    change = np.full((k, k), -switch)
-    np.fill_diagonal(change, 0)
-    tag = decode(emit, change, w.first)
+    tag = _tags(t, w, m, script, weight, switch)
     held = np.bincount(w.text * k + tag, weights=weight, minlength=n * k).reshape(n, k)
     best, of_all = held.argmax(1), held.sum(1)
     points = np.zeros(len(t.data) + 1, np.int64)

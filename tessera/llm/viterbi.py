@@ -5,7 +5,12 @@ the number of numpy calls depends on the segment length and on the longest
 sequence's number of segments, not on the number of steps. First every
 segment's best score from each entry state to each exit state is computed,
 then the segments of a sequence are chained, then every segment is decoded
-between its known entry and exit state. The result is the exact best path.
+between its known entry and exit state. The result is the exact best path. The
+work grows with the cube of the states, so this is for a few of them.
+
+Where every change of state costs the same, ``decode_switching`` finds the best path
+with work and memory linear in the states, step by step over all sequences: a
+state is entered from itself or from the step's best state.
 """
 
 from __future__ import annotations
@@ -73,11 +78,12 @@ def decode(emit: np.ndarray, change: np.ndarray, first: np.ndarray) -> np.ndarra
     come = entry[np.arange(len(of)), leave][order]
     # decode inside the segments
     path = np.where(opening[:, None], np.float32(0), change[come]) + emit[sb]
-    back = np.zeros((int(sl[0]), len(of), k), np.int8)
+    number = np.min_scalar_type(k)
+    back = np.zeros((int(sl[0]), len(of), k), number)
     for t in range(1, int(sl[0])):
         m = active[t]
         now = path[:m]
-        best, arg = now[:, 0, None] + change[0], np.zeros((m, k), np.int8)
+        best, arg = now[:, 0, None] + change[0], np.zeros((m, k), number)
         for j in range(1, k):
             other = now[:, j, None] + change[j]
             better = other > best
@@ -92,3 +98,37 @@ def decode(emit: np.ndarray, change: np.ndarray, first: np.ndarray) -> np.ndarra
         out[sb[:m] + t] = at[:m]
         at[:m] = back[t, np.arange(m), at[:m]]
     return out
+
+
+def decode_switching(emit: np.ndarray, cost: float, first: np.ndarray) -> np.ndarray:
+    """Best state per step where every change of state costs ``cost``; otherwise as ``decode``."""
+    n, k = emit.shape
+    out = np.zeros(n, np.int64)
+    if n == 0:
+        return out
+    emit, cost = emit.astype(np.float32), np.float32(cost)
+    size = np.diff(first)
+    order = np.argsort(-size, kind="stable")  # the active sequences are a leading slice
+    begin, length = first[:-1][order], size[order]
+    active = np.searchsorted(-length, -np.arange(1, int(length[0]) + 1), "right")
+    entered = np.zeros((n, -(-k // 8)), np.uint8)  # a bit for each state: from the best state of the step before
+    leader = np.zeros(n, np.min_scalar_type(k))
+    score = np.zeros((len(size), k), np.float32)
+    score[: active[0]] = emit[begin[: active[0]]]
+    states = np.arange(k)
+    for t, m in enumerate(active[1:], 1):
+        at, now = begin[:m] + t, score[:m]
+        lead = now.argmax(1)
+        now -= now[np.arange(m), lead, None]
+        entered[at] = np.packbits((now < -cost) | (now == -cost) & (lead[:, None] < states), axis=1)
+        leader[at] = lead
+        score[:m] = np.maximum(now, -cost) + emit[at]
+    state = score.argmax(1)
+    for t in range(len(active) - 1, -1, -1):
+        m = active[t]
+        at, own = begin[:m] + t, state[:m]
+        out[at] = own
+        if t:
+            bit = entered[at, own >> 3] >> (7 - (own & 7)).astype(np.uint8) & 1
+            state[:m] = np.where(bit == 1, leader[at], own)
+    return out

@@ -7,7 +7,7 @@ import pyarrow as pa
 
 from tessera.llm import scan
 from tessera.llm.components import connected_components
-from tessera.llm.viterbi import decode
+from tessera.llm.viterbi import decode, decode_switching
 from tests.llm import brute
 
 
@@ -59,6 +59,33 @@ def test_viterbi_finds_the_best_path():
     assert len(decode(np.zeros((0, 3)), np.zeros((3, 3)), np.array([0, 0]))) == 0
 
 
+def test_one_switching_cost_gives_the_same_paths():
+    rng = np.random.default_rng(2)
+    for k in (1, 2, 5, 9, 17, 130, 300):
+        first = np.concatenate([[0], np.cumsum(rng.integers(0, 90 if k < 20 else 9, 8))])
+        e = rng.integers(-9, 9, (first[-1], k)).astype(float)  # with ties
+        for cost in (0.0, 4.0):
+            c = np.full((k, k), -cost)
+            np.fill_diagonal(c, 0)
+            got = decode_switching(e, cost, first)
+            for a, b in zip(first, first[1:]):
+                if a == b:
+                    continue
+                best, came = e[a], []
+                for t in range(a + 1, b):
+                    every = best[:, None] + c
+                    came.append(every.argmax(0))
+                    best = every.max(0) + e[t]
+                path = [int(best.argmax())]
+                for step in reversed(came):
+                    path.append(int(step[path[-1]]))
+                assert got[a:b].tolist() == path[::-1]
+    many = rng.normal(0, 9, (4, 130))
+    same = np.where(np.eye(130, dtype=bool), 0.0, -4.0)
+    assert (decode(many, same, np.array([0, 4])) == decode_switching(many, 4.0, np.array([0, 4]))).all()
+    assert len(decode_switching(np.zeros((0, 3)), 1.0, np.array([0, 0]))) == 0
+
+
 def test_components(spark):
     rng = random.Random(5)
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, x) for x in range(200, 260)]

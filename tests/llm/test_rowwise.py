@@ -226,5 +226,50 @@ def test_more_languages_than_are_learned(spark, monkeypatch):
     many = spark.createDataFrame([(k, f"w{k} v{k}", f"l{k:03}") for k in range(100)], "doc_id long, text string, lang string")
     monkeypatch.undo()
     assert len(language_id.fit(many).langs) == 100
+
+
+def test_two_hundred_languages_are_told_apart(spark, monkeypatch):
+    rng = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    pick = [[a + b + c for a, b, c in (rng.sample(letters, 3) for _ in range(12))] for _ in range(200)]
+    line = lambda k, n: " ".join(rng.choice(pick[k]) for _ in range(n))
+    docs = spark.createDataFrame([(k, line(k, 200), f"l{k:03}") for k in range(200)], "doc_id long, text string, lang string")
+    model = language_id.fit(docs)
+    assert len(model.langs) == 200
+    probe = brute.documents(spark, [line(k, 60) for k in range(200)] + [line(3, 80) + "\n" + line(150, 80), None, ""], extra=True)
+    for cells in (language_id.CELLS, 200 * 500):  # also a few texts at a time
+        monkeypatch.setattr(language_id, "CELLS", cells)
+        rows = {r["doc_id"]: r for r in unpacked(language_id.identify(probe, model), "lang_pred", "spans").collect()}
+        assert sum(rows[k]["lang_pred"] == f"l{k:03}" for k in range(200)) >= 195
+        assert [s["lang"] for s in rows[200]["spans"]] == ["l003", "l150"]
+        assert rows[201]["lang_pred"] == rows[202]["lang_pred"] == "und"
+
+def test_no_labelled_documents(spark):
+    docs = spark.createDataFrame([(k, f"w{k} v{k}", f"l{k % 3}") for k in range(9)], "doc_id long, text string, lang string")
     none = language_id.fit(docs.where("false"))
     assert none.langs == [] and unpacked(language_id.identify(docs.where("false"), none), "lang_pred").isEmpty()
+
+
+def test_repeated_and_long_rows(spark):
+    """Rows repeated under one id, under others and under none get equal results; a text of two million words passes."""
+    docs, labels = (spark.read.parquet(f"{ORACLE_SF}/{t}.parquet") for t in ("documents", "labels"))
+    text = max((r["text"] or "" for r in docs.limit(60).collect()), key=len) + ' mail a@b.example and token = "' + "0f1e2d3c4b" * 4 + '"'
+    rows = [(i, text) for i in (1, 1, 2, None, None)] + [(7, "word " * 2_000_000)]
+    odd = brute.documents(spark, rows, extra=True)
+    bench = spark.createDataFrame([(1, " ".join(text.split()[:30]))], "item_id long, text string")
+    lang, toxic = language_id.fit(docs), toxicity.fit(docs, labels)
+    results = [
+        (unpacked(quality_rules.ledger(odd), *quality_rules.MEASURES, "failed"), "n_words"),
+        (unpacked(dc.decontaminate(odd, bench), "n_words", "n_hit", "items"), "n_words"),
+        (unpacked(pii_crf.pii_spans(odd), "spans", "base"), None),
+        (unpacked(language_id.identify(odd, lang), "lang_pred", "score", "spans"), None),
+        (unpacked(toxicity.score(odd, toxic), "score", "n_windows"), None),
+    ]
+    for got, words in results:
+        got = got.collect()
+        values = [tuple(r[c] for c in r.__fields__ if c != "doc_id") for r in got if r["doc_id"] != 7]
+        long = next(r for r in got if r["doc_id"] == 7)
+        assert len(got) == 6 and len(values) == 5 and all(v == values[0] for v in values)
+        assert words is None or long[words] == 2_000_000
+    assert all(r["n_hit"] >= 30 for r in results[1][0].collect() if r["doc_id"] != 7)
+    assert len(results[2][0].where("doc_id = 1").first()["spans"]) >= 2
