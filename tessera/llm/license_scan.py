@@ -6,15 +6,19 @@ positions of the same k-gram in the templates. A match votes for the diagonal
 document position minus template position; neighbouring diagonals of a
 template (a word inserted or left out) merge into one span. The span is verified
 along the text: a k-gram counts if it stands later in the template than all that
-counted before it, so words out of order don't add up. A template's label counts
-where at least ``LEAST_SHARE`` of its k-grams are verified so.
+counted before it, and a place counts once, so words out of order don't add up. A
+template's label counts where at least ``LEAST_SHARE`` of its k-grams are verified so.
+
+Templates are phrases, short notices, and whole texts (``license_texts``: six licences
+of up to 260 words and two standard notices; longer licences are found by their
+notices). A span's ``whole`` tells whether its template is such a text.
 
 Phrases are templates of one k-gram, so each verified match is a place of the
 phrase. K-grams have three words, or two for a template of two words: the join
 is on the first two and checks the third where the template has one.
 
 NULL and empty texts have no words, no places and score 0. Repeated rows are
-scanned one by one. The template table is fixed (a few hundred rows), so it is
+scanned one by one. The template table is fixed (under 2,000 rows), so it is
 broadcast. One pass reads the texts: a closing row per document, which joins to
 a row of the template table of its own, carries the word count along, and only
 matches and closing rows are shuffled.
@@ -22,11 +26,14 @@ matches and closing rows are shuffled.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessera.llm.license_texts import WHOLE
+
 SPLIT = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LEAST_SHARE = 0.7
@@ -38,6 +45,7 @@ class Template:
     label: str
     text: str
     base: bool = False
+    whole: bool = False
 
 
 #: Phrases to report every place of, and licence notices; fixed texts.
@@ -88,6 +96,7 @@ TEMPLATES = (
     Template("cc-by-sa", "licensed under cc by sa 4 0"),
     Template("unlicense", "this is free and unencumbered software released into the public domain"),
     Template("all-rights-reserved", "all rights reserved no part of this publication may be reproduced"),
+    *(Template(label, text, whole=True) for label, text in WHOLE),
 )
 CLOSING = -1  # the template number of closing rows
 
@@ -96,14 +105,14 @@ def template_grams(spark: SparkSession, templates: tuple[Template, ...] = TEMPLA
     """One row per k-gram position of a template, and the row that closing rows join to."""
     rows = []
     for i, t in enumerate(templates):
-        words = t.text.split()
+        words = [w for w in re.split(SPLIT, t.text.translate(str.maketrans(UPPER, LOWER))) if w]
         k = min(3, len(words))
         for p in range(len(words) - k + 1):
             third = words[p + 2] if k == 3 else None
-            rows.append((i, t.label, t.base, p, len(words) - k + 1, words[p], words[p + 1], third))
-    rows.append((CLOSING, "", False, 0, 1, None, None, None))
+            rows.append((i, t.label, t.base, t.whole, p, len(words) - k + 1, words[p], words[p + 1], third))
+    rows.append((CLOSING, "", False, False, 0, 1, None, None, None))
     table = spark.createDataFrame(
-        rows, "template int, label string, base boolean, tpos int, grams int, a string, b string, c string"
+        rows, "template int, label string, base boolean, whole boolean, tpos int, grams int, a string, b string, c string"
     )
     return table.withColumn("key", gram_key("a", "b"))
 
@@ -115,7 +124,7 @@ def gram_key(a: str, b: str) -> Column:
 
 
 def matches(docs: DataFrame, key: str, text: str, templates: tuple[Template, ...]) -> DataFrame:
-    """Verified k-gram matches (row, id, template, label, base, tpos, grams, pos) and closing rows.
+    """Verified k-gram matches (row, id, template, label, base, whole, tpos, grams, pos) and closing rows.
 
     ``lower`` serves the hash only (it also folds letters beyond A-Z); the
     words are compared after folding A-Z alone.
@@ -137,7 +146,7 @@ def matches(docs: DataFrame, key: str, text: str, templates: tuple[Template, ...
     fold = lambda w: F.translate(w, UPPER, LOWER)
     same = (fold("x") == F.col("a")) & (fold("y") == F.col("b")) & (F.col("c").isNull() | (fold("z") == F.col("c")))
     hit = hit.where((F.col("template") == CLOSING) | same)
-    return hit.select("row", "id", "template", "label", "base", "tpos", "grams", "pos")
+    return hit.select("row", "id", "template", "label", "base", "whole", "tpos", "grams", "pos")
 
 
 def scan(
@@ -148,9 +157,9 @@ def scan(
     least_share: float = LEAST_SHARE,
 ) -> DataFrame:
     """Per row: ``id``, ``n_words``, ``n_base``, ``first_word``, ``last_word``, ``base_labels``, ``labels``,
-    ``score`` (largest verified share of a template) and ``spans`` (label, first and last word, share)."""
+    ``score`` (largest verified share of a template) and ``spans`` (first and last word, label, share, whole)."""
     hits = matches(docs, key, text, templates).repartition("row")
-    votes = hits.groupBy("row", "id", "template", "label", "base", "grams", (F.col("pos") - F.col("tpos")).alias("diagonal"))
+    votes = hits.groupBy("row", "id", "template", "label", "base", "whole", "grams", (F.col("pos") - F.col("tpos")).alias("diagonal"))
     votes = votes.agg(
         F.min("pos").alias("first"), F.max("pos").alias("last"), F.collect_set(F.struct("pos", "tpos")).alias("places")
     )
@@ -158,19 +167,20 @@ def scan(
     near = F.col("diagonal") - F.lag("diagonal").over(along)
     starts = F.when(F.col("base") | (F.col("grams") == 1) | near.isNull() | (near > NEIGHBOURS), 1).otherwise(0)
     votes = votes.withColumn("cluster", F.sum(starts).over(along))
-    spans = votes.groupBy("row", "id", "template", "label", "base", "grams", "cluster").agg(
+    spans = votes.groupBy("row", "id", "template", "label", "base", "whole", "grams", "cluster").agg(
         F.min("first").alias("first"),
         F.max("last").alias("last"),
         F.sort_array(F.flatten(F.collect_list("places"))).alias("places"),
     )
-    none = F.struct(F.lit(-1).alias("at"), F.lit(0).alias("n"))
-    further = lambda s, p: F.when(p["tpos"] > s["at"], F.struct(p["tpos"].alias("at"), (s["n"] + 1).alias("n"))).otherwise(s)
+    none = F.struct(F.lit(-1).alias("pos"), F.lit(-1).alias("at"), F.lit(0).alias("n"))
+    step = lambda s, p: F.struct(p["pos"].alias("pos"), p["tpos"].alias("at"), (s["n"] + 1).alias("n"))
+    further = lambda s, p: F.when((p["pos"] > s["pos"]) & (p["tpos"] > s["at"]), step(s, p)).otherwise(s)
     spans = spans.withColumn("voted", F.aggregate("places", none, further)["n"]).drop("places")
     share = F.col("voted") / F.col("grams")
     spans = spans.withColumn("share", share).where((F.col("template") == CLOSING) | (share >= least_share))
     closing, base = F.col("template") == CLOSING, F.col("base")
     labels = lambda which: F.array_join(F.sort_array(F.collect_set(F.when(which, F.col("label")))), ",")
-    span = F.struct("first", "last", "label", "share")
+    span = F.struct("first", "last", "label", "share", "whole")
     return spans.groupBy("row", "id").agg(
         F.max(F.when(closing, F.col("first"))).cast("long").alias("n_words"),
         F.count(F.when(base, 1)).alias("n_base"),

@@ -1,6 +1,7 @@
 import random
 
 from tessera.llm import license_scan as ls
+from tessera.llm.license_texts import WHOLE
 from tests.llm import brute
 
 PHRASES = (("mit", "mit license"), ("apache", "apache license"), ("gpl", "general public license"))
@@ -62,10 +63,10 @@ def test_a_span_is_verified_in_order(spark):
                 band = []
             band.append(d)
         for band in [*bands, band]:
-            at, n = -1, 0
+            last, at, n = -1, -1, 0
             for p, t in sorted(x for x in found if x[0] - x[1] in band):
-                if t > at:
-                    at, n = t, n + 1
+                if p > last and t > at:
+                    last, at, n = p, t, n + 1
             best = max(best, n)
         return best / len(grams)
 
@@ -74,6 +75,39 @@ def test_a_span_is_verified_in_order(spark):
     assert rows[0]["score"] == 1.0 and rows[1]["score"] < 0.7
 
 
+def test_whole_licences(spark):
+    """Whole texts are found as such, also as comments and with some words changed; parts and prose are not."""
+    names = [label for label, _ in WHOLE]
+    assert len({t for _, t in WHOLE}) == len(WHOLE) and max(len(t.split()) for _, t in WHOLE) <= 260
+    rng = random.Random(9)
+    comment = lambda t: "\n".join(f" * {line.upper()}" for line in t.strip().split("\n"))
+
+    def changed(t):
+        w = t.split()
+        for i in rng.sample(range(len(w)), len(w) // 40):
+            w[i] = rng.choice(["", "OTHER", f"{w[i]} more"])
+        return " ".join(w)
+
+    shown = [f"Copyright 2024 Somebody\n{t}\nint main() {{}}" for _, t in WHOLE]
+    texts = shown + [comment(t) for _, t in WHOLE] + [changed(t) for _, t in WHOLE]
+    n = len(names)
+    halves = [" ".join(t.split()[: len(t.split()) // 2]) for _, t in WHOLE]
+    prose = "the rights of the software and the terms of the use of this software in the public domain " * 60
+    rows = ls.scan(brute.documents(spark, texts + halves + [prose, "\n".join(t for _, t in WHOLE)])).collect()
+    whole = {r["id"]: {s["label"]: s["share"] for s in r["spans"] if s["whole"]} for r in rows}
+    rows = {r["id"]: r for r in rows}
+    for i in range(3 * n):
+        own = names[i % n]
+        assert set(whole[i]) == {own}, (i, whole[i])
+        assert rows[i]["score"] == 1.0 if i < 2 * n else whole[i][own] >= ls.LEAST_SHARE
+    span = next(s for s in rows[0]["spans"] if s["whole"])
+    assert brute.words(shown[0], brute.ALNUM, True)[span["first"]] == "permission"
+    assert span["last"] - span["first"] + 3 == len(brute.words(WHOLE[0][1], brute.ALNUM, True))
+    assert not any(whole[i] for i in range(3 * n, 4 * n))
+    assert rows[4 * n]["spans"] == [] and rows[4 * n]["score"] == 0
+    assert set(whole[4 * n + 1]) == set(names)
+
+
 def test_repeats_nulls_and_nothing(spark):
     rows = [(1, "mit license"), (1, "mit license"), (None, "apache license")]
     got = sorted((str(r["id"]), r["labels"], r["n_base"]) for r in ls.scan(brute.documents(spark, rows)).collect())
