@@ -101,3 +101,87 @@ def test_formulas_drawings_and_fallbacks_are_kept(spark):
     page = ("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be.</p><svg><text>Axis label</text></svg>"
             "<object data='a.swf'><p>No player here</p></object><script>var a;</script></article>")
     assert _texts(_pages(spark, [(1, "http://a.example/1", page)]))[1] == "Let x=2 be.\nAxis label\nNo player here"
+
+
+def _plain_importances(pages):
+    """Sorted (pages, importance) of every site node, from counts kept in lists per node."""
+    import math
+    import re
+    from html.parser import HTMLParser
+
+    prior = {"": (0.7, 4.0), "article": (1.0, 16.0), "in article": (1.0, 4.0), "nav": (0.0, 16.0), "in nav": (0.0, 16.0)}
+    seen, styles, lines, role = {}, {}, {}, {}
+
+    class Reader(HTMLParser):
+        def __init__(self, host):
+            super().__init__()
+            self.path, self.roles, self.children, self.found = [host], [""], [[]], []
+
+        def handle_starttag(self, tag, attrs):
+            self.children[-1].append(tag)
+            self.path.append(self.path[-1] + "/" + tag + "".join("." + re.sub("[0-9]+", "#", v) for _, v in attrs))
+            above = self.roles[-1].removeprefix("in ")
+            self.roles.append(tag if tag in ("article", "nav") else f"in {above}" if above else "")
+            self.children.append([])
+            role[self.path[-1]] = self.roles[-1]
+            self.found.append(("page", self.path[-1], 0))
+
+        def handle_endtag(self, tag):
+            if children := self.children.pop():
+                self.found.append(("style", self.path[-1], tuple(children)))
+            self.path.pop()
+            self.roles.pop()
+
+        def handle_data(self, data):
+            for node in self.path[1:]:
+                if not node.endswith(("/html", "/body")):
+                    self.found.append(("line", node, data))
+
+    for url, source in pages:
+        reader = Reader(url.split("/")[2])
+        reader.feed(source)
+        for kind, node, value in set(reader.found):
+            {"page": seen, "style": styles, "line": lines}[kind].setdefault(node, []).append(value)
+
+    def entropy(values):
+        share = [values.count(v) / len(values) for v in set(values)]
+        return -sum(p * math.log(p) for p in share)
+
+    out = []
+    for node, visits in seen.items():
+        n = len(visits)
+        value, trust = prior[role[node]]
+        found, weight = value, math.log2(n)
+        if own := lines.get(node):
+            # how many pages hold a line, averaged over the lines shown, in logarithms
+            content = 1 - sum(math.log(own.count(x)) for x in own) / len(own) / math.log(max(n, 2))
+            shape = entropy(styles[node]) / math.log(max(n, 2)) if node in styles else content
+            found = min(max(0.1 * shape + 0.9 * content, 0.0), 1.0)
+        out.append((n, round((value * trust + found * weight) / (trust + weight), 9)))
+    return sorted(out)
+
+
+def test_importances_equal_a_plain_count(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(12)
+    line = lambda: " ".join(rng.choice("alpha beta gamma".split()) for _ in range(2))
+    rows = []
+    for i in range(60):
+        nav = "<nav>" + "".join(f"<div class=m{k}>Link {k}</div>" for k in range(rng.randrange(1, 4))) + "</nav>"
+        own = "".join(f"<div class=k{rng.randrange(30)}><section>{line()}</section>{line()}</div>" for _ in range(rng.randrange(4)))
+        body = f"<div class=q>{line()}</div><article><h1>Title {i}</h1>{own}</article>" if i % 3 else f"<div class=q>{own}</div>"
+        rows.append((i, f"http://{rng.choice(['a', 'b', 'lone' + str(i)])}.example/{i}", f"<html><body>{nav}{body}</body></html>"))
+    rows += [(60, "http://a.example/0", rows[0][2])] * 2
+    pages = _pages(spark, rows).select(F.regexp_extract("url", hx.HOST, 1).alias("_host"), F.col("html").alias("_html"))
+    got = sorted((int(r["pages"]), round(r["importance"], 9)) for r in hx.style_tree(pages).collect())
+    want = _plain_importances([(u, h) for _, u, h in rows])
+    assert len(got) == len(want) and len({i for _, i in want}) > 15
+    assert all(a[0] == b[0] and abs(a[1] - b[1]) < 1e-8 for a, b in zip(got, want))
+
+
+def test_a_very_long_page(spark):
+    line = "word " * 20
+    page = "<article>" + f"<p>{line}</p>" * 50_000 + "</article><nav>" + "<a>Link</a>" * 50_000 + "</nav>" + "<div>" * 20_000 + "deep"
+    got = _texts(_pages(spark, [(1, "http://a.example/1", page)]))[1]
+    assert got == "\n".join([line.strip()] * 50_000) + "\ndeep"
