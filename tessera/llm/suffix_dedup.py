@@ -40,12 +40,13 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.rowwise import ROW
-from tessera.llm.scan import MULT, Texts, mix, powers, prefix_hash, slices
+from tessera.llm.scan import MULT, mix, powers, prefix_hash
 from tessera.sinks.publish import delete_path
 from tessera.util import ensure_checkpoint_dir, own_exchange, shared_scratch
 
@@ -65,32 +66,41 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(out[:n], out[w - span : w - span + n])
 
 
-def anchors(t: Texts, k: int, grams: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the smallest gram of every window of text k."""
-    a, b = int(t.offsets[k]), int(t.offsets[k + 1])
-    if b - a < length:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    h = grams[a : b - GRAM + 1]
+def anchors(chunk: Chunk, length: int, size: int = 1 << 16) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and hashes of the smallest gram of every window of the pieces, ``size`` windows at a time."""
     w = length - GRAM + 1
-    low = sliding_min(h, w)
-    edge = np.zeros(w - 1, np.uint64)
-    # a gram is the minimum of some window if the largest of its windows' minima is itself
-    reach = ~sliding_min(~np.concatenate([edge, low, edge]), w)
-    at = np.flatnonzero(reach == h)
-    return at, h[at]
-
-
-def gram_hashes(data: np.ndarray) -> np.ndarray:
-    prefix = prefix_hash(data)
-    n = max(len(data) - GRAM + 1, 0)
-    _, down = powers(len(prefix))
-    return mix((prefix[GRAM:] - prefix[:n]) * down[:n] + MULT) if n else np.zeros(0, np.uint64)
+    n = max(len(chunk.data) - length + 1, 0)
+    inside = np.zeros(n, bool)
+    for a, b in zip(chunk.start.tolist(), chunk.end.tolist()):
+        inside[a : max(b - length + 1, a)] = True
+    up, down = powers(size + length)
+    edge = np.zeros(w - 1, np.uint32)
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.uint64))]
+    for x in range(0, n, size):
+        prefix = prefix_hash(chunk.data[x : x + size + length - 1])
+        m = len(prefix) - GRAM
+        h = (prefix[GRAM:] - prefix[:m]) * down[:m]
+        # grams are ordered by 32 bits (ties: all of them are anchors), 0 and the largest value left for marks
+        short = np.clip((h * MULT >> np.uint64(32)).astype(np.uint32), 1, (1 << 32) - 2)
+        low = sliding_min(short, w)
+        low[~inside[x : x + size]] = 0
+        # a gram is the minimum of some window if the largest of its windows' minima is itself
+        reach = ~sliding_min(~np.concatenate([edge, low, edge]), w)
+        at = np.flatnonzero(reach == short)
+        found.append((at + x, mix(h[at] + MULT)))
+    at, h = (np.concatenate(c) for c in zip(*found))
+    at, one = np.unique(at, return_index=True)
+    return at, h[one]
 
 
 def text_key(text: str) -> Column:
     return F.xxhash64(F.col(text), F.octet_length(text))
 
 
+#: Spark then deletes the shuffle files of a finished execution
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Tables:
     """Written tables in the shared folder, for as long as a later step reads them."""
 
@@ -100,7 +110,12 @@ class Tables:
     def add(self, df: DataFrame, name: str) -> DataFrame:
         path = shared_scratch(self.spark, name)
         self.paths.append(path)
-        df.write.option("compression", "zstd").parquet(path)
+        before = self.spark.conf.get(CLEANUP)
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            self.spark.conf.set(CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, keep: int = 0) -> None:
@@ -111,49 +126,188 @@ class Tables:
         self.paths = self.paths[len(old) :]
 
 
-def ranked(keys: DataFrame, *columns: str) -> DataFrame:
-    """Distinct keys with a ``name`` that orders as they do."""
-    keys = keys.select(*columns).distinct().repartitionByRange(*columns).sortWithinPartitions(*columns)
-    schema = T.StructType([*keys.schema.fields, T.StructField("name", T.LongType())])
+#: bytes of a piece of a long text, and of the pieces that a task works on at a time
+PIECE, CHUNK = 1 << 20, 1 << 22
+CHUNKS = "c long, doc array<long>, k array<long>, base array<long>, size array<long>, data binary"
+BLOBS = "bucket int, c long, n int, blob binary"
+
+
+class Chunk:
+    """Pieces of texts, a zero byte after each: a piece of text ``doc``, ``k`` starts there at byte ``base``."""
+
+    def __init__(self, rows: pa.Table | pa.RecordBatch):
+        self.doc, self.k, self.base, size = (np.array(rows.column(x)[0].as_py(), np.int64) for x in ("doc", "k", "base", "size"))
+        self.data = np.frombuffer(rows.column("data")[0].as_py(), np.uint8)
+        self.end = np.cumsum(size + 1) - 1
+        self.start = self.end - size
 
-    def number(batches):
+    def piece(self, at: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.start, at, "right") - 1
+
+
+def chunks(texts: DataFrame, length: int) -> DataFrame:
+    """The texts dealt to chunks; pieces of a long text share ``length`` - 1 bytes, so each window is in one piece."""
+    names = [part.split()[0] for part in CHUNKS.split(", ")]
+
+    def emit(batches):
         from pyspark import TaskContext
 
-        at = TaskContext.get().partitionId() << 40
+        c, held, n = TaskContext.get().partitionId() << 32, [], 0
+
+        def row():
+            doc, k, base, data = zip(*held)
+            sizes = [len(x) for x in data]
+            joined = b"".join(part for x in data for part in (x, b"\0"))
+            arrays = [pa.array([c]), *(pa.array([list(x)], pa.list_(pa.int64())) for x in (doc, k, base, sizes)), pa.array([joined])]
+            return pa.RecordBatch.from_arrays(arrays, names)
+
         for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.arange(at, at + b.num_rows))], schema.names)
-            at += b.num_rows
+            for doc, k, raw in zip(*(b.column(x).to_pylist() for x in ("doc", "k", "text"))):
+                for at in range(0, len(raw) - length + 1, PIECE):
+                    held.append((doc, k, at, raw[at : at + PIECE + length - 1]))
+                    n += len(held[-1][3])
+                    if n >= CHUNK:
+                        yield row()
+                        c, held, n = c + 1, [], 0
+        if held:
+            yield row()
 
-    return keys.mapInArrow(number, schema)
+    return texts.select("doc", "k", F.col("text").cast("binary").alias("text")).mapInArrow(emit, CHUNKS)
 
 
-def candidate_regions(texts: DataFrame, length: int) -> DataFrame:
-    """(t, at): the anchors of every text that some other text has too."""
+def pack(columns: Sequence[np.ndarray]) -> bytes:
+    """Columns of 64 bits, the first as differences, byte planes compressed."""
+    m = np.stack([c.astype(np.uint64, copy=False) for c in columns])
+    m[0, 1:] -= m[0, :-1].copy()
+    planes = np.ascontiguousarray(m.view(np.uint8).reshape(len(m), -1, 8).transpose(0, 2, 1))
+    return pa.Codec("zstd", 1).compress(planes, asbytes=True)
 
-    def emit(batches):
-        for part in slices(batches, "text"):
-            grams = gram_hashes(part.data)
-            for t, k in zip(part.rows.column("t").to_pylist(), range(len(part))):
-                at, h = anchors(part, k, grams, length)
-                if len(at):
-                    columns = [pa.array(np.full(len(at), t)), pa.array(h.astype(np.int64)), pa.array(at.astype(np.int32))]
-                    yield pa.RecordBatch.from_arrays(columns, ["t", "h", "at"])
 
-    found = texts.select("t", "text").mapInArrow(emit, "t long, h long, at int")
-    shared = found.groupBy("h").agg(F.min("t").alias("x"), F.max("t").alias("y")).where("x <> y").select("h").checkpoint()
-    return found.join(shared, "h").groupBy("t").agg(F.collect_set("at").alias("at"))
+def unpack(blob: bytes, n: int, columns: int) -> np.ndarray:
+    planes = np.frombuffer(pa.Codec("zstd").decompress(blob, n * columns * 8), np.uint8).reshape(columns, 8, n)
+    m = np.ascontiguousarray(planes.transpose(0, 2, 1)).view(np.uint64)[..., 0]
+    m[0] = np.cumsum(m[0], dtype=np.uint64)
+    return m
+
+
+def distinct(columns: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Of every distinct key one row, in the order of the first column, and each row's place among these."""
+    h = columns[-1]
+    for c in columns[-2::-1]:
+        h = mix(h * MULT + c)
+    order = np.argsort(h)
+    new = _changes([h], order)
+    if (_changes(columns, order) != new).any():  # two keys with one hash
+        order = np.lexsort(columns[::-1])
+        new = _changes(columns, order)
+    first = order[new]
+    by = np.argsort(columns[0][first], kind="stable")
+    place = np.empty(len(by), np.int64)
+    place[by] = np.arange(len(by))
+    inverse = np.empty(len(order), np.int64)
+    inverse[order] = place[np.cumsum(new) - 1]
+    return first[by], inverse
+
+
+def _changes(columns: Sequence[np.ndarray], order: np.ndarray) -> np.ndarray:
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for c in columns:
+        c = c[order]
+        new[1:] |= c[1:] != c[:-1]
+    return new
+
+
+def dealt(c: int, buckets: np.ndarray, columns: Sequence[np.ndarray]) -> pa.Table:
+    """One row a bucket; ``buckets`` ascend."""
+    cuts = np.flatnonzero(np.diff(buckets, prepend=-1))
+    rows = [(int(buckets[a]), c, int(b - a), pack([x[a:b] for x in columns])) for a, b in zip(cuts, [*cuts[1:], len(buckets)])]
+    return _table(rows, _BLOBS)
+
+
+_BLOBS = pa.schema([("bucket", pa.int32()), ("c", pa.int64()), ("n", pa.int32()), ("blob", pa.binary())])
+
+
+def _table(rows: list, schema: pa.Schema) -> pa.Table:
+    columns = list(zip(*rows)) or [()] * len(schema)
+    return pa.Table.from_arrays([pa.array(x, f.type) for x, f in zip(columns, schema)], schema=schema)
+
+
+def answered(blobs: DataFrame, columns: int, answer) -> DataFrame:
+    """Per blob the column that ``answer`` makes of all keys of its bucket."""
+
+    def reply(rows: pa.Table) -> pa.Table:
+        n = rows.column("n").to_pylist()
+        parts = [unpack(b, size, columns) for b, size in zip(rows.column("blob").to_pylist(), n)]
+        got = answer(np.concatenate(parts, axis=1))
+        ends = np.cumsum(n)
+        out = [pack([got[e - size : e]]) for e, size in zip(ends, n)]
+        return pa.Table.from_arrays([*(rows.column(x).combine_chunks() for x in ("bucket", "c", "n")), pa.array(out, pa.binary())], schema=_BLOBS)
+
+    return blobs.groupBy("bucket").applyInArrow(reply, BLOBS)
+
+
+def replies(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The answers to a chunk's keys in their order, and the bucket of each."""
+    got = sorted(zip(*(rows.column(x).to_pylist() for x in ("bucket", "n", "blob"))))
+    if not got:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    return np.concatenate([unpack(blob, n, 1)[0] for _, n, blob in got]), np.repeat(*np.array([x[:2] for x in got]).T).astype(np.uint64)
+
+
+def per_chunk(table: DataFrame, answers: DataFrame, work, schema: str) -> DataFrame:
+    return table.groupBy("c").cogroup(answers.groupBy("c")).applyInArrow(work, schema)
+
+
+def shared_keys(keys: np.ndarray) -> np.ndarray:
+    """1 for each hash that two pieces have; the second column tells that a chunk has it in two."""
+    order = np.argsort(keys[0])
+    new = _changes(keys[:1], order)
+    many = np.add.reduceat(keys[1][order] + np.uint64(1), np.flatnonzero(new)) > 1
+    out = np.empty(keys.shape[1], np.uint64)
+    out[order] = many[np.cumsum(new) - 1]
+    return out
+
+
+def named(keys: np.ndarray) -> np.ndarray:
+    """Ranks of the triples, times two, plus 1 where the triple stands in two places."""
+    order = np.lexsort(keys[2::-1])
+    new = _changes(keys[:3], order)
+    many = np.add.reduceat(keys[3][order] + np.uint64(1), np.flatnonzero(new)) > 1
+    rank = np.cumsum(new) - 1
+    out = np.empty(keys.shape[1], np.uint64)
+    out[order] = rank * 2 + many[rank]
+    return out
+
+
+def merged(keys: np.ndarray) -> np.ndarray:
+    """Pairs are named by rank; bit d: the window d bytes before also starts in a smaller document."""
+    order = np.lexsort(keys[1::-1])
+    name = np.empty(keys.shape[1], np.uint64)
+    name[order] = np.cumsum(_changes(keys[:2], order))
+    around, doc = keys[2] >> np.uint64(3), keys[3].view(np.int64)
+    out = np.zeros(keys.shape[1], np.uint64)
+    for d in range(3):
+        at = np.flatnonzero(keys[2] & np.uint64(1 << d))
+        if not len(at):
+            continue
+        key = name[at] << np.uint64(16) | (around[at] >> np.uint64(8 * d) & np.uint64(0xFFFF))
+        order = np.argsort(key)
+        new = _changes([key], order)
+        least = np.minimum.reduceat(doc[at][order], np.flatnonzero(new))
+        out[at[order]] |= (doc[at][order] > least[np.cumsum(new) - 1]).astype(np.uint64) << np.uint64(d)
+    return out
 
 
 #: positions that a task works on at a time
 SLICE = 1 << 17
-SAMPLED = "doc long, k long, j long, triple binary, before int, after int, shifts int"
+def sampled_places(data: np.ndarray, at: np.ndarray, length: int, size: int = SLICE, start=0, end=None):
+    """Sampled positions around the anchors ``at`` with the ends of their region, some at a time.
 
-
-def sampled_places(data: np.ndarray, at: np.ndarray, length: int, size: int = SLICE):
-    """Sampled positions around the anchors ``at`` with the ends of their region, some at a time."""
+    An anchor's piece of the data, all by default, is from ``start`` to ``end``."""
     cover = np.zeros(len(data) + 1, np.int32)
-    np.add.at(cover, np.maximum(at - (length - GRAM), 0), 1)
-    np.add.at(cover, np.minimum(at + length, len(data)), -1)
+    np.add.at(cover, np.maximum(at - (length - GRAM), start), 1)
+    np.add.at(cover, np.minimum(at + length, len(data) if end is None else end), -1)
     inside = (np.cumsum(cover)[:-1] > 0).astype(np.int8)
     lo, hi = np.flatnonzero(np.diff(inside, prepend=0, append=0)).reshape(-1, 2).T
     for a in range(0, len(data), size):
@@ -165,59 +319,137 @@ def sampled_places(data: np.ndarray, at: np.ndarray, length: int, size: int = SL
             yield j[whole], lo[region[whole]], hi[region[whole]]
 
 
-def _batch(held: list, names: list[str]) -> pa.RecordBatch:
-    doc, k, j, windows, *ints = (np.concatenate(c) for c in zip(*held))
-    triples = pa.FixedSizeBinaryArray.from_buffers(pa.binary(TRIPLE), len(j), [None, pa.py_buffer(windows)])
-    return pa.RecordBatch.from_arrays([*map(pa.array, (doc, k, j)), triples.cast(pa.binary()), *map(pa.array, ints)], names)
-
+class Sample:
+    """Sampled positions of a chunk's candidate regions with their triples.
 
-def sampled_positions(regions: DataFrame, length: int) -> DataFrame:
-    """Sampled positions of the candidate regions with their triple and the bytes around 48 bytes.
-
-    ``shifts`` has bit d where the window starting at j - d lies in the region.
+    ``shifts`` has bit d where the window starting at j - d lies in the region;
+    ``around`` is the two bytes before and the two after the 48 bytes.
     """
-    names = [part.split()[0] for part in SAMPLED.split(", ")]
 
-    def emit(batches):
-        held, n = [], 0
+    def __init__(self, chunk: Chunk, at: np.ndarray, length: int):
+        piece = chunk.piece(at)
+        places = sampled_places(chunk.data, at, length, SLICE, chunk.start[piece], chunk.end[piece])
+        found = [np.zeros((3, 0), np.int64), *map(np.stack, places)]
+        self.j, lo, hi = np.concatenate(found, axis=1)
+        j = self.j
+        ok = [((j - d >= lo) & (j - d + length <= hi)).astype(np.uint64) << np.uint64(d) for d in range(3)]
+        self.shifts = ok[0] | ok[1] | ok[2]
+        data = np.concatenate([np.zeros(2, np.uint8), chunk.data, np.zeros(length, np.uint8)])
+        eight = np.lib.stride_tricks.sliding_window_view(data, 8)
+        self.triple = [eight[j + x].view(">u8")[:, 0].astype(np.uint64) for x in (2, 10, 18)]
+        self.around = np.zeros(len(j), np.uint64)
+        for x in (0, 1, 50, 51):
+            self.around = self.around << np.uint64(8) | data[j + x]
+        self.first, self.place = distinct(self.triple)
+
+    def pairs(self, names: pa.Table, chunk: Chunk):
+        """The positions whose pair of names can repeat, their document, the pairs' keys and the distinct keys."""
+        name, bucket = replies(names)
+        name = (bucket << np.uint64(40) | name)[self.place]
+        at = np.zeros(len(chunk.data) + TRIPLE, np.uint64)
+        at[self.j] = name
+        after = at[self.j + TRIPLE]
+        keep = np.flatnonzero((name & after & np.uint64(1) != 0) & (self.shifts != 0))
+        keys = [name[keep], after[keep], self.around[keep] << np.uint64(3) | self.shifts[keep]]
+        doc = chunk.doc[chunk.piece(self.j[keep])]
+        first, place = distinct(keys)
+        least = np.full(len(first), NO_ID)
+        np.minimum.at(least, place, doc)
+        return keep, doc, keys, first, place, least
+
+
+def _anchors_of(rows: pa.Table) -> np.ndarray:
+    return np.frombuffer(rows.column("at")[0].as_py(), np.int32).astype(np.int64)
+
+
+def repeated_spans(texts: DataFrame, length: int, tables: Tables) -> DataFrame:
+    """(doc, k, spans): what first copies lose, as ends of runs; once a piece."""
+    spark = texts.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    whole = tables.add(chunks(texts, length), "chunks")
+    size = (whole.agg(F.sum(F.octet_length("data"))).first()[0] or 0) // CHUNK
+    width = np.uint64((1 << 64) // max(parts, int(size)) + 1)
+
+    def anchored(chunk):
+        at, h = anchors(chunk, length)
+        order = np.argsort(h, kind="stable")
+        new = _changes([h], order)
+        return at, h, order, new
+
+    def ask_anchors(batches):
         for b in batches:
-            for doc, k, text, at in zip(*(b.column(c).to_pylist() for c in ("doc", "k", "text", "at"))):
-                data = np.frombuffer(text.encode(), np.uint8)
-                around = np.concatenate([np.zeros(2, np.int32), data.astype(np.int32), np.zeros(length, np.int32)])
-                for j, lo, hi in sampled_places(data, np.array(at), length):
-                    windows = np.lib.stride_tricks.sliding_window_view(data, TRIPLE)[j]
-                    ok = [((j - d >= lo) & (j - d + length <= hi)).astype(np.int32) << d for d in range(3)]
-                    before, after = around[j] << 8 | around[j + 1], around[j + 50] << 8 | around[j + 51]
-                    held.append((np.full(len(j), doc), np.full(len(j), k), j, windows, before, after, sum(ok).astype(np.int32)))
-                    n += len(j)
-                    if n >= SLICE:
-                        yield _batch(held, names)
-                        held, n = [], 0
-        if held:
-            yield _batch(held, names)
-
-    return regions.select("doc", "k", "text", "at").mapInArrow(emit, SAMPLED)
-
-
-def repeated_starts(texts: DataFrame, firsts: DataFrame, length: int, tables: Tables) -> DataFrame:
-    """(doc, k, s): window starts of first copies that also stand in a text with a smaller first id."""
-    regions = texts.join(candidate_regions(texts, length).join(firsts, "t"), "t").where("doc = first")
-    sample = tables.add(sampled_positions(regions.dropDuplicates(["t"]), length), "sample")
-    triples = tables.add(ranked(sample, "triple"), "triples")
-    named = sample.join(triples, "triple").select("doc", "k", "j", F.col("name").alias("first"), "before", "after", "shifts")
-    nxt = named.select("doc", "k", (F.col("j") - TRIPLE).alias("j"), F.col("first").alias("next"))
-    pairs = tables.add(named.join(nxt, ["doc", "k", "j"]).where("shifts > 0"), "pairs")
+            for i in range(b.num_rows):
+                chunk = Chunk(b.slice(i, 1))
+                at, h, order, new = anchored(chunk)
+                piece = chunk.piece(at)[order]
+                starts = np.flatnonzero(new)
+                several = piece[starts] != piece[np.append(starts[1:], len(h)) - 1]
+                keys = h[order][starts]
+                yield from dealt(b.column("c")[i].as_py(), (keys // width).astype(np.int64), [keys, several]).to_batches()
+
+    flags = tables.add(answered(whole.mapInArrow(ask_anchors, BLOBS), 2, shared_keys), "flags")
+    regions_schema = CHUNKS + ", at binary, probe array<long>"
+
+    def keep_shared(rows: pa.Table, flags: pa.Table) -> pa.Table:
+        chunk = Chunk(rows)
+        at, _, order, new = anchored(chunk)
+        flag = replies(flags)[0]
+        hit = np.zeros(len(at), bool)
+        hit[order] = flag[np.cumsum(new) - 1] > 0 if len(at) else False
+        at = at[hit]
+        some = at[:: len(at) // 256 + 1]
+        spread = np.clip(some - np.arange(len(some)) * 7 % 31, 0, None)
+        eight = np.lib.stride_tricks.sliding_window_view(np.append(chunk.data, np.zeros(8, np.uint8)), 8)
+        probe = eight[spread].view(">u8")[:, 0].astype(np.uint64) ^ np.uint64(1 << 63)
+        return rows.append_column("at", pa.array([at.astype(np.int32).tobytes()], pa.binary())).append_column(
+            "probe", pa.array([probe.view(np.int64).tolist()], pa.list_(pa.int64()))
+        )
+
+    regions = tables.add(per_chunk(whole, flags, keep_shared, regions_schema), "regions")
     tables.drop(keep=1)
-    names = tables.add(ranked(pairs, "first", "next"), "names").withColumnRenamed("name", "n2")
-    suffix = pairs.join(names, ["first", "next"])
-    low, high = F.col("before").bitwiseAND(255), F.shiftright("after", 8)
-    suffix = suffix.withColumn("d", F.explode(F.array(*[F.lit(d) for d in range(3)])))
-    suffix = suffix.where("(shifts & shiftleft(1, d)) <> 0")
-    rest = F.when(F.col("d") == 0, F.col("after")).when(F.col("d") == 1, F.shiftleft(low, 8).bitwiseOR(high))
-    suffix = suffix.select("doc", "k", (F.col("j") - F.col("d")).alias("s"), "d", "n2", rest.otherwise(F.col("before")).alias("rest"))
-    runs = suffix.groupBy("d", "n2", "rest").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
-    runs = tables.add(runs.where("least < most").drop("most"), "runs")
-    return suffix.join(runs, ["d", "n2", "rest"]).where("doc > least").select("doc", "k", "s").distinct()
+    cuts = [i / max(parts, int(size)) for i in range(1, max(parts, int(size)))]
+    probes = regions.select(F.explode("probe").alias("x"))
+    bounds = probes.agg(F.percentile_approx("x", cuts, 10 * max(parts, int(size)))).first()[0] if cuts else []
+    bounds = np.unique(np.array(bounds or [], np.int64).view(np.uint64) ^ np.uint64(1 << 63))
+    regions = regions.drop("probe")
+
+    def ask_names(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                rows = b.slice(i, 1)
+                s = Sample(Chunk(rows), _anchors_of(rows), length)
+                keys = [x[s.first] for x in s.triple]
+                several = np.bincount(s.place, minlength=len(s.first)) > 1
+                yield from dealt(b.column("c")[i].as_py(), np.searchsorted(bounds, keys[0], "right"), [*keys, several]).to_batches()
+
+    names = tables.add(answered(regions.mapInArrow(ask_names, BLOBS), 4, named), "names")
+
+    def ask_pairs(rows: pa.Table, names: pa.Table) -> pa.Table:
+        chunk = Chunk(rows)
+        _, _, keys, first, _, least = Sample(chunk, _anchors_of(rows), length).pairs(names, chunk)
+        keys = [x[first] for x in keys]
+        return dealt(rows.column("c")[0].as_py(), (keys[0] >> np.uint64(40)).astype(np.int64), [*keys, least.view(np.uint64)])
+
+    runs = tables.add(answered(per_chunk(regions, names, ask_pairs, BLOBS), 4, merged), "runs")
+    runs = names.withColumn("run", F.lit(False)).unionByName(runs.withColumn("run", F.lit(True)))
+
+    def spans(rows: pa.Table, both: pa.Table) -> pa.Table:
+        chunk = Chunk(rows)
+        sample = Sample(chunk, _anchors_of(rows), length)
+        run = both.column("run")
+        keep, doc, _, first, place, least = sample.pairs(both.filter(pa.compute.invert(run)), chunk)
+        bits = replies(both.filter(run))[0]
+        bits = np.where(doc > least[place], np.uint64(7), bits[place] if len(bits) else np.uint64(0)) & sample.shifts[keep]
+        j = sample.j[keep]
+        starts = np.concatenate([j[bits & np.uint64(1 << d) != 0] - d for d in range(3)])
+        ends = removed_spans(starts, length)
+        piece = chunk.piece(ends[:, 0])
+        ends = ends + (chunk.base - chunk.start)[piece][:, None]
+        cuts = np.flatnonzero(np.diff(piece, prepend=-1))
+        found = [(int(chunk.doc[piece[x]]), int(chunk.k[piece[x]]), ends[x:y].ravel()) for x, y in zip(cuts, [*cuts[1:], len(ends)])]
+        return _table(found, pa.schema([("doc", pa.int64()), ("k", pa.int64()), ("spans", pa.list_(pa.int64()))]))
+
+    return per_chunk(regions, runs, spans, "doc long, k long, spans array<long>")
 
 
 def removed_spans(starts: np.ndarray, length: int) -> np.ndarray:
@@ -229,6 +461,15 @@ def removed_spans(starts: np.ndarray, length: int) -> np.ndarray:
     return np.stack([s[new], s[np.append(new[1:], len(s)) - 1] + length], 1)
 
 
+def joined_spans(spans: np.ndarray) -> np.ndarray:
+    """Spans that touch or overlap, as one."""
+    spans = spans[np.argsort(spans[:, 0], kind="stable")]
+    if len(spans) < 2:
+        return spans
+    new = np.append(True, spans[1:, 0] > spans[:-1, 1])
+    return np.stack([spans[new, 0], spans[np.append(np.flatnonzero(new)[1:], len(spans)) - 1, 1]], 1)
+
+
 SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
 FIELDS = [
     T.StructField("n_bytes", T.LongType()),
@@ -255,10 +496,10 @@ def dedup(
     several = firsts.groupBy("first").count().where("count > 1").select("first", F.lit(True).alias("several"))
     firsts = firsts.join(own_exchange(several), "first", "left").select("t", "first", F.when(F.col("several"), F.col("t")).otherwise(0).alias("k"))
     firsts = firsts.checkpoint()
-    texts = rows.select("doc", "t", "text")
     tables = Tables(docs.sparkSession)
-    starts = repeated_starts(texts, firsts, length, tables)
-    starts = starts.groupBy("doc", "k").agg(F.collect_list("s").alias("starts")).checkpoint()
+    texts = rows.select("doc", "t", "text").join(firsts.withColumnRenamed("first", "doc"), ["t", "doc"]).dropDuplicates(["t", "doc"])
+    starts = repeated_spans(texts, length, tables)
+    starts = starts.groupBy("doc", "k").agg(F.flatten(F.collect_list("spans")).alias("starts")).checkpoint()
     tables.drop()
     known = firsts.join(starts.withColumnRenamed("doc", "first"), ["first", "k"], "left").select("t", "first", "starts")
     joined = rows.join(known, "t")
@@ -273,7 +514,7 @@ def dedup(
                 if doc > first:
                     spans = np.array([[0, len(raw)]]) if len(raw) >= length else np.zeros((0, 2), np.int64)
                 else:
-                    spans = removed_spans(np.array(starts_ or (), np.int64), length)
+                    spans = joined_spans(np.array(starts_ or (), np.int64).reshape(-1, 2))
                 kept = hashlib.sha256()
                 at = 0
                 for start, end in spans:
