@@ -133,12 +133,13 @@ BLOBS = "bucket int, c long, n int, blob binary"
 
 
 class Chunk:
-    """Pieces of texts, a zero byte after each: a piece of text ``doc``, ``k`` starts there at byte ``base``."""
+    """Pieces of texts (``data`` is compressed), a zero byte after each: a piece of text ``doc``, ``k`` starts there at byte ``base``."""
 
     def __init__(self, rows: pa.Table | pa.RecordBatch):
         self.doc, self.k, self.base, size = (np.array(rows.column(x)[0].as_py(), np.int64) for x in ("doc", "k", "base", "size"))
-        self.data = np.frombuffer(rows.column("data")[0].as_py(), np.uint8)
         self.end = np.cumsum(size + 1) - 1
+        data = rows.column("data")[0].as_py()
+        self.data = np.frombuffer(pa.Codec("zstd").decompress(data, int(self.end[-1]) + 1), np.uint8)
         self.start = self.end - size
 
     def piece(self, at: np.ndarray) -> np.ndarray:
@@ -157,7 +158,7 @@ def chunks(texts: DataFrame, length: int) -> DataFrame:
         def row():
             doc, k, base, data = zip(*held)
             sizes = [len(x) for x in data]
-            joined = b"".join(part for x in data for part in (x, b"\0"))
+            joined = pa.Codec("zstd", 1).compress(b"\0".join([*data, b""]), asbytes=True)
             arrays = [pa.array([c]), *(pa.array([list(x)], pa.list_(pa.int64())) for x in (doc, k, base, sizes)), pa.array([joined])]
             return pa.RecordBatch.from_arrays(arrays, names)
 
@@ -367,8 +368,9 @@ def repeated_spans(texts: DataFrame, length: int, tables: Tables) -> DataFrame:
     spark = texts.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     whole = tables.add(chunks(texts, length), "chunks")
-    size = (whole.agg(F.sum(F.octet_length("data"))).first()[0] or 0) // CHUNK
-    width = np.uint64((1 << 64) // max(parts, int(size)) + 1)
+    total = whole.agg(F.sum(F.aggregate("size", F.lit(0).cast("long"), lambda x, y: x + y))).first()[0]
+    parts = max(parts, (total or 0) // CHUNK)  # buckets
+    width = np.uint64((1 << 64) // parts + 1)
 
     def anchored(chunk):
         at, h = anchors(chunk, length)
@@ -407,9 +409,9 @@ def repeated_spans(texts: DataFrame, length: int, tables: Tables) -> DataFrame:
 
     regions = tables.add(per_chunk(whole, flags, keep_shared, regions_schema), "regions")
     tables.drop(keep=1)
-    cuts = [i / max(parts, int(size)) for i in range(1, max(parts, int(size)))]
+    cuts = [i / parts for i in range(1, parts)]
     probes = regions.select(F.explode("probe").alias("x"))
-    bounds = probes.agg(F.percentile_approx("x", cuts, 10 * max(parts, int(size)))).first()[0] if cuts else []
+    bounds = probes.agg(F.percentile_approx("x", cuts, 10 * parts)).first()[0] if cuts else []
     bounds = np.unique(np.array(bounds or [], np.int64).view(np.uint64) ^ np.uint64(1 << 63))
     regions = regions.drop("probe")
 
