@@ -130,6 +130,8 @@ class Tables:
 PIECE, CHUNK = 1 << 20, 1 << 22
 CHUNKS = "c long, doc array<long>, k array<long>, base array<long>, size array<long>, data binary"
 BLOBS = "bucket int, c long, n int, blob binary"
+#: the bucket of what a chunk keeps for itself
+OWN = -1
 
 
 class Chunk:
@@ -138,8 +140,9 @@ class Chunk:
     def __init__(self, rows: pa.Table | pa.RecordBatch):
         self.doc, self.k, self.base, size = (np.array(rows.column(x)[0].as_py(), np.int64) for x in ("doc", "k", "base", "size"))
         self.end = np.cumsum(size + 1) - 1
-        data = rows.column("data")[0].as_py()
-        self.data = np.frombuffer(pa.Codec("zstd").decompress(data, int(self.end[-1]) + 1), np.uint8)
+        if "data" in rows.schema.names:
+            data = rows.column("data")[0].as_py()
+            self.data = np.frombuffer(pa.Codec("zstd").decompress(data, int(self.end[-1]) + 1), np.uint8)
         self.start = self.end - size
 
     def piece(self, at: np.ndarray) -> np.ndarray:
@@ -302,14 +305,17 @@ def merged(keys: np.ndarray) -> np.ndarray:
 
 #: positions that a task works on at a time
 SLICE = 1 << 17
-def sampled_places(data: np.ndarray, at: np.ndarray, length: int, size: int = SLICE, start=0, end=None):
-    """Sampled positions around the anchors ``at`` with the ends of their region, some at a time.
-
-    An anchor's piece of the data, all by default, is from ``start`` to ``end``."""
+def covered(data: np.ndarray, at: np.ndarray, length: int, start=0, end=None) -> np.ndarray:
+    """The bytes of windows that hold an anchor; its piece, all of the data by default, is from ``start`` to ``end``."""
     cover = np.zeros(len(data) + 1, np.int32)
     np.add.at(cover, np.maximum(at - (length - GRAM), start), 1)
     np.add.at(cover, np.minimum(at + length, len(data) if end is None else end), -1)
-    inside = (np.cumsum(cover)[:-1] > 0).astype(np.int8)
+    return np.cumsum(cover)[:-1] > 0
+
+
+def sampled_places(data: np.ndarray, at: np.ndarray, length: int, size: int = SLICE, start=0, end=None):
+    """Sampled positions around the anchors ``at`` with the ends of their region, some at a time."""
+    inside = covered(data, at, length, start, end).astype(np.int8)
     lo, hi = np.flatnonzero(np.diff(inside, prepend=0, append=0)).reshape(-1, 2).T
     for a in range(0, len(data), size):
         j = a + np.flatnonzero(inside[a : a + size])
@@ -403,6 +409,9 @@ def repeated_spans(texts: DataFrame, length: int, tables: Tables) -> DataFrame:
         spread = np.clip(some - np.arange(len(some)) * 7 % 31, 0, None)
         eight = np.lib.stride_tricks.sliding_window_view(np.append(chunk.data, np.zeros(8, np.uint8)), 8)
         probe = eight[spread].view(">u8")[:, 0].astype(np.uint64) ^ np.uint64(1 << 63)
+        near = covered(chunk.data, at, length, chunk.start[chunk.piece(at)], chunk.end[chunk.piece(at)])
+        data = pa.Codec("zstd", 1).compress(np.where(near, chunk.data, np.uint8(0)), asbytes=True)  # the regions' bytes
+        rows = rows.set_column(rows.schema.get_field_index("data"), "data", pa.array([data], pa.binary()))
         return rows.append_column("at", pa.array([at.astype(np.int32).tobytes()], pa.binary())).append_column(
             "probe", pa.array([probe.view(np.int64).tolist()], pa.list_(pa.int64()))
         )
@@ -427,22 +436,30 @@ def repeated_spans(texts: DataFrame, length: int, tables: Tables) -> DataFrame:
     names = tables.add(answered(regions.mapInArrow(ask_names, BLOBS), 4, named), "names")
 
     def ask_pairs(rows: pa.Table, names: pa.Table) -> pa.Table:
-        chunk = Chunk(rows)
-        _, _, keys, first, _, least = Sample(chunk, _anchors_of(rows), length).pairs(names, chunk)
+        chunk, c = Chunk(rows), rows.column("c")[0].as_py()
+        sample = Sample(chunk, _anchors_of(rows), length)
+        keep, doc, keys, first, place, least = sample.pairs(names, chunk)
         keys = [x[first] for x in keys]
-        return dealt(rows.column("c")[0].as_py(), (keys[0] >> np.uint64(40)).astype(np.int64), [*keys, least.view(np.uint64)])
-
-    runs = tables.add(answered(per_chunk(regions, names, ask_pairs, BLOBS), 4, merged), "runs")
-    runs = names.withColumn("run", F.lit(False)).unionByName(runs.withColumn("run", F.lit(True)))
+        asked = dealt(c, (keys[0] >> np.uint64(40)).astype(np.int64), [*keys, least.view(np.uint64)])
+        larger = (doc > least[place]).astype(np.uint64) << np.uint64(3)
+        order = np.argsort(sample.j[keep])
+        own = [x[order].astype(np.uint64) for x in (sample.j[keep], place, larger | sample.shifts[keep])]
+        return pa.concat_tables([asked, _table([(OWN, c, len(keep), pack(own))], _BLOBS)])
+
+    pairs = tables.add(per_chunk(regions, names, ask_pairs, BLOBS), "pairs")
+    pieces = tables.add(regions.select("c", "doc", "k", "base", "size"), "pieces")
+    tables.drop(keep=2)
+    runs = tables.add(answered(pairs.where(F.col("bucket") != OWN), 4, merged), "runs")
+    both = runs.unionByName(pairs.where(F.col("bucket") == OWN))
 
     def spans(rows: pa.Table, both: pa.Table) -> pa.Table:
         chunk = Chunk(rows)
-        sample = Sample(chunk, _anchors_of(rows), length)
-        run = both.column("run")
-        keep, doc, _, first, place, least = sample.pairs(both.filter(pa.compute.invert(run)), chunk)
-        bits = replies(both.filter(run))[0]
-        bits = np.where(doc > least[place], np.uint64(7), bits[place] if len(bits) else np.uint64(0)) & sample.shifts[keep]
-        j = sample.j[keep]
+        is_own = pa.compute.equal(both.column("bucket"), OWN)
+        own = both.filter(is_own)
+        j, place, flags = unpack(own.column("blob")[0].as_py(), own.column("n")[0].as_py(), 3)
+        j = j.astype(np.int64)
+        bits = replies(both.filter(pa.compute.invert(is_own)))[0]
+        bits = np.where(flags > 7, np.uint64(7), bits[place.astype(np.int64)] if len(bits) else np.uint64(0)) & flags
         starts = np.concatenate([j[bits & np.uint64(1 << d) != 0] - d for d in range(3)])
         ends = removed_spans(starts, length)
         piece = chunk.piece(ends[:, 0])
@@ -451,7 +468,7 @@ def repeated_spans(texts: DataFrame, length: int, tables: Tables) -> DataFrame:
         found = [(int(chunk.doc[piece[x]]), int(chunk.k[piece[x]]), ends[x:y].ravel()) for x, y in zip(cuts, [*cuts[1:], len(ends)])]
         return _table(found, pa.schema([("doc", pa.int64()), ("k", pa.int64()), ("spans", pa.list_(pa.int64()))]))
 
-    return per_chunk(regions, runs, spans, "doc long, k long, spans array<long>")
+    return per_chunk(pieces, both, spans, "doc long, k long, spans array<long>")
 
 
 def removed_spans(starts: np.ndarray, length: int) -> np.ndarray:
