@@ -22,11 +22,16 @@ Before the sort, positions that can't repeat are left out: in each window of
 have equal anchors, so only windows whose anchor occurs in another text matter.
 Equal texts are one text: copies with a larger id lose all bytes at once.
 
-Names are given to distinct keys, after a map-side distinct, so a string that a
-third of all documents share costs each task one row; joins back to positions
-are ordinary shuffles of two tables, which adaptive execution splits at hot
-keys. Nothing is collected. Positions and names are written as compressed tables
-in the shared folder, each deleted once the next step's table stands.
+Texts are dealt to chunks of about 4 MB (a long text in pieces that share 49
+bytes). A chunk sends its distinct keys to the buckets of their range, a blob of
+packed columns each; a bucket sorts its keys and answers each blob in its order,
+so no row is made for a position and a string that a third of all documents
+share costs each chunk one key. Buckets grow in number with the input. Anchors
+go by ranges of their hash, triples by quantiles of their first eight bytes
+(distinct triples that share these stay in one bucket), pairs by their first
+name's bucket. Merging (3) and the neighbours (4) are done in the bucket of a
+pair. Between steps stand compressed tables in the shared folder, each deleted
+once later steps don't read it, as are the shuffle files of each written table.
 
 NULL and empty texts, and texts shorter than ``length``, lose nothing. Rows
 with equal id and text give equal results; a NULL id counts as larger than all

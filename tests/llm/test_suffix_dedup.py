@@ -85,3 +85,28 @@ def test_sampled_places_in_slices():
         for size in (7, 100, 1 << 17):
             got = [x for part in sd.sampled_places(data, np.array(at), 50, size) for x in zip(*(c.tolist() for c in part))]
             assert {j: (lo, hi) for j, lo, hi in got} == expected and len(got) == len(expected)
+
+
+def test_long_text_is_one_across_its_pieces(spark):
+    rng = np.random.default_rng(8)
+    letters = lambda n: rng.integers(97, 123, n).astype(np.uint8).tobytes().decode()
+    long = letters(sd.PIECE + 4000)
+    near = long[sd.PIECE - 300 : sd.PIECE + 300]
+    got = sd.dedup(brute.documents(spark, [(1, long), (2, "ü" + near + letters(90)), (3, letters(40) + long[:-1] + "-")]))
+    spans = {r["_row"]["doc_id"]: [tuple(x) for x in r["spans"]] for r in got.collect()}
+    assert spans == {1: [], 2: [(2, 602)], 3: [(40, 40 + len(long) - 1)]}
+
+
+def test_distinct_keys_come_back_from_their_blobs(monkeypatch):
+    rng = np.random.default_rng(5)
+    columns = [rng.integers(0, 4, 500).astype(np.uint64) << np.uint64(62), *rng.integers(0, 3, (2, 500)).astype(np.uint64)]
+    for mix in (sd.mix, lambda x: x & np.uint64(1)):  # the second: many keys with one hash
+        monkeypatch.setattr(sd, "mix", mix)
+        first, place = sd.distinct(columns)
+        keys = [x[first] for x in columns]
+        assert all((x[place] == y).all() for x, y in zip(keys, columns))
+        assert len(set(zip(*(x.tolist() for x in keys)))) == len(first) and (np.diff(keys[0].astype(object)) >= 0).all()
+        assert (sd.unpack(sd.pack(keys), len(first), 3) == np.stack(keys)).all()
+    many = sd.named(np.stack([*columns, np.zeros(500, np.uint64)])).tolist()
+    rows = list(zip(*(x.tolist() for x in columns)))
+    assert many == [2 * sorted(set(rows)).index(r) + (rows.count(r) > 1) for r in rows]
