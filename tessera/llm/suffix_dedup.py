@@ -23,10 +23,12 @@ have equal anchors, so only windows whose anchor occurs in another text matter.
 Equal texts are one text: copies with a larger id lose all bytes at once.
 
 Texts are dealt to chunks of about 4 MB (a long text in pieces that share 49
-bytes). A chunk sends its distinct keys to the buckets of their range, a blob of
-packed columns each; a bucket sorts its keys and answers each blob in its order,
+bytes). A chunk sends its distinct keys to the buckets of their range, as blobs of
+packed columns; a bucket sorts its keys and answers each blob in its order,
 so no row is made for a position and a string that a third of all documents
-share costs each chunk one key. Buckets grow in number with the input. Anchors
+share costs each chunk one key. Buckets grow in number with the input, and so
+would a chunk's blobs, which each cost time however small: on large inputs up
+to eight chunks of a task are a group, which sends a bucket one blob. Anchors
 go by ranges of their hash, triples by quantiles of their first eight bytes
 (distinct triples that share these stay in one bucket), pairs by their first
 name's bucket. Merging (3) and the neighbours (4) are done in the bucket of a
@@ -134,7 +136,10 @@ class Tables:
 #: bytes of a piece of a long text, and of the pieces that a task works on at a time
 PIECE, CHUNK = 1 << 20, 1 << 22
 CHUNKS = "c long, doc array<long>, k array<long>, base array<long>, size array<long>, data binary"
-BLOBS = "bucket int, c long, n int, blob binary"
+#: ``n`` keys of each chunk ``c`` of the group ``g``, a chunk's after another's
+BLOBS = "bucket int, g long, c array<long>, n array<int>, blob binary"
+#: bytes of keys that a task holds for its next blobs
+HELD = 1 << 26
 #: the bucket of what a chunk keeps for itself
 OWN = -1
 
@@ -210,7 +215,7 @@ def distinct(columns: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         order = np.lexsort(columns[::-1])
         new = _changes(columns, order)
     first = order[new]
-    by = np.argsort(columns[0][first], kind="stable")
+    by = np.argsort(columns[0][first])
     place = np.empty(len(by), np.int64)
     place[by] = np.arange(len(by))
     inverse = np.empty(len(order), np.int64)
@@ -227,14 +232,44 @@ def _changes(columns: Sequence[np.ndarray], order: np.ndarray) -> np.ndarray:
     return new
 
 
-def dealt(c: int, buckets: np.ndarray, columns: Sequence[np.ndarray]) -> pa.Table:
-    """One row a bucket; ``buckets`` ascend."""
-    cuts = np.flatnonzero(np.diff(buckets, prepend=-1))
-    rows = [(int(buckets[a]), c, int(b - a), pack([x[a:b] for x in columns])) for a, b in zip(cuts, [*cuts[1:], len(buckets)])]
+def in_order(columns: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows in the order of their columns, and which of them differ from the one before; only ties look at the next column."""
+    order = np.argsort(columns[0])
+    new = _changes(columns[:1], order)
+    for c in columns[1:]:
+        tied = ~new
+        tied[:-1] |= tied[1:]
+        at = np.flatnonzero(tied)
+        if not len(at):
+            break
+        rows = order[at]
+        by = np.argsort(c[rows])
+        rank = np.empty(len(rows), np.int64)
+        rank[by] = np.cumsum(_changes([c[rows]], by))
+        by = np.argsort(np.cumsum(new[at]) << 32 | rank)
+        order[at] = rows[by]
+        new[at] |= _changes([c], order[at])
+    return order, new
+
+
+def group_bits(chunks: int) -> int:
+    """2 to this power chunks at most are a group: one each while there are few, so that tasks stay even."""
+    return min((chunks >> 8).bit_length(), 3)
+
+
+def dealt(g: int, asked: Sequence[tuple[int, np.ndarray, np.ndarray]]) -> pa.Table:
+    """One row a bucket, of chunks of a group: each chunk, the buckets of its keys (they ascend) and the keys."""
+    buckets = np.unique(np.concatenate([b[np.flatnonzero(np.diff(b, prepend=-1))] for _, b, _ in asked]))
+    cuts = [np.searchsorted(b, [buckets, buckets + 1]).tolist() for _, b, _ in asked]
+    rows = []
+    for i, bucket in enumerate(buckets.tolist()):
+        parts = [(c, keys[:, lo[i] : hi[i]]) for (c, _, keys), (lo, hi) in zip(asked, cuts) if lo[i] < hi[i]]
+        c, keys = zip(*parts)
+        rows.append((bucket, g, c, [x.shape[1] for x in keys], pack(np.concatenate(keys, axis=1))))
     return _table(rows, _BLOBS)
 
 
-_BLOBS = pa.schema([("bucket", pa.int32()), ("c", pa.int64()), ("n", pa.int32()), ("blob", pa.binary())])
+_BLOBS = pa.schema([("bucket", pa.int32()), ("g", pa.int64()), ("c", pa.list_(pa.int64())), ("n", pa.list_(pa.int32())), ("blob", pa.binary())])
 
 
 def _table(rows: list, schema: pa.Schema) -> pa.Table:
@@ -242,30 +277,72 @@ def _table(rows: list, schema: pa.Schema) -> pa.Table:
     return pa.Table.from_arrays([pa.array(x, f.type) for x, f in zip(columns, schema)], schema=schema)
 
 
+def asked(chunks, bits: int, ask):
+    """Tables of blobs; ``ask`` gives the buckets and the columns of a chunk's keys."""
+    held, size = [], 0
+    for rows in chunks:
+        c = rows.column("c")[0].as_py()
+        if held and (held[0][0] >> bits != c >> bits or size >= HELD):
+            yield dealt(held[0][0] >> bits, held)
+            held, size = [], 0
+        buckets, columns = ask(rows)
+        held.append((c, buckets, np.stack([x.astype(np.uint64, copy=False) for x in columns])))
+        size += held[-1][2].nbytes
+    if held:
+        yield dealt(held[0][0] >> bits, held)
+
+
+def asking(bits: int, ask):
+    def emit(batches):
+        for table in asked((b.slice(i, 1) for b in batches for i in range(b.num_rows)), bits, ask):
+            yield from table.to_batches()
+
+    return emit
+
+
 def answered(blobs: DataFrame, columns: int, answer) -> DataFrame:
     """Per blob the column that ``answer`` makes of all keys of its bucket."""
 
     def reply(rows: pa.Table) -> pa.Table:
-        n = rows.column("n").to_pylist()
-        parts = [unpack(b, size, columns) for b, size in zip(rows.column("blob").to_pylist(), n)]
-        got = answer(np.concatenate(parts, axis=1))
+        n = [sum(x) for x in rows.column("n").to_pylist()]
         ends = np.cumsum(n)
+        keys = np.empty((columns, sum(n)), np.uint64)
+        for blob, size, e in zip(rows.column("blob"), n, ends):
+            keys[:, e - size : e] = unpack(blob.as_py(), size, columns)
+        got = answer(keys)
         out = [pack([got[e - size : e]]) for e, size in zip(ends, n)]
-        return pa.Table.from_arrays([*(rows.column(x).combine_chunks() for x in ("bucket", "c", "n")), pa.array(out, pa.binary())], schema=_BLOBS)
+        return pa.Table.from_arrays([*(rows.column(x).combine_chunks() for x in _BLOBS.names[:-1]), pa.array(out, pa.binary())], schema=_BLOBS)
 
     return blobs.groupBy("bucket").applyInArrow(reply, BLOBS)
 
 
-def replies(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """The answers to a chunk's keys in their order, and the bucket of each."""
-    got = sorted(zip(*(rows.column(x).to_pylist() for x in ("bucket", "n", "blob"))))
-    if not got:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    return np.concatenate([unpack(blob, n, 1)[0] for _, n, blob in got]), np.repeat(*np.array([x[:2] for x in got]).T).astype(np.uint64)
+class Replies:
+    """The answers to a group's chunks."""
+
+    def __init__(self, rows: pa.Table):
+        self.parts: dict[int, list] = {}
+        for bucket, c, n, blob in sorted(zip(*(rows.column(x).to_pylist() for x in ("bucket", "c", "n", "blob")))):
+            answers, at = unpack(blob, sum(n), 1)[0], 0
+            for one, size in zip(c, n):
+                self.parts.setdefault(one, []).append((bucket, answers[at : at + size]))
+                at += size
+
+    def take(self, c: int) -> tuple[np.ndarray, np.ndarray]:
+        """The answers to a chunk's keys in their order, and the bucket of each; once only."""
+        parts = self.parts.pop(c, [(0, np.zeros(0, np.uint64))])
+        buckets, answers = zip(*parts)
+        return np.concatenate(answers), np.repeat(np.array(buckets, np.uint64), [len(x) for x in answers])
 
 
-def per_chunk(table: DataFrame, answers: DataFrame, work, schema: str) -> DataFrame:
-    return table.groupBy("c").cogroup(answers.groupBy("c")).applyInArrow(work, schema)
+def per_group(table: DataFrame, answers: DataFrame, bits: int, work, schema: str) -> DataFrame:
+    """The tables that ``work`` makes of a group's chunks, one row each, and its blobs."""
+
+    def whole(rows: pa.Table, blobs: pa.Table) -> pa.Table:
+        rows = rows.drop_columns("g")
+        return pa.concat_tables(work([rows.slice(i, 1) for i in range(rows.num_rows)], blobs))
+
+    group = F.shiftright("c", bits).alias("g")
+    return table.select(group, "*").groupBy("g").cogroup(answers.groupBy("g")).applyInArrow(whole, schema)
 
 
 def shared_keys(keys: np.ndarray) -> np.ndarray:
@@ -280,8 +357,7 @@ def shared_keys(keys: np.ndarray) -> np.ndarray:
 
 def named(keys: np.ndarray) -> np.ndarray:
     """Ranks of the triples, times two, plus 1 where the triple stands in two places."""
-    order = np.lexsort(keys[2::-1])
-    new = _changes(keys[:3], order)
+    order, new = in_order(keys[:3])
     many = np.add.reduceat(keys[3][order] + np.uint64(1), np.flatnonzero(new)) > 1
     rank = np.cumsum(new) - 1
     out = np.empty(keys.shape[1], np.uint64)
@@ -291,9 +367,9 @@ def named(keys: np.ndarray) -> np.ndarray:
 
 def merged(keys: np.ndarray) -> np.ndarray:
     """Pairs are named by rank; bit d: the window d bytes before also starts in a smaller document."""
-    order = np.lexsort(keys[1::-1])
+    order, new = in_order(keys[:2])
     name = np.empty(keys.shape[1], np.uint64)
-    name[order] = np.cumsum(_changes(keys[:2], order))
+    name[order] = np.cumsum(new)
     around, doc = keys[2] >> np.uint64(3), keys[3].view(np.int64)
     out = np.zeros(keys.shape[1], np.uint64)
     for d in range(3):
@@ -308,27 +384,45 @@ def merged(keys: np.ndarray) -> np.ndarray:
     return out
 
 
-#: positions that a task works on at a time
-SLICE = 1 << 17
+def regions_of(at: np.ndarray, length: int, start=0, end=None) -> tuple[np.ndarray, np.ndarray]:
+    """Where the windows that hold one of the ascending anchors begin and end, those that touch as one; an anchor's piece is from ``start`` to ``end``."""
+    lo, hi = np.maximum(at - (length - GRAM), start), np.minimum(at + length, end)
+    new = np.ones(len(at) + 1, bool)
+    new[1:-1] = lo[1:] > hi[:-1]
+    return lo[new[:-1]], hi[new[1:]]
+
+
 def covered(data: np.ndarray, at: np.ndarray, length: int, start=0, end=None) -> np.ndarray:
     """The bytes of windows that hold an anchor; its piece, all of the data by default, is from ``start`` to ``end``."""
-    cover = np.zeros(len(data) + 1, np.int32)
-    np.add.at(cover, np.maximum(at - (length - GRAM), start), 1)
-    np.add.at(cover, np.minimum(at + length, len(data) if end is None else end), -1)
-    return np.cumsum(cover)[:-1] > 0
+    lo, hi = regions_of(at, length, start, len(data) if end is None else end)
+    cover = np.zeros(len(data) + 1, np.int8)
+    cover[lo] = 1
+    cover[hi] = -1
+    return np.cumsum(cover[:-1], dtype=np.int8).view(bool)
+
+
+#: positions that a task works on at a time
+SLICE = 1 << 17
 
 
 def sampled_places(data: np.ndarray, at: np.ndarray, length: int, size: int = SLICE, start=0, end=None):
     """Sampled positions around the anchors ``at`` with the ends of their region, some at a time."""
-    inside = covered(data, at, length, start, end).astype(np.int8)
-    lo, hi = np.flatnonzero(np.diff(inside, prepend=0, append=0)).reshape(-1, 2).T
-    for a in range(0, len(data), size):
-        j = a + np.flatnonzero(inside[a : a + size])
-        j = j[j % 3 != 0]
-        region = np.searchsorted(lo, j, "right") - 1
-        whole = j + TRIPLE <= hi[region]
-        if whole.any():
-            yield j[whole], lo[region[whole]], hi[region[whole]]
+    lo, hi = regions_of(at, length, start, len(data) if end is None else end)
+    ends = np.cumsum(np.maximum(hi - lo - TRIPLE + 1, 0))  # of the places of each region, as they follow one another
+    shift = hi - TRIPLE + 1 - ends
+    for a in range(0, int(ends[-1]) if len(ends) else 0, size):
+        i = np.arange(a, min(a + size, ends[-1]))
+        region = np.searchsorted(ends, i, "right")
+        j = i + shift[region]
+        one = j % 3 != 0
+        if one.any():
+            region = region[one]
+            yield j[one], lo[region], hi[region]
+
+
+def every(data: np.ndarray, kind: str) -> np.ndarray:
+    """The number of that kind at each byte."""
+    return np.ndarray(len(data) - np.dtype(kind).itemsize + 1, kind, np.ascontiguousarray(data), strides=(1,))
 
 
 class Sample:
@@ -347,16 +441,13 @@ class Sample:
         ok = [((j - d >= lo) & (j - d + length <= hi)).astype(np.uint64) << np.uint64(d) for d in range(3)]
         self.shifts = ok[0] | ok[1] | ok[2]
         data = np.concatenate([np.zeros(2, np.uint8), chunk.data, np.zeros(length, np.uint8)])
-        eight = np.lib.stride_tricks.sliding_window_view(data, 8)
-        self.triple = [eight[j + x].view(">u8")[:, 0].astype(np.uint64) for x in (2, 10, 18)]
-        self.around = np.zeros(len(j), np.uint64)
-        for x in (0, 1, 50, 51):
-            self.around = self.around << np.uint64(8) | data[j + x]
+        eight, two = every(data, ">u8"), every(data, ">u2")
+        self.triple = [eight[j + x].astype(np.uint64) for x in (2, 10, 18)]
+        self.around = two[j].astype(np.uint64) << np.uint64(16) | two[j + 50]
         self.first, self.place = distinct(self.triple)
 
-    def pairs(self, names: pa.Table, chunk: Chunk):
+    def pairs(self, name: np.ndarray, bucket: np.ndarray, chunk: Chunk):
         """The positions whose pair of names can repeat, their document, the pairs' keys and the distinct keys."""
-        name, bucket = replies(names)
         name = (bucket << np.uint64(40) | name)[self.place]
         at = np.zeros(len(chunk.data) + TRIPLE, np.uint64)
         at[self.j] = name
@@ -381,6 +472,7 @@ def repeated_spans(texts: DataFrame, length: int, tables: Tables) -> DataFrame:
     whole = tables.add(chunks(texts, length), "chunks")
     total = whole.agg(F.sum(F.aggregate("size", F.lit(0).cast("long"), lambda x, y: x + y))).first()[0]
     parts = max(parts, (total or 0) // CHUNK)  # buckets
+    bits = group_bits((total or 0) // CHUNK)
     width = np.uint64((1 << 64) // parts + 1)
 
     def anchored(chunk):
@@ -389,31 +481,27 @@ def repeated_spans(texts: DataFrame, length: int, tables: Tables) -> DataFrame:
         new = _changes([h], order)
         return at, h, order, new
 
-    def ask_anchors(batches):
-        for b in batches:
-            for i in range(b.num_rows):
-                chunk = Chunk(b.slice(i, 1))
-                at, h, order, new = anchored(chunk)
-                piece = chunk.piece(at)[order]
-                starts = np.flatnonzero(new)
-                several = piece[starts] != piece[np.append(starts[1:], len(h)) - 1]
-                keys = h[order][starts]
-                yield from dealt(b.column("c")[i].as_py(), (keys // width).astype(np.int64), [keys, several]).to_batches()
-
-    flags = tables.add(answered(whole.mapInArrow(ask_anchors, BLOBS), 2, shared_keys), "flags")
+    def ask_anchors(rows):
+        chunk = Chunk(rows)
+        at, h, order, new = anchored(chunk)
+        piece = chunk.piece(at)[order]
+        starts = np.flatnonzero(new)
+        several = piece[starts] != piece[np.append(starts[1:], len(h)) - 1]
+        keys = h[order][starts]
+        return (keys // width).astype(np.int64), [keys, several]
+
+    flags = tables.add(answered(whole.mapInArrow(asking(bits, ask_anchors), BLOBS), 2, shared_keys), "flags")
     regions_schema = CHUNKS + ", at binary, probe array<long>"
 
-    def keep_shared(rows: pa.Table, flags: pa.Table) -> pa.Table:
+    def keep_shared(rows: pa.Table, flag: np.ndarray) -> pa.Table:
         chunk = Chunk(rows)
         at, _, order, new = anchored(chunk)
-        flag = replies(flags)[0]
         hit = np.zeros(len(at), bool)
         hit[order] = flag[np.cumsum(new) - 1] > 0 if len(at) else False
         at = at[hit]
         some = at[:: len(at) // 256 + 1]
         spread = np.clip(some - np.arange(len(some)) * 7 % 31, 0, None)
-        eight = np.lib.stride_tricks.sliding_window_view(np.append(chunk.data, np.zeros(8, np.uint8)), 8)
-        probe = eight[spread].view(">u8")[:, 0].astype(np.uint64) ^ np.uint64(1 << 63)
+        probe = every(np.append(chunk.data, np.zeros(8, np.uint8)), ">u8")[spread].astype(np.uint64) ^ np.uint64(1 << 63)
         near = covered(chunk.data, at, length, chunk.start[chunk.piece(at)], chunk.end[chunk.piece(at)])
         data = pa.Codec("zstd", 1).compress(np.where(near, chunk.data, np.uint8(0)), asbytes=True)  # the regions' bytes
         rows = rows.set_column(rows.schema.get_field_index("data"), "data", pa.array([data], pa.binary()))
@@ -421,7 +509,12 @@ def repeated_spans(texts: DataFrame, length: int, tables: Tables) -> DataFrame:
             "probe", pa.array([probe.view(np.int64).tolist()], pa.list_(pa.int64()))
         )
 
-    regions = tables.add(per_chunk(whole, flags, keep_shared, regions_schema), "regions")
+    def shared(chunks, flags):
+        got = Replies(flags)
+        for rows in chunks:
+            yield keep_shared(rows, got.take(rows.column("c")[0].as_py())[0])
+
+    regions = tables.add(per_group(whole, flags, bits, shared, regions_schema), "regions")
     tables.drop(keep=1)
     cuts = [i / parts for i in range(1, parts)]
     probes = regions.select(F.explode("probe").alias("x"))
@@ -429,41 +522,41 @@ def repeated_spans(texts: DataFrame, length: int, tables: Tables) -> DataFrame:
     bounds = np.unique(np.array(bounds or [], np.int64).view(np.uint64) ^ np.uint64(1 << 63))
     regions = regions.drop("probe")
 
-    def ask_names(batches):
-        for b in batches:
-            for i in range(b.num_rows):
-                rows = b.slice(i, 1)
-                s = Sample(Chunk(rows), _anchors_of(rows), length)
-                keys = [x[s.first] for x in s.triple]
-                several = np.bincount(s.place, minlength=len(s.first)) > 1
-                yield from dealt(b.column("c")[i].as_py(), np.searchsorted(bounds, keys[0], "right"), [*keys, several]).to_batches()
-
-    names = tables.add(answered(regions.mapInArrow(ask_names, BLOBS), 4, named), "names")
-
-    def ask_pairs(rows: pa.Table, names: pa.Table) -> pa.Table:
-        chunk, c = Chunk(rows), rows.column("c")[0].as_py()
-        sample = Sample(chunk, _anchors_of(rows), length)
-        keep, doc, keys, first, place, least = sample.pairs(names, chunk)
-        keys = [x[first] for x in keys]
-        asked = dealt(c, (keys[0] >> np.uint64(40)).astype(np.int64), [*keys, least.view(np.uint64)])
-        larger = (doc > least[place]).astype(np.uint64) << np.uint64(3)
-        order = np.argsort(sample.j[keep])
-        own = [x[order].astype(np.uint64) for x in (sample.j[keep], place, larger | sample.shifts[keep])]
-        return pa.concat_tables([asked, _table([(OWN, c, len(keep), pack(own))], _BLOBS)])
-
-    pairs = tables.add(per_chunk(regions, names, ask_pairs, BLOBS), "pairs")
+    def ask_names(rows):
+        s = Sample(Chunk(rows), _anchors_of(rows), length)
+        keys = [x[s.first] for x in s.triple]
+        several = np.bincount(s.place, minlength=len(s.first)) > 1
+        return np.searchsorted(bounds, keys[0], "right"), [*keys, several]
+
+    names = tables.add(answered(regions.mapInArrow(asking(bits, ask_names), BLOBS), 4, named), "names")
+
+    def ask_pairs(chunks, names):
+        got, kept = Replies(names), []
+
+        def ask(rows):
+            chunk, c = Chunk(rows), rows.column("c")[0].as_py()
+            sample = Sample(chunk, _anchors_of(rows), length)
+            keep, doc, keys, first, place, least = sample.pairs(*got.take(c), chunk)
+            keys = [x[first] for x in keys]
+            larger = (doc > least[place]).astype(np.uint64) << np.uint64(3)
+            order = np.argsort(sample.j[keep])
+            own = [x[order].astype(np.uint64) for x in (sample.j[keep], place, larger | sample.shifts[keep])]
+            kept.append((OWN, c >> bits, [c], [len(keep)], pack(own)))
+            return (keys[0] >> np.uint64(40)).astype(np.int64), [*keys, least.view(np.uint64)]
+
+        yield from asked(chunks, bits, ask)
+        yield _table(kept, _BLOBS)
+
+    pairs = tables.add(per_group(regions, names, bits, ask_pairs, BLOBS), "pairs")
     pieces = tables.add(regions.select("c", "doc", "k", "base", "size"), "pieces")
     tables.drop(keep=2)
     runs = tables.add(answered(pairs.where(F.col("bucket") != OWN), 4, merged), "runs")
     both = runs.unionByName(pairs.where(F.col("bucket") == OWN))
 
-    def spans(rows: pa.Table, both: pa.Table) -> pa.Table:
+    def spans(rows: pa.Table, own: tuple[int, bytes], bits: np.ndarray) -> pa.Table:
         chunk = Chunk(rows)
-        is_own = pa.compute.equal(both.column("bucket"), OWN)
-        own = both.filter(is_own)
-        j, place, flags = unpack(own.column("blob")[0].as_py(), own.column("n")[0].as_py(), 3)
+        j, place, flags = unpack(own[1], own[0], 3)
         j = j.astype(np.int64)
-        bits = replies(both.filter(pa.compute.invert(is_own)))[0]
         bits = np.where(flags > 7, np.uint64(7), bits[place.astype(np.int64)] if len(bits) else np.uint64(0)) & flags
         starts = np.concatenate([j[bits & np.uint64(1 << d) != 0] - d for d in range(3)])
         ends = removed_spans(starts, length)
@@ -473,12 +566,21 @@ def repeated_spans(texts: DataFrame, length: int, tables: Tables) -> DataFrame:
         found = [(int(chunk.doc[piece[x]]), int(chunk.k[piece[x]]), ends[x:y].ravel()) for x, y in zip(cuts, [*cuts[1:], len(ends)])]
         return _table(found, pa.schema([("doc", pa.int64()), ("k", pa.int64()), ("spans", pa.list_(pa.int64()))]))
 
-    return per_chunk(pieces, both, spans, "doc long, k long, spans array<long>")
+    def all_spans(chunks, both):
+        is_own = pa.compute.equal(both.column("bucket"), OWN)
+        own = both.filter(is_own)
+        own = {c[0]: (n[0], blob) for c, n, blob in zip(*(own.column(x).to_pylist() for x in ("c", "n", "blob")))}
+        got = Replies(both.filter(pa.compute.invert(is_own)))
+        for rows in chunks:
+            c = rows.column("c")[0].as_py()
+            yield spans(rows, own[c], got.take(c)[0])
+
+    return per_group(pieces, both, bits, all_spans, "doc long, k long, spans array<long>")
 
 
 def removed_spans(starts: np.ndarray, length: int) -> np.ndarray:
     """Maximal runs [start, end) covered by windows at the given starts."""
-    s = np.unique(starts)
+    s = np.sort(starts)
     if not len(s):
         return np.zeros((0, 2), np.int64)
     new = np.flatnonzero(np.concatenate([[True], s[1:] > s[:-1] + length]))

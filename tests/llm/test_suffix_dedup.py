@@ -110,3 +110,73 @@ def test_distinct_keys_come_back_from_their_blobs(monkeypatch):
     many = sd.named(np.stack([*columns, np.zeros(500, np.uint64)])).tolist()
     rows = list(zip(*(x.tolist() for x in columns)))
     assert many == [2 * sorted(set(rows)).index(r) + (rows.count(r) > 1) for r in rows]
+
+
+def test_chunks_of_a_group_send_a_bucket_one_blob(spark, monkeypatch):
+    """With a blob a chunk and bucket there would be chunks times buckets of them."""
+    rng = random.Random(12)
+    line = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passages = [line(rng.randrange(50, 90)) for _ in range(30)]
+    rows = [(i, "".join(line(rng.randrange(60)) + rng.choice(passages) for _ in range(5))) for i in range(160)]
+    counts, add = {}, sd.Tables.add
+
+    def counted(self, df, name):
+        out = add(self, df, name)
+        counts[name] = out.count()
+        return out
+
+    monkeypatch.setattr(sd.Tables, "add", counted)
+    monkeypatch.setattr(sd, "CHUNK", 1 << 11)
+    monkeypatch.setattr(sd, "group_bits", lambda chunks: 3 if chunks > 20 else 0)
+    _check(spark, rows)
+    buckets = sum(len(t.encode()) for _, t in rows) // sd.CHUNK
+    assert counts["chunks"] > 30 and buckets > 10
+    assert 0 < counts["flags"] < counts["chunks"] * buckets / 3 and 0 < counts["names"] < counts["chunks"] * buckets / 3
+
+
+def test_answers_of_a_group_reach_their_chunks(monkeypatch):
+    rng = np.random.default_rng(6)
+    keys = {c: np.sort(rng.integers(0, 1 << 62, int(rng.integers(0, 400))).astype(np.uint64)) for c in [*range(3, 19), 1 << 32]}
+    chunks = [sd.pa.table({"c": [c]}) for c in keys]
+
+    def ask(rows):
+        k = keys[rows.column("c")[0].as_py()]
+        return (k >> np.uint64(57)).astype(np.int64), [k, k & np.uint64(1)]
+
+    for held, most in ((1 << 26, 4 * 32), (1, 17 * 32)):  # four groups; a chunk at a time
+        monkeypatch.setattr(sd, "HELD", held)
+        tables = list(sd.asked(chunks, 3, ask))
+        assert sum(t.num_rows for t in tables) <= most
+        got = {}
+        for t in tables:
+            for row in t.to_pylist():
+                m = sd.unpack(row["blob"], sum(row["n"]), 2)
+                assert (m[0] >> np.uint64(57) == row["bucket"]).all() and (m[1] == m[0] & np.uint64(1)).all()
+                got.setdefault(row["g"], []).append(row | {"blob": sd.pack([m[0] * np.uint64(3)])})
+        for g, rows in got.items():
+            rng.shuffle(rows)
+            replies = sd.Replies(sd.pa.Table.from_pylist(rows, schema=sd._BLOBS))
+            for c in (c for c in keys if c >> 3 == g):
+                answers, bucket = replies.take(c)
+                assert (answers == keys[c] * np.uint64(3)).all() and (bucket == keys[c] >> np.uint64(57)).all()
+    assert [sd.group_bits(n) for n in (0, 255, 256, 512, 1024, 1 << 20)] == [0, 0, 1, 2, 3, 3]
+
+
+def test_rows_in_the_order_of_their_columns():
+    rng = np.random.default_rng(7)
+    for n in (0, 1, 2, 500):
+        for wide in (1, 2, 9, 1 << 40):
+            columns = rng.integers(0, wide, (3, n)).astype(np.uint64) << np.uint64(23)
+            order, new = sd.in_order(columns)
+            plain = np.lexsort(columns[::-1])
+            assert sorted(order.tolist()) == list(range(n)) and (columns[:, order] == columns[:, plain]).all()
+            assert (new == sd._changes(columns, plain)).all()
+
+
+def test_regions_end_with_their_piece():
+    data = np.full(300, 97, np.uint8)
+    at, start, end = np.array([3, 90, 95, 101, 260]), np.array([0, 0, 0, 101, 101]), np.array([100, 100, 100, 299, 299])
+    lo, hi = sd.regions_of(at, 50, start, end)
+    assert (lo.tolist(), hi.tolist()) == ([0, 60, 101, 230], [53, 100, 151, 299])
+    inside = np.flatnonzero(sd.covered(data, at, 50, start, end))
+    assert inside.tolist() == [*range(53), *range(60, 100), *range(101, 151), *range(230, 299)]
