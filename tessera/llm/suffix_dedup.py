@@ -434,12 +434,12 @@ class Sample:
 
     def __init__(self, chunk: Chunk, at: np.ndarray, length: int):
         piece = chunk.piece(at)
-        places = sampled_places(chunk.data, at, length, SLICE, chunk.start[piece], chunk.end[piece])
-        found = [np.zeros((3, 0), np.int64), *map(np.stack, places)]
-        self.j, lo, hi = np.concatenate(found, axis=1)
-        j = self.j
-        ok = [((j - d >= lo) & (j - d + length <= hi)).astype(np.uint64) << np.uint64(d) for d in range(3)]
-        self.shifts = ok[0] | ok[1] | ok[2]
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.uint8))]
+        for j, lo, hi in sampled_places(chunk.data, at, length, SLICE, chunk.start[piece], chunk.end[piece]):
+            ok = [((j - d >= lo) & (j - d + length <= hi)).astype(np.uint8) << np.uint8(d) for d in range(3)]
+            found.append((j, ok[0] | ok[1] | ok[2]))
+        j, shifts = (np.concatenate(x) for x in zip(*found))
+        self.j, self.shifts = j, shifts.astype(np.uint64)
         data = np.concatenate([np.zeros(2, np.uint8), chunk.data, np.zeros(length, np.uint8)])
         eight, two = every(data, ">u8"), every(data, ">u2")
         self.triple = [eight[j + x].astype(np.uint64) for x in (2, 10, 18)]
