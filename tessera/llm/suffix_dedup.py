@@ -522,13 +522,21 @@ def repeated_spans(texts: DataFrame, length: int, tables: Tables) -> DataFrame:
     bounds = np.unique(np.array(bounds or [], np.int64).view(np.uint64) ^ np.uint64(1 << 63))
     regions = regions.drop("probe")
 
-    def ask_names(rows):
-        s = Sample(Chunk(rows), _anchors_of(rows), length)
-        keys = [x[s.first] for x in s.triple]
-        several = np.bincount(s.place, minlength=len(s.first)) > 1
-        return np.searchsorted(bounds, keys[0], "right"), [*keys, several]
-
-    names = tables.add(answered(regions.mapInArrow(asking(bits, ask_names), BLOBS), 4, named), "names")
+    def ask_names(start, end):
+        def ask(rows):
+            s = Sample(Chunk(rows), _anchors_of(rows), length)
+            keys = [x[s.first] for x in s.triple]
+            several = np.bincount(s.place, minlength=len(s.first)) > 1
+            buckets = np.searchsorted(bounds, keys[0], "right")
+            a, b = np.searchsorted(buckets, [start, end])
+            return buckets[a:b], [x[a:b] for x in (*keys, several)]
+
+        return asking(bits, ask)
+
+    # the triples are the most that is on disk at once: on large inputs the two halves of the buckets get them in turn
+    turns = [0, len(bounds) + 1] if not bits else [0, (len(bounds) + 1) // 2, len(bounds) + 1]
+    names = [tables.add(answered(regions.mapInArrow(ask_names(*turn), BLOBS), 4, named), "names") for turn in zip(turns, turns[1:])]
+    names = names[0] if len(names) == 1 else names[0].unionByName(names[1])
 
     def ask_pairs(chunks, names):
         got, kept = Replies(names), []
